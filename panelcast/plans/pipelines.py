@@ -70,3 +70,21 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders ⨝ customer → monthly panel → grid → fill → standardise → label → persistence and
     climatology baselines → accuracy / macro F1 per horizon."""
     return evaluate.classification_metrics(predictions_a(spark, sf_dir), ["target", "model"])
+
+
+VALUE_TARGETS = tuple(f"nino34_t{h}" for h in HORIZONS)
+
+
+def regression_predictions_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long value forecasts on the test split: persistence of the current anomaly (M13: filled
+    forward inside the test rows, then 0) and of its 3-period mean (smoothed variant, D11)."""
+    df = build_dataset(spark, sf_dir).filter(F.col(TIME) >= F.lit("2000-01-01").cast("date"))
+    w = panel.ordered(SERIES_A, TIME).rowsBetween(panel.Window.unboundedPreceding, 0)
+    df = df.select(*SERIES_A, TIME, "init_in_growth_phase", *VALUE_TARGETS,
+                   F.coalesce(F.last("anom", True).over(w), F.lit(0.0)).alias("persistence"),
+                   F.coalesce(F.last("anom_rm3", True).over(w), F.lit(0.0)).alias("persistence_smoothed"))
+    models = ("persistence", "persistence_smoothed")
+    cells = [F.struct(F.lit(t).alias("target"), F.lit(m).alias("model"), F.col(t).alias("y_true"), F.col(m).alias("y_pred"))
+             for t in VALUE_TARGETS for m in models]
+    return df.select(*SERIES_A, TIME, "init_in_growth_phase", F.explode(F.array(*cells)).alias("c")).select(
+        *SERIES_A, TIME, "init_in_growth_phase", "c.*")
