@@ -265,3 +265,15 @@ def padded_range(df: DataFrame, time: str, start, end, reach_back: int, reach_ah
     if hi is not None:
         cond = cond & (F.col(time) <= hi)
     return filter_time_range(compute(df.filter(cond)), time, start, end)
+
+
+# --------------------------------------------------------------------------- A1
+def rollup_mean(df: DataFrame, series: Series, time: str, cols: Iterable[str], unit: str = "month",
+                count_col: str | None = "n", out: str | None = None) -> DataFrame:
+    """A1: mean of each column per series and coarser period (missing values skipped).
+    Partial aggregation happens before the shuffle, so a hot series costs one combiner."""
+    keys = keys_of(series)
+    aggs = [F.avg(c).alias(c) for c in cols]
+    if count_col:
+        aggs.append(F.count(F.lit(1)).alias(count_col))
+    return df.groupBy(*keys, period_of(time, unit).alias(out or time)).agg(*aggs)

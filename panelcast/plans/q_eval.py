@@ -299,3 +299,9 @@ def m16_forecast(spark, sf):
     p = models.class_probabilities(m, cur, LABELS)
     return p.select(*K, T, F.col("y_pred").alias("forecast"), label_to_int("y_pred").alias("forecast_int"),
                     *[c for c in p.columns if c.startswith("p_")])
+
+
+@register("w11_top1", sql=PRED_SQL + f"""SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY f1_macro DESC, model) AS r
+FROM ({O.metrics_sql("preds", BY)}) m) x WHERE r = 1""")
+def w11_top1(spark, sf):
+    return evaluate.top_model(evaluate.classification_metrics(preds(spark, sf), BY))
