@@ -134,20 +134,25 @@ def target_shift_check(df: DataFrame, series: Series, time: str, phase: str = "e
                       ).select("s.*")
 
 
-def lag_alignment(df: DataFrame, base: str, series: Series, time: str, lags: Sequence[int] = (1, 3, 6),
-                  unit: str = "month", tol: float = 1e-6) -> DataFrame:
-    """Q6: recompute ``{base}_lag{L}`` by a self join on the shifted period (independent of the
-    window) and count mismatches (value differs by >= tol, or exactly one side missing)."""
+def lag_alignment(df: DataFrame, base: str | Sequence[str], series: Series, time: str,
+                  lags: Sequence[int] = (1, 3, 6), unit: str = "month", tol: float = 1e-6) -> DataFrame:
+    """Q6: recompute ``{base}_lag{L}`` by joining each row to the row L periods earlier
+    (independent of the window) and count mismatches (value differs by >= tol, or exactly one
+    side missing).  All bases and lags go through ONE join: both sides are exploded by lag."""
     keys = keys_of(series)
-    out = None
-    for L in lags:
-        right = df.select(*keys, add_periods(time, L, unit).alias(time), F.col(base).alias("__past"))
-        j = df.select(*keys, time, F.col(f"{base}_lag{L}").alias("__lag")).join(right, [*keys, time], "left")
-        bad = (F.abs(F.col("__lag") - F.col("__past")) >= tol) | (F.col("__lag").isNull() != F.col("__past").isNull())
-        one = j.agg(F.lit(L).alias("lag"), F.count_if(F.col("__lag").isNotNull()).alias("n_compared"),
-                    F.count_if(F.coalesce(bad, F.lit(False))).alias("n_mismatch"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    bases = [base] if isinstance(base, str) else list(base)
+    pairs = [(b, L) for b in bases for L in lags if f"{b}_lag{L}" in df.columns]
+    left = df.select(*keys, time, F.explode(F.array(*[
+        F.struct(F.lit(b).alias("base"), F.lit(L).alias("lag"), F.col(f"{b}_lag{L}").alias("__lag")) for b, L in pairs
+    ])).alias("__s")).select(*keys, time, "__s.*")
+    right = df.select(*keys, time, F.explode(F.array(*[
+        F.struct(F.lit(b).alias("base"), F.lit(L).alias("lag"), add_periods(time, L, unit).alias("__t"),
+                 F.col(b).alias("__past")) for b, L in pairs
+    ])).alias("__s")).select(*keys, "__s.*").withColumnRenamed("__t", time)
+    j = left.join(right, [*keys, time, "base", "lag"], "left")
+    bad = (F.abs(F.col("__lag") - F.col("__past")) >= tol) | (F.col("__lag").isNull() != F.col("__past").isNull())
+    return j.groupBy("base", "lag").agg(F.count_if(F.col("__lag").isNotNull()).alias("n_compared"),
+                                        F.count_if(F.coalesce(bad, F.lit(False))).alias("n_mismatch"))
 
 
 def split_integrity(df: DataFrame, series: Series, time: str, split: str = "split") -> DataFrame:
@@ -199,12 +204,13 @@ def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[
     copies = target_copy_scan(df, numeric_feats, targets).filter((F.col("n_compared") > 0) & (F.col("n_mismatch") == 0))
     parts.append(copies.agg(F.lit("no_target_copies").alias("check"), F.count(F.lit(1)).alias("n_bad"),
                             F.coalesce(F.concat_ws(", ", F.collect_list("feature")), F.lit("")).alias("detail")))
-    for b in lag_bases:
-        lags = sorted(int(m.group(1)) for f in features if (m := re.fullmatch(re.escape(b) + r"_lag(\d+)", f)))
-        if lags:
-            la = lag_alignment(df, b, series, time, lags, unit).agg(F.sum("n_mismatch").cast("bigint").alias("n"))
-            parts.append(la.select(F.lit(f"lag_alignment_{b}").alias("check"), F.col("n").alias("n_bad"),
-                                   F.lit(f"{b}_lagL != {b} at t-L").alias("detail")))
+    lags = sorted({int(m.group(1)) for b in lag_bases for f in features
+                   if (m := re.fullmatch(re.escape(b) + r"_lag(\d+)", f))})
+    if lags:
+        la = lag_alignment(df, list(lag_bases), series, time, lags, unit).groupBy("base").agg(
+            F.sum("n_mismatch").cast("bigint").alias("n"))
+        parts.append(la.select(F.concat(F.lit("lag_alignment_"), F.col("base")).alias("check"), F.col("n").alias("n_bad"),
+                               F.concat(F.col("base"), F.lit("_lagL != value at t-L")).alias("detail")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -240,3 +240,35 @@ def regression_predictions_a_sql() -> list[str]:
   coalesce(last_value(anom_rm3 IGNORE NULLS) OVER {w}, 0.0) AS persistence_smoothed
   FROM features_a WHERE period >= DATE '2000-01-01')""",
         f"regpreds AS ({unions})"]
+
+
+PANEL_E = """panel_e AS (
+  SELECT user_id, date_trunc('hour', ts) AS period, count(*) AS n_events,
+         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value
+  FROM events GROUP BY 1, 2)"""
+
+
+def generic_chain(src: str, keys: Sequence[str], value: str, count: str, unit: str = "month",
+                  horizons: Sequence[int] = HORIZONS, max_gap: int = 3) -> list[str]:
+    """grid -> fill -> standardise -> label CTEs over any panel CTE ``src`` (names prefixed g_)."""
+    k = ", ".join(keys)
+    on = " AND ".join(f"s.{c} = p.{c}" for c in keys)
+    cast = "CAST({} AS DATE)" if unit in ("month", "day") else "{}"
+    wa = f"PARTITION BY {k} ORDER BY period"
+    parts = [f"{phase_sql('sm')} AS enso_phase"]
+    for h in horizons:
+        parts.append(f"{phase_sql(f'lead(sm, {h}) OVER w')} AS enso_t{h}")
+        parts.append(f"{rint_sql(f'lead(sm, {h}) OVER w', 2)} AS nino34_t{h}")
+    return [
+        f"g_bounds AS (SELECT {k}, min(period) AS lo, max(period) AS hi FROM {src} GROUP BY {k})",
+        f"g_spine AS (SELECT {k}, {cast.format(f'unnest(generate_series(lo, hi, INTERVAL 1 {unit.upper()}))')} AS period FROM g_bounds)",
+        f"""g_grid AS (SELECT {', '.join('s.' + c for c in keys)}, s.period, p.{value}, p.{count}, p.period IS NULL AS is_inserted
+  FROM g_spine s LEFT JOIN {src} p ON {on} AND s.period = p.period)""",
+        f"""g_filled AS (SELECT {k}, period, is_inserted, last_value({value} IGNORE NULLS) OVER w AS {value},
+  last_value({count} IGNORE NULLS) OVER w AS {count} FROM g_grid WINDOW w AS ({wa} ROWS BETWEEN {max_gap} PRECEDING AND CURRENT ROW))""",
+        f"""g_prepared AS (SELECT *, CASE WHEN stddev_samp({value}) OVER ws > 0
+  THEN ({value} - avg({value}) OVER ws) / stddev_samp({value}) OVER ws END AS anom FROM g_filled WINDOW ws AS (PARTITION BY {k}))""",
+        f"""g_smooth AS (SELECT *, CASE WHEN count(anom) OVER w3 >= 2 THEN avg(anom) OVER w3 END AS sm
+  FROM g_prepared WINDOW w3 AS ({wa} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))""",
+        f"g_labelled AS (SELECT * EXCLUDE (sm), {', '.join(parts)} FROM g_smooth WINDOW w AS ({wa}))",
+    ]

@@ -45,7 +45,9 @@ def build_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictions_a(spark: SparkSession, sf_dir: str, models: Sequence[str] = ("climatology", "persistence")) -> DataFrame:
     """Long predictions ``(nation, segment, period, target, y_true, y_pred, model, crosses, split)``
     of the naive baselines on the test split."""
-    df = splits.time_split(labelled_a(spark, sf_dir), TIME, **SPLIT_A)
+    from panelcast.session import materialize
+    # the labelled panel feeds both the training counts and the test rows: materialise it once
+    df = splits.time_split(materialize(labelled_a(spark, sf_dir)), TIME, **SPLIT_A)
     df = df.withColumn("month", F.month(TIME).cast("int"))
     long = baselines.long_targets(df, SERIES_A, TIME, TARGETS, carry=["split", "enso_phase", "month"])
     long = long.withColumn("crosses", _crosses_for_target("target", "month"))
@@ -88,3 +90,12 @@ def regression_predictions_a(spark: SparkSession, sf_dir: str) -> DataFrame:
              for t in VALUE_TARGETS for m in models]
     return df.select(*SERIES_A, TIME, "init_in_growth_phase", F.explode(F.array(*cells)).alias("c")).select(
         *SERIES_A, TIME, "init_in_growth_phase", "c.*")
+
+
+def labelled_panel(df: DataFrame, series, value: str, count: str, unit: str = "month",
+                   horizons=HORIZONS, max_gap: int = 3) -> DataFrame:
+    """Generic chain for any panel: grid -> limited fill -> standardised ``anom`` -> targets."""
+    g = panel.regular_grid(df, series, TIME, unit)
+    f = panel.ffill(g, [value, count], series, TIME, limit=max_gap)
+    f = panel.standardize(f.withColumn("anom", F.col(value)), ["anom"], series)
+    return labels.label(f, "anom", series, TIME, horizons)

@@ -452,3 +452,27 @@ def f12_add_months(spark, sf):
     df = PL.prepared_a(spark, sf)
     return df.select(*K, T, *[fx.add_periods(T, k).alias(n) for k, n in
                               ((1, "period_p1"), (3, "period_p3"), (6, "period_p6"), (-12, "period_m12"))])
+
+
+# ----------------------------------------------------------------------------- larger panels (scale)
+LAB_B = ["supplier", "period", "qty", "n_lines", "is_inserted", "anom", *LABEL_OUT]
+
+
+@register("c3_label_supplier", sql=O.with_(O.PANEL_B, *O.generic_chain("panel_b", ["supplier"], "qty", "n_lines"))
+          + f"SELECT {', '.join(LAB_B)} FROM g_labelled", r6=["anom", *O.VALUE_TARGETS_A])
+def c3_label_supplier(spark, sf):
+    return PL.labelled_panel(tables.panel_b(spark, sf), "supplier", "qty", "n_lines").select(*LAB_B)
+
+
+@register("w7_ffill_hourly", sql=O.with_(O.PANEL_E, *O.generic_chain("panel_e", ["user_id"], "sum_value", "n_events", "hour")[:4])
+          + "SELECT * FROM g_filled")
+def w7_ffill_hourly(spark, sf):
+    g = panel.regular_grid(tables.panel_e(spark, sf), "user_id", T, "hour")
+    return panel.ffill(g, ["sum_value", "n_events"], "user_id", T, limit=3)
+
+
+@register("c1_grid_daily", sql=O.with_("""panel_d AS (SELECT event_type, CAST(ts AS DATE) AS period, avg(value) AS avg_value,
+  count(*) AS n_events FROM events GROUP BY 1, 2)""", *O.generic_chain("panel_d", ["event_type"], "avg_value", "n_events", "day")[:3])
+          + "SELECT * FROM g_grid", r6=["avg_value"])
+def c1_grid_daily(spark, sf):
+    return panel.regular_grid(tables.panel_d(spark, sf), "event_type", T, "day")

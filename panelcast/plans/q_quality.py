@@ -112,7 +112,7 @@ FROM features_a f LEFT JOIN features_a p ON f.nation = p.nation AND f.segment =
 
 @register("q6_lag_alignment", sql=_q6_sql())
 def q6_lag_alignment(spark, sf):
-    return quality.lag_alignment(PL.build_dataset(spark, sf), "anom", K, T, (1, 3, 6))
+    return quality.lag_alignment(PL.build_dataset(spark, sf), "anom", K, T, (1, 3, 6)).drop("base")
 
 
 @register("q7_split_integrity", sql=_sql_a("prepared_a", """SELECT nation, segment, last_train, first_test, n_overlap,
@@ -131,7 +131,8 @@ FEATURES_FOR_GATE = [c for c in FEATS_A]
 
 @register("q8_leakage_report")
 def q8_leakage_report(spark, sf):
-    df = PL.build_dataset(spark, sf)
+    from panelcast.session import materialize
+    df = materialize(PL.build_dataset(spark, sf))   # the gate fans out into several checks
     return quality.leakage_report(df, K, T, FEATURES_FOR_GATE, TARGET_COLS_A, lag_bases=["anom", "orders"])
 
 

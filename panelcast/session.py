@@ -47,3 +47,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage where a plan fans out into several branches: the (small, aggregated) panel is
+    written once to the shared checkpoint folder and every branch reads it, instead of each
+    branch re-reading and re-aggregating the raw facts.  Survives executor loss (files, not
+    executor memory)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
