@@ -58,8 +58,8 @@ def read_fixed(spark: SparkSession, path: str, columns: Sequence[str] = FIXED_CO
     lines = raw.filter(year_line(F.col("value"), year_range)).select("series", _tokens(F.col("value")).alias("t"))
     out = lines.select(
         "series",
-        make_month(F.col("t")[0].try_cast("int"), F.col("t")[1].try_cast("int")).alias("period"),
-        *[_num(F.col("t")[i + 2]).alias(c) for i, c in enumerate(columns)])
+        make_month(F.get(F.col("t"), 0).try_cast("int"), F.get(F.col("t"), 1).try_cast("int")).alias("period"),
+        *[_num(F.get(F.col("t"), i + 2)).alias(c) for i, c in enumerate(columns)])
     out = out.filter(F.col("period").isNotNull())
     return replace_sentinels(out, columns, sentinels) if sentinels else out
 
@@ -108,8 +108,8 @@ def read_wide_months(spark: SparkSession, path: str, value_name: str = "soi",
     lines = first_table(lines, year_range) if first_table_only else lines.filter(year_line(F.col("line"), year_range))
     text = F.col("line") if strict else F.regexp_replace("line", r"(?<=[0-9])-", " -")
     toks = lines.select("series", _tokens(text).alias("t"))
-    wide = toks.select("series", F.col("t")[0].try_cast("int").alias("year"),
-                       *[_num(F.col("t")[i + 1]).alias(m) for i, m in enumerate(MONTH_COLS)])
+    wide = toks.select("series", F.get(F.col("t"), 0).try_cast("int").alias("year"),
+                       *[_num(F.get(F.col("t"), i + 1)).alias(m) for i, m in enumerate(MONTH_COLS)])
     return wide_to_long(wide, ["series"], value_name, sentinels=sentinels)
 
 
@@ -120,9 +120,9 @@ def read_daily(spark: SparkSession, path: str, amplitude_threshold: float = 1.0,
     raw = spark.read.text(path).select(F.col("value"), _series_name(F.col("_metadata.file_path")).alias("series"))
     lines = raw.filter(F.trim("value").rlike(r"^[0-9]")).select("series", _tokens(F.col("value")).alias("t"))
     names = ["rmm1", "rmm2", "phase", "amplitude"]
-    d = lines.select("series", F.col("t")[0].try_cast("int").alias("y"), F.col("t")[1].try_cast("int").alias("m"),
-                     F.col("t")[2].try_cast("int").alias("d"),
-                     *[_num(F.col("t")[i + 3]).alias(n) for i, n in enumerate(names)])
+    d = lines.select("series", F.get(F.col("t"), 0).try_cast("int").alias("y"), F.get(F.col("t"), 1).try_cast("int").alias("m"),
+                     F.get(F.col("t"), 2).try_cast("int").alias("d"),
+                     *[_num(F.get(F.col("t"), i + 3)).alias(n) for i, n in enumerate(names)])
     d = replace_sentinels(d, names, sentinels)
     d = d.select("series", make_month("y", "m").alias("period"), F.col("d").alias("day"), *names,
                  cyclic_sin("phase", "amplitude", amplitude_threshold).alias("mjo_sin"),
