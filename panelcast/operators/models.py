@@ -160,7 +160,7 @@ def train_and_evaluate(df: DataFrame, series: Series, time: str, features: Seque
 
     keys = keys_of(series)
     df = df.select(*[F.col(c).cast("double").alias(c) if c in features else F.col(c) for c in df.columns])
-    test_all = fill_test_features(df.filter(F.col(split) == "test"), features, series, time).cache()
+    test_all = fill_test_features(df.filter(F.col(split) == "test"), features, series, time)
     out = []
     for t in targets:
         train = df.filter((F.col(split) == "train") & F.col(t).isNotNull()).dropna("any", subset=list(features))

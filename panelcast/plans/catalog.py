@@ -53,5 +53,5 @@ def oracle(name: str) -> str | None:
 
 def load_all() -> dict[str, Entry]:
     # importing the modules fills the registry
-    from panelcast.plans import q_analysis, q_eval, q_panel, q_quality  # noqa: F401
+    from panelcast.plans import q_analysis, q_eval, q_panel, q_quality, q_text  # noqa: F401
     return REGISTRY

@@ -216,8 +216,10 @@ FEATS_ML = ["anom", "anom_lag1", "anom_lag3", "anom_lag6", "anom_rm3", "anom_rst
 
 
 def _split_features(spark, sf):
+    from panelcast.session import materialize
     df = splits.time_split(PL.build_dataset(spark, sf), T, **PL.SPLIT_A)
-    return df.withColumn("is_val", F.col("split") == "val")
+    # every fit (and every optimiser pass inside it) reads this table: materialise it once
+    return materialize(df.withColumn("is_val", F.col("split") == "val"))
 
 
 def _fit_predict(spark, sf, kind, target="enso_t3", params=None):
@@ -245,7 +247,7 @@ def m6_boosted_ovr(spark, sf):
     target = "enso_t1"
     fit_rows = df.filter(F.col("split").isin("train", "val") & F.col(target).isNotNull()).dropna(subset=FEATS_ML)
     test = models.fill_test_features(df.filter((F.col("split") == "test") & F.col(target).isNotNull()), FEATS_ML, K, T)
-    m = models.fit_classifier(fit_rows, FEATS_ML, target, "boosted", {"n_estimators": 100}, val_col="is_val")
+    m = models.fit_classifier(fit_rows, FEATS_ML, target, "boosted", None, val_col="is_val")
     p = models.class_probabilities(m, test)
     return p.select(*K, T, F.col(target).alias("y_true"), "y_pred", *[c for c in p.columns if c.startswith("p_")])
 
@@ -257,7 +259,7 @@ def m7_boosted_regressor(spark, sf):
     for t in PL.VALUE_TARGETS:
         fit_rows = df.filter(F.col("split").isin("train", "val") & F.col(t).isNotNull()).dropna(subset=FEATS_ML)
         test = models.fill_test_features(df.filter((F.col("split") == "test") & F.col(t).isNotNull()), FEATS_ML, K, T)
-        m = models.fit_regressor(fit_rows, FEATS_ML, t, {"n_estimators": 100}, val_col="is_val")
+        m = models.fit_regressor(fit_rows, FEATS_ML, t, None, val_col="is_val")
         out.append(m.transform(test).select(*K, T, F.lit(t).alias("target"), F.lit("boosted").alias("model"),
                                             F.col(t).alias("y_true"), "y_pred"))
     res = out[0]
@@ -277,14 +279,13 @@ def m9_class_probabilities(spark, sf):
 @register("m14_train_evaluate")
 def m14_train_evaluate(spark, sf):
     df = _split_features(spark, sf)
-    pr = models.train_and_evaluate(df, K, T, FEATS_ML, PL.TARGETS, kinds=("logistic", "forest"),
-                                   params={"forest": {"n_estimators": 100}})
+    pr = models.train_and_evaluate(df, K, T, FEATS_ML, PL.TARGETS, kinds=("logistic", "forest"))
     return evaluate.order_metrics(evaluate.classification_metrics(pr, BY))
 
 
 @register("m15_tree_importance")
 def m15_tree_importance(spark, sf):
-    m, _, _ = _fit_predict(spark, sf, "forest", "enso_t1", {"n_estimators": 50})
+    m, _, _ = _fit_predict(spark, sf, "forest", "enso_t1")
     return models.tree_importance(m, FEATS_ML)
 
 

@@ -23,8 +23,11 @@ WIDE_SENTINELS = (-999.9,)
 DAILY_SENTINELS = (999.0,)
 
 
-def _series_name(path: Column) -> Column:
-    """Series id from a file path: base name without extension."""
+def _series_name(path: Column, series_from: str = "file") -> Column:
+    """Series id from a file path: base name without extension, or the value of a
+    ``key=value`` folder (``series_from="folder"``, as written by ``partitionBy``)."""
+    if series_from == "folder":
+        return F.regexp_extract(path, r"=([^/=]+)/[^/]*$", 1)
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
 
 
@@ -52,9 +55,10 @@ def replace_sentinels(df: DataFrame, cols: Iterable[str], sentinels: Sequence[fl
 
 
 def read_fixed(spark: SparkSession, path: str, columns: Sequence[str] = FIXED_COLUMNS,
-               sentinels: Sequence[float] = (), year_range=(1900, 2099)) -> DataFrame:
+               sentinels: Sequence[float] = (), year_range=(1900, 2099), series_from: str = "file") -> DataFrame:
     """Lines ``YR MON c1 … ck`` -> ``(series, period, c1…ck)``; other lines dropped."""
-    raw = spark.read.text(path).select(F.col("value"), _series_name(F.col("_metadata.file_path")).alias("series"))
+    raw = spark.read.text(path).select(F.col("value"),
+                                       _series_name(F.col("_metadata.file_path"), series_from).alias("series"))
     lines = raw.filter(year_line(F.col("value"), year_range)).select("series", _tokens(F.col("value")).alias("t"))
     out = lines.select(
         "series",
@@ -64,9 +68,9 @@ def read_fixed(spark: SparkSession, path: str, columns: Sequence[str] = FIXED_CO
     return replace_sentinels(out, columns, sentinels) if sentinels else out
 
 
-def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def _numbered_lines(spark: SparkSession, path: str, series_from: str = "file") -> DataFrame:
     files = spark.read.text(path, wholetext=True).select(
-        _series_name(F.col("_metadata.file_path")).alias("series"), "value")
+        _series_name(F.col("_metadata.file_path"), series_from).alias("series"), "value")
     return files.select("series", F.posexplode(F.split("value", r"\r?\n")).alias("ln", "line"))
 
 
@@ -97,14 +101,14 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], value_name: str, year: str =
 
 def read_wide_months(spark: SparkSession, path: str, value_name: str = "soi",
                      sentinels: Sequence[float] = WIDE_SENTINELS, first_table_only: bool = True,
-                     strict: bool = False, year_range=(1900, 2099)) -> DataFrame:
+                     strict: bool = False, year_range=(1900, 2099), series_from: str = "file") -> DataFrame:
     """S3 + S4 + S5 + S6: wide year x month text -> long monthly rows named ``value_name``.
 
     Run-together tokens such as ``2.0-999.9-999.9`` are split before a minus that follows a
     digit; ``strict=True`` keeps the reference's behaviour instead (the whole token missing,
     later months shifted).
     """
-    lines = _numbered_lines(spark, path)
+    lines = _numbered_lines(spark, path, series_from)
     lines = first_table(lines, year_range) if first_table_only else lines.filter(year_line(F.col("line"), year_range))
     text = F.col("line") if strict else F.regexp_replace("line", r"(?<=[0-9])-", " -")
     toks = lines.select("series", _tokens(text).alias("t"))
@@ -114,10 +118,12 @@ def read_wide_months(spark: SparkSession, path: str, value_name: str = "soi",
 
 
 def read_daily(spark: SparkSession, path: str, amplitude_threshold: float = 1.0,
-               sentinels: Sequence[float] = DAILY_SENTINELS, monthly: bool = True) -> DataFrame:
+               sentinels: Sequence[float] = DAILY_SENTINELS, monthly: bool = True,
+               series_from: str = "file") -> DataFrame:
     """S7 (+ F7, A1): ``year month day rmm1 rmm2 phase amplitude source`` lines starting with a
     digit; 999 sentinels -> NULL; phase as sin/cos gated by amplitude; monthly means."""
-    raw = spark.read.text(path).select(F.col("value"), _series_name(F.col("_metadata.file_path")).alias("series"))
+    raw = spark.read.text(path).select(F.col("value"),
+                                       _series_name(F.col("_metadata.file_path"), series_from).alias("series"))
     lines = raw.filter(F.trim("value").rlike(r"^[0-9]")).select("series", _tokens(F.col("value")).alias("t"))
     names = ["rmm1", "rmm2", "phase", "amplitude"]
     d = lines.select("series", F.get(F.col("t"), 0).try_cast("int").alias("y"), F.get(F.col("t"), 1).try_cast("int").alias("m"),
