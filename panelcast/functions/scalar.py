@@ -45,6 +45,16 @@ def phase_label(x, lo: float = LOW_THRESHOLD, hi: float = HIGH_THRESHOLD,
             .otherwise(F.lit(names[1])))
 
 
+def _lit_sql(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def phase_sql(x: str, lo: float = LOW_THRESHOLD, hi: float = HIGH_THRESHOLD, names: Sequence[str] = LABELS) -> str:
+    """F1 as a SQL expression string over the SQL expression ``x``."""
+    return (f"CASE WHEN ({x}) IS NULL THEN CAST(NULL AS STRING) WHEN ({x}) > {float(hi)} THEN {_lit_sql(names[2])} "
+            f"WHEN ({x}) < {float(lo)} THEN {_lit_sql(names[0])} ELSE {_lit_sql(names[1])} END")
+
+
 def round_half_even(x, decimals: int = 2) -> Column:
     """round on the binary value, ties to even (``rint(x * 10^d) / 10^d``)."""
     scale = float(10 ** decimals)

@@ -13,63 +13,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.functions.scalar import (
-    BARRIER_MONTHS,
-    GROWTH_MONTHS,
-    crosses_barrier,
-    in_months,
-    month_cos,
-    month_sin,
-)
-from panelcast.operators.panel import Series, keys_of, ordered
+from panelcast.functions.scalar import BARRIER_MONTHS, GROWTH_MONTHS, crossing_months
+from panelcast.operators.panel import Series, keys_of, over, q
+
+
+def _e(sql: str, name: str) -> Column:
+    return F.expr(f"{sql} AS {q(name)}")
 
 
 def lag_exprs(col: str, series: Series, time: str, lags: Iterable[int]) -> list[Column]:
     """``{col}_lag{L}`` = value L rows back."""
-    w = ordered(series, time)
-    return [F.lag(col, L).over(w).alias(f"{col}_lag{L}") for L in lags]
+    w = over(series, time)
+    return [_e(f"lag({q(col)}, {L}) {w}", f"{col}_lag{L}") for L in lags]
+
+
+def _rolling(fn: str, col: str, series, time, W: int, min_periods: int) -> str:
+    w = over(series, time, (-(W - 1), 0))
+    return f"CASE WHEN count({q(col)}) {w} >= {min_periods} THEN {fn}({q(col)}) {w} END"
 
 
 def rolling_mean_exprs(col: str, series: Series, time: str, windows: Iterable[int], min_periods: int = 2):
     """Trailing mean over W rows incl. current, NULL unless ``min_periods`` non-missing."""
-    w = ordered(series, time)
-    out = []
-    for W in windows:
-        r = w.rowsBetween(-(W - 1), 0)
-        out.append(F.when(F.count(col).over(r) >= min_periods, F.avg(col).over(r)).alias(f"{col}_rm{W}"))
-    return out
+    return [_e(_rolling("avg", col, series, time, W, min_periods), f"{col}_rm{W}") for W in windows]
 
 
 def rolling_std_exprs(col: str, series: Series, time: str, windows: Iterable[int], min_periods: int = 2):
     """Trailing sample standard deviation (ddof 1)."""
-    w = ordered(series, time)
-    out = []
-    for W in windows:
-        r = w.rowsBetween(-(W - 1), 0)
-        out.append(F.when(F.count(col).over(r) >= min_periods, F.stddev_samp(col).over(r)).alias(f"{col}_rstd{W}"))
-    return out
+    return [_e(_rolling("stddev_samp", col, series, time, W, min_periods), f"{col}_rstd{W}") for W in windows]
 
 
 def diff_exprs(col: str, series: Series, time: str, periods: Iterable[int]) -> list[Column]:
     """``x_t - x_{t-P}``."""
-    w = ordered(series, time)
-    return [(F.col(col) - F.lag(col, P).over(w)).alias(f"{col}_diff{P}") for P in periods]
+    w = over(series, time)
+    return [_e(f"{q(col)} - lag({q(col)}, {P}) {w}", f"{col}_diff{P}") for P in periods]
 
 
 def calendar_exprs(time: str) -> list[Column]:
     """month sin/cos, month and year as INT."""
-    m = F.month(time)
-    return [month_sin(m).alias("month_sin"), month_cos(m).alias("month_cos"),
-            m.cast("int").alias("month"), F.year(time).cast("int").alias("year")]
+    m = f"CAST(month({q(time)}) AS DOUBLE)"
+    return [_e(f"sin(2 * pi() * {m} / 12.0)", "month_sin"), _e(f"cos(2 * pi() * {m} / 12.0)", "month_cos"),
+            _e(f"CAST(month({q(time)}) AS INT)", "month"), _e(f"CAST(year({q(time)}) AS INT)", "year")]
 
 
 def barrier_exprs(time: str, horizons: Iterable[int], barrier_months=BARRIER_MONTHS,
                   growth_months=GROWTH_MONTHS, barrier_name: str = "crosses_spring",
                   growth_name: str = "init_in_growth_phase") -> list[Column]:
     """Window-crosses-barrier flags per horizon and growth-phase flag."""
-    m = F.month(time)
-    out = [crosses_barrier(m, int(h), barrier_months).alias(f"{barrier_name}_t{h}") for h in horizons]
-    out.append(in_months(m, growth_months).alias(growth_name))
+    m = f"month({q(time)})"
+    out = [_e(f"{m} IN ({', '.join(map(str, crossing_months(int(h), barrier_months)))})", f"{barrier_name}_t{h}")
+           for h in horizons]
+    out.append(_e(f"{m} IN ({', '.join(map(str, sorted(set(growth_months))))})", growth_name))
     return out
 
 

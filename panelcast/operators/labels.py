@@ -7,16 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.scalar import HIGH_THRESHOLD, LABELS, LOW_THRESHOLD, phase_label, round_half_even
-from panelcast.operators.panel import Series, ordered
+from panelcast.functions.scalar import HIGH_THRESHOLD, LABELS, LOW_THRESHOLD, phase_sql
+from panelcast.operators.panel import Series, over, q
 
 DEFAULT_HORIZONS = (1, 3, 6)
 
 
 def smooth(value: str, series: Series, time: str, window: int = 3, min_periods: int = 2):
     """Trailing ``window`` rows incl. current; NULL unless ``min_periods`` are non-missing."""
-    r = ordered(series, time).rowsBetween(-(window - 1), 0)
-    return F.when(F.count(value).over(r) >= min_periods, F.avg(value).over(r))
+    w = over(series, time, (-(window - 1), 0))
+    return F.expr(f"CASE WHEN count({q(value)}) {w} >= {min_periods} THEN avg({q(value)}) {w} END")
 
 
 def label(df: DataFrame, value: str, series: Series, time: str,
@@ -31,14 +31,15 @@ def label(df: DataFrame, value: str, series: Series, time: str,
     """
     if value not in df.columns:
         raise ValueError(f"source column {value!r} not found; available: {df.columns}")
-    w = ordered(series, time)
+    w = over(series, time)
     tmp = df.select("*", smooth(value, series, time, window, min_periods).alias("__sm"))
-    exprs = [phase_label("__sm", lo, hi, names).alias(f"{class_prefix}_phase")]
+    scale = float(10 ** decimals)
+    exprs = [f"{phase_sql('__sm', lo, hi, names)} AS {q(class_prefix + '_phase')}"]
     for h in horizons:
-        future = F.lead("__sm", h).over(w)
-        exprs.append(phase_label(future, lo, hi, names).alias(f"{class_prefix}_t{h}"))
-        exprs.append(round_half_even(future, decimals).alias(f"{value_prefix}_t{h}"))
-    return tmp.select(*[F.col(c) for c in df.columns], *exprs)
+        future = f"lead(__sm, {h}) {w}"
+        exprs.append(f"{phase_sql(future, lo, hi, names)} AS {q(f'{class_prefix}_t{h}')}")
+        exprs.append(f"rint({future} * {scale}) / {scale} AS {q(f'{value_prefix}_t{h}')}")
+    return tmp.selectExpr(*[q(c) for c in df.columns], *exprs)
 
 
 def target_columns(horizons: Sequence[int] = DEFAULT_HORIZONS, class_prefix: str = "enso",

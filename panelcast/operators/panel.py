@@ -28,6 +28,29 @@ def ordered(series: Series, time: str) -> Window:
     return Window.partitionBy(*keys_of(series)).orderBy(time)
 
 
+def q(name: str) -> str:
+    """Backquoted identifier for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def over(series: Series, time: str | None = None, frame: tuple | None = None) -> str:
+    """SQL window clause ``OVER (PARTITION BY … ORDER BY … ROWS BETWEEN …)``.
+
+    Expressions are passed to the JVM as one SQL string each (one call instead of one per
+    sub-expression); Catalyst builds the same plan as with the Column API."""
+    parts = ["PARTITION BY " + ", ".join(q(k) for k in keys_of(series))]
+    if time is not None:
+        parts.append(f"ORDER BY {q(time)}")
+    if frame is not None:
+        lo, hi = frame
+        lo_s = "UNBOUNDED PRECEDING" if lo is None else (f"{-lo} PRECEDING" if lo < 0 else
+                                                          ("CURRENT ROW" if lo == 0 else f"{lo} FOLLOWING"))
+        hi_s = "UNBOUNDED FOLLOWING" if hi is None else (f"{hi} FOLLOWING" if hi > 0 else
+                                                          ("CURRENT ROW" if hi == 0 else f"{-hi} PRECEDING"))
+        parts.append(f"ROWS BETWEEN {lo_s} AND {hi_s}")
+    return "OVER (" + " ".join(parts) + ")"
+
+
 def whole(series: Series) -> Window:
     return Window.partitionBy(*keys_of(series))
 
@@ -83,15 +106,18 @@ def regular_grid(df: DataFrame, series: Series, time: str, unit: str = "month",
     """
     keys = keys_of(series)
     vals = value_columns(df, series, time)
-    w = ordered(series, time)
-    gap = periods_between(F.col(time), F.lead(time).over(w), unit) - 1
-    step = df.select(*keys, time, *vals, F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)).alias("__gap"))
-    step = step.select(*keys, time, *vals, F.explode(F.sequence(F.lit(0), F.col("__gap"))).alias("__k"))
-    out = [*keys, add_periods(time, F.col("__k"), unit).alias(time)]
-    out += [F.when(F.col("__k") == 0, F.col(c)).alias(c) for c in vals]
+    t = q(time)
+    nxt = f"lead({t}) {over(series, time)}"
+    gap = {"month": f"CAST(months_between({nxt}, {t}) AS INT)", "day": f"datediff({nxt}, {t})",
+           "hour": f"CAST(timestampdiff(HOUR, {t}, {nxt}) AS INT)"}[unit]
+    cols = [q(c) for c in keys + [time] + vals]
+    step = df.selectExpr(*cols, f"greatest(coalesce({gap} - 1, 0), 0) AS __gap")
+    step = step.selectExpr(*cols, "explode(sequence(0, __gap)) AS __k")
+    shift = {"month": f"add_months({t}, __k)", "day": f"date_add({t}, __k)", "hour": f"timestampadd(HOUR, __k, {t})"}[unit]
+    out = [q(k) for k in keys] + [f"{shift} AS {t}"] + [f"CASE WHEN __k = 0 THEN {q(c)} END AS {q(c)}" for c in vals]
     if flag:
-        out.append((F.col("__k") > 0).alias(flag))
-    return step.select(*out)
+        out.append(f"__k > 0 AS {q(flag)}")
+    return step.selectExpr(*out)
 
 
 def calendar_spine(df: DataFrame, series: Series, time: str, unit: str = "month") -> DataFrame:
@@ -120,20 +146,19 @@ def ffill(df: DataFrame, cols: Iterable[str] | None, series: Series, time: str,
     ``<prefix><col>`` telling which values were filled.
     """
     cols = list(cols) if cols is not None else value_columns(df, series, time)
-    w = ordered(series, time)
-    frame = w.rowsBetween(-limit, 0) if limit is not None else w.rowsBetween(Window.unboundedPreceding, 0)
     if whole_gap_only and limit is not None:
         return _ffill_whole_gaps(df, cols, series, time, limit, flag_prefix)
+    w = over(series, time, (-limit if limit is not None else None, 0))
     out = []
     for c in df.columns:
         if c in cols:
-            filled = F.last(c, ignorenulls=True).over(frame)
-            out.append(filled.alias(c))
+            filled = f"last({q(c)}, true) {w}"
+            out.append(f"{filled} AS {q(c)}")
             if flag_prefix:
-                out.append((F.col(c).isNull() & filled.isNotNull()).alias(flag_prefix + c))
+                out.append(f"({q(c)} IS NULL AND {filled} IS NOT NULL) AS {q(flag_prefix + c)}")
         else:
-            out.append(F.col(c))
-    return df.select(*out)
+            out.append(q(c))
+    return df.selectExpr(*out)
 
 
 def _ffill_whole_gaps(df, cols, series, time, limit, flag_prefix):
@@ -201,9 +226,14 @@ def standardize(df: DataFrame, cols: Iterable[str], series: Series, suffix: str
                 mask: Column | None = None) -> DataFrame:
     """(v - mean) / stddev_samp per series; ``mask`` restricts the rows the moments come from."""
     w = whole(series)
+    ws = over(series)
     exprs = {}
     for c in cols:
-        src = F.col(c) if mask is None else F.when(mask, F.col(c))
+        if mask is None:
+            mu, sd = f"avg({q(c)}) {ws}", f"stddev_samp({q(c)}) {ws}"
+            exprs[c] = F.expr(f"CASE WHEN {sd} > 0 THEN ({q(c)} - {mu}) / {sd} END").alias(c + suffix)
+            continue
+        src = F.when(mask, F.col(c))
         mu, sd = F.avg(src).over(w), F.stddev_samp(src).over(w)
         exprs[c] = F.when(sd > 0, (F.col(c) - mu) / sd).alias(c + suffix)
     if suffix:

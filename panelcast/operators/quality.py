@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.scalar import periods_between
-from panelcast.operators.panel import Series, add_periods, keys_of, ordered
+from panelcast.operators.panel import Series, add_periods, keys_of, ordered, over, q
 
 
 def _unpivot_one_row(row: DataFrame, name_col: str, value_col: str) -> DataFrame:
@@ -25,8 +25,8 @@ def _unpivot_one_row(row: DataFrame, name_col: str, value_col: str) -> DataFrame
 def missing_counts(df: DataFrame, cols: Iterable[str] | None = None, keep_zero: bool = False) -> DataFrame:
     """A2 / T4: missing count per column in one pass -> (column, n_missing), most missing first."""
     cols = list(cols) if cols is not None else df.columns
-    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    long = _unpivot_one_row(one, "column", "n_missing")
+    one = df.agg(*[F.expr(f"count_if({q(c)} IS NULL) AS m{i}") for i, c in enumerate(cols)])
+    long = one.selectExpr(_stack([[_sql_str(c), f"m{i}"] for i, c in enumerate(cols)], ["column", "n_missing"]))
     if not keep_zero:
         long = long.filter(F.col("n_missing") > 0)
     return long
@@ -63,6 +63,16 @@ def future_lag_names(columns: Iterable[str]) -> list[str]:
     return out
 
 
+def _stack(rows: list[list[str]], names: list[str]) -> str:
+    """SQL ``stack`` turning one aggregate row into ``len(rows)`` rows."""
+    flat = ", ".join(v for r in rows for v in r)
+    return f"stack({len(rows)}, {flat}) AS ({', '.join(names)})"
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def value_leak_scan(df: DataFrame, features_by_base: dict[str, Sequence[str]], series: Series, time: str,
                     max_k: int = 6) -> DataFrame:
     """Q3 by value: for each feature and k = 0..max_k, rows where it equals ``lead(base, k)``.
@@ -70,32 +80,24 @@ def value_leak_scan(df: DataFrame, features_by_base: dict[str, Sequence[str]], s
     A feature equal to the current or a future base value on every comparable row is a leak
     whatever its name.  One window pass and one aggregate for all pairs.
     """
-    w = ordered(series, time)
-    leads = {(b, k): (F.col(b) if k == 0 else F.lead(b, k).over(w)) for b in features_by_base for k in range(max_k + 1)}
-    names = {}
-    cols = []
-    for (b, k), e in leads.items():
-        n = f"__lead_{len(names)}"
-        names[(b, k)] = n
-        cols.append(e.alias(n))
+    w = over(series, time)
+    lead_cols = []
+    for i, b in enumerate(features_by_base):
+        for k in range(max_k + 1):
+            e = q(b) if k == 0 else f"lead({q(b)}, {k}) {w}"
+            lead_cols.append(f"{e} AS __l{i}_{k}")
     feats = sorted({f for fs in features_by_base.values() for f in fs})
-    tmp = df.select(*feats, *[b for b in features_by_base if b not in feats], *cols)
-    aggs, meta = [], []
-    for b, fs in features_by_base.items():
+    tmp = df.selectExpr(*[q(f) for f in feats], *lead_cols)
+    aggs, rows = [], []
+    for i, (b, fs) in enumerate(features_by_base.items()):
         for f in fs:
             for k in range(max_k + 1):
-                ln = F.col(names[(b, k)])
-                both = F.col(f).isNotNull() & ln.isNotNull()
-                i = len(meta)
-                aggs += [F.count_if(both).alias(f"c{i}"), F.count_if(both & (F.abs(F.col(f) - ln) < 1e-9)).alias(f"e{i}")]
-                meta.append((f, b, k))
-    row = tmp.agg(*aggs)
-    spark = df.sparkSession
-    m = spark.createDataFrame([(i, f, b, k) for i, (f, b, k) in enumerate(meta)], "i int, feature string, base string, k int")
-    long = row.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("n_compared"),
-                                                   F.col(f"e{i}").alias("n_equal")) for i in range(len(meta))])).alias("s"))
-    long = long.select("s.*")
-    return m.join(long, "i").drop("i")
+                n = len(rows)
+                both = f"{q(f)} IS NOT NULL AND __l{i}_{k} IS NOT NULL"
+                aggs += [f"count_if({both}) AS c{n}", f"count_if({both} AND abs({q(f)} - __l{i}_{k}) < 1e-9) AS e{n}"]
+                rows.append([_sql_str(f), _sql_str(b), f"{k}", f"c{n}", f"e{n}"])
+    row = tmp.agg(*[F.expr(a) for a in aggs])
+    return row.selectExpr(_stack(rows, ["feature", "base", "k", "n_compared", "n_equal"]))
 
 
 def target_copy_scan(df: DataFrame, features: Sequence[str], targets: Sequence[str]) -> DataFrame:
@@ -105,17 +107,16 @@ def target_copy_scan(df: DataFrame, features: Sequence[str], targets: Sequence[s
     pairs = [(f, t) for f in features for t in targets
              if isinstance(types[f], T.NumericType) == isinstance(types[t], T.NumericType)
              and not isinstance(types[f], T.BooleanType)]
-    aggs = []
-    for i, (f, t) in enumerate(pairs):
-        both = F.col(f).isNotNull() & F.col(t).isNotNull()
-        differ = (F.abs(F.col(f) - F.col(t)) > 1e-9) if isinstance(types[f], T.NumericType) else (F.col(f) != F.col(t))
-        aggs += [F.count_if(both).alias(f"c{i}"), F.count_if(both & differ).alias(f"m{i}")]
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature string, target string, n_compared bigint, n_mismatch bigint")
-    row = df.agg(*aggs)
-    return row.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(t).alias("target"),
-                                                   F.col(f"c{i}").alias("n_compared"), F.col(f"m{i}").alias("n_mismatch"))
-                                          for i, (f, t) in enumerate(pairs)])).alias("s")).select("s.*")
+    aggs, rows = [], []
+    for i, (f, t) in enumerate(pairs):
+        both = f"{q(f)} IS NOT NULL AND {q(t)} IS NOT NULL"
+        differ = f"abs({q(f)} - {q(t)}) > 1e-9" if isinstance(types[f], T.NumericType) else f"{q(f)} <> {q(t)}"
+        aggs += [f"count_if({both}) AS c{i}", f"count_if({both} AND {differ}) AS m{i}"]
+        rows.append([_sql_str(f), _sql_str(t), f"c{i}", f"m{i}"])
+    row = df.agg(*[F.expr(a) for a in aggs])
+    return row.selectExpr(_stack(rows, ["feature", "target", "n_compared", "n_mismatch"]))
 
 
 def target_shift_check(df: DataFrame, series: Series, time: str, phase: str = "enso_phase",

@@ -43,7 +43,7 @@ SCHEMAS = {
 }
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, explicit_schema: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, explicit_schema: bool = True) -> DataFrame:
     """Parquet scan; errors if absent.  ``explicit_schema`` skips footer inference."""
     path = os.path.join(sf_dir, f"{name}.parquet")
     if not os.path.exists(path) and "://" not in path:
