@@ -307,3 +307,55 @@ def rollup_mean(df: DataFrame, series: Series, time: str, cols: Iterable[str], u
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     return df.groupBy(*keys, period_of(time, unit).alias(out or time)).agg(*aggs)
+
+
+# --------------------------------------------------------------------------- skew-safe variants
+_ORIGIN = {"month": "DATE'1970-01-01'", "day": "DATE'1970-01-01'", "hour": "TIMESTAMP_NTZ'1970-01-01 00:00:00'"}
+
+
+def _ordinal_sql(time: str, unit: str) -> str:
+    t = q(time)
+    return {"month": f"CAST(months_between({t}, {_ORIGIN[unit]}) AS BIGINT)",
+            "day": f"CAST(datediff({t}, {_ORIGIN[unit]}) AS BIGINT)",
+            "hour": f"CAST(timestampdiff(HOUR, {_ORIGIN[unit]}, {t}) AS BIGINT)"}[unit]
+
+
+def regular_grid_bucketed(df: DataFrame, series: Series, time: str, bucket: int, unit: str = "month",
+                          flag: str | None = "is_inserted") -> DataFrame:
+    """C1 for hot / very long series: the time axis is cut into buckets of ``bucket`` periods and
+    the next observed period is found inside (series, bucket) partitions; the last row of a
+    bucket takes the first period of the next non-empty bucket from a per-bucket summary
+    (``span / bucket`` rows per series).  Same output as :func:`regular_grid`."""
+    keys = keys_of(series)
+    vals = value_columns(df, series, time)
+    b = df.selectExpr("*", f"floor({_ordinal_sql(time, unit)} / {int(bucket)}) AS __b")
+    summary = b.groupBy(*keys, "__b").agg(F.min(time).alias("__first"))
+    summary = summary.selectExpr(*[q(k) for k in keys], "__b", f"lead(__first) {over(keys, '__b')} AS __next_first")
+    nxt = f"coalesce(lead({q(time)}) {over([*keys, '__b'], time)}, __next_first)"
+    t = q(time)
+    gap = {"month": f"CAST(months_between({nxt}, {t}) AS INT)", "day": f"datediff({nxt}, {t})",
+           "hour": f"CAST(timestampdiff(HOUR, {t}, {nxt}) AS INT)"}[unit]
+    j = b.join(summary, [*keys, "__b"], "left")
+    cols = [q(c) for c in keys + [time] + vals]
+    step = j.selectExpr(*cols, f"greatest(coalesce({gap} - 1, 0), 0) AS __gap")
+    step = step.selectExpr(*cols, "explode(sequence(0, __gap)) AS __k")
+    shift = {"month": f"add_months({t}, __k)", "day": f"date_add({t}, __k)", "hour": f"timestampadd(HOUR, __k, {t})"}[unit]
+    out = [q(k) for k in keys] + [f"{shift} AS {t}"] + [f"CASE WHEN __k = 0 THEN {q(c)} END AS {q(c)}" for c in vals]
+    if flag:
+        out.append(f"__k > 0 AS {q(flag)}")
+    return step.selectExpr(*out)
+
+
+def standardize_by_join(df: DataFrame, cols: Iterable[str], series: Series) -> DataFrame:
+    """Standardisation for hot series: moments by a partially aggregated ``groupBy`` (one
+    combiner per task, however big a series is) joined back on the key, instead of a window
+    that holds a whole series in one task."""
+    keys = keys_of(series)
+    cols = list(cols)
+    stats = df.groupBy(*keys).agg(*[F.avg(c).alias(f"__mu{i}") for i, c in enumerate(cols)],
+                                  *[F.stddev_samp(c).alias(f"__sd{i}") for i, c in enumerate(cols)])
+    j = df.join(stats, keys, "left")
+    idx = {c: i for i, c in enumerate(cols)}
+    return j.selectExpr(*[
+        f"CASE WHEN __sd{idx[c]} > 0 THEN ({q(c)} - __mu{idx[c]}) / __sd{idx[c]} END AS {q(c)}" if c in idx else q(c)
+        for c in df.columns])

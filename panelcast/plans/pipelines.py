@@ -99,3 +99,32 @@ def labelled_panel(df: DataFrame, series, value: str, count: str, unit: str = "m
     f = panel.ffill(g, [value, count], series, TIME, limit=max_gap)
     f = panel.standardize(f.withColumn("anom", F.col(value)), ["anom"], series)
     return labels.label(f, "anom", series, TIME, horizons)
+
+
+def build_dataset_bucketed(spark: SparkSession, sf_dir: str, bucket: int = 24, max_gap: int = 3) -> DataFrame:
+    """Entry 1 for skewed panels: no step holds a whole series in one task.
+
+    grid by time buckets -> limited fill in halo buckets (reach back ``max_gap``) -> moments by
+    group + join -> targets and features in halo buckets (back: lag 6; ahead: lead 6 of a
+    3-row mean).  Same rows and values as :func:`build_dataset`.
+    """
+    from panelcast.operators.halo import with_halo
+
+    p = tables.panel_a(spark, sf_dir)
+    g = panel.regular_grid_bucketed(p, SERIES_A, TIME, bucket, "month")
+    f = with_halo(g, SERIES_A, TIME, lambda d, k: panel.ffill(d, ["revenue", "n_orders"], k, TIME, limit=max_gap),
+                  reach_back=max_gap, reach_ahead=0, bucket=bucket)
+    f = f.selectExpr("*", "CAST(n_orders AS DOUBLE) AS orders", "revenue AS anom")
+    f = panel.standardize_by_join(f, ["anom"], SERIES_A)
+
+    def targets_and_features(d, k):
+        lab = labels.label(d, "anom", k, TIME, HORIZONS)
+        return features.build_features(lab, list(BASE_A), k, TIME, horizons=HORIZONS)
+
+    out = with_halo(f, SERIES_A, TIME, targets_and_features, reach_back=6, reach_ahead=6, bucket=bucket)
+    return out.select(*build_dataset_columns())
+
+
+def build_dataset_columns() -> list[str]:
+    from panelcast.plans.oracle import FEATURES_A_COLS
+    return list(FEATURES_A_COLS)

@@ -476,3 +476,9 @@ def w7_ffill_hourly(spark, sf):
           + "SELECT * FROM g_grid", r6=["avg_value"])
 def c1_grid_daily(spark, sf):
     return panel.regular_grid(tables.panel_d(spark, sf), "event_type", T, "day")
+
+
+@register("c4_features_bucketed", sql=_sql_a("features_a", "SELECT * FROM features_a"), r6=O.DOUBLES_A)
+def c4_features_bucketed(spark, sf):
+    """Same result as c4_features through the skew-safe path (time buckets + halo rows)."""
+    return PL.build_dataset_bucketed(spark, sf, bucket=12)

@@ -92,3 +92,25 @@ def test_padded_range(spark):
                                  lambda d: features.build_features(d, ["x"], "series", "period", calendar=False))
     want = panel.filter_time_range(full, "period", "1905-01", "1906-12")
     assert sorted(map(tuple, trimmed.collect())) == sorted(map(tuple, want.select(trimmed.columns).collect()))
+
+
+def test_bucketed_grid_equals_grid(spark):
+    rows = [("s", dt.date(2000, 1, 1), 1.0), ("s", dt.date(2000, 2, 1), 2.0), ("s", dt.date(2003, 7, 1), 3.0),
+            ("s", dt.date(2003, 8, 1), 4.0), ("t", dt.date(1999, 11, 1), 5.0), ("t", dt.date(2001, 1, 1), 6.0),
+            ("u", dt.date(2002, 2, 1), 7.0)]
+    df = spark.createDataFrame(rows, "series string, period date, x double")
+    a = panel.regular_grid(df, "series", "period")
+    for b in (1, 5, 12):
+        g = panel.regular_grid_bucketed(df, "series", "period", b)
+        assert sorted(map(tuple, g.collect())) == sorted(map(tuple, a.select(g.columns).collect()))
+    ts = [dt.datetime(2024, 1, 1, 0), dt.datetime(2024, 1, 2, 5)]
+    h = spark.createDataFrame([("u", t, 1.0) for t in ts], "series string, period timestamp_ntz, x double")
+    assert panel.regular_grid_bucketed(h, "series", "period", 6, "hour").count() == 30
+
+
+def test_standardize_by_join(spark):
+    df = long_series(spark, 60)
+    a = panel.standardize(df, ["x"], "series").orderBy("series", "period").collect()
+    b = panel.standardize_by_join(df, ["x"], "series").orderBy("series", "period").collect()
+    for r, s in zip(a, b):
+        assert (r.x is None and s.x is None) or abs(r.x - s.x) < 1e-12
