@@ -204,7 +204,7 @@ def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[
     numeric_feats = [f for f in features if isinstance(df.schema[f].dataType, T.NumericType)]
     copies = target_copy_scan(df, numeric_feats, targets).filter((F.col("n_compared") > 0) & (F.col("n_mismatch") == 0))
     parts.append(copies.agg(F.lit("no_target_copies").alias("check"), F.count(F.lit(1)).alias("n_bad"),
-                            F.coalesce(F.concat_ws(", ", F.collect_list("feature")), F.lit("")).alias("detail")))
+                            F.coalesce(F.array_join(F.array_sort(F.collect_list("feature")), ", "), F.lit("")).alias("detail")))
     lags = sorted({int(m.group(1)) for b in lag_bases for f in features
                    if (m := re.fullmatch(re.escape(b) + r"_lag(\d+)", f))})
     if lags:

