@@ -40,6 +40,8 @@ def climatology(train_long: DataFrame, test_long: DataFrame, by: Sequence[str] =
     group key, it is a broadcast when small and a co-partitioned join otherwise.
     """
     m = modal_class(train_long, by, labels)
+    if tuple(by) == ("target",):
+        m = F.broadcast(m)   # one row per target: bounded by the configured horizons
     return (test_long.join(m, on=list(by), how="left")
             .select(*test_long.columns, F.lit("climatology").alias("model"), F.col("modal_class").alias("y_pred")))
 

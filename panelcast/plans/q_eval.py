@@ -296,7 +296,7 @@ def m16_forecast(spark, sf):
     m, _, _ = _fit_predict(spark, sf, "logistic", "enso_t3")
     df = _split_features(spark, sf)
     latest = df.groupBy(*K).agg(F.max(T).alias(T)).join(df, [*K, T])
-    cur = models.fill_test_features(latest, FEATS_ML, K, T)
+    cur = models.fill_test_features(models.align_features(latest, FEATS_ML), FEATS_ML, K, T)
     p = models.class_probabilities(m, cur, LABELS)
     return p.select(*K, T, F.col("y_pred").alias("forecast"), label_to_int("y_pred").alias("forecast_int"),
                     *[c for c in p.columns if c.startswith("p_")])

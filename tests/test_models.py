@@ -76,3 +76,9 @@ def test_class_weights_and_encoding(planted):
         assert abs(per[c] - 600 / (3 * n)) < 1e-12
     idx = models.label_index(planted, "y").fit(planted)
     assert idx.labels == sorted(LABELS)
+
+
+def test_align_features(planted):
+    m = models.fit_classifier(planted.filter("split = 'train'"), ["x1", "x2"], "y", "logistic")
+    scored = m.transform(models.align_features(planted.select("id", "x1", "y"), ["x1", "x2"]))
+    assert scored.count() == 600 and "y_pred" in scored.columns
