@@ -95,8 +95,18 @@ def coerce_numeric(df: DataFrame, cols: Iterable[str] | None = None) -> DataFram
 
 
 # --------------------------------------------------------------------------- C1 / J2
+def _gap_guard(gap_sql: str, max_gap_periods: int | None) -> str:
+    """Outlier-date guard: a gap above the bound stops the job with an error (rows are never
+    dropped or capped); the bound is the caller's statement of the largest plausible hole."""
+    if max_gap_periods is None:
+        return gap_sql
+    return (f"CASE WHEN ({gap_sql}) > {int(max_gap_periods)} THEN "
+            f"raise_error('grid gap above max_gap_periods={int(max_gap_periods)}: check for outlier dates') "
+            f"ELSE ({gap_sql}) END")
+
+
 def regular_grid(df: DataFrame, series: Series, time: str, unit: str = "month",
-                 flag: str | None = "is_inserted") -> DataFrame:
+                 flag: str | None = "is_inserted", max_gap_periods: int | None = None) -> DataFrame:
     """Put every series on a gapless grid from its own first to its last period.
 
     One window pass: each observed row looks at the next observed period and emits
@@ -111,7 +121,7 @@ def regular_grid(df: DataFrame, series: Series, time: str, unit: str = "month",
     gap = {"month": f"CAST(months_between({nxt}, {t}) AS INT)", "day": f"datediff({nxt}, {t})",
            "hour": f"CAST(timestampdiff(HOUR, {t}, {nxt}) AS INT)"}[unit]
     cols = [q(c) for c in keys + [time] + vals]
-    step = df.selectExpr(*cols, f"greatest(coalesce({gap} - 1, 0), 0) AS __gap")
+    step = df.selectExpr(*cols, f"greatest(coalesce({_gap_guard(gap, max_gap_periods)} - 1, 0), 0) AS __gap")
     step = step.selectExpr(*cols, "explode(sequence(0, __gap)) AS __k")
     shift = {"month": f"add_months({t}, __k)", "day": f"date_add({t}, __k)", "hour": f"timestampadd(HOUR, __k, {t})"}[unit]
     out = [q(k) for k in keys] + [f"{shift} AS {t}"] + [f"CASE WHEN __k = 0 THEN {q(c)} END AS {q(c)}" for c in vals]

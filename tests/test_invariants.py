@@ -114,3 +114,12 @@ def test_standardize_by_join(spark):
     b = panel.standardize_by_join(df, ["x"], "series").orderBy("series", "period").collect()
     for r, s in zip(a, b):
         assert (r.x is None and s.x is None) or abs(r.x - s.x) < 1e-12
+
+
+def test_outlier_date_guard(spark):
+    import pytest
+    rows = [("s", dt.date(2000, 1, 1), 1.0), ("s", dt.date(2000, 3, 1), 2.0), ("s", dt.date(2999, 1, 1), 3.0)]
+    df = spark.createDataFrame(rows, "series string, period date, x double")
+    assert panel.regular_grid(df.limit(2), "series", "period", max_gap_periods=24).count() == 3
+    with pytest.raises(Exception, match="outlier"):
+        panel.regular_grid(df, "series", "period", max_gap_periods=24).count()
