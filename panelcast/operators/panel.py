@@ -369,3 +369,25 @@ def standardize_by_join(df: DataFrame, cols: Iterable[str], series: Series) -> D
     return j.selectExpr(*[
         f"CASE WHEN __sd{idx[c]} > 0 THEN ({q(c)} - __mu{idx[c]}) / __sd{idx[c]} END AS {q(c)}" if c in idx else q(c)
         for c in df.columns])
+
+
+def ffill_bucketed(df: DataFrame, cols: Iterable[str], series: Series, time: str, bucket: int,
+                   unit: str = "month") -> DataFrame:
+    """W8 without a limit for hot / very long series: fill inside (series, time bucket)
+    partitions, and carry the last non-missing value of earlier buckets in from a per-bucket
+    summary (``span / bucket`` rows per series, windowed and joined back).  Same result as
+    ``ffill(limit=None)``."""
+    keys = keys_of(series)
+    cols = list(cols)
+    b = df.selectExpr("*", f"floor({_ordinal_sql(time, unit)} / {int(bucket)}) AS __b")
+    inner = over([*keys, "__b"], time, (None, 0))
+    within = b.selectExpr(*[q(c) for c in df.columns], "__b",
+                          *[f"last({q(c)}, true) {inner} AS __in{i}" for i, c in enumerate(cols)])
+    summ = b.groupBy(*keys, "__b").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(time))).alias(f"__last{i}")
+                                         for i, c in enumerate(cols)])
+    carry = over(keys, "__b", (None, -1))
+    summ = summ.selectExpr(*[q(k) for k in keys], "__b",
+                           *[f"last(__last{i}, true) {carry} AS __carry{i}" for i in range(len(cols))])
+    j = within.join(summ, [*keys, "__b"], "left")
+    idx = {c: i for i, c in enumerate(cols)}
+    return j.selectExpr(*[f"coalesce(__in{idx[c]}, __carry{idx[c]}) AS {q(c)}" if c in idx else q(c) for c in df.columns])

@@ -482,3 +482,12 @@ def c1_grid_daily(spark, sf):
 def c4_features_bucketed(spark, sf):
     """Same result as c4_features through the skew-safe path (time buckets + halo rows)."""
     return PL.build_dataset_bucketed(spark, sf, bucket=12)
+
+
+@register("w8_ffill_unbounded_bucketed", sql=_sql_a("grid_a", """SELECT nation, segment, period,
+  last_value(revenue IGNORE NULLS) OVER (PARTITION BY nation, segment ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS revenue
+FROM grid_a WHERE period >= DATE '2000-01-01'"""))
+def w8_ffill_unbounded_bucketed(spark, sf):
+    """Same result as w8_ffill_unbounded through the skew-safe carry (buckets of 6 months)."""
+    g = panel.regular_grid(tables.panel_a(spark, sf), K, T, "month").filter(F.col(T) >= F.lit("2000-01-01").cast("date"))
+    return panel.ffill_bucketed(g.select(*K, T, "revenue"), ["revenue"], K, T, bucket=6)

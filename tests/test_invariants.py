@@ -123,3 +123,11 @@ def test_outlier_date_guard(spark):
     assert panel.regular_grid(df.limit(2), "series", "period", max_gap_periods=24).count() == 3
     with pytest.raises(Exception, match="outlier"):
         panel.regular_grid(df, "series", "period", max_gap_periods=24).count()
+
+
+def test_ffill_bucketed_equals_unbounded(spark):
+    df = long_series(spark, 300)
+    a = panel.ffill(df, ["x"], "series", "period").orderBy("series", "period").collect()
+    for b in (1, 7, 40):
+        got = panel.ffill_bucketed(df, ["x"], "series", "period", b).orderBy("series", "period").collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in a]
