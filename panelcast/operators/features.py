@@ -14,38 +14,53 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.scalar import BARRIER_MONTHS, GROWTH_MONTHS, crossing_months
-from panelcast.operators.panel import Series, keys_of, over, q
+from panelcast.operators.panel import Series, _ordinal_sql, keys_of, over, q
 
 
 def _e(sql: str, name: str) -> Column:
     return F.expr(f"{sql} AS {q(name)}")
 
 
-def lag_exprs(col: str, series: Series, time: str, lags: Iterable[int]) -> list[Column]:
-    """``{col}_lag{L}`` = value L rows back."""
-    w = over(series, time)
-    return [_e(f"lag({q(col)}, {L}) {w}", f"{col}_lag{L}") for L in lags]
+def _range_over(series: Series, time: str, unit: str, lo: int, hi: int) -> str:
+    """RANGE frame over the integer period ordinal: exact on panels with absent periods."""
+    keys = ", ".join(q(k) for k in keys_of(series))
+    return (f"OVER (PARTITION BY {keys} ORDER BY {_ordinal_sql(time, unit)} "
+            f"RANGE BETWEEN {-lo} PRECEDING AND {('CURRENT ROW' if hi == 0 else f'{-hi} PRECEDING')})")
 
 
-def _rolling(fn: str, col: str, series, time, W: int, min_periods: int) -> str:
-    w = over(series, time, (-(W - 1), 0))
+def _past(col: str, series, time, L: int, gapped: str | None) -> str:
+    """Value L periods back: ``lag`` on a dense grid, an exact-offset RANGE frame otherwise."""
+    if gapped is None:
+        return f"lag({q(col)}, {L}) {over(series, time)}"
+    return f"first({q(col)}) {_range_over(series, time, gapped, -L, -L)}"
+
+
+def lag_exprs(col: str, series: Series, time: str, lags: Iterable[int], gapped: str | None = None) -> list[Column]:
+    """``{col}_lag{L}`` = value L periods back (rows on a dense grid; ``gapped=unit`` uses
+    RANGE frames on the period ordinal so absent periods count as missing, no grid needed)."""
+    return [_e(_past(col, series, time, L, gapped), f"{col}_lag{L}") for L in lags]
+
+
+def _rolling(fn: str, col: str, series, time, W: int, min_periods: int, gapped: str | None = None) -> str:
+    w = over(series, time, (-(W - 1), 0)) if gapped is None else _range_over(series, time, gapped, -(W - 1), 0)
     return f"CASE WHEN count({q(col)}) {w} >= {min_periods} THEN {fn}({q(col)}) {w} END"
 
 
-def rolling_mean_exprs(col: str, series: Series, time: str, windows: Iterable[int], min_periods: int = 2):
-    """Trailing mean over W rows incl. current, NULL unless ``min_periods`` non-missing."""
-    return [_e(_rolling("avg", col, series, time, W, min_periods), f"{col}_rm{W}") for W in windows]
+def rolling_mean_exprs(col: str, series: Series, time: str, windows: Iterable[int], min_periods: int = 2,
+                       gapped: str | None = None):
+    """Trailing mean over W periods incl. current, NULL unless ``min_periods`` non-missing."""
+    return [_e(_rolling("avg", col, series, time, W, min_periods, gapped), f"{col}_rm{W}") for W in windows]
 
 
-def rolling_std_exprs(col: str, series: Series, time: str, windows: Iterable[int], min_periods: int = 2):
+def rolling_std_exprs(col: str, series: Series, time: str, windows: Iterable[int], min_periods: int = 2,
+                      gapped: str | None = None):
     """Trailing sample standard deviation (ddof 1)."""
-    return [_e(_rolling("stddev_samp", col, series, time, W, min_periods), f"{col}_rstd{W}") for W in windows]
+    return [_e(_rolling("stddev_samp", col, series, time, W, min_periods, gapped), f"{col}_rstd{W}") for W in windows]
 
 
-def diff_exprs(col: str, series: Series, time: str, periods: Iterable[int]) -> list[Column]:
+def diff_exprs(col: str, series: Series, time: str, periods: Iterable[int], gapped: str | None = None) -> list[Column]:
     """``x_t - x_{t-P}``."""
-    w = over(series, time)
-    return [_e(f"{q(col)} - lag({q(col)}, {P}) {w}", f"{col}_diff{P}") for P in periods]
+    return [_e(f"{q(col)} - {_past(col, series, time, P, gapped)}", f"{col}_diff{P}") for P in periods]
 
 
 def calendar_exprs(time: str) -> list[Column]:
@@ -71,11 +86,13 @@ def build_features(df: DataFrame, base: Sequence[str], series: Series, time: str
                    std: Iterable[int] | None = (3,), diff: Iterable[int] | None = (1,),
                    min_periods: int = 2, horizons: Iterable[int] = (1, 3, 6),
                    barrier_months=BARRIER_MONTHS, growth_months=GROWTH_MONTHS,
-                   calendar: bool = True) -> DataFrame:
+                   calendar: bool = True, gapped: str | None = None) -> DataFrame:
     """C4: per base variable lags, rolling mean/std, differences; then calendar and barrier flags.
 
     A base variable absent from ``df`` is skipped with a warning; ``None`` disables a transform.
-    Requires a dense grid (rows frames count rows).
+    By default it needs a dense grid (ROWS frames count rows).  ``gapped="month"`` (or "day",
+    "hour") computes the same values on a panel with absent periods through RANGE frames on
+    the period ordinal, without materialising the grid.
     """
     exprs: list[Column] = []
     for col in base:
@@ -83,13 +100,13 @@ def build_features(df: DataFrame, base: Sequence[str], series: Series, time: str
             warnings.warn(f"base variable {col!r} not in DataFrame - skipped", stacklevel=2)
             continue
         if lags:
-            exprs += lag_exprs(col, series, time, lags)
+            exprs += lag_exprs(col, series, time, lags, gapped)
         if mean:
-            exprs += rolling_mean_exprs(col, series, time, mean, min_periods)
+            exprs += rolling_mean_exprs(col, series, time, mean, min_periods, gapped)
         if std:
-            exprs += rolling_std_exprs(col, series, time, std, min_periods)
+            exprs += rolling_std_exprs(col, series, time, std, min_periods, gapped)
         if diff:
-            exprs += diff_exprs(col, series, time, diff)
+            exprs += diff_exprs(col, series, time, diff, gapped)
     if calendar:
         exprs += calendar_exprs(time)
         exprs += barrier_exprs(time, horizons, barrier_months, growth_months)

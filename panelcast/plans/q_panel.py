@@ -491,3 +491,19 @@ def w8_ffill_unbounded_bucketed(spark, sf):
     """Same result as w8_ffill_unbounded through the skew-safe carry (buckets of 6 months)."""
     g = panel.regular_grid(tables.panel_a(spark, sf), K, T, "month").filter(F.col(T) >= F.lit("2000-01-01").cast("date"))
     return panel.ffill_bucketed(g.select(*K, T, "revenue"), ["revenue"], K, T, bucket=6)
+
+
+GAPPED_FEATS = [f"{b}_{s}" for b in ("revenue",) for s in ("lag1", "lag3", "lag6", "rm3", "rstd3", "diff1")]
+
+
+GAPPED_SQL = _sql_a("grid_a", f"""SELECT nation, segment, period, {', '.join(GAPPED_FEATS)} FROM (
+  SELECT nation, segment, period, is_inserted, {', '.join(O.feature_sql(['revenue'], calendar=False))}
+  FROM grid_a {O.windows_sql()}) g WHERE NOT is_inserted""")
+
+
+@register("c4_features_gapped", sql=GAPPED_SQL, r6=GAPPED_FEATS)
+def c4_features_gapped(spark, sf):
+    """Features on the ungridded panel with RANGE frames equal grid-then-features on observed rows."""
+    p = tables.panel_a(spark, sf).select(*K, T, "revenue")
+    out = features.build_features(p, ["revenue"], K, T, calendar=False, gapped="month")
+    return out.select(*K, T, *GAPPED_FEATS)

@@ -43,3 +43,25 @@ def test_grids_agree_and_match_pandas(spark, rows, bucket):
         for name, exp in [("x_lag2", raw.shift(2)), ("x_rm3", raw.rolling(3, min_periods=2).mean()),
                           ("x_rstd3", raw.rolling(3, min_periods=2).std()), ("x_diff1", raw.diff())]:
             np.testing.assert_allclose(g[name].astype(float), exp, rtol=1e-9, atol=1e-9, equal_nan=True)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(series_st)
+def test_gapped_features_equal_grid_features(spark, rows):
+    seen, uniq = set(), []
+    for s, i, v in rows:
+        if (s, i) not in seen:
+            seen.add((s, i))
+            uniq.append((s, _month(i), v))
+    df = spark.createDataFrame(uniq, "series string, period date, x double")
+    kw = dict(lags=(1, 4), mean=(3,), std=(3,), diff=(2,), calendar=False)
+    grid = features.build_features(panel.regular_grid(df, "series", "period"), ["x"], "series", "period", **kw)
+    want = grid.filter("NOT is_inserted").drop("is_inserted")
+    got = features.build_features(df, ["x"], "series", "period", gapped="month", **kw)
+    cols = sorted(got.columns)
+    a = sorted(tuple(r[c] for c in cols) for r in want.collect())
+    b = sorted(tuple(r[c] for c in cols) for r in got.collect())
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        for u, v in zip(x, y):
+            assert (u is None and v is None) or u == v or abs(u - v) < 1e-9
