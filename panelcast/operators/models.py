@@ -17,7 +17,6 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.scalar import LABELS
 from panelcast.operators.panel import Series, keys_of
 
 # model settings of the reference configuration (fixed values)
@@ -242,5 +241,3 @@ def ceiling_flag(df: DataFrame, value: str, ceiling: float, share: float = 0.85)
     """Forecast above ``share`` x ceiling."""
     return df.select("*", (F.col(value) > share * ceiling).alias("near_ceiling"))
 
-
-_ = LABELS

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.functions.scalar import add_periods, period_of, periods_between
+from panelcast.functions.scalar import add_periods, period_of
 
 Series = str | Sequence[str]
 

@@ -76,3 +76,16 @@ def fold_bounds(folds: DataFrame, time: str) -> DataFrame:
     """Extent of each fold and role (A9 over folds)."""
     return folds.groupBy("fold_id", "role").agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("start"),
                                                 F.max(time).alias("end"))
+
+
+def train(df: DataFrame, col: str = "split") -> DataFrame:
+    """Accessor filters on the split column (the three frames of a split, lazily)."""
+    return df.filter(F.col(col) == "train")
+
+
+def val(df: DataFrame, col: str = "split") -> DataFrame:
+    return df.filter(F.col(col) == "val")
+
+
+def test(df: DataFrame, col: str = "split") -> DataFrame:
+    return df.filter(F.col(col) == "test")

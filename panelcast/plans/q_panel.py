@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelcast.functions import scalar as fx
-from panelcast.operators import baselines, evaluate, features, labels, panel, splits
+from panelcast.operators import features, labels, panel, splits
 from panelcast.plans import oracle as O
 from panelcast.plans import pipelines as PL
 from panelcast.plans.catalog import register

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelcast.functions.scalar import LABELS
 from panelcast.operators import quality, splits
 from panelcast.plans import oracle as O
 from panelcast.plans import pipelines as PL
@@ -278,5 +277,3 @@ def a11_numeric_audit(spark, sf):
         "o_orderstatus", "o_orderpriority", F.col("o_totalprice").cast("string").alias("total_text"))
     return quality.numeric_audit(o, AUDIT)
 
-
-_ = LABELS

@@ -44,3 +44,21 @@ def test_json_sink_nested(spark, tmp_path):
     sinks.write_json(m, p)
     back = spark.read.json(p).collect()[0]
     assert back.confusion_matrix[0][0] == 3 and back.confusion_matrix[1][0] == 1
+
+
+def test_export_bundle(spark, tmp_path):
+    from panelcast.plans import pipelines as PL
+    ds = PL.build_dataset(spark, "/root/testdata/sf0.001")
+    ex = export.export_frame(ds, "period", "2000-01", PL.TARGETS, drop=["revenue", "n_orders"],
+                             renames={"anom": "revenue_anom"})
+    p = str(tmp_path / "bundle")
+    export.write_bundle(ex, p, "period", n_features=20)
+    data = spark.read.parquet(p + "/data")
+    assert data.count() == ex.count() and {r.split for r in data.select("split").distinct().collect()} == {"train", "test"}
+    assert "revenue" not in data.columns and "revenue_anom_lag1" in data.columns and "enso_t1_int" in data.columns
+    dd = spark.read.option("header", True).csv(p + "/data_dictionary")
+    assert dd.count() == len(ex.columns) - 1
+    meta = spark.read.json(p + "/metadata").collect()[0]
+    assert meta.n_train + meta.n_test == ex.count() and meta.label_map["Neutral"] == 1
+    from panelcast.operators import splits
+    assert splits.train(ex).count() == meta.n_train and splits.test(ex).count() == meta.n_test
