@@ -166,11 +166,11 @@ def train_and_evaluate(df: DataFrame, series: Series, time: str, features: Seque
 
     keys = keys_of(series)
     df = df.select(*[F.col(c).cast("double").alias(c) if c in features else F.col(c) for c in df.columns])
-    test_all = fill_test_features(df.filter(F.col(split) == "test"), features, series, time)
     out = []
     for t in targets:
         train = df.filter((F.col(split) == "train") & F.col(t).isNotNull()).dropna("any", subset=list(features))
-        test = test_all.filter(F.col(t).isNotNull())
+        # rows without the target leave first, then features are filled inside the remaining test rows
+        test = fill_test_features(df.filter((F.col(split) == "test") & F.col(t).isNotNull()), features, series, time)
         base = test.select(*keys, time, F.lit(t).alias("target"), F.col(t).alias("y_true"), F.col(phase_col))
         for kind in kinds:
             m = fit_classifier(train, features, t, kind, (params or {}).get(kind))
