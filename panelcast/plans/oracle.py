@@ -231,15 +231,17 @@ DOUBLES_A = ["revenue", "orders", "anom"] + [f"nino34_t{h}" for h in HORIZONS] +
 
 def regression_predictions_a_sql() -> list[str]:
     """CTEs ending in ``regpreds`` (see pipelines.regression_predictions_a)."""
-    w = "(PARTITION BY nation, segment ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    w = "(PARTITION BY nation, segment, target ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     unions = " UNION ALL ".join(
-        f"SELECT nation, segment, period, init_in_growth_phase, {q(t)} AS target, {q(m)} AS model, {t} AS y_true, {m} AS y_pred FROM rtest"
-        for t in VALUE_TARGETS_A for m in ("persistence", "persistence_smoothed"))
+        f"SELECT nation, segment, period, init_in_growth_phase, anom, anom_rm3, {q(t)} AS target, {t} AS y_true FROM features_a "
+        f"WHERE period >= DATE '2000-01-01' AND {t} IS NOT NULL" for t in VALUE_TARGETS_A)
+    models = " UNION ALL ".join(
+        f"SELECT nation, segment, period, init_in_growth_phase, target, {q(m)} AS model, y_true, {m} AS y_pred FROM rtest"
+        for m in ("persistence", "persistence_smoothed"))
     return chain_a("features_a") + [
         f"""rtest AS (SELECT *, coalesce(last_value(anom IGNORE NULLS) OVER {w}, 0.0) AS persistence,
-  coalesce(last_value(anom_rm3 IGNORE NULLS) OVER {w}, 0.0) AS persistence_smoothed
-  FROM features_a WHERE period >= DATE '2000-01-01')""",
-        f"regpreds AS ({unions})"]
+  coalesce(last_value(anom_rm3 IGNORE NULLS) OVER {w}, 0.0) AS persistence_smoothed FROM ({unions}) u)""",
+        f"regpreds AS ({models})"]
 
 
 PANEL_E = """panel_e AS (

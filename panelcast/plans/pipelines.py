@@ -78,18 +78,21 @@ VALUE_TARGETS = tuple(f"nino34_t{h}" for h in HORIZONS)
 
 
 def regression_predictions_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long value forecasts on the test split: persistence of the current anomaly (M13: filled
-    forward inside the test rows, then 0) and of its 3-period mean (smoothed variant, D11)."""
+    """Long value forecasts on the test split: persistence of the current anomaly (M13) and of
+    its 3-period mean (smoothed variant, D11).  Per target, rows without the target leave
+    first; the predictor is then filled forward inside the remaining test rows, then 0."""
     df = build_dataset(spark, sf_dir).filter(F.col(TIME) >= F.lit("2000-01-01").cast("date"))
-    w = panel.ordered(SERIES_A, TIME).rowsBetween(panel.Window.unboundedPreceding, 0)
-    df = df.select(*SERIES_A, TIME, "init_in_growth_phase", *VALUE_TARGETS,
-                   F.coalesce(F.last("anom", True).over(w), F.lit(0.0)).alias("persistence"),
-                   F.coalesce(F.last("anom_rm3", True).over(w), F.lit(0.0)).alias("persistence_smoothed"))
+    cells = [F.struct(F.lit(t).alias("target"), F.col(t).alias("y_true")) for t in VALUE_TARGETS]
+    long = df.select(*SERIES_A, TIME, "init_in_growth_phase", "anom", "anom_rm3",
+                     F.explode(F.array(*cells)).alias("c")).select("*", "c.*").drop("c")
+    long = long.filter(F.col("y_true").isNotNull())
+    w = panel.over([*SERIES_A, "target"], TIME, (None, 0))
+    preds = long.selectExpr(*SERIES_A, TIME, "init_in_growth_phase", "target", "y_true",
+                            f"coalesce(last(anom, true) {w}, 0.0) AS persistence",
+                            f"coalesce(last(anom_rm3, true) {w}, 0.0) AS persistence_smoothed")
     models = ("persistence", "persistence_smoothed")
-    cells = [F.struct(F.lit(t).alias("target"), F.lit(m).alias("model"), F.col(t).alias("y_true"), F.col(m).alias("y_pred"))
-             for t in VALUE_TARGETS for m in models]
-    return df.select(*SERIES_A, TIME, "init_in_growth_phase", F.explode(F.array(*cells)).alias("c")).select(
-        *SERIES_A, TIME, "init_in_growth_phase", "c.*")
+    return preds.selectExpr(*SERIES_A, TIME, "init_in_growth_phase", "target", "y_true",
+                            f"stack({len(models)}, " + ", ".join(f"'{m}', {m}" for m in models) + ") AS (model, y_pred)")
 
 
 def labelled_panel(df: DataFrame, series, value: str, count: str, unit: str = "month",
