@@ -4,14 +4,18 @@ env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_
      BENCH_QUERIES (comma list, optional).
 Each query is executed in full with the ``noop`` sink (no collect to the driver); the value per
 query is the median of BENCH_RUNS runs after one warm-up run; ``value`` is their sum.
+``shuffle_bytes`` (per query, one timed run) comes from Spark's event log, written to a fresh
+scratch folder and read after the session stops (no UI, no REST endpoint).
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -41,20 +45,60 @@ def main() -> None:
     from panelcast.plans import catalog
     from panelcast.session import get_spark
 
+    log_dir = tempfile.mkdtemp(prefix="bench-events-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark = get_spark("panelcast-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus),
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                             "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}",
+                             "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     catalog.load_all()
+    sc = spark.sparkContext
     timings = {}
     for name in names:
-        def once():
+        def once(group):
+            sc.setJobGroup(group, group)
             t0 = time.perf_counter()
             catalog.run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
-        once()  # warm-up
-        timings[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        once(f"warmup:{name}")
+        timings[name] = round(statistics.median(once(f"{'measure' if i == 0 else 'repeat'}:{name}")
+                                                for i in range(runs)), 3)
+    spark.stop()
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
     print(json.dumps({"metric": "sum of median wall time of headline queries", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus), "runs": runs}))
+                      "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus), "runs": runs,
+                      "shuffle_bytes": shuffle_bytes(log_dir)}))
+
+
+def shuffle_bytes(log_dir: str) -> dict:
+    """Shuffle bytes written per query (its first timed run), from the event log."""
+    stage_group, written = {}, {}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if not os.path.isfile(path) or os.path.basename(path).startswith((".", "appstatus")):
+            continue
+        with open(path, errors="replace") as fh:
+            for line in fh:
+                try:
+                    ev = json.loads(line)
+                except ValueError:
+                    continue
+                if not isinstance(ev, dict):
+                    continue
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id", "")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    sid = ev.get("Stage ID")
+                    written[sid] = written.get(sid, 0) + int(m.get("Shuffle Bytes Written", 0))
+    out = {}
+    for sid, b in written.items():
+        group = stage_group.get(sid, "")
+        if group.startswith("measure:"):
+            name = group.split(":", 1)[1]
+            out[name] = out.get(name, 0) + b
+    return out
 
 
 if __name__ == "__main__":

@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The system being re-created has no stream reader, watermark, windowed streaming aggregate or
+stateful operator; all of its work is batch.  Inputs are read as files (``panelcast.sources``),
+and a directory of new station files is simply re-read as a batch.
+"""
