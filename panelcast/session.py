@@ -40,12 +40,16 @@ def get_spark(app: str = "panelcast", master: str | None = None, shuffle_partiti
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session; set a local one only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """Return the shared checkpoint folder the session names (``spark.checkpoint.dir`` or one set
+    on the SparkContext); create a local one only when neither is set (tests, laptops)."""
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or (current.get() if current.isDefined() else None)
     if not d:
         d = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not current.isDefined():
+        sc.setCheckpointDir(d)
     return d
 
 
