@@ -131,3 +131,64 @@ def build_dataset_bucketed(spark: SparkSession, sf_dir: str, bucket: int = 24, m
 def build_dataset_columns() -> list[str]:
     from panelcast.plans.oracle import FEATURES_A_COLS
     return list(FEATURES_A_COLS)
+
+
+# --------------------------------------------------------------------------- end-to-end entry points
+def run_build(df: DataFrame, series, time: str, value: str, out_path: str, base: Sequence[str] | None = None,
+              start=None, end=None, max_gap: int = 3, unit: str = "month", horizons=HORIZONS) -> DataFrame:
+    """Entry 1 (build dataset) for any panel: clean (P1, P2, C1, W7) -> label (C3) -> features (C4)
+    -> leakage gate (Q8, raises on failure) -> parquet (S10).  The gate and the write read one
+    materialised table.  Returns the written dataset."""
+    from panelcast.operators import quality
+    from panelcast.session import materialize
+    from panelcast.sources.sinks import write_parquet
+
+    keys = panel.keys_of(series)
+    cleaned = panel.clean(df, keys, time, start=start, end=end, max_gap=max_gap, unit=unit)
+    lab = labels.label(cleaned, value, keys, time, horizons)
+    bases = list(base) if base is not None else [value]
+    ds = materialize(features.build_features(lab, bases, keys, time, horizons=horizons))
+    roles = labels.target_columns(horizons)
+    targets = roles["phase"] + roles["class"] + roles["value"]
+    feats = features.feature_columns(ds, targets, keys, time)
+    quality.assert_passed(quality.leakage_report(ds, keys, time, feats, targets, horizons=horizons,
+                                                 lag_bases=bases, unit=unit))
+    write_parquet(ds, out_path, sort_within=[*keys, time])
+    return ds
+
+
+def run_training(spark: SparkSession, dataset_path: str, series, time: str, out_dir: str, train_end, test_start,
+                 val_start=None, val_end=None, kinds=("logistic", "forest", "boosted"), horizons=HORIZONS) -> DataFrame:
+    """Entry 2 (train and evaluate): split (L1) -> per target fit every model on train rows and
+    score the test rows against climatology and persistence (M14) -> tidy metrics sorted (E2, E6)
+    -> beats-baseline table (E9) -> JSON sinks (S12).  Returns the tidy metrics."""
+    from panelcast.session import materialize
+    from panelcast.sources.sinks import write_json
+
+    keys = panel.keys_of(series)
+    ds = spark.read.parquet(dataset_path)
+    roles = labels.target_columns(horizons)
+    feats = features.feature_columns(ds, roles["phase"] + roles["class"] + roles["value"], keys, time,
+                                     numeric_only=True)
+    df = materialize(splits.time_split(ds, time, train_end, test_start, val_start, val_end))
+    from panelcast.operators import models
+    preds = models.train_and_evaluate(df, keys, time, feats, roles["class"], kinds=kinds)
+    metrics = evaluate.order_metrics(evaluate.classification_metrics(preds, ["target", "model"], with_matrix=True))
+    write_json(metrics, f"{out_dir.rstrip('/')}/metrics")
+    write_json(evaluate.beats_baseline(metrics), f"{out_dir.rstrip('/')}/beats_baseline")
+    return metrics
+
+
+def run_export(spark: SparkSession, dataset_path: str, time: str, out_dir: str, test_start, horizons=HORIZONS,
+               drop: Sequence[str] = (), renames: dict | None = None) -> DataFrame:
+    """Entry 3 (export): P5 -> P6 -> F8 -> P10 -> L3 -> bundle."""
+    from panelcast.operators import export
+
+    ds = spark.read.parquet(dataset_path)
+    targets = labels.target_columns(horizons)["class"]
+    ex = export.export_frame(ds, time, test_start, targets, drop=drop, renames=renames)
+    skip = {time, "split", "enso_phase", *targets, *[f"{t}_int" for t in targets],
+            *labels.target_columns(horizons)["value"]}
+    n_features = len([f.name for f in ex.schema if f.name not in skip and f.dataType.simpleString() != "string"])
+    export.write_bundle(ex, out_dir, time, n_features)
+    return ex
