@@ -184,36 +184,56 @@ def numeric_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[str], targets: Sequence[str],
                    phase: str = "enso_phase", horizons: Sequence[int] = (1, 3, 6), prefix: str = "enso",
                    lag_bases: Sequence[str] = (), unit: str = "month") -> DataFrame:
-    """Q8: (check, n_bad, passed, detail) for every check; the caller raises when one fails."""
-    spark = df.sparkSession
-    kc = key_check(df, series, time, unit).agg(
-        F.coalesce(F.sum("n_duplicates"), F.lit(0)).alias("dup"), F.coalesce(F.sum("n_missing_periods"), F.lit(0)).alias("gap"))
-    parts = [kc.select(F.lit("key_unique").alias("check"), F.col("dup").cast("bigint").alias("n_bad"),
-                       F.lit("duplicate (series, period) rows").alias("detail")),
-             kc.select(F.lit("grid_gapless").alias("check"), F.col("gap").cast("bigint").alias("n_bad"),
-                       F.lit("missing periods inside series spans").alias("detail"))]
+    """Q8: (check, n_bad, passed, detail) for every check; the caller raises when one fails.
+
+    Key uniqueness, grid gaps, target shift and target copies come from ONE window pass over
+    the series and ONE global aggregate (partial per task); only the lag alignment, which must
+    be recomputed independently of the windows, is a separate self-join.
+    """
+    w = over(series, time)
+    t = q(time)
+    prev = f"lag({t}) {w}"
+    diff = {"month": f"CAST(months_between({t}, {prev}) AS INT)", "day": f"datediff({t}, {prev})",
+            "hour": f"CAST(timestampdiff(HOUR, {prev}, {t}) AS INT)"}[unit]
+    types = {f.name: f.dataType for f in df.schema}
+    numeric = [f for f in features if isinstance(types[f], T.NumericType)]
+    value_targets = [x for x in targets if isinstance(types[x], T.NumericType)]
+    pairs = [(f, x) for f in numeric for x in value_targets]
+    cols = sorted(set(numeric) | set(value_targets))
+    rows = df.selectExpr(
+        f"coalesce({t} = {prev}, false) AS __dup", f"greatest(coalesce({diff}, 1) - 1, 0) AS __gap",
+        *[f"{q(f'{prefix}_t{h}')} AS __t{h}" for h in horizons],
+        *[f"lead({q(phase)}, {h}) {w} AS __l{h}" for h in horizons],
+        *[q(c) for c in cols])
+    aggs = ["CAST(count_if(__dup) AS BIGINT) AS dup", "CAST(coalesce(sum(__gap), 0) AS BIGINT) AS gap",
+            "CAST(" + " + ".join(f"count_if(__t{h} IS NOT NULL AND __l{h} IS NOT NULL AND __t{h} <> __l{h})"
+                                 for h in horizons) + " AS BIGINT) AS shift" if horizons else "CAST(0 AS BIGINT) AS shift"]
+    for i, (f, x) in enumerate(pairs):
+        both = f"{q(f)} IS NOT NULL AND {q(x)} IS NOT NULL"
+        aggs += [f"count_if({both}) AS c{i}", f"count_if({both} AND abs({q(f)} - {q(x)}) > 1e-9) AS m{i}"]
+    one = rows.agg(*[F.expr(a) for a in aggs])
+    copy_items = ", ".join(f"CASE WHEN c{i} > 0 AND m{i} = 0 THEN {_sql_str(f)} END" for i, (f, _) in enumerate(pairs))
+    copies = (f"array_sort(filter(array({copy_items}), x -> x IS NOT NULL))" if pairs
+              else "CAST(array() AS ARRAY<STRING>)")
     bad_names = future_lag_names(features)
     overlap = sorted(set(features) & set(targets))
-    parts.append(spark.createDataFrame(
-        [("no_future_lags", len(bad_names), ", ".join(bad_names)),
-         ("no_targets_in_features", len(overlap), ", ".join(overlap))], "check string, n_bad bigint, detail string"))
-    ts = target_shift_check(df, series, time, phase, horizons, prefix).agg(F.sum("n_mismatch").cast("bigint").alias("n"))
-    parts.append(ts.select(F.lit("target_shift_correct").alias("check"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_bad"),
-                           F.lit("rows where class target != lead(phase, L)").alias("detail")))
-    numeric_feats = [f for f in features if isinstance(df.schema[f].dataType, T.NumericType)]
-    copies = target_copy_scan(df, numeric_feats, targets).filter((F.col("n_compared") > 0) & (F.col("n_mismatch") == 0))
-    parts.append(copies.agg(F.lit("no_target_copies").alias("check"), F.count(F.lit(1)).alias("n_bad"),
-                            F.coalesce(F.array_join(F.array_sort(F.collect_list("feature")), ", "), F.lit("")).alias("detail")))
+    checks = [
+        [_sql_str("key_unique"), "dup", _sql_str("duplicate (series, period) rows")],
+        [_sql_str("grid_gapless"), "gap", _sql_str("missing periods inside series spans")],
+        [_sql_str("no_future_lags"), f"CAST({len(bad_names)} AS BIGINT)", _sql_str(", ".join(bad_names))],
+        [_sql_str("no_targets_in_features"), f"CAST({len(overlap)} AS BIGINT)", _sql_str(", ".join(overlap))],
+        [_sql_str("target_shift_correct"), "shift", _sql_str("rows where class target != lead(phase, L)")],
+        [_sql_str("no_target_copies"), f"CAST(size({copies}) AS BIGINT)", f"array_join({copies}, ', ')"],
+    ]
+    out = one.selectExpr(_stack(checks, ["check", "n_bad", "detail"]))
     lags = sorted({int(m.group(1)) for b in lag_bases for f in features
                    if (m := re.fullmatch(re.escape(b) + r"_lag(\d+)", f))})
     if lags:
         la = lag_alignment(df, list(lag_bases), series, time, lags, unit).groupBy("base").agg(
             F.sum("n_mismatch").cast("bigint").alias("n"))
-        parts.append(la.select(F.concat(F.lit("lag_alignment_"), F.col("base")).alias("check"), F.col("n").alias("n_bad"),
-                               F.concat(F.col("base"), F.lit("_lagL != value at t-L")).alias("detail")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(la.select(F.concat(F.lit("lag_alignment_"), F.col("base")).alias("check"),
+                                        F.col("n").alias("n_bad"),
+                                        F.concat(F.col("base"), F.lit("_lagL != value at t-L")).alias("detail")))
     return out.select("check", "n_bad", (F.col("n_bad") == 0).alias("passed"), "detail")
 
 
