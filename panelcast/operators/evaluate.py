@@ -92,8 +92,9 @@ def by_init_month(pred: DataFrame, time: str, by: Sequence[str] = ("target", "mo
     by = list(by)
     counts = confusion_counts(pred.withColumn("month", F.month(time).cast("int")), by + ["month"], labels)
     m = metrics_from_counts(counts, by + ["month"], labels, decimals=decimals)
-    # all 12 months for every group: generated per group, not a join to a calendar dimension
-    groups = valid_pairs(pred).select(*by).distinct()
+    # all 12 months for every group: groups come from the (tiny) metrics table itself, not from
+    # a second pass over the predictions, and months are generated per group
+    groups = m.select(*by).distinct()
     months = groups.select(*by, F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
     j = months.join(m.select(*by, "month", "f1_macro", "n"), on=by + ["month"], how="left")
     n_raw = F.coalesce(F.col("n"), F.lit(0))
