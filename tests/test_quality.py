@@ -94,3 +94,13 @@ def test_report_on_fixture(spark):
                                                       lag_bases=["anom", "orders"]).collect()}
     assert rep["key_unique"].passed and rep["grid_gapless"].passed and rep["target_shift_correct"].passed
     assert rep["lag_alignment_anom"].passed and rep["no_target_copies"].passed
+
+
+def test_gate_refuses_gapped_panel(spark):
+    import pytest
+    df = frame(spark).filter(~F.col("period").isin(months(50)[10], months(50)[11]))   # two absent months
+    ds = build_features(label(df, "x", "series", "period"), ["x"], "series", "period")
+    rep = {r.check: r for r in quality.leakage_report(ds, "series", "period", ["x_lag1"], ["enso_t1"]).collect()}
+    assert not rep["grid_gapless"].passed and rep["grid_gapless"].n_bad == 2
+    with pytest.raises(AssertionError, match="grid_gapless"):
+        quality.assert_passed(quality.leakage_report(ds, "series", "period", ["x_lag1"], ["enso_t1"]))
