@@ -507,3 +507,10 @@ def c4_features_gapped(spark, sf):
     p = tables.panel_a(spark, sf).select(*K, T, "revenue")
     out = features.build_features(p, ["revenue"], K, T, calendar=False, gapped="month")
     return out.select(*K, T, *GAPPED_FEATS)
+
+
+@register("c1_grid_hourly_bucketed", sql=O.with_(O.PANEL_E, *O.generic_chain("panel_e", ["user_id"], "sum_value", "n_events", "hour")[:3])
+          + "SELECT * FROM g_grid")
+def c1_grid_hourly_bucketed(spark, sf):
+    """Hourly grid through the skew-safe bucketed builder (24-hour buckets); equals the plain grid."""
+    return panel.regular_grid_bucketed(tables.panel_e(spark, sf), "user_id", T, 24, "hour")
