@@ -47,7 +47,8 @@ def predictions_a(spark: SparkSession, sf_dir: str, models: Sequence[str] = ("cl
     of the naive baselines on the test split."""
     from panelcast.session import materialize
     # the labelled panel feeds both the training counts and the test rows: materialise it once
-    df = splits.time_split(materialize(labelled_a(spark, sf_dir)), TIME, **SPLIT_A)
+    needed = labelled_a(spark, sf_dir).select(*SERIES_A, TIME, "enso_phase", *TARGETS)  # prune before writing
+    df = splits.time_split(materialize(needed), TIME, **SPLIT_A)
     df = df.withColumn("month", F.month(TIME).cast("int"))
     long = baselines.long_targets(df, SERIES_A, TIME, TARGETS, carry=["split", "enso_phase", "month"])
     long = long.withColumn("crosses", _crosses_for_target("target", "month"))
