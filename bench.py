@@ -52,21 +52,29 @@ def main() -> None:
                              "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     catalog.load_all()
     sc = spark.sparkContext
-    timings = {}
+    timings, errors = {}, {}
     for name in names:
         def once(group):
             sc.setJobGroup(group, group)
             t0 = time.perf_counter()
             catalog.run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
-        once(f"warmup:{name}")
-        timings[name] = round(statistics.median(once(f"{'measure' if i == 0 else 'repeat'}:{name}")
-                                                for i in range(runs)), 3)
+        try:
+            once(f"warmup:{name}")
+            timings[name] = round(statistics.median(once(f"{'measure' if i == 0 else 'repeat'}:{name}")
+                                                    for i in range(runs)), 3)
+        except Exception as e:  # noqa: BLE001 - report the failure, keep measuring the others
+            timings[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     spark.stop()
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
-    print(json.dumps({"metric": "sum of median wall time of headline queries", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus), "runs": runs,
-                      "shuffle_bytes": shuffle_bytes(log_dir)}))
+    out = {"metric": "sum of median wall time of headline queries",
+           "value": round(sum(v for v in timings.values() if v is not None), 3),
+           "unit": "sec", "queries": timings, "sf": sf, "cpus": int(cpus), "runs": runs,
+           "shuffle_bytes": shuffle_bytes(log_dir)}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 def shuffle_bytes(log_dir: str) -> dict:
