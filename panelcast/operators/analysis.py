@@ -51,9 +51,22 @@ def top_k(df: DataFrame, metric: str, k: int, tie: Sequence[str]) -> DataFrame:
     return df.filter(F.col(metric).isNotNull()).orderBy(F.col(metric).desc(), *[F.col(c).asc() for c in tie]).limit(k)
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairs (a < b and a = b) of Pearson correlations in one aggregate (pairwise-complete)."""
+def correlation_matrix(df: DataFrame, cols: Sequence[str], complete_rows: bool = False) -> DataFrame:
+    """All pairs (a < b and a = b) of Pearson correlations in one aggregate (pairwise-complete).
+
+    ``complete_rows=True`` is the fast path for wide column lists: rows with any missing value
+    are dropped and ``pyspark.ml.stat.Correlation`` computes the whole matrix in one
+    ``treeAggregate`` (the k x k result is the only thing brought to the driver)."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    if complete_rows:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=list(cols), outputCol="__v").transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())
+        mat = Correlation.corr(vec, "__v").first()[0].toArray()       # k x k, bounded by the column list
+        idx = {c: i for i, c in enumerate(cols)}
+        rows = [(a, b, float(mat[idx[a], idx[b]])) for a, b in pairs]
+        return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
     row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                                                    F.col(f"p{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])

@@ -131,3 +131,14 @@ def test_ffill_bucketed_equals_unbounded(spark):
     for b in (1, 7, 40):
         got = panel.ffill_bucketed(df, ["x"], "series", "period", b).orderBy("series", "period").collect()
         assert [tuple(r) for r in got] == [tuple(r) for r in a]
+
+
+def test_correlation_fast_path(spark):
+    from panelcast.operators import analysis
+    rng = np.random.default_rng(11)
+    a = rng.normal(0, 1, 200)
+    rows = [(float(x), float(2 * x + rng.normal()), float(rng.normal())) for x in a]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    slow = {(r.col_a, r.col_b): r.corr for r in analysis.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    fast = {(r.col_a, r.col_b): r.corr for r in analysis.correlation_matrix(df, ["a", "b", "c"], complete_rows=True).collect()}
+    assert slow.keys() == fast.keys() and all(abs(slow[k] - fast[k]) < 1e-9 for k in slow)
