@@ -128,7 +128,8 @@ def e12_residual_regime(spark, sf):
 FROM (SELECT * FROM regpreds WHERE period = (SELECT max(period) FROM regpreds)) f
 LEFT JOIN ({E7_INNER}) r ON f.target = r.target AND f.model = r.model""", r6=["y_pred", "lower", "upper"])
 def e13_uncertainty_band(spark, sf):
-    rp = PL.regression_predictions_a(spark, sf)
+    from panelcast.session import materialize
+    rp = materialize(PL.regression_predictions_a(spark, sf))   # read three times below
     reg = evaluate.regression_metrics(rp, BY)
     last = rp.agg(F.max(T)).first()[0]  # forecast issue date: one scalar
     fc = rp.filter(F.col(T) == F.lit(last)).select(*K, T, "target", "model", "y_pred")

@@ -248,7 +248,9 @@ FROM prepared_a p JOIN folds f ON p.period < f.val_end""", ["""b AS (SELECT min(
          CAST(lo + to_months(CAST(48 + 12 * k AS INTEGER)) AS DATE) AS val_end
   FROM b, range(0, CAST(floor((span - 36 - 12) / 12) + 1 AS BIGINT)) r(k))"""]))
 def j8_walk_forward(spark, sf):
-    f = splits.walk_forward(PL.prepared_a(spark, sf), T, initial_years=3, step_months=12, horizon_months=12)
+    from panelcast.session import materialize
+    # the fold bounds (one scalar aggregate) and the folds read one materialised panel, not the raw facts twice
+    f = splits.walk_forward(materialize(PL.prepared_a(spark, sf)), T, initial_years=3, step_months=12, horizon_months=12)
     return f.select(*K, T, "fold_id", "role")
 
 

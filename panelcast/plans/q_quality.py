@@ -191,7 +191,8 @@ FROM prepared_a p JOIN folds f ON p.period < f.val_end GROUP BY 1, 2""", ["""b A
          CAST(lo + to_months(CAST(48 + 12 * k AS INTEGER)) AS DATE) AS val_end
   FROM b, range(0, CAST(floor((span - 36 - 12) / 12) + 1 AS BIGINT)) r(k))"""]))
 def l4_walk_forward_folds(spark, sf):
-    f = splits.walk_forward(PL.prepared_a(spark, sf), T, initial_years=3, step_months=12, horizon_months=12)
+    from panelcast.session import materialize
+    f = splits.walk_forward(materialize(PL.prepared_a(spark, sf)), T, initial_years=3, step_months=12, horizon_months=12)
     return splits.fold_bounds(f, T)
 
 
