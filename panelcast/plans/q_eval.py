@@ -201,7 +201,8 @@ ATTR_W = {"anom": 0.8, "anom_lag1": -0.3, "anom_diff1": 0.5, "orders": 0.01}
     f"SELECT {O.q(c)} AS feature, avg(abs({w} * ({c} - (SELECT avg({c}) FROM features_a)))) AS importance FROM features_a"
     for c, w in ATTR_W.items()), r6=["importance"])
 def m15_linear_attribution(spark, sf):
-    return models.linear_attribution(PL.build_dataset(spark, sf), ATTR_W)
+    from panelcast.session import materialize
+    return models.linear_attribution(materialize(PL.build_dataset(spark, sf)), ATTR_W)  # two passes: means, contributions
 
 
 @register("m17_ceiling_flag", sql=REG_SQL + """SELECT nation, segment, period, target, y_pred, y_pred > 0.85 * 1.0 AS near_ceiling
