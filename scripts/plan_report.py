@@ -40,6 +40,9 @@ def main():
                 scans.append((os.path.basename(src.group(1)) if src else "checkpoint/RDD",
                               pf.group(1) if pf else "-", rs.group(1) if rs else "-"))
         details.append((name, scans))
+    print("\nQueries that materialise their panel first (e2, j8, q8, e5, e13, the model queries) show only the"
+          " plan after the checkpoint; the exchanges that built the checkpoint (as in c4_features) ran when it was"
+          " written.")
     print("\n## Scans (pushed filters, read schema)\n")
     for name, scans in details:
         print(f"* **{name}**")
