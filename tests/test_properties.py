@@ -65,3 +65,26 @@ def test_gapped_features_equal_grid_features(spark, rows):
     for x, y in zip(a, b):
         for u, v in zip(x, y):
             assert (u is None and v is None) or u == v or abs(u - v) < 1e-9
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.floats(-3, 3, allow_nan=False).map(lambda x: round(x, 3))), min_size=20, max_size=80),
+       st.integers(11, 30))
+def test_halo_equals_global_random(spark, vals, bucket):
+    from panelcast.operators import labels
+    from panelcast.operators.halo import with_halo
+    rows = [(s, _month(i), v) for s in ("a", "b") for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "series string, period date, x double")
+
+    def chain(d, k):
+        f = panel.ffill(d, ["x"], k, "period", limit=3)
+        lab = labels.label(f, "x", k, "period")
+        return features.build_features(lab, ["x"], k, "period", lags=(1, 6), mean=(3,), std=(3,), diff=(1,), calendar=False)
+
+    glob = sorted(map(tuple, chain(df, ["series"]).collect()), key=lambda r: (r[0], r[1]))
+    halo = with_halo(df, "series", "period", chain, reach_back=9, reach_ahead=6, bucket=bucket)
+    got = sorted(map(tuple, halo.select(*chain(df, ["series"]).columns).collect()), key=lambda r: (r[0], r[1]))
+    assert len(got) == len(glob)
+    for x, y in zip(glob, got):
+        for u, v in zip(x, y):
+            assert (u is None and v is None) or u == v or (isinstance(u, float) and abs(u - v) < 1e-9)
