@@ -10,7 +10,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["c4_features", "e2_classification", "j1_full_outer_merge", "j8_walk_forward", "w7_ffill_hourly",
-          "x1_export", "q3_future_lag_value", "s4_wide_to_long"]
+          "x1_export", "q3_future_lag_value", "s4_wide_to_long", "c4_features_bucketed", "c4_features_gapped",
+          "w8_ffill_unbounded_bucketed", "q8_leakage_report"]
 
 
 def test_entry(spark):
