@@ -47,7 +47,7 @@ def main() -> None:
 
     log_dir = tempfile.mkdtemp(prefix="bench-events-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark = get_spark("panelcast-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus),
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", _default_driver_memory()),
                              "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}",
                              "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     catalog.load_all()
@@ -77,6 +77,15 @@ def main() -> None:
     print(json.dumps(out))
 
 
+def _default_driver_memory() -> str:
+    """60% of physical memory, at most 16g (the driver machine may be small)."""
+    try:
+        total_gb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2 ** 30
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(2, min(16, int(total_gb * 0.6)))}g"
+
+
 def shuffle_bytes(log_dir: str) -> dict:
     """Shuffle bytes written per query (its first timed run), from the event log."""
     stage_group, written = {}, {}
