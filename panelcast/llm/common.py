@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import os
 import string
+import tempfile
 import uuid
+import zipfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.session import checkpoint_dir, materialize  # noqa: F401
+from panelcast.session import checkpoint_dir
 
-#: A word: a run of characters other than ASCII punctuation, space, control and upper case.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A word is a run of characters other than these (in lower case).
+NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A token of white-space separated text.
 TOKEN = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast up to this many rows (checked by counting it), joined by shuffle above.
@@ -28,6 +31,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read from there: its lineage is cut, and
+    the loss of an executor loses none of it.  (A checkpoint() would hand the constraints of the old plan on, which
+    iterations pile up.)"""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library's code to the executors, once per Spark application: Python tasks import it there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_panelcast_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="panelcast-code-"), "panelcast-code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                z.write(file, os.path.relpath(file, os.path.dirname(package)))
+    sc.addPyFile(archive)  # served by the driver
+    sc._panelcast_shipped = True
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, also when lambdas inside use it."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -42,7 +70,7 @@ def ascii_lower(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The lower-case words of the whole text, in order."""
-    return F.regexp_extract_all(ascii_lower(text), F.lit(f"({WORD})"), 0)
+    return F.array_remove(F.split(ascii_lower(text), NO_WORD), "")
 
 
 def tail(arr: Column, skip: int) -> Column:

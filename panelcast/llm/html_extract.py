@@ -15,6 +15,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from panelcast.llm.common import ship
+
 # fixed values: elements of HTML
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby "
              "s samp small span strike strong sub sup time tt u var wbr".split())
@@ -210,6 +212,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null and empty pages, and pages without any main text, give the empty text.  Broken markup is read as far as it goes.  Repeated rows
     come out alike."""
+    ship(pages.sparkSession)
     tree = train()
 
     def run(batches):

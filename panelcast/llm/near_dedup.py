@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import join_same, let, materialize, small, words
+from panelcast.llm.common import join_same, let, materialize, ship, small, words
 
 SHINGLE, THRESHOLD, BANDS, ROWS, SEED, BLOCK_WORDS, STAR_ROUNDS = 5, 0.8, 20, 5, 11, 400_000, 6
+#: A run of words is known by this many bits of its hash; the rest of 64 number the texts of a block.
+RUN_BITS = 48
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -34,23 +36,26 @@ def _scramble(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 def shingles(word_hashes: np.ndarray, lengths: np.ndarray, n: int = SHINGLE):
-    """(text, run, weight) of every distinct run of ``n`` words of texts given one after the other; a shorter text is one run."""
+    """(text, run, weight) of every distinct run of ``n`` words of texts given one after the other, sorted; a
+    shorter text is one run."""
     start = np.concatenate([[0], np.cumsum(lengths)])[:-1]
     runs = np.where(lengths >= n, lengths - n + 1, np.minimum(lengths, 1))
     text = np.repeat(np.arange(len(lengths)), runs)
     first = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs) + np.repeat(start, runs)
     size = np.minimum(lengths, n)[text]
-    w = word_hashes.astype(np.int64).view(np.uint64)
+    w = _scramble(word_hashes.astype(np.int64, copy=False).view(np.uint64), 0)
     h = np.zeros(len(first), np.uint64)
     for i in range(n):
-        here = i < size
-        h[here] = _scramble(h[here] ^ w[first[here] + i], i)
-    order = np.lexsort((h, text))
-    text, h = text[order], h[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+        with np.errstate(over="ignore"):
+            more = h * _MIX[1] + w[np.minimum(first + i, len(w) - 1)]
+        h = np.where(i < size, more, h)
+    # sorted by text, then by run: the text in the high bits, RUN_BITS of the run's hash below
+    key = np.sort((text.astype(np.uint64) << np.uint64(RUN_BITS)) | (_scramble(h, n) >> np.uint64(64 - RUN_BITS)))
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
-    return text[at], h[at], np.diff(np.append(at, len(h)))
+    key = key[at]
+    return ((key >> np.uint64(RUN_BITS)).astype(np.int64), key & np.uint64(2 ** RUN_BITS - 1), np.diff(np.append(at, len(new))))
 
 
 def signatures(text: np.ndarray, run: np.ndarray, weight: np.ndarray, n_texts: int, registers: int) -> np.ndarray:
@@ -101,7 +106,7 @@ def probability_jaccard(run_a, weight_a, run_b, weight_b) -> float:
 
 def _pieces(lengths: np.ndarray, most: int):
     """Slices of consecutive texts with about ``most`` words each."""
-    group = np.cumsum(lengths) // most
+    group = np.cumsum(lengths + most / 2 ** (64 - RUN_BITS)) // most
     cuts = np.flatnonzero(np.diff(group)) + 1
     return zip([0, *cuts], [*cuts, len(lengths)], strict=True)
 
@@ -212,6 +217,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     rows with that id.  Null, empty and wordless texts are classes of their own; a text of one to four words is one run of words.
     Repeated rows of an id and text come out alike.  A class whose ids are all null has a null
     ``class_id``.  An empty table gives no rows."""
+    ship(docs.sparkSession)
     sketches = materialize(sketch(docs.select("doc_id", "text"), bands, rows))
     full = sketches.where("n_words > 0")
     nodes = materialize(full.groupBy("node").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("keys").alias("keys")))
@@ -232,7 +238,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
         left = _open_pairs(now)
         if left == 0 or turn == STAR_ROUNDS:
             break
-        final = turn == STAR_ROUNDS - 1 or left <= 2 * now.count()
+        final = turn == STAR_ROUNDS - 1 or left <= 10 * now.count()
         if final:
             pairs = _cross_pairs(now)
         else:  # another leader, chosen by chance, for every bucket with several classes

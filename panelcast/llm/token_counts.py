@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.common import ship
+
 MARK = "▁"
 LIMIT, CACHE_WORDS, MODEL = 4096, 500_000, "piece_bpe_32k.model"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -114,6 +116,7 @@ def count_tokens(docs: DataFrame, model: str = MODEL, limit: int = LIMIT) -> Dat
             yield pa.record_batch([batch.column(0), pa.array([table.count(x.as_py()) for x in texts], pa.int64()),
                                    batch.column(2)], ["doc_id", "n_tokens", "n_bytes"])
 
+    ship(docs.sparkSession)
     rows = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, n_bytes bigint")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import materialize
+from panelcast.llm.common import materialize, ship
 
 SCALE, K, QUERY_EVERY, PIVOTS, RINGS, BLOCK_ROWS, QUERY_ROWS = 1024, 10, 100, 32, 16, 2048, 512
 EXACT = 2.0 ** 53
@@ -69,6 +69,7 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, n_pivo
     Rows without an id, and vectors that are null or hold null or non-finite components, take no
     part.  A query's own id is no candidate; repeated rows of an id and vector count once.  Vectors of
     different lengths are compared as if the short one ended in zeros.  Ties go to the smaller id."""
+    ship(vectors.sparkSession)
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
         F.col("vec_id").cast("bigint").alias("id"), scaled(F.col("embedding")).alias("v"))
     dim = rows.agg(F.max(F.size("v"))).first()[0] or 0

@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import let, words
+from panelcast.llm.common import let, ship, words
 
 DIM, FACTORS, SAMPLE_ROWS, PREFIX = 2 ** 20, 4, 8_000, 4
-EPOCHS, BATCH, ALPHA, L1, RATE, SEED = 5, 64, 0.5, 1.0, 0.05, 7
+LEAST_L1 = 3.0
+EPOCHS, BATCH, ALPHA, L1, RATE, SEED = 5, 64, 0.5, 0.1, 0.02, 7
 
 
 def terms(text: Column) -> Column:
@@ -54,6 +55,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, factors
     """Fit on rows of places.  Linear weights by follow-the-regularized-leader with an L1 term, which leaves
     out terms that tell nothing; factors of the remaining terms by AdaGrad."""
     total = weights.sum()
+    shrink = max(LEAST_L1, L1 * np.sqrt(total))  # the noise of a sum over the rows grows with their root
     rate = (float((weights * labels).sum()) + 0.1) / (total + 1)
     prior = np.log(rate / (1 - rate))
     if not rows or labels.min() == labels.max():
@@ -86,7 +88,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, factors
             z[used] += gw - (np.sqrt(new) - np.sqrt(sq[used])) / ALPHA * w[used]
             sq[used] = new
             zu = z[used]
-            w[used] = np.where(np.abs(zu) <= L1, 0, -(zu - np.sign(zu) * L1) / ((1 + np.sqrt(new)) / ALPHA))
+            w[used] = np.where(np.abs(zu) <= shrink, 0, -(zu - np.sign(zu) * shrink) / ((1 + np.sqrt(new)) / ALPHA))
             if len(a):
                 au, ai = np.unique(a, return_inverse=True)
                 for f in range(factors):
@@ -126,6 +128,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     One row per input row.  Null and empty texts get the score of a text without terms; repeated rows
     come out alike."""
     spark = docs.sparkSession
+    ship(spark)
     shared = spark.sparkContext.broadcast(machine)
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
 

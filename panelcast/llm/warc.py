@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import join_same, materialize, scratch, small
+from panelcast.llm.common import join_same, materialize, scratch, ship, small
 
 # fixed values of the formats
 DICT_MAGIC, FIRST_SKIP, LAST_SKIP, FRAME_MAGIC = 0x184D2A5D, 0x184D2A50, 0x184D2A5F, 0xFD2FB528
@@ -154,7 +154,7 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, archive_bytes: int =
     The payload is the html in UTF-8, null as empty.  Of records with equal payloads of at least ``min_bytes`` bytes
     the one with the smallest page_id is a response and the others revisit it; repeated rows of that
     page_id are all responses; a null page_id is written as ``None`` and comes last.  An empty table makes archives without records."""
-    spark = pages.sparkSession
+    ship(pages.sparkSession)
     p = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     p = p.withColumn("_sha", F.unhex(F.sha2("payload", 256)))
     sized = p.where(F.octet_length("payload") >= min_bytes)
@@ -188,6 +188,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """(archive, record_id, record_type, url, refers_to, payload_bytes, payload_digest, payload) of every record below ``path``.
     A record or archive that breaks the format raises ``WarcError``."""
 
+    ship(spark)
+
     def records(batches):
         for b in batches:
             for k in range(b.num_rows):
