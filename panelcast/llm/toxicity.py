@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import let, ship, words
 
 DIM, FACTORS, SAMPLE_ROWS, PREFIX = 2 ** 20, 4, 8_000, 4
-LEAST_L1 = 3.0
+LEAST_L1 = 5.0
 EPOCHS, BATCH, ALPHA, L1, RATE, SEED = 5, 64, 0.5, 0.1, 0.02, 7
 
 
