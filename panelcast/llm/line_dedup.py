@@ -15,27 +15,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import TOKEN, hex_number, join_same, let
+from panelcast.llm.common import TOKEN, hex_number, join_same, let, materialize, small
 
 WINDOW, DIVISOR, MIN_LINES, LONG_WORDS = 2, 4, 2, 50
 
 
-def _ends(lines: Column, divisor: int, long_words: int) -> Column:
-    """0-based places of the last lines of chunks."""
-    n_words = F.transform(lines, lambda x: F.regexp_count(x, F.lit(TOKEN)) >= long_words)
-    return let(F.transform(lines, lambda x: hex_number(x)), lambda h: let(n_words, lambda big: F.filter(
-        F.sequence(F.lit(0), F.size(h) - 1),
-        lambda i: (i == F.size(h) - 1) | F.get(big, i) | F.get(big, i + 1)
-        | ((F.coalesce(F.get(h, i - 1), F.lit(0)) * 31 + F.get(h, i)) % divisor == 0))))
+def _long(line: Column, long_words: int) -> Column:
+    return (F.length(line) >= 2 * long_words - 1) & (F.regexp_count(line, F.lit(TOKEN)) >= long_words)
 
 
 def chunks(text: Column, divisor: int = DIVISOR, long_words: int = LONG_WORDS) -> Column:
-    """Array of (no, n_lines, body) for the chunks of one text; null and empty texts have none."""
+    """Array of (no, n_lines, long, body) for the chunks of one text; null and empty texts have none."""
     lines = F.split(F.when(text != "", text), "\n", -1)
-    return let(lines, lambda ls: let(_ends(ls, divisor, long_words), lambda e: F.transform(
-        e, lambda last, j: let(F.coalesce(F.get(e, j - 1), F.lit(-1)) + 1, lambda first: F.struct(
-            j.alias("no"), (last - first + 1).alias("n_lines"),
-            F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body"))))))
+
+    def of(ls, big, h):
+        ends = F.filter(F.sequence(F.lit(0), F.size(h) - 1),
+                        lambda i: (i == F.size(h) - 1) | F.get(big, i) | F.get(big, i + 1)
+                        | ((F.coalesce(F.get(h, i - 1), F.lit(0)) * 31 + F.get(h, i)) % divisor == 0))
+        return let(ends, lambda e: F.transform(e, lambda last, j: let(
+            F.coalesce(F.get(e, j - 1), F.lit(-1)) + 1, lambda first: F.struct(
+                j.alias("no"), (last - first + 1).alias("n_lines"), F.get(big, last).alias("long"),
+                F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body")))))
+
+    return let(lines, lambda ls: let(F.transform(ls, lambda x: _long(x, long_words)), lambda big: let(
+        F.transform(ls, lambda x: hex_number(x)), lambda h: of(ls, big, h))))
 
 
 def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
@@ -49,14 +52,13 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
     """
     rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"),
                        F.explode(chunks(F.col("text"), divisor, long_words)).alias("c"))
-    rows = (rows.select("_id", "_digest", "c.no", "c.body", F.md5("c.body").alias("h"))
-            .where((F.col("c.n_lines") >= min_lines)
-                   | (F.regexp_count("c.body", F.lit(TOKEN)) >= long_words))
-            .where(F.col("c.body").rlike(TOKEN)))
+    rows = (rows.where(((F.col("c.n_lines") >= min_lines) | F.col("c.long")) & F.col("c.body").rlike(TOKEN))
+            .select("_id", "_digest", "c.no", "c.body", F.unhex(F.md5("c.body")).alias("h")))
     place = F.struct("_id", "_digest", "no")
-    repeated = (rows.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-                .where("lo != hi").select("h"))
-    again = rows.join(repeated, "h")
+    repeated = materialize(rows.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                           .where("lo != hi").select("h"))
+    # if the digests that repeat are few, no other body is shuffled
+    again = materialize(rows.join(small(repeated), "h"))
     # the first place of every body; equal digests with other bytes stay apart
     first = again.groupBy("h", "body").agg(F.min(place).alias("first"))
     gone = (again.join(first, ["h", "body"]).where(place != F.col("first"))
