@@ -60,7 +60,7 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
     # if the digests that repeat are few, no other body is shuffled
     again = materialize(rows.join(small(repeated), "h"))
     # the first place of every body; equal digests with other bytes stay apart
-    first = again.groupBy("h", "body").agg(F.min(place).alias("first"))
+    first = materialize(again.groupBy("h", "body").agg(F.min(place).alias("first")))
     gone = (again.join(first, ["h", "body"]).where(place != F.col("first"))
             .groupBy("_id", "_digest").agg(F.collect_set("no").alias("_gone")))
     d = docs.select(*[F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
