@@ -6,9 +6,12 @@ first, and a text is done as soon as no later arrival can win (early termination
 the probability Jaccard similarity of their weighted runs.  Bands of registers propose candidates, and exact
 probability Jaccard similarity on whole texts verifies them.
 
-Texts with equal words are one node.  In a bucket all members are compared with one leader, links become
-classes, and only members of different classes are compared further: a group of n copies takes about n
-comparisons, and no candidate pair whose verification could join two classes is left out.
+Texts with equal words are one node.  In a bucket all members are compared with one leader and links become
+classes, so that a group of n copies takes about n comparisons.  Then the members outside the bucket's largest
+class are compared with all members of other classes: pairs of small buckets as rows, large buckets block by block,
+where pairs that agree in less than ``AGREE`` of the registers need no exact comparison (at a similarity of 0.8 fewer
+agree in less than one of 100,000 cases) and only links that join classes come out as rows.  So every candidate pair that
+could join two classes is looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +23,9 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import join_same, let, materialize, ship, small, words
 
-SHINGLE, THRESHOLD, BANDS, ROWS, SEED, BLOCK_WORDS, STAR_ROUNDS = 5, 0.8, 20, 5, 11, 400_000, 6
+SHINGLE, THRESHOLD, BANDS, ROWS, SEED, BLOCK_WORDS = 5, 0.8, 20, 5, 11, 400_000
+#: Buckets up to this size are joined row by row; rows of a block; share of the registers in which a pair must agree.
+SMALL_BUCKET, BLOCK_ROWS, AGREE = 16, 256, 0.6
 #: A run of words is known by this many bits of its hash; the rest of 64 number the texts of a block.
 RUN_BITS = 48
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -121,29 +126,31 @@ def _digest(hashes: Column) -> Column:
 
 
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, raw, node, n_words, keys) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, raw, node, n_words, keys, marks) of every row of ``docs`` (doc_id, text): ``marks`` are 16 bits of each register."""
     def run(batches):
         for b in batches:
             lists = b.column(b.schema.get_field_index("hs"))
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            ends, out = np.cumsum(lengths), []
+            ends, out, marks = np.cumsum(lengths), [], []
             for lo, hi in _pieces(lengths, BLOCK_WORDS):
                 first = ends[lo] - lengths[lo]
                 t, h, w = shingles(flat[first:ends[hi - 1]], lengths[lo:hi])
-                out.append(band_keys(signatures(t, h, w, hi - lo, bands * rows), bands, rows))
+                won = signatures(t, h, w, hi - lo, bands * rows)
+                out.append(band_keys(won, bands, rows))
+                marks += [x.tobytes() for x in _scramble(won, 0).astype(np.uint16)]
             keys = np.concatenate(out) if out else np.empty((0, bands), np.int64)
             offsets = np.arange(len(keys) + 1, dtype=np.int32) * bands
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), b.column(3), pa.ListArray.from_arrays(offsets, keys.ravel())],
-                ["doc_id", "raw", "node", "n_words", "keys"])
+                [b.column(0), b.column(1), b.column(2), b.column(3), pa.ListArray.from_arrays(offsets, keys.ravel()),
+                 pa.array(marks, pa.binary())], ["doc_id", "raw", "node", "n_words", "keys", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     d = docs.select("doc_id", F.xxhash64("text").alias("raw"),
                     F.explode(F.array(let(_word_hashes(F.col("text")), lambda h: F.struct(
                         _digest(h).alias("node"), h.alias("hs"))))).alias("s"))
     d = d.select("doc_id", "raw", "s.node", F.size("s.hs").alias("n_words"), "s.hs")
-    return d.mapInArrow(run, f"doc_id {kind}, raw bigint, node binary, n_words int, keys array<bigint>")
+    return d.mapInArrow(run, f"doc_id {kind}, raw bigint, node binary, n_words int, keys array<bigint>, marks binary")
 
 
 def _weighted(texts: DataFrame) -> DataFrame:
@@ -193,7 +200,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(both.where("a != b").distinct())
     labels = materialize(edges.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
     while not edges.isEmpty():
-        step = materialize(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")))
+        step = small(materialize(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"))))
         labels = materialize(labels.join(step.withColumnRenamed("a", "label"), "label", "left")
                              .select("node", F.coalesce("to", "label").alias("label")))
         left = edges.join(step, "a").select(F.col("to").alias("x"), F.col("b").alias("a"))
@@ -202,11 +209,83 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def _open_pairs(members: DataFrame) -> int:
-    """Number of pairs in one bucket but of different classes, over all buckets."""
-    per = members.groupBy("key", "label").agg(F.count("*").alias("n"))
-    per = per.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-    return per.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
+def block_links(a: dict, b: dict, threshold: float, agree: float, columns: int = 8192):
+    """(i, j) of the links between two lists of texts, each a dict of lists ``label``, ``marks``, ``runs``, ``weights``."""
+    marks_a, marks_b = (np.frombuffer(b"".join(x["marks"]), np.uint16).reshape(len(x["marks"]), -1) for x in (a, b))
+    _, labels = np.unique(np.array([bytes(x) for x in (*a["label"], *b["label"])], dtype=object), return_inverse=True)
+    la, lb = labels[:len(marks_a)], labels[len(marks_a):]
+    maybe = np.stack([((row == marks_b).mean(1) >= agree) & (own != lb) for row, own in zip(marks_a, la, strict=True)])
+    plain_a, plain_b = (np.array([max(w, default=1) == 1 for w in x["weights"]]) for x in (a, b))
+    out = [(i, j) for i, j in np.argwhere(maybe & ~(plain_a[:, None] & plain_b[None])) if probability_jaccard(
+        np.asarray(a["runs"][i]), a["weights"][i], np.asarray(b["runs"][j]), b["weights"][j]) >= threshold - 1e-12]
+    # where every run occurs once, the similarity is |a & b| / |a | b|: counted for all pairs by products of 0/1 matrices
+    maybe &= plain_a[:, None] & plain_b[None]
+    ia, ib = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
+    if not len(ia):
+        return out
+    sets = [[np.asarray(x["runs"][i]) for i in at] for x, at in ((a, ia), (b, ib))]
+    sizes = [np.array([len(r) for r in side]) for side in sets]
+    flat = [np.concatenate(side) for side in sets]
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    common = np.intersect1d(*flat)
+    shared = np.zeros((len(ia), len(ib)))
+    for lo in range(0, len(common), columns):
+        part, dense = common[lo:lo + columns], []
+        for values, row, n in zip(flat, rows, sizes, strict=True):
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[at] == values
+            m = np.zeros((len(n), len(part)), np.float32)
+            m[row[hit], at[hit]] = 1
+            dense.append(m)
+        shared += dense[0] @ dense[1].T
+    similar = shared / (sizes[0][:, None] + sizes[1][None] - shared)
+    return out + [(ia[i], ib[j]) for i, j in np.argwhere((similar >= threshold - 1e-12) & maybe[np.ix_(ia, ib)])]
+
+
+def _other_links(now: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float, agree: float) -> DataFrame:
+    """Links (a, b) between classes in ``now`` (key, node, label), the buckets with members of several classes."""
+    per = now.groupBy("key", "label").agg(F.count("*").alias("n"))
+    top = materialize(per.groupBy("key").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("top"),
+                                             (F.sum("n") - F.max("n")).alias("minor")))
+    m = now.join(top, "key")
+    few = m.where(F.col("n") <= SMALL_BUCKET).select("key", "node", "label")
+    pairs = few.join(few.select("key", F.col("node").alias("_node"), F.col("label").alias("_label")), "key").where(
+        "label != _label AND node < _node").select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct()
+    many = m.where(F.col("n") > SMALL_BUCKET).select(
+        "key", "node", "label", "top",
+        F.ceil(F.col("minor") / BLOCK_ROWS).cast("int").alias("lefts"), F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("rights"))
+    many = materialize(many.join(nodes.select("node", "marks"), "node").join(texts, "node"))
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sides = {"a": many.where("label != top").withColumn("l", block("lefts")).withColumn("r", each("rights")),
+             "b": many.withColumn("l", each("lefts")).withColumn("r", block("rights"))}
+    left, right = (df.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "l", "r", "node", "label", "marks", "runs", "weights")])
+                   for side, df in sides.items())
+
+    def compare(x, y):
+        import pandas as pd
+
+        a, b = ({c: df[f"{side}_{c}"].to_list() for c in ("node", "label", "marks", "runs", "weights")} for side, df in (("a", x), ("b", y)))
+        if not a["node"] or not b["node"]:
+            return pd.DataFrame({"a": [], "b": []})
+        # links that join what the block's earlier links have not joined yet
+        joined: dict[bytes, bytes] = {}
+
+        def root(c):
+            while joined.get(c, c) != c:
+                c = joined[c]
+            return c
+
+        found = []
+        for i, j in block_links(a, b, threshold, agree):
+            x1, x2 = root(bytes(a["label"][i])), root(bytes(b["label"][j]))
+            if x1 != x2:
+                joined[max(x1, x2)] = min(x1, x2)
+                found.append((bytes(a["node"][i]), bytes(b["node"][j])))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    big = left.groupBy("a_key", "a_l", "a_r").cogroup(right.groupBy("b_key", "b_l", "b_r")).applyInPandas(compare, "a binary, b binary")
+    return _verified(pairs, texts, threshold).unionByName(big)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -220,35 +299,21 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     ship(docs.sparkSession)
     sketches = materialize(sketch(docs.select("doc_id", "text"), bands, rows))
     full = sketches.where("n_words > 0")
-    nodes = materialize(full.groupBy("node").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("keys").alias("keys")))
+    nodes = materialize(full.groupBy("node").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("keys").alias("keys"),
+                                                  F.first("marks").alias("marks")))
     spread = nodes.select("node", F.explode("keys").alias("key"))
     shared = spread.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader != _last")
     members = materialize(spread.join(shared.select("key", "leader"), "key"))
     texts = _candidate_texts(docs, nodes.join(members.select("node").distinct(), "node", "left_semi"))
-    links, labels = None, None
     pairs = members.where("leader != node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    for turn in range(STAR_ROUNDS + 1):
-        found = _verified(pairs, texts, threshold)
-        links = materialize(found if links is None else links.unionByName(found))
-        labels = components(links)
-        now = members.select("key", "node").join(labels, "node", "left").select(
-            "key", "node", F.coalesce("label", "node").alias("label"))
-        mixed = now.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo != _hi").select("key")
-        now = materialize(now.join(mixed, "key", "left_semi"))
-        left = _open_pairs(now)
-        if left == 0 or turn == STAR_ROUNDS:
-            break
-        final = turn == STAR_ROUNDS - 1 or left <= 10 * now.count()
-        if final:
-            pairs = _cross_pairs(now)
-        else:  # another leader, chosen by chance, for every bucket with several classes
-            lead = now.groupBy("key").agg(F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("l"))
-            pairs = now.join(lead, "key").where("label != l.label").select(
-                F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct()
-        if final:
-            links = materialize(links.unionByName(_verified(pairs, texts, threshold)))
-            labels = components(links)
-            break
+    links = materialize(_verified(pairs, texts, threshold))
+    labels = small(components(links))
+    now = members.select("key", "node").join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
+    mixed = now.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo != _hi").select("key")
+    now = materialize(now.join(mixed, "key", "left_semi"))
+    more = _other_links(now, nodes, texts, threshold, AGREE)
+    labels = small(components(materialize(links.unionByName(more))))
     base = join_same(sketches, labels.withColumnRenamed("label", "_label"), ["node"], "left").select(
         "doc_id", "raw", "n_words", F.when(F.col("n_words") > 0, F.coalesce("_label", "node")).alias("class"))
     sums = base.where("n_words > 0").groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
@@ -265,16 +330,6 @@ def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialize(_weighted(mine.select("node", "text")).dropDuplicates(["node"]))
 
 
-def _cross_pairs(now: DataFrame) -> DataFrame:
-    """Pairs of different classes in a bucket: members outside its largest class with all others."""
-    per = now.groupBy("key", "label").agg(F.count("*").alias("n"))
-    top = per.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("top"))
-    minor = now.join(top, "key").where("label != top").select(
-        "key", F.col("node").alias("_node"), F.col("label").alias("_label"))
-    return minor.join(now, "key").where("label != _label").select(
-        F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
-
-
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each class, the one with the smallest id; of repeated rows of it one."""
     chosen = materialize(classes(docs).where("kept").groupBy("doc_id", "raw").agg(F.count("*").alias("_rows"))
