@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import let, ship, words
 
-DIM, FACTORS, SAMPLE_ROWS, PREFIX = 2 ** 20, 4, 8_000, 4
+DIM, FACTORS, SAMPLE_ROWS, PREFIX = 2 ** 20, 4, 5_000, 4
 LEAST_L1 = 5.0
 EPOCHS, BATCH, ALPHA, L1, RATE, SEED = 5, 64, 0.5, 0.1, 0.02, 7
 
@@ -115,11 +115,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     if not parts:
         return fit([], np.empty(0), np.empty(0))
     chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("h", "y", terms(F.col("text")).alias("t"))
-    rows = sorted(((r["h"], r["y"], r["t"]) for r in rows.toLocalIterator()), key=lambda r: (r[0], r[2][:8], len(r[2])))
-    y = np.array([r[1] for r in rows], float)
+    # the bounded sample comes as columns of numbers
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("h", "y", terms(F.col("text")).alias("t")).toArrow()
+    lists = pa.chunked_array(sample["t"].chunks, sample["t"].type).combine_chunks()
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    order = np.lexsort((np.diff(ends), sample["h"].to_numpy()))
+    y = sample["y"].to_numpy()[order].astype(float)
     n = {k: max(1, int((y == k).sum())) for k in share}
-    return fit([np.array(r[2], np.int64) for r in rows], y, np.array([share[int(k)] / n[int(k)] for k in y]))
+    return fit([flat[ends[i]:ends[i + 1]] for i in order], y, np.array([share[int(k)] / n[int(k)] for k in y]))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
