@@ -104,9 +104,8 @@ def blocks(page: str) -> list[Block]:
             in_link = not m[1]
             continue
         if tag in _RAW and not m[1]:
-            if tag not in ("noscript",):
-                end = _RAW[tag].search(page, at)
-                at = end.end() if end else len(page)
+            end = _RAW[tag].search(page, at)
+            at = end.end() if end else len(page)
             if tag in ("button", "select", "svg"):
                 parts.append(" ")
             continue
@@ -119,8 +118,6 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID or tag in ("p", "li", "dt", "dd", "tr", "td", "th", "html", "body"):
             if tag == "body" and not m[1]:
                 stack.clear()
-            if tag in ("li", "td", "p") and not m[1] and m[3]:
-                pass
             continue
         above = stack[-1][1] if stack else 0
         if m[1]:
@@ -142,6 +139,8 @@ FEATURES = ("zone", "words", "density", "words_before", "density_before", "words
 
 def features(bs: list[Block]) -> list[tuple]:
     edge = Block("", 0, 0, 0)
+    if not bs:
+        return []
     return [(b.zone, b.words, b.density, p.words, p.density, n.words, n.density)
             for p, b, n in zip([edge, *bs[:-1]], bs, [*bs[1:], edge], strict=True)]
 
@@ -153,6 +152,10 @@ LABELLED = [
     (1, 3, 0.0, 2, 0.0, 80, 0.1, 1), (1, 25, 0.3, 40, 0.0, 12, 0.0, 1), (1, 5, 0.4, 30, 0.0, 30, 0.0, 1),
     (1, 12, 0.0, 5, 1.0, 0, 0.0, 1), (1, 2, 0.0, 3, 1.0, 9, 0.0, 1), (1, 40, 0.05, 6, 0.8, 7, 0.0, 1),
     (1, 1, 0.0, 1, 0.0, 1, 0.0, 1), (1, 4, 0.0, 9, 0.0, 6, 0.0, 1), (1, 18, 0.6, 30, 0.0, 22, 0.0, 1),
+    (1, 3, 0.0, 3, 0.0, 4, 0.0, 1), (1, 2, 0.0, 3, 1.0, 2, 1.0, 1), (1, 1, 0.0, 0, 0.0, 0, 0.0, 1),
+    (1, 3, 0.0, 40, 0.0, 3, 0.9, 1), (1, 9, 0.0, 4, 0.9, 3, 1.0, 1), (1, 3, 0.5, 3, 0.0, 2, 0.0, 1),
+    (1, 2, 0.0, 1, 1.0, 3, 0.0, 1), (1, 6, 0.0, 12, 0.0, 2, 0.0, 1), (1, 15, 0.0, 2, 0.0, 2, 0.0, 1),
+    (1, 3, 0.0, 0, 0.0, 9, 0.0, 1), (1, 11, 0.2, 1, 0.0, 1, 0.0, 1), (1, 4, 0.0, 14, 0.0, 1, 1.0, 1),
     # inside an article: short rows of links
     (1, 3, 1.0, 40, 0.0, 3, 1.0, 0), (1, 2, 1.0, 3, 1.0, 2, 1.0, 0), (1, 4, 1.0, 3, 1.0, 0, 0.0, 0),
     # inside menus, footers, sidebars, adverts, forms, comments
