@@ -62,12 +62,14 @@ def value_columns(df: DataFrame, series: Series, time: str) -> list[str]:
 
 # --------------------------------------------------------------------------- P1
 def filter_time_range(df: DataFrame, time: str, start=None, end=None) -> DataFrame:
-    """Keep ``start <= time <= end``; None leaves that side open.  Strings like '1996-01' allowed."""
+    """Keep ``start <= time <= end``; None leaves that side open.  Strings like '1996-01' are whole
+    months: as an end bound every day and hour of that month is kept."""
     cond = F.lit(True)
     if start is not None:
         cond = cond & (F.col(time) >= _as_date(start))
     if end is not None:
-        cond = cond & (F.col(time) <= _as_date(end))
+        month = isinstance(end, str) and len(end) == 7
+        cond = cond & ((F.col(time) < F.add_months(_as_date(end), 1)) if month else (F.col(time) <= _as_date(end)))
     return df.filter(cond)
 
 
@@ -112,7 +114,7 @@ def regular_grid(df: DataFrame, series: Series, time: str, unit: str = "month",
     One window pass: each observed row looks at the next observed period and emits
     itself plus one NULL row per missing period (``explode(sequence(0, gap))``).  No join
     to a calendar spine, no extra shuffle; grid size is the sum of each series' span.
-    The key (series, time) must be unique (check with ``quality.key_check``).
+    A period that occurs twice in a series stops the job with an error.
     """
     keys = keys_of(series)
     vals = value_columns(df, series, time)
@@ -120,6 +122,7 @@ def regular_grid(df: DataFrame, series: Series, time: str, unit: str = "month",
     nxt = f"lead({t}) {over(series, time)}"
     gap = {"month": f"CAST(months_between({nxt}, {t}) AS INT)", "day": f"datediff({nxt}, {t})",
            "hour": f"CAST(timestampdiff(HOUR, {t}, {nxt}) AS INT)"}[unit]
+    gap = f"CASE WHEN {nxt} = {t} THEN raise_error('grid: a series has a period twice') ELSE {gap} END"
     cols = [q(c) for c in keys + [time] + vals]
     step = df.selectExpr(*cols, f"greatest(coalesce({_gap_guard(gap, max_gap_periods)} - 1, 0), 0) AS __gap")
     step = step.selectExpr(*cols, "explode(sequence(0, __gap)) AS __k")

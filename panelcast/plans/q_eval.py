@@ -125,14 +125,15 @@ def e12_residual_regime(spark, sf):
 
 @register("e13_uncertainty_band", sql=REG_SQL + f"""SELECT f.nation, f.segment, f.period, f.target, f.model, f.y_pred, r.rmse,
   f.y_pred - r.rmse AS lower, f.y_pred + r.rmse AS upper
-FROM (SELECT * FROM regpreds WHERE period = (SELECT max(period) FROM regpreds)) f
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nation, segment, target, model ORDER BY period DESC) AS nth
+  FROM regpreds) n WHERE nth = 1) f
 LEFT JOIN ({E7_INNER}) r ON f.target = r.target AND f.model = r.model""", r6=["y_pred", "lower", "upper"])
 def e13_uncertainty_band(spark, sf):
     from panelcast.session import materialize
     rp = materialize(PL.regression_predictions_a(spark, sf))   # read three times below
     reg = evaluate.regression_metrics(rp, BY)
-    last = rp.agg(F.max(T)).first()[0]  # forecast issue date: one scalar
-    fc = rp.filter(F.col(T) == F.lit(last)).select(*K, T, "target", "model", "y_pred")
+    # the latest forecast of every series, target and model
+    fc = rp.groupBy(*K, "target", "model").agg(F.max_by(F.struct(T, "y_pred"), T).alias("f")).select(*K, "target", "model", "f.*")
     return evaluate.uncertainty_band(fc, reg)
 
 

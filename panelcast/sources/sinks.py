@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,9 +32,16 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def read_metrics(spark: SparkSession, path: str, key: Sequence[str] = ("target",)) -> DataFrame:
-    """Read every metrics JSON file under ``path`` and merge by key: for each key the rows of
-    the latest file (by file name) win."""
-    df = spark.read.option("multiLine", True).json(path).withColumn("__file", F.col("_metadata.file_name"))
-    latest = F.max("__file").over(Window.partitionBy(*key))
-    return df.withColumn("__latest", latest).filter(F.col("__file") == F.col("__latest")).drop("__file", "__latest")
+def read_metrics(spark: SparkSession, path: str, key: Sequence[str] = ("target",), arrays: bool = False) -> DataFrame:
+    """Read all metrics under ``path`` and merge by key: for each key the rows of the latest run win.
+
+    A run is a folder that ``write_json`` wrote (JSON lines, any number of part files); the latest has the
+    greatest folder name.  With ``arrays`` every file holds one JSON array and is a run of its own."""
+    name = r"([^/]+)$" if arrays else r"([^/]+)/[^/]+$"
+    df = (spark.read.option("multiLine", arrays).option("recursiveFileLookup", True).json(path)
+          .withColumn("__run", F.regexp_extract(F.col("_metadata.file_path"), name, 1)))
+    latest = df.groupBy(*key).agg(F.max("__run").alias("__run"))   # one row per key: joined by size, not by hint
+    same = [df[k].eqNullSafe(latest[k]) for k in (*key, "__run")]
+    for c in same[1:]:
+        same[0] = same[0] & c
+    return df.join(latest, same[0], "left_semi").drop("__run")

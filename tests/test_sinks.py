@@ -32,10 +32,22 @@ def test_json_metrics_and_merge(spark, tmp_path):
     (d / "a_run1.json").write_text(json.dumps([{"target": "enso_t1", "model": "m", "f1_macro": 0.5},
                                                {"target": "enso_t3", "model": "m", "f1_macro": 0.4}]))
     (d / "b_run2.json").write_text(json.dumps([{"target": "enso_t1", "model": "m", "f1_macro": 0.9}]))
-    got = {r.target: r.f1_macro for r in sinks.read_metrics(spark, str(d)).collect()}
+    got = {r.target: r.f1_macro for r in sinks.read_metrics(spark, str(d), arrays=True).collect()}
     assert got == {"enso_t1": 0.9, "enso_t3": 0.4}
 
 
+def test_metrics_round_trip_with_several_part_files(spark, tmp_path):
+    rows = [(f"t{i % 3}", f"m{i}", float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "target string, model string, f1_macro double")
+    sinks.write_json(df.repartition(3), str(tmp_path / "metrics" / "run1"))
+    assert sinks.read_metrics(spark, str(tmp_path / "metrics")).count() == 12
+    sinks.write_json(df.filter("target = 't1'").repartition(2), str(tmp_path / "metrics" / "run2"))
+    got = sinks.read_metrics(spark, str(tmp_path / "metrics"))
+    assert sorted(map(tuple, got.select("target", "model", "f1_macro").collect())) == sorted(rows)
+    sinks.write_json(df.filter("model = 'm0'"), str(tmp_path / "metrics" / "run3"))
+    assert sinks.read_metrics(spark, str(tmp_path / "metrics")).filter("target = 't0'").count() == 1
+
+
 def test_json_sink_nested(spark, tmp_path):
     rows = [("t", "m", "La Niña", "La Niña")] * 3 + [("t", "m", "Neutral", "La Niña")]
     pred = spark.createDataFrame(rows, "target string, model string, y_true string, y_pred string")

@@ -116,3 +116,18 @@ def test_registry_flags(spark):
     b = spark.createDataFrame([("s", dt.date(2000, 2, 1), 2.0)], "series string, period date, b double")
     out = text.registry({"a": (lambda: a, True), "b": (lambda: b, True), "c": (lambda: 1 / 0, False)}, ["series", "period"])
     assert sorted((r.period, r.a, r.b) for r in out.collect()) == [(dt.date(2000, 1, 1), 1.0, None), (dt.date(2000, 2, 1), None, 2.0)]
+
+
+def test_month_strings_select_whole_months(spark):
+    from panelcast.operators import panel
+    days = spark.createDataFrame([(dt.date(2000, 3, d),) for d in (1, 15, 31)] + [(dt.date(2000, 4, 1),)], "day date")
+    assert panel.filter_time_range(days, "day", "2000-03", "2000-03").count() == 3
+
+
+def test_grid_refuses_a_period_that_occurs_twice(spark):
+    import pytest
+    from panelcast.operators import panel
+    df = spark.createDataFrame([("s", dt.date(2000, 1, 1), 1.0), ("s", dt.date(2000, 1, 1), 2.0), ("s", dt.date(2000, 3, 1), 3.0)],
+                               "series string, period date, x double")
+    with pytest.raises(Exception, match="period twice"):
+        panel.regular_grid(df, ["series"], "period").collect()
