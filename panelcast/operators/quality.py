@@ -189,6 +189,11 @@ def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[
     Key uniqueness, grid gaps, target shift and target copies come from ONE window pass over
     the series and ONE global aggregate (partial per task); only the lag alignment, which must
     be recomputed independently of the windows, is a separate self-join.
+
+    Leaks are found by value as well as by name: a numeric feature that equals ``lead(base, k)`` for a base of
+    ``lag_bases`` and a k of ``horizons`` on all rows where both are known counts under
+    ``no_future_lags``, a text feature that equals a text target under ``no_target_copies`` (unless
+    the compared values are all one and the same).
     """
     w = over(series, time)
     t = q(time)
@@ -199,11 +204,15 @@ def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[
     numeric = [f for f in features if isinstance(types[f], T.NumericType)]
     value_targets = [x for x in targets if isinstance(types[x], T.NumericType)]
     pairs = [(f, x) for f in numeric for x in value_targets]
-    cols = sorted(set(numeric) | set(value_targets))
+    text = [(f, x) for f in features for x in targets if f != x and isinstance(types.get(f), T.StringType)
+            and isinstance(types.get(x), T.StringType)]
+    ahead = [(f, b, h) for f in numeric for b in lag_bases for h in horizons if f != b and b in types]
+    cols = sorted(set(numeric) | set(value_targets) | {c for pair in text for c in pair})
     rows = df.selectExpr(
         f"coalesce({t} = {prev}, false) AS __dup", f"greatest(coalesce({diff}, 1) - 1, 0) AS __gap",
         *[f"{q(f'{prefix}_t{h}')} AS __t{h}" for h in horizons],
         *[f"lead({q(phase)}, {h}) {w} AS __l{h}" for h in horizons],
+        *[f"lead({q(b)}, {h}) {w} AS {q(f'__ahead_{b}_{h}')}" for b, h in sorted({(b, h) for _, b, h in ahead})],
         *[q(c) for c in cols])
     aggs = ["CAST(count_if(__dup) AS BIGINT) AS dup", "CAST(coalesce(sum(__gap), 0) AS BIGINT) AS gap",
             "CAST(" + " + ".join(f"count_if(__t{h} IS NOT NULL AND __l{h} IS NOT NULL AND __t{h} <> __l{h})"
@@ -211,16 +220,27 @@ def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[
     for i, (f, x) in enumerate(pairs):
         both = f"{q(f)} IS NOT NULL AND {q(x)} IS NOT NULL"
         aggs += [f"count_if({both}) AS c{i}", f"count_if({both} AND abs({q(f)} - {q(x)}) > 1e-9) AS m{i}"]
+    hidden = [(f, x, f"{q(f)} <> {q(x)}", "x") for f, x in text] + [
+        (f, f"__ahead_{b}_{h}", f"abs({q(f)} - {q(f'__ahead_{b}_{h}')}) > 1e-9", "a") for f, b, h in ahead]
+    for i, (f, x, differ, _) in enumerate(hidden):
+        both = f"{q(f)} IS NOT NULL AND {q(x)} IS NOT NULL"
+        aggs.append(f"count_if({both}) > 0 AND count_if({both} AND {differ}) = 0 AND "
+                    f"min(CASE WHEN {both} THEN {q(x)} END) <> max(CASE WHEN {both} THEN {q(x)} END) AS h{i}")
+    found = {kind: "array(" + ", ".join([f"CASE WHEN h{i} THEN {_sql_str(f)} END" for i, (f, _, _, k) in enumerate(hidden) if k == kind]
+                                        + ["CAST(NULL AS STRING)"]) + ")" for kind in "xa"}
     one = rows.agg(*[F.expr(a) for a in aggs])
     copy_items = ", ".join(f"CASE WHEN c{i} > 0 AND m{i} = 0 THEN {_sql_str(f)} END" for i, (f, _) in enumerate(pairs))
     copies = (f"array_sort(filter(array({copy_items}), x -> x IS NOT NULL))" if pairs
               else "CAST(array() AS ARRAY<STRING>)")
+    copies = f"array_sort(array_distinct(concat({copies}, filter({found['x']}, x -> x IS NOT NULL))))"
     bad_names = future_lag_names(features)
+    leaks = ("array_sort(array_distinct(filter(concat(array(" + ", ".join([_sql_str(n) for n in bad_names] + ["CAST(NULL AS STRING)"])
+             + f"), {found['a']}), x -> x IS NOT NULL)))")
     overlap = sorted(set(features) & set(targets))
     checks = [
         [_sql_str("key_unique"), "dup", _sql_str("duplicate (series, period) rows")],
         [_sql_str("grid_gapless"), "gap", _sql_str("missing periods inside series spans")],
-        [_sql_str("no_future_lags"), f"CAST({len(bad_names)} AS BIGINT)", _sql_str(", ".join(bad_names))],
+        [_sql_str("no_future_lags"), f"CAST(size({leaks}) AS BIGINT)", f"array_join({leaks}, ', ')"],
         [_sql_str("no_targets_in_features"), f"CAST({len(overlap)} AS BIGINT)", _sql_str(", ".join(overlap))],
         [_sql_str("target_shift_correct"), "shift", _sql_str("rows where class target != lead(phase, L)")],
         [_sql_str("no_target_copies"), f"CAST(size({copies}) AS BIGINT)", f"array_join({copies}, ', ')"],

@@ -104,3 +104,18 @@ def test_gate_refuses_gapped_panel(spark):
     assert not rep["grid_gapless"].passed and rep["grid_gapless"].n_bad == 2
     with pytest.raises(AssertionError, match="grid_gapless"):
         quality.assert_passed(quality.leakage_report(ds, "series", "period", ["x_lag1"], ["enso_t1"]))
+
+
+def test_gate_finds_leaks_by_value(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from panelcast.plans import pipelines as PL
+    ds = PL.build_dataset(spark, "/root/testdata/sf0.001")
+    w = Window.partitionBy("nation", "segment").orderBy("period")
+    planted = ds.withColumn("calm_name", F.lead("anom", 1).over(w)).withColumn("label_copy", F.col("enso_t1"))
+    rep = {r["check"]: r for r in quality.leakage_report(planted, ["nation", "segment"], "period", ["anom_lag1", "calm_name", "label_copy"],
+                                                         ["enso_t1", "enso_t3"], lag_bases=["anom"]).collect()}
+    assert not rep["no_future_lags"].passed and rep["no_future_lags"].detail == "calm_name"
+    assert not rep["no_target_copies"].passed and rep["no_target_copies"].detail == "label_copy"
+    clean = {r["check"]: r.passed for r in quality.leakage_report(ds, ["nation", "segment"], "period", ["anom_lag1"], ["enso_t1"], lag_bases=["anom"]).collect()}
+    assert clean["no_future_lags"] and clean["no_target_copies"]
