@@ -16,6 +16,10 @@ from panelcast.functions.scalar import LABELS
 from panelcast.operators.panel import Series, add_periods, keys_of
 
 
+#: More pairs in one aggregate would no longer be compiled to code.
+PAIRS_AT_ONCE = 64
+
+
 def month_lookup(df: DataFrame, value: Column, month: str = "month") -> DataFrame:
     """J7 dimension: one row per calendar month (at most 12 rows)."""
     return df.groupBy(month).agg(value)
@@ -67,10 +71,17 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], complete_rows: bool =
         idx = {c: i for i, c in enumerate(cols)}
         rows = [(a, b, float(mat[idx[a], idx[b]])) for a, b in pairs]
         return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                                   F.col(f"p{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
-                                ).alias("s")).select("s.*")
+    if len(pairs) > PAIRS_AT_ONCE:
+        from panelcast.session import materialize
+        df = materialize(df.select(*cols))  # read once for each part of the pairs
+    out = None
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        part = pairs[at:at + PAIRS_AT_ONCE]
+        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(part)])
+        rows = row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{i}").alias("corr"))
+                                              for i, (a, b) in enumerate(part)])).alias("s")).select("s.*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def extents(df: DataFrame, time: str, by: Sequence[str]) -> DataFrame:

@@ -92,16 +92,16 @@ def by_init_month(pred: DataFrame, time: str, by: Sequence[str] = ("target", "mo
     by = list(by)
     counts = confusion_counts(pred.withColumn("month", F.month(time).cast("int")), by + ["month"], labels)
     m = metrics_from_counts(counts, by + ["month"], labels, decimals=decimals)
-    # all 12 months for every group: groups come from the (tiny) metrics table itself, not from
-    # a second pass over the predictions, and months are generated per group
-    groups = m.select(*by).distinct()
-    months = groups.select(*by, F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
-    j = months.join(m.select(*by, "month", "f1_macro", "n"), on=by + ["month"], how="left")
-    n_raw = F.coalesce(F.col("n"), F.lit(0))
+    # at most 12 rows a group become one map, from which all 12 months are read: no join, no second pass
+    per = m.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(
+        "month", F.struct("f1_macro", F.col("n").cast("bigint").alias("n"))))).alias("__m"))
+    j = per.select(*by, "__m", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month")).select(
+        *by, "month", F.try_element_at("__m", F.col("month")).alias("__c"))
+    n_raw = F.coalesce(F.col("__c.n"), F.lit(0).cast("bigint"))
     return j.select(*by, "month",
-                    F.when(n_raw >= min_samples, F.col("f1_macro")).alias("f1_macro"),
+                    F.when(n_raw >= min_samples, F.col("__c.f1_macro")).alias("f1_macro"),
                     F.when(n_raw >= min_samples, n_raw).otherwise(F.lit(0)).cast("bigint").alias("n"),
-                    n_raw.cast("bigint").alias("n_raw"))
+                    n_raw.alias("n_raw"))
 
 
 def normalized_confusion(pred: DataFrame, by: Sequence[str] = ("target", "model"),
@@ -134,12 +134,12 @@ def skill_score(reg: DataFrame, reference_model: str = "persistence", by: Sequen
 def beats_baseline(metrics: DataFrame, baselines: Sequence[str] = BASELINES, metric: str = "f1_macro") -> DataFrame:
     """E9 (+ W11): best non-baseline model per target against the best baseline."""
     is_base = F.col("model").isin(list(baselines))
-    base = metrics.filter(is_base).groupBy("target").agg(F.max(metric).alias("baseline_" + metric))
-    w = Window.partitionBy("target").orderBy(F.col(metric).desc(), F.col("model").asc())
-    best = (metrics.filter(~is_base).select("*", F.row_number().over(w).alias("__r"))
-            .filter("__r = 1").select("target", F.col("model").alias("best_model"), F.col(metric).alias("best_" + metric)))
-    j = best.join(base, "target", "full_outer")
-    return j.select("*", (F.col("best_" + metric) > F.col("baseline_" + metric)).alias("beats_baseline"))
+    # highest score first, then the smallest name; one entry per model of a target
+    top = F.array_max(F.collect_list(F.when(~is_base, F.col(metric))))
+    first = F.array_min(F.collect_list(F.when(~is_base, F.struct((-F.col(metric)).alias("s"), "model"))))
+    per = metrics.groupBy("target").agg(first["model"].alias("best_model"), top.alias("best_" + metric),
+                                        F.max(F.when(is_base, F.col(metric))).alias("baseline_" + metric))
+    return per.select("*", (F.col("best_" + metric) > F.col("baseline_" + metric)).alias("beats_baseline"))
 
 
 def top_model(metrics: DataFrame, metric: str = "f1_macro") -> DataFrame:

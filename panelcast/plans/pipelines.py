@@ -159,24 +159,34 @@ def run_build(df: DataFrame, series, time: str, value: str, out_path: str, base:
 
 
 def run_training(spark: SparkSession, dataset_path: str, series, time: str, out_dir: str, train_end, test_start,
-                 val_start=None, val_end=None, kinds=("logistic", "forest", "boosted"), horizons=HORIZONS) -> DataFrame:
+                 val_start=None, val_end=None, kinds=("logistic", "forest", "boosted"), horizons=HORIZONS,
+                 value: str = "anom", params: dict | None = None) -> DataFrame:
     """Entry 2 (train and evaluate): split (L1) -> per target fit every model on train rows and
     score the test rows against climatology and persistence (M14) -> tidy metrics sorted (E2, E6)
-    -> beats-baseline table (E9) -> JSON sinks (S12).  Returns the tidy metrics."""
+    -> beats-baseline table (E9) -> JSON sinks (S12).  For the value targets: boosted regressors
+    against the persistence of ``value``, RMSE, MAE and skill (E7, E8).  Below ``out_dir``: ``metrics``,
+    ``beats_baseline``, ``regression_metrics`` and ``models/<target>/<kind>`` (M10).  Returns the tidy metrics."""
+    from panelcast.operators import models
     from panelcast.session import materialize
     from panelcast.sources.sinks import write_json
 
-    keys = panel.keys_of(series)
+    keys, out, params = panel.keys_of(series), out_dir.rstrip("/"), params or {}
     ds = spark.read.parquet(dataset_path)
     roles = labels.target_columns(horizons)
     feats = features.feature_columns(ds, roles["phase"] + roles["class"] + roles["value"], keys, time,
                                      numeric_only=True)
     df = materialize(splits.time_split(ds, time, train_end, test_start, val_start, val_end))
-    from panelcast.operators import models
-    preds = models.train_and_evaluate(df, keys, time, feats, roles["class"], kinds=kinds)
-    metrics = evaluate.order_metrics(evaluate.classification_metrics(preds, ["target", "model"], with_matrix=True))
-    write_json(metrics, f"{out_dir.rstrip('/')}/metrics")
-    write_json(evaluate.beats_baseline(metrics), f"{out_dir.rstrip('/')}/beats_baseline")
+    fitted = models.fit_classifiers(df, feats, roles["class"], kinds, params=params)
+    preds = materialize(models.train_and_evaluate(df, keys, time, feats, roles["class"], kinds, fitted=fitted))
+    metrics = materialize(evaluate.classification_metrics(preds, ["target", "model"], with_matrix=True))
+    metrics = evaluate.order_metrics(metrics)
+    write_json(metrics, f"{out}/metrics")
+    write_json(evaluate.beats_baseline(metrics), f"{out}/beats_baseline")
+    values = models.fit_regressors(df, feats, roles["value"], params=params.get("boosted"))
+    reg = models.train_and_evaluate_values(df, keys, time, feats, roles["value"], value, fitted=values)
+    write_json(evaluate.skill_score(evaluate.regression_metrics(reg)), f"{out}/regression_metrics")
+    for (t, kind), m in {**fitted, **{(t, "boosted_value"): m for t, m in values.items()}}.items():
+        models.save_model(m, f"{out}/models/{t}/{kind}")
     return metrics
 
 

@@ -73,12 +73,12 @@ def a6_corr_topk(spark, sf):
     return analysis.top_k(c, "abs_corr", 10, ["feature"])
 
 
-MATRIX = ["anom", "anom_lag1", "anom_rm3", "anom_diff1", "orders"]
+MATRIX = CORR_FEATS  # every numeric feature
 PAIRS = [(a, b) for i, a in enumerate(MATRIX) for b in MATRIX[i:]]
 
 
-@register("a7_corr_matrix", sql=_sql_a("features_a", " UNION ALL ".join(
-    f"SELECT {O.q(a)} AS col_a, {O.q(b)} AS col_b, corr({a}, {b}) AS corr FROM features_a" for a, b in PAIRS)),
+@register("a7_corr_matrix", sql=_sql_a("features_a", "SELECT s.col_a, s.col_b, s.corr FROM (SELECT unnest(l) AS s FROM (SELECT [" + ", ".join(
+    f"{{'col_a': {O.q(a)}, 'col_b': {O.q(b)}, 'corr': corr({a}, {b})}}" for a, b in PAIRS) + "] AS l FROM features_a) x) y"),
     r6=["corr"])
 def a7_corr_matrix(spark, sf):
     return analysis.correlation_matrix(PL.build_dataset(spark, sf), MATRIX)

@@ -225,84 +225,139 @@ def _split_features(spark, sf):
     return materialize(df.withColumn("is_val", F.col("split") == "val"))
 
 
-def _fit_predict(spark, sf, kind, target="enso_t3", params=None):
+def _fit_predict(spark, sf, kinds, targets=PL.TARGETS):
+    """(materialised table, fitted models, long predictions of the test rows) for ``kinds`` and all targets."""
     df = _split_features(spark, sf)
-    train = df.filter((F.col("split") == "train") & F.col(target).isNotNull()).dropna(subset=FEATS_ML)
-    test = models.fill_test_features(df.filter((F.col("split") == "test") & F.col(target).isNotNull()), FEATS_ML, K, T)
-    m = models.fit_classifier(train, FEATS_ML, target, kind, params)
-    return m, test, m.transform(test).select(*K, T, F.lit(target).alias("target"), F.lit(kind).alias("model"),
-                                            F.col(target).alias("y_true"), "y_pred")
+    fitted = models.fit_classifiers(df, FEATS_ML, targets, kinds)
+    return df, fitted, models.train_and_evaluate(df, K, T, FEATS_ML, targets, kinds, fitted=fitted)
+
+
+def _metrics_of(spark, sf, kind):
+    return evaluate.classification_metrics(_fit_predict(spark, sf, [kind])[2].filter(F.col("model") == kind), BY)
+
+
+def _probabilities(df, fitted):
+    """(series, period, target, model, y_true, y_pred, p_...) of the test rows for every fitted classifier."""
+    out = []
+    for (t, kind), m in fitted.items():
+        p = models.class_probabilities(m, models.fill_test_features(
+            df.filter((F.col("split") == "test") & F.col(t).isNotNull()), FEATS_ML, K, T), LABELS)
+        out.append(p.select(*K, T, F.lit(t).alias("target"), F.lit(kind).alias("model"), F.col(t).alias("y_true"), "y_pred",
+                            *[c if c in p.columns else F.lit(0.0).alias(c) for c in P_COLS]))
+    return models._union(out)
+
+
+P_COLS = ["p_la_nina", "p_neutral", "p_el_nino"]
 
 
 @register("m4_logistic")
 def m4_logistic(spark, sf):
-    return evaluate.classification_metrics(_fit_predict(spark, sf, "logistic")[2], BY)
+    return _metrics_of(spark, sf, "logistic")
 
 
 @register("m5_forest")
 def m5_forest(spark, sf):
-    return evaluate.classification_metrics(_fit_predict(spark, sf, "forest")[2], BY)
+    return _metrics_of(spark, sf, "forest")
 
 
 @register("m6_boosted_ovr")
 def m6_boosted_ovr(spark, sf):
     df = _split_features(spark, sf)
-    target = "enso_t1"
-    fit_rows = df.filter(F.col("split").isin("train", "val") & F.col(target).isNotNull()).dropna(subset=FEATS_ML)
-    test = models.fill_test_features(df.filter((F.col("split") == "test") & F.col(target).isNotNull()), FEATS_ML, K, T)
-    m = models.fit_classifier(fit_rows, FEATS_ML, target, "boosted", None, val_col="is_val")
-    p = models.class_probabilities(m, test)
-    return p.select(*K, T, F.col(target).alias("y_true"), "y_pred", *[c for c in p.columns if c.startswith("p_")])
+    return _probabilities(df, models.fit_classifiers(df, FEATS_ML, PL.TARGETS, ["boosted"])).drop("model")
 
 
 @register("m7_boosted_regressor")
 def m7_boosted_regressor(spark, sf):
     df = _split_features(spark, sf)
-    out = []
-    for t in PL.VALUE_TARGETS:
-        fit_rows = df.filter(F.col("split").isin("train", "val") & F.col(t).isNotNull()).dropna(subset=FEATS_ML)
-        test = models.fill_test_features(df.filter((F.col("split") == "test") & F.col(t).isNotNull()), FEATS_ML, K, T)
-        m = models.fit_regressor(fit_rows, FEATS_ML, t, None, val_col="is_val")
-        out.append(m.transform(test).select(*K, T, F.lit(t).alias("target"), F.lit("boosted").alias("model"),
-                                            F.col(t).alias("y_true"), "y_pred"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return evaluate.skill_score(evaluate.regression_metrics(res.unionByName(
-        PL.regression_predictions_a(spark, sf).filter(F.col("model") == "persistence").drop("init_in_growth_phase")), BY))
+    return evaluate.skill_score(evaluate.regression_metrics(
+        models.train_and_evaluate_values(df, K, T, FEATS_ML, PL.VALUE_TARGETS, "anom"), BY))
 
 
 @register("m9_class_probabilities")
 def m9_class_probabilities(spark, sf):
-    m, test, _ = _fit_predict(spark, sf, "logistic", "enso_t1")
-    p = models.class_probabilities(m, test, LABELS)
-    return p.select(*K, T, "y_pred", *[c for c in p.columns if c.startswith("p_")])
+    df = _split_features(spark, sf)
+    return _probabilities(df, models.fit_classifiers(df, FEATS_ML, PL.TARGETS, ["logistic"])).drop("model", "y_true")
+
+
+@register("m9_probability_rules", sql=PRED_SQL + """SELECT target, model, count(*) AS n, count(*) AS n_known, count(*) AS n_sum_one,
+  count(*) AS n_largest FROM long_a, (SELECT unnest(['logistic', 'forest', 'boosted']) AS model) k
+WHERE split = 'test' AND y_true IS NOT NULL GROUP BY 1, 2""")
+def m9_probability_rules(spark, sf):
+    """Every test row with a target is scored once by every model; its class is a known one and the one of the
+    largest probability; the probabilities add up to 1."""
+    df = _split_features(spark, sf)
+    p = _probabilities(df, models.fit_classifiers(df, FEATS_ML, PL.TARGETS))
+    own = F.element_at(F.create_map(*[x for c, l in zip(P_COLS, LABELS) for x in (F.lit(l), F.col(c))]), F.col("y_pred"))
+    return p.groupBy("target", "model").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y_pred").isin(list(LABELS))).alias("n_known"),
+        F.count_if(F.abs(sum((F.col(c) for c in P_COLS), F.lit(0.0)) - 1) < 1e-9).alias("n_sum_one"),
+        F.count_if(own == F.greatest(*P_COLS)).alias("n_largest"))
+
+
+@register("m10_saved_models", sql=PRED_SQL + """SELECT target, model, count(*) AS n, count(*) AS n_equal
+FROM long_a, (SELECT unnest(['logistic', 'forest']) AS model) k
+WHERE split = 'test' AND y_true IS NOT NULL GROUP BY 1, 2""")
+def m10_saved_models(spark, sf):
+    """Predictions before save and after load, the columns of the scored rows turned round in between."""
+    import uuid
+
+    from panelcast.session import checkpoint_dir
+    df, fitted, before = _fit_predict(spark, sf, ["logistic", "forest"])
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+    back = {}
+    for i, (k, m) in enumerate(fitted.items()):
+        models.save_model(m, f"{folder}/{i}")
+        back[k] = models.load_model(f"{folder}/{i}")
+    turned = df.select(*reversed(df.columns))
+    after = models.train_and_evaluate(turned, K, T, FEATS_ML, PL.TARGETS, ["logistic", "forest"], fitted=back)
+    key = [*K, T, "target", "model"]
+    both = before.select(*key, "y_pred").join(after.select(*key, F.col("y_pred").alias("again")), key)
+    return both.filter(F.col("model").isin("logistic", "forest")).groupBy("target", "model").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y_pred") == F.col("again")).alias("n_equal"))
 
 
 @register("m14_train_evaluate")
 def m14_train_evaluate(spark, sf):
-    df = _split_features(spark, sf)
-    pr = models.train_and_evaluate(df, K, T, FEATS_ML, PL.TARGETS, kinds=("logistic", "forest"))
-    return evaluate.order_metrics(evaluate.classification_metrics(pr, BY))
+    return evaluate.order_metrics(evaluate.classification_metrics(_fit_predict(spark, sf, models.KINDS)[2], BY))
 
 
 @register("m15_tree_importance")
 def m15_tree_importance(spark, sf):
-    m, _, _ = _fit_predict(spark, sf, "forest", "enso_t1")
-    return models.tree_importance(m, FEATS_ML)
+    fitted = models.fit_classifiers(_split_features(spark, sf), FEATS_ML, PL.TARGETS, ["forest"])
+    return models._union([models.tree_importance(m, FEATS_ML).withColumn("target", F.lit(t)) for (t, _), m in fitted.items()])
+
+
+@register("m15_permutation_importance")
+def m15_permutation_importance(spark, sf):
+    df = _split_features(spark, sf)
+    out = []
+    for (t, _), m in models.fit_classifiers(df, FEATS_ML, PL.TARGETS, ["forest"]).items():
+        test = models.fill_test_features(df.filter((F.col("split") == "test") & F.col(t).isNotNull()), FEATS_ML, K, T)
+        out.append(models.permutation_importance(m, test, FEATS_ML, t, [*K, T]).withColumn("target", F.lit(t)))
+    return models._union(out)
 
 
 @register("m16_forecast")
 def m16_forecast(spark, sf):
-    """Latest row per series -> class and probabilities from the fitted model, with the
-    expected value band from the persistence RMSE."""
-    m, _, _ = _fit_predict(spark, sf, "logistic", "enso_t3")
+    """Latest row per series -> for every target and model the class and its probabilities, and the value forecast
+    of that lead with a band of one RMSE (of the test rows) and the ceiling flag."""
     df = _split_features(spark, sf)
-    latest = df.groupBy(*K).agg(F.max(T).alias(T)).join(df, [*K, T])
+    fitted = models.fit_classifiers(df, FEATS_ML, PL.TARGETS)
+    values = models.fit_regressors(df, FEATS_ML, PL.VALUE_TARGETS)
+    rmse = evaluate.regression_metrics(models.train_and_evaluate_values(
+        df, K, T, FEATS_ML, PL.VALUE_TARGETS, "anom", fitted=values).filter(F.col("model") == "boosted"), ["target"])
+    latest = df.groupBy(*K).agg(F.max_by(F.struct(T, *FEATS_ML), T).alias("r")).select(*K, "r.*")
     cur = models.fill_test_features(models.align_features(latest, FEATS_ML), FEATS_ML, K, T)
-    p = models.class_probabilities(m, cur, LABELS)
-    return p.select(*K, T, F.col("y_pred").alias("forecast"), label_to_int("y_pred").alias("forecast_int"),
-                    *[c for c in p.columns if c.startswith("p_")])
+    out = []
+    for t, v in zip(PL.TARGETS, PL.VALUE_TARGETS):
+        scored = values[v].transform(cur).withColumnRenamed("y_pred", "value").drop("features")
+        for kind in models.KINDS:
+            p = models.class_probabilities(fitted[t, kind], scored, LABELS)
+            out.append(p.select(*K, T, F.lit(t).alias("target"), F.lit(kind).alias("model"), F.lit(v).alias("value_target"),
+                                F.col("y_pred").alias("forecast"), label_to_int("y_pred").alias("forecast_int"),
+                                *[c if c in p.columns else F.lit(0.0).alias(c) for c in P_COLS], "value"))
+    band = evaluate.uncertainty_band(models._union(out), rmse.withColumnRenamed("target", "value_target"), ["value_target"], "value")
+    return models.ceiling_flag(band, "value", 1.0).drop("value_target")
 
 
 @register("w11_top1", sql=PRED_SQL + f"""SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY f1_macro DESC, model) AS r

@@ -46,7 +46,8 @@ def test_forest_and_importance(planted):
     imp = {r.feature: r.importance for r in models.tree_importance(m, ["x1", "x2"]).collect()}
     assert imp["x1"] > imp["x2"]
     perm = {r.feature: r.importance for r in
-            models.permutation_importance(m, planted.filter("split = 'test'"), ["x1", "x2"], "y").collect()}
+            models.permutation_importance(m, planted.filter("split = 'test'"), ["x1", "x2"], "y", ["id"]).collect()}
+    assert perm["x1"] > 0.2 and abs(perm["x2"]) < 0.1
     assert perm["x1"] > perm["x2"]
 
 
@@ -82,3 +83,34 @@ def test_align_features(planted):
     m = models.fit_classifier(planted.filter("split = 'train'"), ["x1", "x2"], "y", "logistic")
     scored = m.transform(models.align_features(planted.select("id", "x1", "y"), ["x1", "x2"]))
     assert scored.count() == 600 and "y_pred" in scored.columns
+
+
+def test_align_features_casts_and_fills(spark):
+    out = models.align_features(spark.createDataFrame([(1, "a")], "x2 int, y string"), ["x1", "x2"])
+    assert dict(out.dtypes) == {"x1": "double", "x2": "double", "y": "string"}
+
+
+def test_weights_leave_validation_rows_out(planted):
+    marked = planted.withColumn("is_val", F.col("split") == "test")
+    per = {r.y: r.weight for r in models.class_weights(marked, "y", val_col="is_val").select("y", "weight").distinct().collect()}
+    counts = {r.y: r["count"] for r in planted.filter("split = 'train'").groupBy("y").count().collect()}
+    assert all(abs(per[c] - 450 / (3 * n)) < 1e-12 for c, n in counts.items())
+
+
+def test_boosted_stops_early_and_survives_saving(planted, tmp_path):
+    marked = planted.withColumn("is_val", F.col("split") == "test").withColumn("x3", F.rand(1))
+    noise = marked.withColumn("x1", F.rand(2))  # nothing to learn: the validation error soon stops falling
+    m = models.fit_classifier(noise, ["x1", "x3"], "y", "boosted", {"n_estimators": 40}, val_col="is_val")
+    assert all(n < 40 for n in m.trees().values())
+    free = models.fit_classifier(noise.filter("NOT is_val"), ["x1", "x3"], "y", "boosted", {"n_estimators": 12})
+    assert all(n == 12 for n in free.trees().values())
+    models.save_model(free, str(tmp_path / "b"))
+    back = models.load_model(str(tmp_path / "b"))
+    a, b = ([(r.y_pred, r.probs) for r in x.transform(planted.withColumn("x3", F.col("x2"))).orderBy("id").collect()] for x in (free, back))
+    assert a == b and back.trees() == free.trees()
+
+
+def test_dense_ids(spark):
+    df = spark.range(1000).withColumn("x", F.col("id") % 7)
+    out, n = models.dense_ids(df, ["id"], "k", bucket_rows=50)
+    assert n == 1000 and sorted(r.k for r in out.collect()) == list(range(1000))

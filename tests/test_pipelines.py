@@ -2,7 +2,7 @@
 evaluate -> export bundle, each writing its outputs."""
 from pyspark.sql import functions as F
 
-from panelcast.operators import panel
+from panelcast.operators import models, panel
 from panelcast.plans import pipelines as PL
 from panelcast.sources import tables
 
@@ -15,10 +15,16 @@ def test_build_train_export(spark, tmp_path):
     assert {"anom_lag1", "enso_t3", "nino34_t6", "crosses_spring_t6"} <= set(ds.columns)
     assert spark.read.parquet(ds_path).count() == ds.count()
     m = PL.run_training(spark, ds_path, PL.SERIES_A, "period", out, "1998-12", "2000-01", "1999-01", "1999-12",
-                        kinds=("logistic",))
+                        kinds=("logistic", "boosted"), params={"boosted": {"n_estimators": 3}})
     got = {(r.target, r.model) for r in m.collect()}
     assert {("enso_t1", "logistic"), ("enso_t1", "persistence"), ("enso_t6", "climatology")} <= got
     assert spark.read.json(out + "/metrics").count() == len(got)
+    reg = {(r.target, r.model): r for r in spark.read.json(out + "/regression_metrics").collect()}
+    assert {t for t, _ in reg} == {"nino34_t1", "nino34_t3", "nino34_t6"} and len(reg) == 6
+    assert all(r.skill == 0 for (_, m), r in reg.items() if m == "persistence")
+    assert spark.read.json(out + "/beats_baseline").count() == 3
+    for path in ("enso_t3/logistic", "enso_t3/boosted", "nino34_t6/boosted_value"):
+        assert models.load_model(f"{out}/models/{path}") is not None
     ex = PL.run_export(spark, ds_path, "period", out + "/bundle", "2000-01", drop=["is_inserted"])
     assert spark.read.parquet(out + "/bundle/data").count() == ex.count()
     assert spark.read.json(out + "/bundle/metadata").collect()[0].n_features > 10
