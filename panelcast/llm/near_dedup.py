@@ -8,10 +8,9 @@ probability Jaccard similarity on whole texts verifies them.
 
 Texts with equal words are one node.  In a bucket all members are compared with one leader and links become
 classes, so that a group of n copies takes about n comparisons.  Then the members outside the bucket's largest
-class are compared with all members of other classes: pairs of small buckets as rows, large buckets block by block,
-where pairs that agree in less than ``AGREE`` of the registers need no exact comparison (at a similarity of 0.8 fewer
-agree in less than one of 100,000 cases) and only links that join classes come out as rows.  So every candidate pair that
-could join two classes is looked at.
+class are compared with all members of other classes, pairs of small buckets as rows and large buckets block by block,
+where only links that join classes come out as rows.  Both ways are exact: every candidate pair that could join two
+classes is compared, or ruled out by a bound on its similarity.
 """
 
 from __future__ import annotations
@@ -24,8 +23,8 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import join_same, let, materialize, ship, small, words
 
 SHINGLE, THRESHOLD, BANDS, ROWS, SEED, BLOCK_WORDS = 5, 0.8, 20, 5, 11, 400_000
-#: Buckets up to this size are joined row by row; rows of a block; share of the registers in which a pair must agree.
-SMALL_BUCKET, BLOCK_ROWS, AGREE = 16, 256, 0.6
+#: Buckets up to this size are joined row by row; rows of a block.
+SMALL_BUCKET, BLOCK_ROWS = 16, 256
 #: A run of words is known by this many bits of its hash; the rest of 64 number the texts of a block.
 RUN_BITS = 48
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -126,31 +125,29 @@ def _digest(hashes: Column) -> Column:
 
 
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, raw, node, n_words, keys, marks) of every row of ``docs`` (doc_id, text): ``marks`` are 16 bits of each register."""
+    """(doc_id, raw, node, n_words, keys) of every row of ``docs`` (doc_id, text)."""
     def run(batches):
         for b in batches:
             lists = b.column(b.schema.get_field_index("hs"))
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            ends, out, marks = np.cumsum(lengths), [], []
+            ends, out = np.cumsum(lengths), []
             for lo, hi in _pieces(lengths, BLOCK_WORDS):
                 first = ends[lo] - lengths[lo]
                 t, h, w = shingles(flat[first:ends[hi - 1]], lengths[lo:hi])
-                won = signatures(t, h, w, hi - lo, bands * rows)
-                out.append(band_keys(won, bands, rows))
-                marks += [x.tobytes() for x in _scramble(won, 0).astype(np.uint16)]
+                out.append(band_keys(signatures(t, h, w, hi - lo, bands * rows), bands, rows))
             keys = np.concatenate(out) if out else np.empty((0, bands), np.int64)
             offsets = np.arange(len(keys) + 1, dtype=np.int32) * bands
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), b.column(3), pa.ListArray.from_arrays(offsets, keys.ravel()),
-                 pa.array(marks, pa.binary())], ["doc_id", "raw", "node", "n_words", "keys", "marks"])
+                [b.column(0), b.column(1), b.column(2), b.column(3), pa.ListArray.from_arrays(offsets, keys.ravel())],
+                ["doc_id", "raw", "node", "n_words", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     d = docs.select("doc_id", F.xxhash64("text").alias("raw"),
                     F.explode(F.array(let(_word_hashes(F.col("text")), lambda h: F.struct(
                         _digest(h).alias("node"), h.alias("hs"))))).alias("s"))
     d = d.select("doc_id", "raw", "s.node", F.size("s.hs").alias("n_words"), "s.hs")
-    return d.mapInArrow(run, f"doc_id {kind}, raw bigint, node binary, n_words int, keys array<bigint>, marks binary")
+    return d.mapInArrow(run, f"doc_id {kind}, raw bigint, node binary, n_words int, keys array<bigint>")
 
 
 def _weighted(texts: DataFrame) -> DataFrame:
@@ -209,40 +206,51 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def block_links(a: dict, b: dict, threshold: float, agree: float, columns: int = 8192):
-    """(i, j) of the links between two lists of texts, each a dict of lists ``label``, ``marks``, ``runs``, ``weights``."""
-    marks_a, marks_b = (np.frombuffer(b"".join(x["marks"]), np.uint16).reshape(len(x["marks"]), -1) for x in (a, b))
+def block_links(a: dict, b: dict, threshold: float, columns: int = 8192):
+    """(i, j) of the links between two lists of texts, each a dict of lists ``label``, ``runs``, ``weights``; pairs of one
+    label are left out.
+
+    Products of matrices give for all pairs the weight of the common runs on either side.  Its smaller share of the
+    text's whole weight is an upper bound of the similarity, as no run adds more than its share of either text; pairs whose
+    bound reaches the threshold are compared exactly.  Where every run occurs once, the products themselves
+    give the similarity, |a & b| / |a | b|."""
+    least = threshold - 1e-12
     _, labels = np.unique(np.array([bytes(x) for x in (*a["label"], *b["label"])], dtype=object), return_inverse=True)
-    la, lb = labels[:len(marks_a)], labels[len(marks_a):]
-    maybe = np.stack([((row == marks_b).mean(1) >= agree) & (own != lb) for row, own in zip(marks_a, la, strict=True)])
-    plain_a, plain_b = (np.array([max(w, default=1) == 1 for w in x["weights"]]) for x in (a, b))
-    out = [(i, j) for i, j in np.argwhere(maybe & ~(plain_a[:, None] & plain_b[None])) if probability_jaccard(
-        np.asarray(a["runs"][i]), a["weights"][i], np.asarray(b["runs"][j]), b["weights"][j]) >= threshold - 1e-12]
-    # where every run occurs once, the similarity is |a & b| / |a | b|: counted for all pairs by products of 0/1 matrices
-    maybe &= plain_a[:, None] & plain_b[None]
-    ia, ib = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
-    if not len(ia):
-        return out
-    sets = [[np.asarray(x["runs"][i]) for i in at] for x, at in ((a, ia), (b, ib))]
-    sizes = [np.array([len(r) for r in side]) for side in sets]
-    flat = [np.concatenate(side) for side in sets]
-    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    apart = labels[:len(a["label"]), None] != labels[None, len(a["label"]):]
+    sets = [[np.asarray(r) for r in x["runs"]] for x in (a, b)]
+    weights = [[np.asarray(w, float) for w in x["weights"]] for x in (a, b)]
+    whole = [np.array([w.sum() for w in side]) for side in weights]
+    plain = [np.array([w.max(initial=1) == 1 for w in side]) for side in weights]
+    rows = [np.repeat(np.arange(len(side)), [len(r) for r in side]) for side in sets]
+    flat, heavy = [np.concatenate(side) for side in sets], [np.concatenate(side) for side in weights]
     common = np.intersect1d(*flat)
-    shared = np.zeros((len(ia), len(ib)))
+    held = [np.zeros(apart.shape), np.zeros(apart.shape)]
     for lo in range(0, len(common), columns):
-        part, dense = common[lo:lo + columns], []
-        for values, row, n in zip(flat, rows, sizes, strict=True):
+        part, once, full = common[lo:lo + columns], [], []
+        for values, row, w, side in zip(flat, rows, heavy, sets, strict=True):
             at = np.minimum(np.searchsorted(part, values), len(part) - 1)
             hit = part[at] == values
-            m = np.zeros((len(n), len(part)), np.float32)
+            m = np.zeros((len(side), len(part)), np.float32)
             m[row[hit], at[hit]] = 1
-            dense.append(m)
-        shared += dense[0] @ dense[1].T
-    similar = shared / (sizes[0][:, None] + sizes[1][None] - shared)
-    return out + [(ia[i], ib[j]) for i, j in np.argwhere((similar >= threshold - 1e-12) & maybe[np.ix_(ia, ib)])]
-
-
-def _other_links(now: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float, agree: float) -> DataFrame:
+            once.append(m)
+            if w[hit].max(initial=1) == 1:
+                full.append(m)
+            else:
+                full.append(m.copy())
+                full[-1][row[hit], at[hit]] = w[hit]
+        mine = full[0] @ once[1].T
+        held[0] += mine
+        held[1] += mine if full[0] is once[0] and full[1] is once[1] else once[0] @ full[1].T
+    shares = np.minimum(held[0] / whole[0][:, None], held[1] / whole[1][None])
+    maybe = apart & (shares >= least)
+    both = plain[0][:, None] & plain[1][None]
+    similar = held[0] / (whole[0][:, None] + whole[1][None] - held[0])
+    return [(i, j) for i, j in np.argwhere(maybe & both & (similar >= least))] + [
+        (i, j) for i, j in np.argwhere(maybe & ~both)
+        if probability_jaccard(sets[0][i], weights[0][i], sets[1][j], weights[1][j]) >= least]
+
+
+def _other_links(now: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between classes in ``now`` (key, node, label), the buckets with members of several classes."""
     per = now.groupBy("key", "label").agg(F.count("*").alias("n"))
     top = materialize(per.groupBy("key").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("top"),
@@ -254,18 +262,18 @@ def _other_links(now: DataFrame, nodes: DataFrame, texts: DataFrame, threshold:
     many = m.where(F.col("n") > SMALL_BUCKET).select(
         "key", "node", "label", "top",
         F.ceil(F.col("minor") / BLOCK_ROWS).cast("int").alias("lefts"), F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("rights"))
-    many = materialize(many.join(nodes.select("node", "marks"), "node").join(texts, "node"))
+    many = materialize(many.join(texts, "node"))
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     sides = {"a": many.where("label != top").withColumn("l", block("lefts")).withColumn("r", each("rights")),
              "b": many.withColumn("l", each("lefts")).withColumn("r", block("rights"))}
-    left, right = (df.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "l", "r", "node", "label", "marks", "runs", "weights")])
+    left, right = (df.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "l", "r", "node", "label", "runs", "weights")])
                    for side, df in sides.items())
 
     def compare(x, y):
         import pandas as pd
 
-        a, b = ({c: df[f"{side}_{c}"].to_list() for c in ("node", "label", "marks", "runs", "weights")} for side, df in (("a", x), ("b", y)))
+        a, b = ({c: df[f"{side}_{c}"].to_list() for c in ("node", "label", "runs", "weights")} for side, df in (("a", x), ("b", y)))
         if not a["node"] or not b["node"]:
             return pd.DataFrame({"a": [], "b": []})
         # links that join what the block's earlier links have not joined yet
@@ -277,7 +285,7 @@ def _other_links(now: DataFrame, nodes: DataFrame, texts: DataFrame, threshold:
             return c
 
         found = []
-        for i, j in block_links(a, b, threshold, agree):
+        for i, j in block_links(a, b, threshold):
             x1, x2 = root(bytes(a["label"][i])), root(bytes(b["label"][j]))
             if x1 != x2:
                 joined[max(x1, x2)] = min(x1, x2)
@@ -299,8 +307,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     ship(docs.sparkSession)
     sketches = materialize(sketch(docs.select("doc_id", "text"), bands, rows))
     full = sketches.where("n_words > 0")
-    nodes = materialize(full.groupBy("node").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("keys").alias("keys"),
-                                                  F.first("marks").alias("marks")))
+    nodes = materialize(full.groupBy("node").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("keys").alias("keys")))
     spread = nodes.select("node", F.explode("keys").alias("key"))
     shared = spread.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader != _last")
     members = materialize(spread.join(shared.select("key", "leader"), "key"))
@@ -312,7 +319,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
         "key", "node", F.coalesce("label", "node").alias("label"))
     mixed = now.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo != _hi").select("key")
     now = materialize(now.join(mixed, "key", "left_semi"))
-    more = _other_links(now, nodes, texts, threshold, AGREE)
+    more = _other_links(now, texts, threshold)
     labels = small(components(materialize(links.unionByName(more))))
     base = join_same(sketches, labels.withColumnRenamed("label", "_label"), ["node"], "left").select(
         "doc_id", "raw", "n_words", F.when(F.col("n_words") > 0, F.coalesce("_label", "node")).alias("class"))
