@@ -172,6 +172,8 @@ def run_training(spark: SparkSession, dataset_path: str, series, time: str, out_
 
     keys, out, params = panel.keys_of(series), out_dir.rstrip("/"), params or {}
     ds = spark.read.parquet(dataset_path)
+    if value not in ds.columns:
+        raise ValueError(f"no column {value!r}: name the value that was labelled")
     roles = labels.target_columns(horizons)
     feats = features.feature_columns(ds, roles["phase"] + roles["class"] + roles["value"], keys, time,
                                      numeric_only=True)

@@ -21,10 +21,12 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/text-{name}-{uuid.uuid4().hex}"
 
 
-def _write_lines(lines: DataFrame, path: str) -> None:
-    """lines: (series, ln, line) -> one text file per series, lines in ``ln`` order."""
-    (lines.repartition("series").sortWithinPartitions("series", "ln")
-     .select("series", "line").write.partitionBy("series").text(path))
+def _write_lines(lines: DataFrame, path: str, ordered: bool = True) -> None:
+    """lines: (series, ln, line) -> one text file per series, lines in ``ln`` order.  Where their order says
+    nothing (``ordered=False``), every task writes the lines it has: no series is moved into one task."""
+    if ordered:
+        lines = lines.repartition("series").sortWithinPartitions("series", "ln")
+    lines.select("series", "line").write.partitionBy("series").text(path)
 
 
 def _fixed_lines(pb: DataFrame) -> DataFrame:
@@ -99,5 +101,5 @@ def _daily_lines(ev: DataFrame) -> DataFrame:
 FROM events GROUP BY 1, 2""", r6=["rmm1", "rmm2", "mjo_amplitude", "mjo_sin", "mjo_cos"])
 def s7_daily_text(spark, sf):
     path = _scratch(spark, "daily")
-    _write_lines(_daily_lines(tables.read_table(spark, sf, "events")), path)
+    _write_lines(_daily_lines(tables.read_table(spark, sf, "events")), path, ordered=False)
     return text.read_daily(spark, path, amplitude_threshold=1.0, series_from="folder")
