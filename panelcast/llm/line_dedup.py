@@ -6,6 +6,10 @@ chunk of its own.  Chunks of two lines or more, and long lines, that occur more
 are removed except where they occur first (smallest doc_id, then smallest place).  Digests only
 propose repeats; the bytes decide.
 
+The cuts are sparse, so a repeated passage of few lines may lie across them.  ``dedup_passages`` (the pipeline
+stage) takes every two neighbouring lines besides the chunks, so that a run of two lines or more goes
+wherever the cuts fall; ``dedup`` (the query) keeps to the chunks, as its SQL says.
+
 Everything is built-in expressions: the chunks travel as 16-byte digests until they are known to
 repeat, and the texts of repeated chunks are pre-aggregated before they are shuffled.
 """
@@ -15,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import TOKEN, hex_number, join_same, let, materialize, small
+from panelcast.llm.common import TOKEN, head, hex_number, join_same, let, materialize, small
 
 WINDOW, DIVISOR, MIN_LINES, LONG_WORDS = 2, 4, 2, 50
 
@@ -25,7 +29,7 @@ def _long(line: Column, long_words: int) -> Column:
 
 
 def chunks(text: Column, divisor: int = DIVISOR, long_words: int = LONG_WORDS) -> Column:
-    """Array of (no, n_lines, long, body) for the chunks of one text; null and empty texts have none."""
+    """Array of (no, first, n_lines, long, body) for the chunks of one text; null and empty texts have none."""
     lines = F.split(F.when(text != "", text), "\n", -1)
 
     def of(ls, big, h):
@@ -34,13 +38,35 @@ def chunks(text: Column, divisor: int = DIVISOR, long_words: int = LONG_WORDS) -
                         | ((F.coalesce(F.get(h, i - 1), F.lit(0)) * 31 + F.get(h, i)) % divisor == 0))
         return let(ends, lambda e: F.transform(e, lambda last, j: let(
             F.coalesce(F.get(e, j - 1), F.lit(-1)) + 1, lambda first: F.struct(
-                j.alias("no"), (last - first + 1).alias("n_lines"), F.get(big, last).alias("long"),
+                j.alias("no"), first.alias("first"), (last - first + 1).alias("n_lines"), F.get(big, last).alias("long"),
                 F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body")))))
 
     return let(lines, lambda ls: let(F.transform(ls, lambda x: _long(x, long_words)), lambda big: let(
         F.transform(ls, lambda x: hex_number(x)), lambda h: of(ls, big, h))))
 
 
+def neighbours(text: Column) -> Column:
+    """Array of (first, last, body) for every line with a word and the next such line, with the lines between them."""
+    lines = F.split(F.when(text != "", text), "\n", -1)
+    return let(lines, lambda ls: let(
+        F.filter(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: F.get(ls, i).rlike(TOKEN)),
+        lambda at: F.transform(head(at, 1), lambda first, k: let(F.get(at, k + 1), lambda last: F.struct(
+            first.alias("first"), last.alias("last"),
+            F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body"))))))
+
+
+def _not_first(rows: DataFrame) -> DataFrame:
+    """The ``rows`` (_id, _digest, no, body, h: its digest, any others) whose body stands in an earlier place."""
+    place = F.struct("_id", "_digest", "no")
+    repeated = materialize(rows.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                           .where("lo != hi").select("h"))
+    # if the digests that repeat are few, no other body is shuffled
+    again = materialize(rows.join(small(repeated), "h"))
+    # the first place of every body; equal digests with other bytes stay apart
+    first = materialize(again.groupBy("h", "body").agg(F.min(place).alias("first")))
+    return again.join(first, ["h", "body"]).where(place != F.col("first"))
+
+
 def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
           long_words: int = LONG_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, any other columns) with repeated chunks taken out of ``text``, and
@@ -54,15 +80,7 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
                        F.explode(chunks(F.col("text"), divisor, long_words)).alias("c"))
     rows = (rows.where(((F.col("c.n_lines") >= min_lines) | F.col("c.long")) & F.col("c.body").rlike(TOKEN))
             .select("_id", "_digest", "c.no", "c.body", F.unhex(F.md5("c.body")).alias("h")))
-    place = F.struct("_id", "_digest", "no")
-    repeated = materialize(rows.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-                           .where("lo != hi").select("h"))
-    # if the digests that repeat are few, no other body is shuffled
-    again = materialize(rows.join(small(repeated), "h"))
-    # the first place of every body; equal digests with other bytes stay apart
-    first = materialize(again.groupBy("h", "body").agg(F.min(place).alias("first")))
-    gone = (again.join(first, ["h", "body"]).where(place != F.col("first"))
-            .groupBy("_id", "_digest").agg(F.collect_set("no").alias("_gone")))
+    gone = _not_first(rows).groupBy("_id", "_digest").agg(F.collect_set("no").alias("_gone"))
     d = docs.select(*[F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
                     F.md5("text").alias("_text_digest"))
     out = join_same(d, gone, {"doc_id": "_id", "_text_digest": "_digest"}, "left")
@@ -80,10 +98,36 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
         F.coalesce("_new.n", F.lit(0)).cast("bigint").alias("n_removed"))
 
 
+def dedup_passages(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
+                   long_words: int = LONG_WORDS) -> DataFrame:
+    """Like ``dedup``, but every run of two lines or more with a word each goes if it stands in an earlier place, also
+    where it crosses or fills only part of chunks; what ``dedup`` removes goes as well.  Each line that goes
+    stays in an earlier place, by bytes."""
+    text = F.col("text")
+    fits = F.filter(chunks(text, divisor, long_words), lambda c: (
+        (c["n_lines"] >= min_lines) | c["long"]) & c["body"].rlike(TOKEN))
+    items = F.concat(F.transform(fits, lambda c: F.struct(
+        c["first"].alias("first"), (c["first"] + c["n_lines"] - 1).alias("last"), c["body"].alias("body"))), neighbours(text))
+    rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"), F.explode(items).alias("c"))
+    rows = rows.select("_id", "_digest", F.col("c.first").alias("no"), "c.last", "c.body", F.unhex(F.md5("c.body")).alias("h"))
+    gone = (_not_first(rows).select("_id", "_digest", F.explode(F.sequence("no", "last")).alias("no"))
+            .groupBy("_id", "_digest").agg(F.collect_set("no").alias("_gone")))
+    d = docs.select(*[F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")], F.md5("text").alias("_text_digest"))
+    out = join_same(d, gone, {"doc_id": "_id", "_text_digest": "_digest"}, "left")
+    lines = F.split(F.when(text != "", text), "\n", -1)
+    left = let(lines, lambda ls: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "_gone"), lambda i: F.get(ls, i)), "\n"))
+    return out.select(
+        *[F.when(F.col("_gone").isNotNull(), left).otherwise(text).alias("text") if c == "text" else F.col(c)
+          for c in d.columns if c != "_text_digest"],
+        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.when(F.col("_gone").isNotNull(), F.size("_gone")).otherwise(0).cast("bigint").alias("n_removed"))
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without their repeated chunks.  Documents of which nothing is left leave,
+    """Pipeline stage: texts without their repeated chunks and passages.  Documents of which nothing is left leave,
     as all they held stands in an earlier document; texts that were empty before stay."""
-    out = dedup(docs)
+    out = dedup_passages(docs)
     return (out.where((F.col("n_removed") == 0) | F.col("text").rlike(TOKEN))
             .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
             .select(*docs.columns))

@@ -42,6 +42,24 @@ def test_line_dedup(spark):
     assert {r["doc_id"] for r in line_dedup.stage(spark, docs(spark, [*rows, (9, passage)]).withColumn("n_chars", F.lit(1)), "").collect()} == {1, 2, 3, 4, 5, 6, None}
 
 
+def test_line_dedup_passages_of_few_lines(spark):
+    rng = np.random.default_rng(4)
+    line = lambda n: " ".join(f"x{i}" for i in rng.integers(0, 10 ** 6, n))
+    rows, want = [], {}
+    for i in range(60):  # passages of 2, 3 and 4 lines and over 50 words between different neighbours
+        passage, mine = [line(27) for _ in range(2 + i % 3)], [line(20) for _ in range(1 + i % 4)]
+        rows += [(i, "\n".join([line(9), *passage, line(9)])), (100 + i, "\n".join([*mine, *passage, line(3)]))]
+        want[100 + i] = len(passage)
+        want[i] = 0
+    rows += [(300, "a 1\na 2\n\na 3"), (301, "b\na 2\n\na 3\nc"), (302, "b\nc"), (303, "a 1\na 2\n\na 3"), (304, None), (305, "")]
+    out = {r["doc_id"]: r for r in line_dedup.dedup_passages(docs(spark, rows)).collect()}
+    assert {i: out[i]["n_removed"] for i in want} == want
+    assert [(out[i]["text"], out[i]["n_lines"]) for i in range(300, 306)] == [
+        ("a 1\na 2\n\na 3", 4), ("b\nc", 5), ("b\nc", 2), ("", 4), (None, 0), ("", 0)]
+    few = docs(spark, rows)
+    assert all(out[r["doc_id"]]["n_removed"] >= r["n_removed"] for r in line_dedup.dedup(few).collect())
+
+
 def test_decontamination(spark):
     span = "a b c d e f g h i j k"
     items = spark.createDataFrame([(1, span), (2, "x y"), (3, None), (None, "a b c d e f g h i j")], "item_id long, text string")
