@@ -49,27 +49,34 @@ class Block:
         return self.link_words / self.words if self.words else 0.0
 
 
+#: Kinds of container besides 1 and 0: content in a container named by a hint, a container of which a hint is only part of a
+#: name (has-sidebar, no-comments), one named by a hint (sidebar), and one whose element or style is final.
+CLAIMED, TOUCHED, NAMED, FINAL = 2, -1, -2, -3
+
+
 def _zone(tag: str, attrs: str, above: int) -> int:
-    """-1 holds for all that is inside; 1 holds until something of kind -1 comes."""
-    if above < 0 or (attrs and _HIDDEN.search(attrs)):
-        return -1
-    if tag in BOILER and not (tag == "header" and above > 0):
-        return -1
-    if tag in CONTENT:
-        kind = 1
-    else:
-        kind = above
+    """FINAL holds for all that is inside.  In a hinted container, <article>, <main> and content hints start content
+    again, in one named by a hint only as a claim, which counts if the page has no other content.  1 holds until a menu or the like comes."""
+    if above == FINAL or (attrs and _HIDDEN.search(attrs)):
+        return FINAL
+    heading = tag == "header" and above > 0
+    if tag in BOILER and not heading:
+        return FINAL
+    bad, good, first, named = set(), set(), False, False
     if attrs and tag not in ("html", "body"):
-        hints = set()
         for m in _ATTR.finditer(attrs):
             if m[1].lower() in ("class", "id", "role"):
-                hints.update(re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower()))
-        bad, good = hints & BOILER_HINTS, hints & CONTENT_HINTS
-        if bad and not good and not (tag == "header" and above > 0):
-            return -1
-        if good and not bad:
-            kind = 1
-    return kind
+                for name in (m[2] or m[3] or m[4] or "").lower().split():
+                    hints = [h for h in re.split(r"[^a-z]+", name) if h]
+                    bad.update(BOILER_HINTS.intersection(hints))
+                    good.update(CONTENT_HINTS.intersection(hints))
+                    first |= bool(hints) and hints[0] in BOILER_HINTS
+                    named |= bool(hints) and BOILER_HINTS.issuperset(hints)
+    if bad and not good and not heading and tag != "main" and (first or tag != "article"):
+        return NAMED if named or above in (NAMED, CLAIMED) else TOUCHED
+    if not (tag in CONTENT or (good and not bad)) or (above < 0 and bad and first and tag != "main"):
+        return above
+    return CLAIMED if above in (NAMED, CLAIMED) and tag != "main" else 1
 
 
 def blocks(page: str) -> list[Block]:
@@ -126,11 +133,14 @@ def blocks(page: str) -> list[Block]:
                     del stack[i:]
                     break
         elif not m[3].endswith("/"):
-            stack.append((tag, -1 if tag in UNSEEN else _zone(tag, m[3], above)))
+            stack.append((tag, FINAL if tag in UNSEEN else _zone(tag, m[3], above)))
     if at < len(page):
         rest = page[at:]
         say(rest if not re.match(r"<[A-Za-z/!]", rest) else "")
     close()
+    claimed = -1 if any(b.zone == 1 for b in out) else 1
+    for b in out:
+        b.zone = claimed if b.zone == CLAIMED else max(b.zone, -1)
     return out
 
 

@@ -157,6 +157,16 @@ def test_html_text(spark):
     assert {r["page_id"]: r["text"] for r in out if r["page_id"] in (2, 3, 4, 5)} == {2: "", 3: "", 4: "", 5: LONG}
 
 
+@pytest.mark.parametrize("wrapper", ["layout has-sidebar", "no-comments", "header-fixed", "with-ads", "page sidebar"])
+def test_html_article_in_a_hinted_wrapper(wrapper):
+    tree = html_extract.train()
+    page = f'<div class="{wrapper}"><p>Buy this</p><article><p>Own text.</p><aside>Also</aside></article><nav><a href="/">Home</a></nav></div>'
+    assert html_extract.main_text(page, tree) == "Own text."
+    assert html_extract.main_text(f'<div class="{wrapper}"><main class="{wrapper}"><p>Own text.</p></main></div>', tree) == "Own text."
+    around = '<article><p>Own text.</p></article><div class="comments"><article class="comment-body"><p>Mine.</p></article><article>Yours.</article></div>'
+    assert html_extract.main_text(around, tree) == "Own text."
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 8)) * 0.3
