@@ -29,6 +29,7 @@ BOILER_HINTS = set("ad ads advert adverts advertisement advertising banner bread
                    "consent cookie cookies copyright disqus footer gdpr header login masthead menu nav navbar navigation newsletter notice "
                    "notices popup promo promoted related reply replies respond share sharing sidebar signup social sponsor "
                    "sponsored subscribe tags toolbar widget complementary contentinfo alert".split())
+MENU_HEADINGS = set("follow menu navigation recommended related share tags topics".split())
 CONTENT_HINTS = set("article body content entry main post story text".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
@@ -141,9 +142,28 @@ def blocks(page: str) -> list[Block]:
     claimed = -1 if any(b.zone == 1 for b in out) else 1
     for b in out:
         b.zone = claimed if b.zone == CLAIMED else max(b.zone, -1)
+    _menus(out)
     return out
 
 
+def _menus(bs: list[Block]) -> None:
+    """Rows of links in an article are of a menu if their neighbours say so: a heading of one, or, without any heading
+    before them, three or more links of at most three words each."""
+    edge, at = Block("", 0, 0, 0), 0
+    while at < len(bs):
+        end = at
+        while end < len(bs) and bs[end].zone == 1 and bs[end].density >= 1:
+            end += 1
+        if end > at:
+            before = bs[at - 1] if at else edge
+            heading = 0 < before.words <= 6 and before.zone == 1
+            if (MENU_HEADINGS.intersection(re.findall(r"[a-z]+", before.text.lower())) if heading else
+                    end - at >= 3 and all(b.words <= 3 for b in bs[at:end])):
+                for b in bs[at:end]:
+                    b.zone = -1
+        at = max(end, at + 1)
+
+
 FEATURES = ("zone", "words", "density", "words_before", "density_before", "words_after", "density_after")
 
 
@@ -166,8 +186,11 @@ LABELLED = [
     (1, 3, 0.0, 40, 0.0, 3, 0.9, 1), (1, 9, 0.0, 4, 0.9, 3, 1.0, 1), (1, 3, 0.5, 3, 0.0, 2, 0.0, 1),
     (1, 2, 0.0, 1, 1.0, 3, 0.0, 1), (1, 6, 0.0, 12, 0.0, 2, 0.0, 1), (1, 15, 0.0, 2, 0.0, 2, 0.0, 1),
     (1, 3, 0.0, 0, 0.0, 9, 0.0, 1), (1, 11, 0.2, 1, 0.0, 1, 0.0, 1), (1, 4, 0.0, 14, 0.0, 1, 1.0, 1),
-    # inside an article: short rows of links
-    (1, 3, 1.0, 40, 0.0, 3, 1.0, 0), (1, 2, 1.0, 3, 1.0, 2, 1.0, 0), (1, 4, 1.0, 3, 1.0, 0, 0.0, 0),
+    # inside an article: linked headings, bylines and references
+    (1, 6, 1.0, 0, 0.0, 40, 0.0, 1), (1, 2, 1.0, 6, 1.0, 45, 0.0, 1), (1, 3, 1.0, 40, 0.0, 3, 1.0, 1),
+    (1, 2, 1.0, 3, 1.0, 2, 1.0, 1), (1, 9, 1.0, 8, 1.0, 7, 1.0, 1), (1, 4, 1.0, 3, 1.0, 0, 0.0, 1),
+    # short rows of links that show a menu
+    (-1, 3, 1.0, 40, 0.0, 3, 1.0, 0), (-1, 2, 1.0, 3, 1.0, 2, 1.0, 0), (-1, 4, 1.0, 3, 1.0, 0, 0.0, 0),
     # inside menus, footers, sidebars, adverts, forms, comments
     (-1, 1, 1.0, 0, 0.0, 1, 1.0, 0), (-1, 2, 1.0, 1, 1.0, 9, 0.0, 0), (-1, 9, 0.0, 1, 1.0, 12, 0.0, 0),
     (-1, 30, 0.0, 2, 0.0, 3, 0.0, 0), (-1, 14, 0.0, 45, 0.0, 0, 0.0, 0), (-1, 80, 0.0, 60, 0.0, 70, 0.0, 0),

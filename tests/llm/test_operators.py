@@ -167,6 +167,18 @@ def test_html_article_in_a_hinted_wrapper(wrapper):
     assert html_extract.main_text(around, tree) == "Own text."
 
 
+def test_html_links_of_an_article():
+    tree = html_extract.train()
+    link = lambda t: f'<a href="/x">{t}</a>'
+    items = lambda ts: "<ul>" + "".join(f"<li>{link(t)}</li>" for t in ts) + "</ul>"
+    text = "Some prose that is long enough to be a paragraph of this article."
+    kept = ["Smith 2010", "Jones on rivers", "Roe and Doe, lakes of the north"]
+    page = f"<article><h1>{link('On rivers')}</h1><p>{link('Jane Roe')}</p><p>{text}</p><h2>References</h2>{items(kept)}</article>"
+    assert html_extract.main_text(page, tree).split("\n\n") == ["On rivers", "Jane Roe", text, "References", *kept]
+    assert html_extract.main_text(f"<article><p>{text}</p>{items(['Home', 'About us', 'Contact'])}</article>", tree) == text
+    assert "lakes" not in html_extract.main_text(f"<article><p>{text}</p><h2>Related</h2>{items(kept)}</article>", tree)
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 8)) * 0.3
