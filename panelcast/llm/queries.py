@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from panelcast.llm import (decontam, html_extract, line_dedup, mixing, near_dedup, token_counts, topk_search, toxicity,
-                           url_filters, warc)
+from panelcast.llm import (decontam, html_extract, line_dedup, mixing, near_dedup, suffix_dedup, token_align, token_counts,
+                           topk_search, toxicity, url_filters, warc, whitening)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_token_counts": token_counts.query,
     "op9_topk_search": topk_search.query,
     "op10_mixing": mixing.query,
+    "op11_suffix_dedup": suffix_dedup.query,
+    "op12_whitening": whitening.query,
+    "op13_token_alignment": token_align.query,
 }
 
 ORACLES = {
