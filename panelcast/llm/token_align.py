@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import os
 import re
+from collections import Counter
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from panelcast.llm.token_counts import tokenizer_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
-CACHE_CHUNKS, CACHE_CHARS, PAIR_BATCH, PAIR_ROWS = 300_000, 64, 4_000_000, 4_000_000
+CACHE_CHUNKS, CACHE_CHARS, PAIR_BATCH, PAIR_ROWS = 300_000, 64, 2_000_000, 1_000_000
 #: White space by any of the libraries.
 _SPACE = r"\s\x1c-\x1f\x85"
 _CUT = re.compile(rf"(?<=[^ ]) (?=[^{_SPACE}])")
@@ -102,13 +104,13 @@ class Table:
     def clear(self):
         self.number: dict[str, int] = {}
         self.shown: list[str] = []
-        self.figures: list[tuple[int, int, int, int, bool]] = []
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
+        self.figures, self.sizes = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, chunks: list[str]):
         """Align the chunks that are not in the table yet."""
         new = [c for c in dict.fromkeys(chunks) if c not in self.number]
+        figures, pairs, times = [], [self.pairs], [self.times]
         for lo in range(0, len(new), 4096):
             part = new[lo:lo + 4096]
             for chunk, (a, b) in zip(part, self.of.encode(part), strict=True):
@@ -116,13 +118,16 @@ class Table:
                 whole = b" " + chunk.encode()
                 ta, tb = [self.of.a_bytes[x] for x in a], [self.of.b_bytes[x] for x in b]
                 same = b"".join(ta) == whole and b"".join(tb) == whole
-                a_ends, b_ends = (np.cumsum([len(t) for t in side]).tolist() for side in (ta, tb))
-                groups, links = align(a, b, a_ends, b_ends) if same else ([], [])
+                groups, links = align(a, b, list(accumulate(map(len, ta))), list(accumulate(map(len, tb)))) if same else ([], [])
                 self.shown.append(";".join(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}" for i, p, j, q in groups))
-                self.figures.append((len(a), len(b), len(groups), len(links), same))
-                pairs, times = np.unique(np.array([a[x] * self.of.b_size + b[y] for x, y in links], np.int64), return_counts=True)
-                self.pairs.append(pairs)
-                self.times.append(times)
+                often = Counter(a[x] * self.of.b_size + b[y] for x, y in links)
+                figures.append((len(a), len(b), len(groups), len(links), same, len(often)))
+                pairs.append(np.fromiter(often.keys(), np.int64, len(often)))
+                times.append(np.fromiter(often.values(), np.int64, len(often)))
+        if new:
+            rows = np.array(figures, np.int64)
+            self.figures, self.sizes = np.concatenate([self.figures, rows[:, :5]]), np.concatenate([self.sizes, rows[:, 5]])
+            self.pairs, self.times = np.concatenate(pairs), np.concatenate(times)
 
 
 def _summed(keys: np.ndarray, values: np.ndarray):
@@ -166,10 +171,7 @@ def aligned(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Data
                     hi += 1
                 lo = hi
                 t.add([c for chunks in part for c in set(chunks)])
-                figures = np.array(t.figures, np.int64).reshape(-1, 5)
-                sizes = np.array([len(p) for p in t.pairs], np.int64)
-                flat = np.concatenate([*t.pairs, np.zeros(0, np.int64)])
-                times = np.concatenate([*t.times, np.zeros(0, np.int64)])
+                figures, sizes, flat, times = t.figures, t.sizes, t.pairs, t.times
                 start = np.cumsum(sizes) - sizes
                 for chunks in part:
                     numbers = list(map(t.number.__getitem__, chunks))
@@ -230,7 +232,7 @@ def alignments(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> D
     Texts that are null or empty, or whose tokens of either side do not spell space + text (those that hold U+2581, or what B
     normalises), have no tokens: zeros and an empty ``groups_sha256``.  Every row is a document of its own in the counts, also rows
     with equal ids or texts; ties for the highest count of an A id are all best.  Texts of any length are aligned whole.  An
-    empty table gives no rows.  The counts are broadcast up to 4,000,000 pairs, joined by shuffle above."""
+    empty table gives no rows.  The counts are broadcast up to 1,000,000 pairs, joined by shuffle above."""
     import sentencepiece
 
     ship(docs.sparkSession)
