@@ -127,14 +127,15 @@ def make_month(year, month) -> Column:
 
 
 def period_of(ts, unit: str = "month") -> Column:
-    """Truncate a date/timestamp to the start of its period (month/day -> DATE, hour -> TIMESTAMP)."""
+    """Truncate a date/timestamp to the start of its period (month/day -> DATE, hour -> the type of ``ts``)."""
     ts = _c(ts)
     if unit == "month":
         return F.trunc(ts, "month")
     if unit == "day":
         return F.to_date(ts)
     if unit == "hour":
-        return F.date_trunc("hour", ts)
+        # not date_trunc: it turns a time without zone into an instant, and clock changes then merge hours
+        return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
     raise ValueError(f"unit must be one of {UNITS}")
 
 

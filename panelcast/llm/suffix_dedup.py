@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import discard, join_same, materialize, ship, small
 
-LENGTH, GRAM, HOT, RANGE_ENTRIES, RUN_BYTES, CHUNK = 400, 100, 50_000, 60_000, 64_000_000, 1 << 20
+LENGTH, GRAM, HOT, RANGE_PLACES, RUN_BYTES, CHUNK = 400, 100, 50_000, 40_000, 24_000_000, 1 << 20
 #: Grams with up to this many entries are compared entry by entry, larger ones offset by offset.
 FEW = 24
 _BASE = 0x9E3779B97F4A7C15
@@ -381,11 +381,11 @@ def repeated_spans(docs: DataFrame, repeated: DataFrame, length: int, gram: int,
     stretches = found.where("h IS NOT NULL")
     grams = stretches.groupBy("h", "same").agg(F.count("*").alias("n")).groupBy("h").agg(
         F.sum("n").alias("n"), F.count("*").alias("entries")).where("n > 1")
-    grams = materialize(grams.select("h", (F.col("entries") > hot).alias("hot"), "entries"))
-    total = grams.agg(F.sum("entries"), F.max("hot")).first()
+    grams = materialize(grams.select("h", (F.col("entries") > hot).alias("hot"), "n"))
+    total = grams.agg(F.sum("n"), F.max("hot")).first()
     if not total[0]:
         return out, [found, grams]
-    ranges = max(1, -(-total[0] // RANGE_ENTRIES))
+    ranges = max(1, -(-total[0] // RANGE_PLACES))
     spots = materialize(stretches.join(small(grams, 1_000_000), "h").groupBy(F.col("ref").alias("_ref"), "hot").agg(
         F.collect_list(F.struct("h", "anchor", "first", "last")).alias("spots")))
     both = distinct_rows(docs, repeated).join(small(spots), F.col("ref") == F.col("_ref")).select("ref", "text", "spots", "hot")

@@ -1,8 +1,8 @@
 """Exploration and analogue jobs.
 
-Analogue search works per series with a single conditional aggregate per (series, year):
-the months it needs (init month, two months before, outcome months) are pivoted in one
-pass instead of point lookups, so it is one shuffle regardless of the number of analogues.
+Analogue search looks up the earlier and later months of every row by RANGE frames on the period's number: one read,
+one shuffle, for one init month or all twelve, also where the months lie in other years.
+Threshold events are runs of neighbouring periods; they meet a dated event table by slices of time.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.scalar import LABELS
-from panelcast.operators.panel import Series, add_periods, keys_of
+from panelcast.operators.panel import Series, _ordinal_sql, add_periods, at_offset, keys_of, q
 
 
 #: More pairs in one aggregate would no longer be compiled to code.
@@ -96,25 +96,26 @@ def by_year(df: DataFrame, series: Series, time: str, cols: dict[str, tuple[str,
         *[F.max(F.when(F.month(time) == m, F.col(c))).alias(name) for name, (c, m) in cols.items()])
 
 
-def analogues(df: DataFrame, series: Series, time: str, value: str, month: int = 4, lo: float = 0.0,
+def analogues(df: DataFrame, series: Series, time: str, value: str, month: int | None = 4, lo: float = 0.0,
               hi: float = 0.5, prior_months: int = 2, prior_max: float = 0.0, current_year: int | None = None,
               outcome: dict[str, tuple[str, int]] | None = None) -> DataFrame:
     """N1 + J4 + J5: years whose ``month`` value is in [lo, hi] and whose value ``prior_months``
-    earlier is < prior_max, before the current year (latest year of the series, or given).
+    earlier (in the year before, if need be) is < prior_max, before the current year (latest year of the series, or given).
 
-    ``outcome`` adds later values of the same year, e.g. ``{"nov_value": ("anom", 11)}``.
+    ``outcome`` adds later values, e.g. ``{"nov_value": ("anom", 11)}``: the first November after the init
+    month.  ``month=None`` searches all twelve init months in one pass and adds the column ``month``.
     """
     keys = keys_of(series)
-    prior_m = month - prior_months
-    if prior_m < 1:
-        raise ValueError("prior month must fall in the same year")
-    cols = {"init_value": (value, month), "prior_value": (value, prior_m)}
-    cols.update(outcome or {})
-    y = by_year(df, series, time, cols)
-    last_year = F.max("year").over(Window.partitionBy(*keys)) if current_year is None else F.lit(current_year)
-    y = y.select("*", last_year.alias("current_year"))
-    cond = F.col("init_value").between(lo, hi) & (F.col("prior_value") < prior_max) & (F.col("year") < F.col("current_year"))
-    return y.filter(cond).drop("current_year")
+    offsets = {name: (c, (m - month) % 12 or 12) for name, (c, m) in (outcome or {}).items()} if month else {}
+    if outcome and not month:
+        raise ValueError("outcomes by calendar month need an init month")
+    last = "max(year(" + q(time) + ")) OVER (PARTITION BY " + ", ".join(map(q, keys)) + ")" if current_year is None else str(int(current_year))
+    rows = df.selectExpr(
+        *map(q, keys), f"CAST(year({q(time)}) AS INT) AS year", f"CAST(month({q(time)}) AS INT) AS month", f"{q(value)} AS init_value",
+        f"{at_offset(value, series, time, -prior_months)} AS prior_value",
+        *[f"{at_offset(c, series, time, n)} AS {q(name)}" for name, (c, n) in offsets.items()], f"{last} AS __last")
+    found = rows.filter(F.col("init_value").between(lo, hi) & (F.col("prior_value") < prior_max) & (F.col("year") < F.col("__last")))
+    return found.drop("__last") if month is None else found.filter(F.col("month") == month).drop("__last", "month")
 
 
 def analogue_summary(an: DataFrame, series: Series, phase_col: str, value_col: str, label: str = LABELS[2]) -> DataFrame:
@@ -149,3 +150,35 @@ def exceedance(df: DataFrame, series: Series, time: str, value: str, lo: float =
     return df.groupBy(*keys, F.year(time).cast("int").alias("year")).agg(
         F.count_if(F.col(value) > hi).alias("months_above"), F.count_if(F.col(value) < lo).alias("months_below"),
         F.max(value).alias("peak"), F.min(value).alias("trough"))
+
+
+def exceedance_runs(df: DataFrame, series: Series, time: str, value: str, lo: float = -0.5, hi: float = 0.5,
+                    unit: str = "month") -> DataFrame:
+    """One row per run of neighbouring periods above ``hi`` or below ``lo``: side, start, end, length, peak (the most extreme value).
+
+    Gaps and islands: the period's number minus the row's rank among the rows of its side is the same within a run only.  An
+    absent period or a missing value ends a run."""
+    keys = keys_of(series)
+    side = f"CASE WHEN {q(value)} > {float(hi)!r} THEN 'above' WHEN {q(value)} < {float(lo)!r} THEN 'below' END"
+    rows = df.selectExpr(*map(q, keys), q(time), f"{q(value)} AS __v", f"{side} AS side").filter("side IS NOT NULL")
+    by = ", ".join(map(q, keys))
+    rows = rows.selectExpr("*", f"{_ordinal_sql(time, unit)} - row_number() OVER (PARTITION BY {by}, side ORDER BY {q(time)}) AS __run")
+    return rows.groupBy(*keys, "side", "__run").agg(
+        F.min(time).alias("start"), F.max(time).alias("end"), F.count(F.lit(1)).alias("n_periods"),
+        F.max_by("__v", F.abs("__v")).alias("peak")).drop("__run")
+
+
+def join_events(runs: DataFrame, events: DataFrame, salts: int = 1) -> DataFrame:
+    """Every pair of a run (start, end) and an event (event, start, end) that share a day, with ``n_shared_months``.
+
+    Both sides are cut into calendar years and meet by year: an equi-join instead of a comparison of all pairs.  A pair is kept in the
+    first year that both have.  ``salts`` deals the runs of a crowded year over so many tasks, and copies the events."""
+    years = lambda a, b: F.explode(F.sequence(F.year(a), F.year(b)))
+    salt = F.pmod(F.xxhash64(*runs.columns), F.lit(salts))
+    left = runs.select("*", years("start", "end").alias("__year"), salt.alias("__salt"))
+    right = events.select("event", F.col("start").alias("event_start"), F.col("end").alias("event_end"))
+    right = right.select("*", years("event_start", "event_end").alias("__year"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("__salt"))
+    first, last = F.greatest("start", "event_start"), F.least("end", "event_end")
+    both = left.join(right, ["__year", "__salt"]).filter((first <= last) & (F.col("__year") == F.year(first)))
+    return both.select(*runs.columns, "event", "event_start", "event_end",
+                       (F.months_between(F.trunc(last, "month"), F.trunc(first, "month")) + 1).cast("bigint").alias("n_shared_months"))

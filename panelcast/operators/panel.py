@@ -277,19 +277,23 @@ def current_state(df: DataFrame, cols: Iterable[str], series: Series, time: str,
 
 
 # --------------------------------------------------------------------------- J4 / Q6
+def at_offset(col: str, series: Series, time: str, periods: int, unit: str = "month") -> str:
+    """SQL: the value of ``col`` exactly ``periods`` periods later (earlier if negative) in the series, NULL where that period is
+    absent.  A RANGE frame on the period's number: no join, no grid, and all offsets share one exchange and sort."""
+    keys = ", ".join(q(k) for k in keys_of(series))
+    side = f"{abs(int(periods))} {'FOLLOWING' if periods > 0 else 'PRECEDING'}"
+    return (f"max({q(col)}) OVER (PARTITION BY {keys} ORDER BY {_ordinal_sql(time, unit)} "
+            f"RANGE BETWEEN {side} AND {side})")
+
+
 def shift_join(df: DataFrame, cols: Iterable[str], series: Series, time: str, periods: int,
                unit: str = "month", suffix: str | None = None) -> DataFrame:
-    """Value ``periods`` periods earlier by a left self join on the shifted period.
+    """Value ``periods`` periods earlier, looked up by the period itself (one read of ``df``).
 
-    Works on gapped panels (absent period -> NULL).  On a dense grid ``lag`` gives the same
-    in one window without a join.
+    Works on gapped panels (absent period -> NULL).  A period that occurs twice gives its largest value.
     """
-    keys = keys_of(series)
-    cols = list(cols)
     suffix = suffix if suffix is not None else f"_shift{periods}"
-    right = df.select(*keys, add_periods(time, periods, unit).alias(time),
-                      *[F.col(c).alias(c + suffix) for c in cols])
-    return df.join(right, on=[*keys, time], how="left")
+    return df.selectExpr("*", *[f"{at_offset(c, series, time, -periods, unit)} AS {q(c + suffix)}" for c in cols])
 
 
 # --------------------------------------------------------------------------- padded time filter
@@ -348,6 +352,7 @@ def regular_grid_bucketed(df: DataFrame, series: Series, time: str, bucket: int,
     t = q(time)
     gap = {"month": f"CAST(months_between({nxt}, {t}) AS INT)", "day": f"datediff({nxt}, {t})",
            "hour": f"CAST(timestampdiff(HOUR, {t}, {nxt}) AS INT)"}[unit]
+    gap = f"CASE WHEN {nxt} = {t} THEN raise_error('grid: a series has a period twice') ELSE {gap} END"
     j = b.join(summary, [*keys, "__b"], "left")
     cols = [q(c) for c in keys + [time] + vals]
     step = j.selectExpr(*cols, f"greatest(coalesce({gap} - 1, 0), 0) AS __gap")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.scalar import periods_between
-from panelcast.operators.panel import Series, add_periods, keys_of, ordered, over, q
+from panelcast.operators.panel import Series, at_offset, keys_of, ordered, over, q
 
 
 def _unpivot_one_row(row: DataFrame, name_col: str, value_col: str) -> DataFrame:
@@ -137,23 +137,17 @@ def target_shift_check(df: DataFrame, series: Series, time: str, phase: str = "e
 
 def lag_alignment(df: DataFrame, base: str | Sequence[str], series: Series, time: str,
                   lags: Sequence[int] = (1, 3, 6), unit: str = "month", tol: float = 1e-6) -> DataFrame:
-    """Q6: recompute ``{base}_lag{L}`` by joining each row to the row L periods earlier
-    (independent of the window) and count mismatches (value differs by >= tol, or exactly one
-    side missing).  All bases and lags go through ONE join: both sides are exploded by lag."""
-    keys = keys_of(series)
+    """Q6: look ``{base}_lag{L}`` up again by the period L before (not by the row L before) and count mismatches (value differs by
+    >= tol, or exactly one side missing).  All bases and lags share one read and one exchange."""
     bases = [base] if isinstance(base, str) else list(base)
     pairs = [(b, L) for b in bases for L in lags if f"{b}_lag{L}" in df.columns]
-    left = df.select(*keys, time, F.explode(F.array(*[
-        F.struct(F.lit(b).alias("base"), F.lit(L).alias("lag"), F.col(f"{b}_lag{L}").alias("__lag")) for b, L in pairs
-    ])).alias("__s")).select(*keys, time, "__s.*")
-    right = df.select(*keys, time, F.explode(F.array(*[
-        F.struct(F.lit(b).alias("base"), F.lit(L).alias("lag"), add_periods(time, L, unit).alias("__t"),
-                 F.col(b).alias("__past")) for b, L in pairs
-    ])).alias("__s")).select(*keys, "__s.*").withColumnRenamed("__t", time)
-    j = left.join(right, [*keys, time, "base", "lag"], "left")
-    bad = (F.abs(F.col("__lag") - F.col("__past")) >= tol) | (F.col("__lag").isNull() != F.col("__past").isNull())
-    return j.groupBy("base", "lag").agg(F.count_if(F.col("__lag").isNotNull()).alias("n_compared"),
-                                        F.count_if(F.coalesce(bad, F.lit(False))).alias("n_mismatch"))
+    rows = df.selectExpr(*[e for i, (b, L) in enumerate(pairs)
+                           for e in (f"{q(f'{b}_lag{L}')} AS l{i}", f"{at_offset(b, series, time, -L, unit)} AS p{i}")])
+    one = rows.agg(*[F.expr(e) for i in range(len(pairs)) for e in (
+        f"count_if(l{i} IS NOT NULL) AS c{i}",
+        f"count_if(coalesce(abs(l{i} - p{i}) >= {tol!r} OR ((l{i} IS NULL) <> (p{i} IS NULL)), false)) AS m{i}")])
+    return one.selectExpr(_stack([[_sql_str(b), str(L), f"c{i}", f"m{i}"] for i, (b, L) in enumerate(pairs)],
+                                 ["base", "lag", "n_compared", "n_mismatch"]))
 
 
 def split_integrity(df: DataFrame, series: Series, time: str, split: str = "split") -> DataFrame:
@@ -181,14 +175,49 @@ def numeric_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return _unpivot_one_row(row, "column", "n_non_numeric")
 
 
+def possible_copies(rows: DataFrame, pairs: Sequence[tuple[str, str]], key: str, tol: float = 1e-9) -> list[tuple[str, str]]:
+    """The pairs of columns of ``rows`` that may be equal wherever both are known; all others differ somewhere.
+
+    Each column gets a fingerprint over the complete rows, whatever their order: for numbers the sums of the values under two sets of weights
+    drawn from the hash of ``key``, for texts the exclusive or of hashes of key and value.  Columns within ``tol`` of each
+    other have sums within the weights' bound, so no copy is lost.  One pass whose cost is the number of columns, not of pairs; without
+    complete rows all pairs are possible."""
+    cols = sorted({c for pair in pairs for c in pair})
+    if not cols:
+        return []
+    types = {f.name: f.dataType for f in rows.schema}
+    number = {c: isinstance(types[c], T.NumericType) for c in cols}
+    weight = [f"(pmod(xxhash64({key}, {k}), 2001) - 1000) / 1000D" for k in (1, 2)]
+    full = rows.filter(" AND ".join(f"{q(c)} IS NOT NULL" for c in cols)).selectExpr(
+        *[q(c) for c in cols], f"{key} AS __k", *[f"{w} AS __w{k}" for k, w in enumerate(weight)])
+    prints = ["count(1) AS n"]
+    for i, c in enumerate(cols):
+        prints += ([f"sum({q(c)} * __w{k}) AS p{i}_{k}" for k in range(2)] + [f"sum(abs({q(c)})) AS s{i}"] if number[c]
+                   else [f"bit_xor(xxhash64(__k, {q(c)})) AS p{i}_0"])
+    one = full.agg(*[F.expr(e) for e in prints]).first()  # one row
+    if not one["n"]:
+        return list(pairs)
+    at = {c: i for i, c in enumerate(cols)}
+
+    def close(f: str, x: str) -> bool:
+        i, j = at[f], at[x]
+        if not number[f]:
+            return one[f"p{i}_0"] == one[f"p{j}_0"]
+        bound = tol * (one["n"] + max(one[f"s{i}"], one[f"s{j}"]))
+        return all(not abs(one[f"p{i}_{k}"] - one[f"p{j}_{k}"]) > bound for k in range(2))
+
+    return [(f, x) for f, x in pairs if close(f, x)]
+
+
 def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[str], targets: Sequence[str],
                    phase: str = "enso_phase", horizons: Sequence[int] = (1, 3, 6), prefix: str = "enso",
                    lag_bases: Sequence[str] = (), unit: str = "month") -> DataFrame:
     """Q8: (check, n_bad, passed, detail) for every check; the caller raises when one fails.
 
     Key uniqueness, grid gaps, target shift and target copies come from ONE window pass over
-    the series and ONE global aggregate (partial per task); only the lag alignment, which must
-    be recomputed independently of the windows, is a separate self-join.
+    the series and ONE global aggregate (partial per task).  Before it, a pass over fingerprints of the columns rules out
+    all pairs that differ (``possible_copies``), so that the aggregate compares the rest only; the lag alignment, which must
+    be looked up independently of the row windows, is a pass of its own.
 
     Leaks are found by value as well as by name: a numeric feature that equals ``lead(base, k)`` for a base of
     ``lag_bases`` and a k of ``horizons`` on all rows where both are known counts under
@@ -213,7 +242,11 @@ def leakage_report(df: DataFrame, series: Series, time: str, features: Sequence[
         *[f"{q(f'{prefix}_t{h}')} AS __t{h}" for h in horizons],
         *[f"lead({q(phase)}, {h}) {w} AS __l{h}" for h in horizons],
         *[f"lead({q(b)}, {h}) {w} AS {q(f'__ahead_{b}_{h}')}" for b, h in sorted({(b, h) for _, b, h in ahead})],
-        *[q(c) for c in cols])
+        *[q(c) for c in cols], f"xxhash64({', '.join(map(q, [*keys_of(series), time]))}) AS __key")
+    numbers = possible_copies(rows, pairs + [(f, f"__ahead_{b}_{h}") for f, b, h in ahead], "__key")
+    pairs = [p for p in pairs if p in set(numbers)]
+    ahead = [(f, b, h) for f, b, h in ahead if (f, f"__ahead_{b}_{h}") in set(numbers)]
+    text = possible_copies(rows, text, "__key")
     aggs = ["CAST(count_if(__dup) AS BIGINT) AS dup", "CAST(coalesce(sum(__gap), 0) AS BIGINT) AS gap",
             "CAST(" + " + ".join(f"count_if(__t{h} IS NOT NULL AND __l{h} IS NOT NULL AND __t{h} <> __l{h})"
                                  for h in horizons) + " AS BIGINT) AS shift" if horizons else "CAST(0 AS BIGINT) AS shift"]

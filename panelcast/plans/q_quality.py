@@ -128,7 +128,7 @@ def q7_split_integrity(spark, sf):
 FEATURES_FOR_GATE = [c for c in FEATS_A]
 
 
-def _q8_sql() -> str:
+def _q8_sql(leaks: str = "0, ''", names: str = "0, ''", copied: str = "") -> str:
     copies = " UNION ALL ".join(
         f"SELECT {O.q(f)} AS feature, count_if({f} IS NOT NULL AND {t} IS NOT NULL) AS c, "
         f"count_if({f} IS NOT NULL AND {t} IS NOT NULL AND abs({f} - {t}) > 1e-9) AS m FROM features_a"
@@ -142,10 +142,11 @@ FROM features_a f LEFT JOIN features_a p ON f.nation = p.nation AND f.segment =
     return _sql_a("features_a", f"""SELECT "check", n_bad, n_bad = 0 AS passed, detail FROM (
 SELECT 'key_unique' AS "check", CAST(coalesce(sum(n_rows - n_periods), 0) AS BIGINT) AS n_bad, 'duplicate (series, period) rows' AS detail FROM kc
 UNION ALL SELECT 'grid_gapless', CAST(coalesce(sum(gap), 0) AS BIGINT), 'missing periods inside series spans' FROM kc
-UNION ALL SELECT 'no_future_lags', 0, ''
-UNION ALL SELECT 'no_targets_in_features', 0, ''
+UNION ALL SELECT 'no_future_lags', {leaks}
+UNION ALL SELECT 'no_targets_in_features', {names}
 UNION ALL SELECT 'target_shift_correct', CAST({shift} AS BIGINT), 'rows where class target != lead(phase, L)' FROM sx
-UNION ALL SELECT 'no_target_copies', count(*), coalesce(string_agg(feature, ', ' ORDER BY feature), '') FROM cp WHERE c > 0 AND m = 0
+UNION ALL SELECT 'no_target_copies', count(*), coalesce(string_agg(feature, ', ' ORDER BY feature), '')
+  FROM (SELECT feature FROM cp WHERE c > 0 AND m = 0 {copied}) copies
 UNION ALL SELECT 'lag_alignment_' || base, CAST(sum(n) AS BIGINT), base || '_lagL != value at t-L' FROM la GROUP BY base) r""",
                   ["""kc AS (SELECT nation, segment, count(*) AS n_rows, count(DISTINCT period) AS n_periods,
   date_diff('month', min(period), max(period)) + 1 - count(DISTINCT period) AS gap FROM features_a GROUP BY 1, 2)""",
@@ -160,6 +161,21 @@ def q8_leakage_report(spark, sf):
     return quality.leakage_report(df, K, T, FEATURES_FOR_GATE, TARGET_COLS_A, lag_bases=["anom", "orders"])
 
 
+#: What is planted: a value three months ahead, a copy of a class target, one of a value target, a target by name, a lag of no period.
+PLANTED = _q8_sql("2, 'looks_harmless, other_lag0'", "1, 'enso_t1'", "UNION ALL SELECT 'class_copy' UNION ALL SELECT 'value_copy'")
+
+
+@register("q8_leakage_planted", sql=PLANTED)
+def q8_leakage_planted(spark, sf):
+    from panelcast.operators.panel import over
+    from panelcast.session import materialize
+    df = PL.build_dataset(spark, sf)
+    df = df.selectExpr("*", f"lead(anom, 3) {over(K, T)} AS looks_harmless", "enso_t3 AS class_copy", f"{O.VALUE_TARGETS_A[0]} AS value_copy",
+                       "CAST(rand(7) AS DOUBLE) AS other_lag0")
+    features = [*FEATURES_FOR_GATE, "looks_harmless", "class_copy", "value_copy", "enso_t1", "other_lag0"]
+    return quality.leakage_report(materialize(df), K, T, features, TARGET_COLS_A, lag_bases=["anom", "orders"])
+
+
 # ----------------------------------------------------------------------------- L
 @register("l1_time_split", sql=_sql_a("prepared_a", f"SELECT nation, segment, period, {O.SPLIT_SQL} AS split FROM prepared_a"))
 def l1_time_split(spark, sf):
