@@ -2,26 +2,20 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept and returns a DataFrame;
 each result is written as Parquet and read again as the next stage's docs.  All but the last keep the columns
-of ``documents``; the last says how many words the mix takes of every document."""
+of ``documents``; the last says how many words the mix takes of every document.  Line dedup leaves copies of one earlier document
+whole, so that near-dedup, which follows, finds them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from panelcast.llm import decontam, line_dedup, mixing, near_dedup, toxicity
-from panelcast.llm.common import materialize, scratch
-
-
-def lines_of_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup over the first document of each class of near and exact copies.  Line dedup alone would leave scraps of
-    copies, which no longer resemble the document they were taken from, and would take passages out of kept texts for
-    the sake of copies that leave later."""
-    return line_dedup.stage(spark, materialize(near_dedup.stage(spark, docs, sf_dir)), sf_dir)
+from panelcast.llm.common import scratch
 
 
 STAGES = [
     ("toxicity", toxicity.stage),
-    ("line dedup", lines_of_one_copy),
+    ("line dedup", line_dedup.stage),
     ("near dedup", near_dedup.stage),
     ("decontamination", decontam.stage),
     ("mixing", mixing.stage),
