@@ -7,6 +7,7 @@ import string
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,8 @@ def materialize(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
+    if _passing:
+        _passing[-1].append(out)
     return out
 
 
@@ -49,6 +52,25 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+_passing: list[list[DataFrame]] = []
+
+
+@contextmanager
+def passing():
+    """Tables that ``materialize`` writes inside are deleted at the end, but for those given to the function that this hands out."""
+    _passing.append([])
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    try:
+        yield keep
+    finally:
+        discard(*(t for t in _passing.pop() if not any(t is k for k in kept)))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this library's code to the executors, once per Spark application: Python tasks import it there."""
     sc = spark.sparkContext

@@ -8,7 +8,8 @@ propose repeats; the bytes decide.
 
 The cuts are sparse, so a repeated passage of few lines may lie across them.  ``dedup_passages`` (the pipeline
 stage) takes every two neighbouring lines besides the chunks, so that a run of two lines or more goes
-wherever the cuts fall; ``dedup`` (the query) keeps to the chunks, as its SQL says.
+wherever the cuts fall; ``dedup`` (the query) keeps to the chunks, as its SQL says.  The stage leaves copies of one earlier
+document whole: near-dedup, the next stage, takes them, and scraps of them would no longer resemble their original.
 
 Everything is built-in expressions: the chunks travel as 16-byte digests until they are known to
 repeat, and the texts of repeated chunks are pre-aggregated before they are shuffled.
@@ -19,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import TOKEN, head, hex_number, join_same, let, materialize, small
+from panelcast.llm.common import TOKEN, head, hex_number, join_same, let, materialize, passing, small
 
-WINDOW, DIVISOR, MIN_LINES, LONG_WORDS = 2, 4, 2, 50
+WINDOW, DIVISOR, MIN_LINES, LONG_WORDS, COPY = 2, 4, 2, 50, 0.5
 
 
 def _long(line: Column, long_words: int) -> Column:
@@ -98,11 +99,33 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
         F.coalesce("_new.n", F.lit(0)).cast("bigint").alias("n_removed"))
 
 
+def _length(text: Column) -> Column:
+    return F.coalesce(F.length(text), F.lit(0)).cast("bigint")
+
+
+def copies(docs: DataFrame, passages: DataFrame, share: float) -> DataFrame:
+    """(_id, _digest) of documents whose lines in ``passages`` (_id, _digest, no, body, first) with first place in one other document
+    have at least ``share`` of the characters that the two hold together (common lines once)."""
+    lines = passages.select("_id", "_digest", F.col("first._id").alias("of"), F.col("first._digest").alias("of_digest"), "no",
+                            F.posexplode(F.split("body", "\n", -1)).alias("k", "line"))
+    lines = lines.where("NOT (_id <=> of AND _digest <=> of_digest)").groupBy(
+        "_id", "_digest", "of", "of_digest", (F.col("no") + F.col("k")).alias("at")).agg(F.max(F.length("line")).alias("n"))
+    both = lines.groupBy("_id", "_digest", "of", "of_digest").agg(F.sum("n").alias("common"))
+    size = docs.select("doc_id", F.md5("text").alias("digest"), _length(F.col("text")).alias("size")).distinct()
+    for to in ({"_id": "doc_id", "_digest": "digest"}, {"of": "doc_id", "of_digest": "digest"}):
+        name = "own" if "_id" in to else "other"
+        # documents with a passage only: the first is bounded by a count
+        both = join_same(both, size.withColumnRenamed("size", name), to)
+    return both.where(F.col("common") >= share * (F.col("own") + F.col("other") - F.col("common"))).select("_id", "_digest").distinct()
+
+
 def dedup_passages(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-                   long_words: int = LONG_WORDS) -> DataFrame:
+                   long_words: int = LONG_WORDS, copy: float | None = None) -> DataFrame:
     """Like ``dedup``, but every run of two lines or more with a word each goes if it stands in an earlier place, also
     where it crosses or fills only part of chunks; what ``dedup`` removes goes as well.  Each line that goes
-    stays in an earlier place, by bytes."""
+    stays in an earlier place, by bytes.  Documents that are copies of one earlier document to the share ``copy`` (of the characters of both,
+    by common lines) stay whole if it is given.  Null and empty texts stay as they are, rows of equal id and text come out alike, an
+    empty table gives no rows, texts of any length are read whole, and the first place of several is that of the smallest id."""
     text = F.col("text")
     fits = F.filter(chunks(text, divisor, long_words), lambda c: (
         (c["n_lines"] >= min_lines) | c["long"]) & c["body"].rlike(TOKEN))
@@ -110,27 +133,36 @@ def dedup_passages(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN
         c["first"].alias("first"), (c["first"] + c["n_lines"] - 1).alias("last"), c["body"].alias("body"))), neighbours(text))
     rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"), F.explode(items).alias("c"))
     rows = rows.select("_id", "_digest", F.col("c.first").alias("no"), "c.last", "c.body", F.unhex(F.md5("c.body")).alias("h"))
-    gone = (_not_first(rows).select("_id", "_digest", F.explode(F.sequence("no", "last")).alias("no"))
-            .groupBy("_id", "_digest").agg(F.collect_set("no").alias("_gone")))
-    d = docs.select(*[F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")], F.md5("text").alias("_text_digest"))
-    out = join_same(d, gone, {"doc_id": "_id", "_text_digest": "_digest"}, "left")
+    with passing() as keep:
+        passages = materialize(_not_first(rows))
+        gone = passages.select("_id", "_digest", F.explode(F.sequence("no", "last")).alias("no")).groupBy("_id", "_digest").agg(
+            F.collect_set("no").alias("gone"))
+        if copy is not None:
+            whole = small(materialize(copies(docs, passages, copy).withColumnsRenamed({"_id": "of", "_digest": "of_digest"})))
+            gone = gone.join(whole, gone["_id"].eqNullSafe(whole["of"]) & gone["_digest"].eqNullSafe(whole["of_digest"]), "left_anti")
+        gone = keep(materialize(gone))
+    # names inside a struct clash with none
+    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    d = docs.select(F.struct(*names).alias("row"), "doc_id", F.md5("text").alias("digest"))
+    out = join_same(d, small(gone), {"doc_id": "_id", "digest": "_digest"}, "left").select("row", "gone")
+    text = F.col("row.text")
     lines = F.split(F.when(text != "", text), "\n", -1)
     left = let(lines, lambda ls: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "_gone"), lambda i: F.get(ls, i)), "\n"))
+        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "gone"), lambda i: F.get(ls, i)), "\n"))
     return out.select(
-        *[F.when(F.col("_gone").isNotNull(), left).otherwise(text).alias("text") if c == "text" else F.col(c)
-          for c in d.columns if c != "_text_digest"],
+        *[F.when(F.col("gone").isNotNull(), left).otherwise(text).alias(c) if c.lower() == "text" else F.col("row")[c].alias(c) for c in names],
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.when(F.col("_gone").isNotNull(), F.size("_gone")).otherwise(0).cast("bigint").alias("n_removed"))
+        F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(0).cast("bigint").alias("n_removed"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without their repeated chunks and passages.  Documents of which nothing is left leave,
-    as all they held stands in an earlier document; texts that were empty before stay."""
-    out = dedup_passages(docs)
-    return (out.where((F.col("n_removed") == 0) | F.col("text").rlike(TOKEN))
-            .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+    """Pipeline stage: texts without their repeated chunks and passages; copies of one earlier document stay whole for the next
+    stage.  Documents of which nothing is left leave, as all they held stands in an earlier document; texts that were empty before stay.
+    Edge rows as in ``dedup_passages``; columns of any name are kept."""
+    out = dedup_passages(docs.select("*", F.struct(*docs.columns).alias("_own_columns")), copy=COPY)
+    row = out.where((F.col("n_removed") == 0) | F.col("text").rlike(TOKEN))
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("_own_columns.n_chars"))}
+    return row.select(*[new.get(c.lower(), F.col("_own_columns")[c]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

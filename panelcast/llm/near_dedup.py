@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import join_same, let, materialize, ship, small, words
+from panelcast.llm.common import join_same, let, materialize, passing, ship, small, words
 
 SHINGLE, THRESHOLD, BANDS, ROWS, SEED, BLOCK_WORDS = 5, 0.8, 20, 5, 11, 400_000
 #: Buckets up to this size are joined row by row; rows of a block.
@@ -338,15 +338,16 @@ def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each class, the one with the smallest id; of repeated rows of it one."""
-    chosen = materialize(classes(docs).where("kept").groupBy("doc_id", "raw").agg(F.count("*").alias("_rows"))
-                         .withColumnsRenamed({"doc_id": "_id", "raw": "_raw"}))
-    own = docs.select("*", F.xxhash64("text").alias("_hash"))
-    kept = join_same(own, small(chosen), {"doc_id": "_id", "_hash": "_raw"})
-    if chosen.where("_rows > 1").isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.where("_rows > 1").dropDuplicates(["doc_id", "text"])
-    return kept.where("_rows = 1").unionByName(once).select(*docs.columns)
+    """Pipeline stage: one document of each class, the one with the smallest id; of repeated rows of it one.  Texts without words are
+    classes of their own and stay; an empty table gives no rows; columns of any name are kept.  Only the choice stays in the shared folder."""
+    with passing() as keep:
+        chosen = keep(materialize(classes(docs).where("kept").groupBy("doc_id", "raw").agg(F.count("*").alias("rows"))))
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), "text")
+    kept = join_same(own, small(chosen), {"id": "doc_id", "hash": "raw"})
+    if chosen.where("rows > 1").isEmpty():
+        return kept.select("row.*")
+    once = kept.where("rows > 1").dropDuplicates(["id", "text"])
+    return kept.where("rows = 1").unionByName(once).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -40,16 +40,19 @@ def _one_of_each(texts):
 
 
 def _without_passages(texts):
-    """Brute force: two neighbouring lines, and lines of 50 words, that an earlier place holds go."""
-    seen, out = set(), {}
+    """Brute force: two neighbouring lines, and lines of 50 words, that an earlier place holds go, unless the document is a copy."""
+    first, out = {}, {}
     for i in sorted(texts):
-        lines, gone = texts[i].split("\n"), set()
+        lines, gone, by = texts[i].split("\n"), set(), {}
         for k, line in enumerate(lines):
             for unit in ([tuple(lines[k:k + 2])] if k + 1 < len(lines) else []) + ([(line,)] if len(line.split()) >= 50 else []):
-                if unit in seen:
+                if unit in first:
                     gone |= set(range(k, k + len(unit)))
-                seen.add(unit)
-        left = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+                    by.setdefault(first[unit], set()).update(range(k, k + len(unit)))
+                first.setdefault(unit, i)
+        common = {j: sum(len(lines[k]) for k in ks) for j, ks in by.items() if j != i}
+        copy = any(n >= 0.5 * (len(texts[i]) + len(texts[j]) - n) for j, n in common.items())
+        left = texts[i] if copy else "\n".join(x for k, x in enumerate(lines) if k not in gone)
         if left.strip():
             out[i] = left
     return out
@@ -83,9 +86,10 @@ def test_run_equals_brute_force(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(toxicity, "train", lambda *_: machine)  # scores given
     got = corpus_pipeline.run(spark, sf)
 
-    want = _one_of_each({i: t for i, t in texts.items() if "insult" not in t.split()})
+    want = _without_passages({i: t for i, t in texts.items() if "insult" not in t.split()})
+    assert all(want[i] == texts[i] for i in range(100, 110)) and any(want[i] != texts[i] for i in range(10, 26))
+    want = _one_of_each(want)
     assert not any(i in want for i in range(100, 300))  # one survivor of every group
-    want = _one_of_each(_without_passages(want))
     windows = {tuple(item[k:k + decontam.SPAN]) for k in range(len(item) - decontam.SPAN + 1)}
     want = {i: t for i, t in want.items() if not windows & {tuple(t.split()[k:k + decontam.SPAN]) for k in range(len(t.split()))}}
     assert 26 not in want and 27 not in want
@@ -94,3 +98,27 @@ def test_run_equals_brute_force(spark, tmp_path, monkeypatch):
     con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(i, t, source[i]) for i, t in want.items()])
     rows = con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.SQL})").fetchall()
     assert sorted(map(tuple, got.select("doc_id", "size", "source_size", "target", "taken").collect())) == sorted(rows)
+
+
+def test_edge_rows_and_names(spark, tmp_path, monkeypatch):
+    """Nulls in every column, empty and repeated rows, empty tables, columns whose names clash with those used inside."""
+    sf = str(tmp_path)
+    long = "\n".join(" ".join(f"t{i * 7 + k}" for k in range(9)) for i in range(2_000))
+    rows = [(1, "a b\nc d", "en", "s", 7), (1, "a b\nc d", "en", "s", 7), (2, None, None, None, None), (None, "x y z", None, None, None), (None, None, None, None, None),
+            (3, "", "en", "s", 0), (4, "\n\n", "en", "s", 2), (5, long, "en", "t", len(long)), (6, long, "en", "t", len(long))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, "q r s"), (None, None)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    monkeypatch.setattr(toxicity, "train", lambda *_: toxicity.Machine(-5.0, np.empty(0, np.int64), np.empty(0), np.empty((0, 1))))
+    for name, docs in (("labels", spark.createDataFrame([], "doc_id long, quality int, toxic int")), ("documents", df)):
+        docs.write.parquet(f"{sf}/{name}.parquet")
+    clash = ["row", "gone", "digest", "id", "hash", "rows", "of", "N_LINES", "_text_digest", "_gone"]
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[1:3]):
+        docs = df.select("*", *[F.lit(c).alias(c) for c in clash])
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert all(r[c] == c for r in got for c in clash)
+        assert sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in got) == sorted((i or 0, len(t or "")) for i, t, *_ in (
+            rows if k == 0 else [rows[0], *rows[2:8]])), name
+        assert stage(spark, docs.limit(0), sf).count() == 0
+    assert corpus_pipeline.run(spark, sf).count() == 7
