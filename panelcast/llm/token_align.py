@@ -5,12 +5,14 @@ A's tokens are the keys of a dictionary end -> index, B's likewise; the keys tha
 lists into groups.  Inside a slice the tokens whose byte ranges overlap are linked.
 
 Neither tokenizer joins anything across the place before a single space that stands between other characters, so a text is a chain of chunks
-that begin there.  Each task aligns a chunk once and keeps the result in a table of bounded size; a document is the sum of its chunks.
+that begin there; a chunk is cut again after letters whose next character no piece of B has behind a letter, and after single line ends.
+Each task aligns a part once and keeps parts and chunks in tables of bounded size; a document is the sum of its chunks.
 The documents of every id pair are counted by task first, then by Spark; the counts come back by a join on the pair.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections import Counter
@@ -27,11 +29,13 @@ from panelcast.llm.token_counts import tokenizer_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
-CACHE_CHUNKS, CACHE_CHARS, PAIR_BATCH, PAIR_ROWS = 300_000, 64, 2_000_000, 1_000_000
+CACHE_CHUNKS, PAIR_BATCH, PAIR_ROWS = 300_000, 2_000_000, 1_000_000
 #: White space by any of the libraries.
 _SPACE = r"\s\x1c-\x1f\x85"
 _CUT = re.compile(rf"(?<=[^ ]) (?=[^{_SPACE}])")
 _UNEVEN = re.compile(rf" (?:[{_SPACE}]|$)|^[{_SPACE}]")
+#: Characters that may begin a part behind an ASCII letter, if B's pieces allow it.
+_BREAKS = "\n!\"#$%&()*+,-./:;<=?@[]^_`{|}~"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -55,22 +59,57 @@ class Tokenizers:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         alphabet = byte_alphabet()
-        self.a_bytes = {i: bytes(alphabet[c] for c in piece) for piece, i in self.a.get_vocab(with_added_tokens=False).items()
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.a_bytes = {i: bytes(alphabet[c] for c in piece) for piece, i in vocabulary.items()
                         if all(c in alphabet for c in piece)}
+        self.a_ids = self._by_ranks(a_path, vocabulary) or (
+            lambda parts: [x.ids for x in self.a.encode_batch(parts, add_special_tokens=False)])
         self.b_size = self.b.get_piece_size()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i in range(self.b_size) for p in [self.b.id_to_piece(i)]]
 
-    def encode(self, chunks: list[str]):
-        """(A's ids, B's ids) of every chunk, which is given without the space before it."""
-        a = self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)
-        b = self.b.encode(chunks, num_threads=1)
-        return [(x.ids, y) for x, y in zip(a, b, strict=True)]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b_size)]
+        held = {y for p in pieces for x, y in zip(p, p[1:], strict=False) if x.isascii() and x.isalpha()}
+        breaks = "".join(re.escape(c) for c in _BREAKS if c not in held)
+        self._part = re.compile(rf"(?<=[A-Za-z])(?=[{breaks}])|(?<=[^{_SPACE}]\n)(?=[A-Za-z])")
+        # what stands before a part that does not begin with a space, and its tokens, which are cut off again
+        self._lead = [(x, len(self.b.encode(x))) for x in ("a", "\n")]
+
+    def _by_ranks(self, path: str, vocabulary: dict[str, int]):
+        """A's ids of parts by the faster library, where ids are ranks: its file lists the merges in the order of the ids they make, after
+        256 bytes, and cuts texts by the byte-level pattern without a space of its own.  None otherwise."""
+        import json
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in told["model"]["merges"]]
+        cut = told["pre_tokenizer"] or {}
+        if (cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True) or told["normalizer"]
+                or [vocabulary.get(x + y) for x, y in merges] != list(range(256, 256 + len(merges)))):
+            return None
+        ranks = {word: i for i, word in self.a_bytes.items() if i < 256 + len(merges)}
+        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda parts: [fast.encode_ordinary(p) for p in parts]
+
+    def parts(self, chunk: str) -> list[str]:
+        """A chunk (without its first space) cut where neither tokenizer joins anything; the first part gets the space back."""
+        first, *rest = self._part.split(chunk)
+        return [" " + first, *rest]
+
+    def encode(self, parts: list[str]):
+        """(A's ids, B's ids) of every part."""
+        a = self.a_ids(parts)
+        lead = [("", 0) if p[0] == " " else self._lead[p[0].isalpha()] for p in parts]
+        b = self.b.encode([x + p if x else p[1:] for p, (x, _) in zip(parts, lead, strict=True)], num_threads=1)
+        return [(x, y[n:]) for x, y, (_, n) in zip(a, b, lead, strict=True)]
 
 
 def align(a_ids: list[int], b_ids: list[int], a_ends: list[int], b_ends: list[int]):
     """(groups, links): slices (a_lo, a_hi, b_lo, b_hi) between common ends, and the linked (a, b) places."""
-    a_at, b_at = ({end: k for k, end in enumerate(ends)} for ends in (a_ends, b_ends))
+    a_at, b_at = dict(zip(a_ends, range(len(a_ends)), strict=True)), dict(zip(b_ends, range(len(b_ends)), strict=True))
     groups, links, i, j = [], [], 0, 0
     for end in sorted(a_at.keys() & b_at.keys()):
         p, q = a_at[end] + 1, b_at[end] + 1
@@ -95,39 +134,57 @@ def chunks_of(text: str) -> list[str]:
 
 
 class Table:
-    """Aligned chunks: numbers by chunk, and what they hold by number."""
+    """Aligned parts, and chunks by number with what they hold."""
 
     def __init__(self, tokenizers: Tokenizers):
         self.of = tokenizers
         self.clear()
 
     def clear(self):
+        self.part: dict[str, tuple] = {}
         self.number: dict[str, int] = {}
         self.shown: list[str] = []
-        self.figures, self.sizes = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
-        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.figures, self.pairs = np.zeros((0, 6), np.int64), np.zeros(0, np.int64)
+
+    def _align(self, parts: list[str]):
+        """Put (shown, n_a, n_b, n_groups, n_links, alike, pairs) of every part into the table."""
+        a_bytes, b_bytes, size = self.of.a_bytes, self.of.b_bytes, self.of.b_size
+        for lo in range(0, len(parts), 4096):
+            some = parts[lo:lo + 4096]
+            for part, (a, b) in zip(some, self.of.encode(some), strict=True):
+                whole, ta, tb = part.encode(), [a_bytes[x] for x in a], [b_bytes[x] for x in b]
+                if b"".join(ta) == whole and b"".join(tb) == whole:
+                    groups, links = align(a, b, list(accumulate(map(len, ta))), list(accumulate(map(len, tb))))
+                    sa, sb = list(map(str, a)), list(map(str, b))
+                    shown = ";".join([f"{','.join(sa[i:p])}|{','.join(sb[j:q])}" for i, p, j, q in groups])
+                    self.part[part] = (shown, len(a), len(b), len(groups), len(links), True, tuple([a[x] * size + b[y] for x, y in links]))
+                else:
+                    self.part[part] = ("", 0, 0, 0, 0, False, ())
 
     def add(self, chunks: list[str]):
-        """Align the chunks that are not in the table yet."""
-        new = [c for c in dict.fromkeys(chunks) if c not in self.number]
-        figures, pairs, times = [], [self.pairs], [self.times]
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            for chunk, (a, b) in zip(part, self.of.encode(part), strict=True):
-                self.number[chunk] = len(self.shown)
-                whole = b" " + chunk.encode()
-                ta, tb = [self.of.a_bytes[x] for x in a], [self.of.b_bytes[x] for x in b]
-                same = b"".join(ta) == whole and b"".join(tb) == whole
-                groups, links = align(a, b, list(accumulate(map(len, ta))), list(accumulate(map(len, tb)))) if same else ([], [])
-                self.shown.append(";".join(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}" for i, p, j, q in groups))
-                often = Counter(a[x] * self.of.b_size + b[y] for x, y in links)
-                figures.append((len(a), len(b), len(groups), len(links), same, len(often)))
-                pairs.append(np.fromiter(often.keys(), np.int64, len(often)))
-                times.append(np.fromiter(often.values(), np.int64, len(often)))
-        if new:
-            rows = np.array(figures, np.int64)
-            self.figures, self.sizes = np.concatenate([self.figures, rows[:, :5]]), np.concatenate([self.sizes, rows[:, 5]])
-            self.pairs, self.times = np.concatenate(pairs), np.concatenate(times)
+        """Align the chunks that are not in the table yet.  The many small tuples make no cycles: looking for them would take half the time."""
+        gc.disable()
+        try:
+            self._add(chunks)
+        finally:
+            gc.enable()
+
+    def _add(self, chunks: list[str]):
+        cut = [(c, self.of.parts(c)) for c in dict.fromkeys(chunks) if c not in self.number]
+        self._align([p for p in dict.fromkeys(p for _, parts in cut for p in parts) if p not in self.part])
+        figures, pairs = [], []
+        for chunk, parts in cut:
+            self.number[chunk] = len(self.shown)
+            rows = [self.part[p] for p in parts]
+            self.shown.append(";".join([r[0] for r in rows]) if len(rows) > 1 else rows[0][0])
+            before = len(pairs)
+            for r in rows:
+                pairs += r[6]
+            figures.append((sum([r[1] for r in rows]), sum([r[2] for r in rows]), sum([r[3] for r in rows]), sum([r[4] for r in rows]),
+                            all([r[5] for r in rows]), len(pairs) - before))
+        if cut:
+            self.figures = np.concatenate([self.figures, np.array(figures, np.int64)])
+            self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
 
 
 def _summed(keys: np.ndarray, values: np.ndarray):
@@ -157,7 +214,7 @@ def aligned(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Data
     def run(batches):
         t = table(a_file, b_file)
         for batch in batches:
-            if len(t.shown) > CACHE_CHUNKS:
+            if max(len(t.shown), len(t.part)) > CACHE_CHUNKS:
                 t.clear()
             out = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times")}
             texts, lo = batch.column(1), 0
@@ -171,7 +228,7 @@ def aligned(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Data
                     hi += 1
                 lo = hi
                 t.add([c for chunks in part for c in set(chunks)])
-                figures, sizes, flat, times = t.figures, t.sizes, t.pairs, t.times
+                figures, sizes, flat = t.figures, t.figures[:, 5], t.pairs
                 start = np.cumsum(sizes) - sizes
                 for chunks in part:
                     numbers = list(map(t.number.__getitem__, chunks))
@@ -182,11 +239,9 @@ def aligned(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Data
                         n = sizes[own]
                         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[own], n)
                         shown = sha256(";".join(map(t.shown.__getitem__, numbers)).encode()).hexdigest()
-                        row = (*(figures[own, :4] * often[:, None]).sum(0).tolist(), shown, *_summed(flat[at], times[at] * np.repeat(often, n)))
+                        row = (*(figures[own, :4] * often[:, None]).sum(0).tolist(), shown, *_summed(flat[at], np.repeat(often, n)))
                     for column, value in zip(out.values(), row, strict=True):
                         column.append(value)
-                for chunk in [c for c in t.number if len(c) > CACHE_CHARS] if len(t.number) > CACHE_CHUNKS // 2 else []:
-                    del t.number[chunk]  # long ones hardly come again
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in out["pairs"]])]).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*out[c], np.zeros(0, np.int64)]).astype(kind)))
                      for c, kind in (("pairs", np.int64), ("times", np.int32))]
