@@ -6,7 +6,7 @@ suffix that begins at the anchor, up to the end of the last window, and before i
 whose gram occurs more than once can hold a repeated window; their suffixes are sorted.
 
 Each task sorts its suffixes into runs and front-codes them (length of the prefix shared with the one before, then the rest).  The runs are cut
-into ranges of the gram's hash and exchanged.  A range's runs are merged by a loser tree that keeps, for every head, the length of
+into ranges of the gram's hash (of its low bits) and exchanged.  A range's runs are merged by a loser tree that keeps, for every head, the length of
 its common prefix with the last winner: heads are compared beyond it only, and not at all where these lengths differ.  The merge hands on
 each suffix with its prefix shared with the suffix before; equal suffixes become one entry with many places.
 
@@ -297,7 +297,7 @@ def all_anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
     all, and rows without ``h`` hold the bytes that they cover, from ``first`` up to ``last``."""
     def run(batches):
         for b in batches:
-            cols = [[] for _ in range(6)]
+            parts = []
             for i, text in enumerate(b.column(1)):
                 data = (text.as_py() or "").encode()
                 at, first, last, h = anchors(data, length, gram)
@@ -308,15 +308,15 @@ def all_anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 _, lead, group, often = np.unique(same, return_index=True, return_inverse=True, return_counts=True)
                 if len(lead) < len(at):
                     own = np.flatnonzero(often[group] > 1)
-                    spans = joined((data_lo, data_hi + length) for data_lo, data_hi in zip(first[own].tolist(), last[own].tolist(), strict=True))
+                    spans = np.array(joined(zip(first[own].tolist(), (last[own] + length).tolist(), strict=True)), np.int64)
+                    none = np.zeros(len(spans), np.int64)
+                    parts.append((np.full(len(spans), i), np.ones(len(spans), bool), none, none, none, spans[:, 0], spans[:, 1]))
                     keep = np.sort(lead)
                     at, first, last, h, same = (x[keep] for x in (at, first, last, h, same))
-                    for k, x in enumerate(zip(*((i, None, None, None, lo, hi) for lo, hi in spans), strict=True)):
-                        cols[k] += x
-                for c, x in zip(cols, ([i] * len(at), *(x.tolist() for x in (h, same, at, first, last))), strict=True):
-                    c += x
-            if cols[0]:
-                yield pa.record_batch([b.column(0).take(pa.array(cols[0])), *[pa.array(c, pa.int64()) for c in cols[1:]]],
+                parts.append((np.full(len(at), i), np.zeros(len(at), bool), h, same, at, first, last))
+            if parts:
+                row, no, *cols = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.record_batch([b.column(0).take(pa.array(row)), *[pa.array(c, mask=no if k < 3 else None) for k, c in enumerate(cols)]],
                                       ["ref", "h", "same", "anchor", "first", "last"])
 
     return texts.mapInArrow(run, "ref binary, h bigint, same bigint, anchor bigint, first bigint, last bigint")
@@ -327,7 +327,8 @@ def runs(texts: DataFrame, length: int, ranges: int) -> DataFrame:
     def cut(entries: dict):
         by_range: dict[int, list] = {}
         for key in sorted(entries):
-            by_range.setdefault(int.from_bytes(key[0][:8], "big") * ranges >> 64, []).append(key)
+            # the low bits: the high ones are small, as anchors are minima
+            by_range.setdefault(int.from_bytes(key[0][4:8], "big") * ranges >> 32, []).append(key)
         for r, keys in by_range.items():
             yield r, encode([k for k, _ in keys], [a for _, a in keys], [entries[k] for k in keys])
 
@@ -340,10 +341,11 @@ def runs(texts: DataFrame, length: int, ranges: int) -> DataFrame:
             return pa.record_batch([pa.array([r for r, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["range", "run"])
 
         for b in batches:
-            for ref, text, spots in zip(*(b.column(i) for i in range(3)), strict=True):
+            ends = b.column(2).offsets.to_numpy()
+            fields = [x.to_numpy(zero_copy_only=False) for x in b.column(2).values.flatten()]
+            for i, (ref, text) in enumerate(zip(b.column(0), b.column(1), strict=True)):
                 data, ref = (text.as_py() or "").encode(), ref.as_py()
-                for s in spots.as_py():
-                    h, at, first, last = s["h"], s["anchor"], s["first"], s["last"]
+                for h, at, first, last in zip(*(x[ends[i]:ends[i + 1]].tolist() for x in fields), strict=True):
                     end = last + length
                     key = (h % 2 ** 64).to_bytes(8, "big") + data[at:end] + data[first:at][::-1]
                     mine = entries.setdefault((key, end - at), [])
@@ -399,9 +401,9 @@ def repeated_spans(docs: DataFrame, repeated: DataFrame, length: int, gram: int,
     return out.unionByName(hot_windows(both.where("hot"), length)) if total[1] else out, [found, grams, spots]
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, texts: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, any others) with ``kept`` (the bytes that stay), n_bytes, n_removed, n_spans and kept_sha256 added; they
-    replace columns of those names, whatever their case.
+    replace columns of those names, whatever their case.  ``texts=False`` leaves out ``text`` and ``kept``.
 
     Bytes covered by a string of ``length`` bytes that also starts anywhere else go, also where the two overlap or stand in one
     document; none is the first that stays.  Null texts are empty.  Every row is a document of its own: repeated rows, of one id or of
@@ -418,30 +420,34 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HO
     gone = materialize(own.unionByName(some.select("ref", F.lit(False).alias("whole"), "spans")))
     discard(repeated, *used)
     new = ("kept", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    keep = [c for c in docs.columns if c.lower() not in new]
-    rows = docs.select(F.struct(*keep).alias("row"), _ref(text).alias("ref"), text.alias("text"))
+    keep = [c for c in docs.columns if c.lower() not in (*new, "text")]
+    rows = docs.select(F.struct(*keep).alias("row"), _ref(text).alias("ref"), "text")
     rows = join_same(rows, small(gone.withColumnRenamed("ref", "of")), {"ref": "of"}, "left").select("row", "text", "whole", "spans")
 
     def cut(batches):
         for b in batches:
-            kept, figures = [], []
+            kept, digests, figures = [], [], []
             for text, whole, spans in zip(*(b.column(i) for i in (1, 2, 3)), strict=True):
-                data = text.as_py().encode()
+                data = (text.as_py() or "").encode()
                 pieces, at, removed, n = [], 0, 0, 0
                 for lo, hi in [(0, len(data))] if whole.as_py() else joined((s["lo"], s["hi"]) for s in spans.as_py() or []):
                     pieces.append(data[at:lo])
                     at, removed, n = hi, removed + hi - lo, n + 1
-                kept.append(b"".join([*pieces, data[at:]]))
+                left = b"".join([*pieces, data[at:]]) if n else data
+                digests.append(sha256(left).hexdigest())
                 figures.append((len(data), removed, n))
+                if texts:
+                    kept.append(left)
             yield pa.record_batch([
-                b.column(0), pa.array(kept, pa.binary()), *[pa.array([f[k] for f in figures], pa.int64()) for k in range(3)],
-                pa.array([sha256(k).hexdigest() for k in kept], pa.string())], ["row", *new])
+                b.column(0), *([b.column(1), pa.array(kept, pa.binary())] if texts else []),
+                *[pa.array([f[k] for f in figures], pa.int64()) for k in range(3)], pa.array(digests, pa.string())],
+                ["row", *(["text", "kept"] if texts else []), *new[1:]])
 
     kind = rows.schema["row"].dataType.simpleString()
-    out = rows.mapInArrow(cut, f"row {kind}, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    return out.select("row.*", *new)
+    more = "text string, kept binary, " if texts else ""
+    out = rows.mapInArrow(cut, f"row {kind}, {more}n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return out.select("row.*", *(["text", "kept"] if texts else []), *new[1:])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), texts=False)
