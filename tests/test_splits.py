@@ -1,58 +1,62 @@
-"""Split cases on 360 months: bounds, no overlap, validation in between, ordering, walk-forward."""
+"""Splits of two series of unlike spans: every row's label, validation in between, folds counted by hand."""
 import datetime as dt
 
-from pyspark.sql import functions as F
+import pytest
 
 from panelcast.operators import quality, splits
-from test_labels import months
 
 
-def frame(spark, n=360):
-    return spark.createDataFrame([("s", d, i) for i, d in enumerate(months(n))], "series string, period date, x int")
+def month(k):
+    """The month k months after May 1994."""
+    n = 1994 * 12 + 4 + k
+    return dt.date(n // 12, n % 12 + 1, 1)
 
 
-def by_split(df):
-    out = {}
-    for r in df.collect():
-        out.setdefault(r.split, []).append(r.period)
-    return out
+ROWS = [("long", k) for k in range(131)] + [("late", k) for k in range(40, 97)]
+TRAIN_END, VAL_START, VAL_END, TEST_START = 62, 63, 88, 91  # months 89 and 90 belong to no part
 
 
-def test_bounds_and_validation(spark):
-    s = by_split(splits.time_split(frame(spark), "period", "2010-12", "2016-01", "2011-01", "2015-12"))
-    assert max(s["train"]) == dt.date(2010, 12, 1) and min(s["test"]) == dt.date(2016, 1, 1)
-    assert min(s["val"]) == dt.date(2011, 1, 1) and max(s["val"]) == dt.date(2015, 12, 1)
-    assert not set(s["train"]) & set(s["test"]) and not set(s["val"]) & set(s["test"])
-    assert max(s["train"]) < min(s["val"]) <= max(s["val"]) < min(s["test"])
+@pytest.fixture(scope="module")
+def panel(spark):
+    return spark.createDataFrame([(s, month(k), k) for s, k in ROWS], "series string, period date, k int")
 
 
-def test_implicit_validation(spark):
-    s = by_split(splits.time_split(frame(spark), "period", "2010-12", "2016-01"))
-    assert min(s["val"]) == dt.date(2011, 1, 1) and max(s["val"]) == dt.date(2015, 12, 1)
-    s2 = by_split(splits.time_split(frame(spark), "period", "2010-12", "2011-01"))
-    assert "val" not in s2
+def text(k):
+    return f"{month(k):%Y-%m}"
 
 
-def test_split_integrity(spark):
-    df = splits.time_split(frame(spark), "period", "2010-12", "2016-01")
-    r = quality.split_integrity(df, "series", "period").collect()[0]
-    assert r.ordered and r.n_overlap == 0
+def labels(df):
+    return {(r.series, r.k): r.split for r in df.collect()}
 
 
-def test_walk_forward(spark):
-    f = splits.walk_forward(frame(spark), "period", initial_years=15, step_months=12, horizon_months=12)
-    b = {(r.fold_id, r.role): r for r in splits.fold_bounds(f, "period").collect()}
-    folds = sorted({k for k, _ in b})
-    assert len(folds) == 15 and folds[0] == 0
-    trains = [b[(k, "train")].n for k in folds]
-    assert trains == [180 + 12 * k for k in folds]                 # train expands
-    for k in folds:
-        assert b[(k, "val")].n == 12
-        assert b[(k, "train")].end < b[(k, "val")].start            # no overlap, ordered
-    assert b[(14, "val")].end == dt.date(2019, 12, 1)
+def test_every_row_has_the_label_of_its_month(panel):
+    got = labels(splits.time_split(panel, "period", text(TRAIN_END), text(TEST_START), text(VAL_START), text(VAL_END)))
+    assert got == {(s, k): "train" if k <= TRAIN_END else "test" if k >= TEST_START else "val" if k <= VAL_END else None for s, k in ROWS}
 
 
-def test_export_split(spark):
-    s = by_split(splits.export_split(frame(spark), "period", "2016-01"))
-    assert set(s) == {"train", "test"} and max(s["train"]) < min(s["test"])
-    assert F is not None
+def test_validation_is_what_lies_between(panel):
+    got = labels(splits.time_split(panel, "period", text(TRAIN_END), text(TEST_START)))
+    assert got == {(s, k): "train" if k <= TRAIN_END else "test" if k >= TEST_START else "val" for s, k in ROWS}
+    assert "val" not in labels(splits.time_split(panel, "period", text(70), text(71))).values()
+
+
+def test_integrity_sees_an_overlap(panel):
+    df = splits.time_split(panel, "period", text(TRAIN_END), text(TEST_START))
+    assert all(r.ordered and r.n_overlap == 0 for r in quality.split_integrity(df, "series", "period").collect())
+    twice = df.unionByName(df.where("series = 'late' AND k = 50").selectExpr("series", "period", "k", "'test' AS split"))
+    found = {r.series: (r.ordered, r.n_overlap) for r in quality.split_integrity(twice, "series", "period").collect()}
+    assert found == {"long": (True, 0), "late": (False, 1)}
+
+
+def test_folds_grow_and_validate_on_the_next_months(panel):
+    folds = splits.walk_forward(panel.where("series = 'long'"), "period", initial_years=4, step_months=9, horizon_months=5)
+    got = {(r.fold_id, r.role): (r.n, r.start, r.end) for r in splits.fold_bounds(folds, "period").collect()}
+    want = {}
+    for i, cut in enumerate(range(48, 131 - 5 + 1, 9)):
+        want[i, "train"] = (cut, month(0), month(cut - 1))
+        want[i, "val"] = (5, month(cut), month(cut + 4))
+    assert got == want and len(want) == 18
+
+
+def test_export_has_two_parts(panel):
+    assert labels(splits.export_split(panel, "period", text(77))) == {(s, k): "train" if k < 77 else "test" for s, k in ROWS}
