@@ -56,11 +56,11 @@ def top_k(df: DataFrame, metric: str, k: int, tie: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], complete_rows: bool = False) -> DataFrame:
-    """All pairs (a < b and a = b) of Pearson correlations in one aggregate (pairwise-complete).
+    """All pairs (a < b and a = b) of Pearson correlations (pairwise-complete) -> (col_a, col_b, corr).
 
-    ``complete_rows=True`` is the fast path for wide column lists: rows with any missing value
-    are dropped and ``pyspark.ml.stat.Correlation`` computes the whole matrix in one
-    ``treeAggregate`` (the k x k result is the only thing brought to the driver)."""
+    Up to :data:`PAIRS_AT_ONCE` pairs are one compiled aggregate; more go by :func:`masked_correlations`.
+    ``complete_rows=True`` drops rows with any missing value and lets ``pyspark.ml.stat.Correlation`` compute the
+    matrix in one ``treeAggregate`` (the k x k result is the only thing brought to the driver)."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     if complete_rows:
         from pyspark.ml.feature import VectorAssembler
@@ -72,16 +72,53 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], complete_rows: bool =
         rows = [(a, b, float(mat[idx[a], idx[b]])) for a, b in pairs]
         return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
     if len(pairs) > PAIRS_AT_ONCE:
-        from panelcast.session import materialize
-        df = materialize(df.select(*cols))  # read once for each part of the pairs
-    out = None
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        part = pairs[at:at + PAIRS_AT_ONCE]
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(part)])
-        rows = row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{i}").alias("corr"))
-                                              for i, (a, b) in enumerate(part)])).alias("s")).select("s.*")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+        return masked_correlations(df, cols)
+    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{i}").alias("corr"))
+                                          for i, (a, b) in enumerate(pairs)])).alias("s")).select("s.*")
+
+
+def masked_correlations(df: DataFrame, cols: Sequence[str], flat: float = 1e-12) -> DataFrame:
+    """A7 for long column lists with gaps: (col_a, col_b, corr) of every pair over the rows that have both.
+
+    Each row becomes the vector of its masks, values and squares, gaps as 0.  One Gram matrix of these vectors (a JVM-side
+    ``treeAggregate``) holds the count, sums, squares and products of every pair at once: masks by masks are the counts, values by
+    masks the sums, squares by masks the squares, values by values the products.  Columns are shifted by their mean first, so
+    that nothing cancels.  The k columns are written once and read twice (means, then the matrix); 3k x 3k doubles come to the driver, bounded by the column list.
+    NULL where a pair has fewer than two rows, or where one side varies by less than the share ``flat`` of its squares; NaN and infinite
+    values count as gaps."""
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+
+    from panelcast.session import materialize
+
+    k, inf = len(cols), float("inf")
+    raw = [F.col(c).cast("double") for c in cols]
+    finite = [F.when((F.abs(c) < inf) & ~F.isnan(c), c) for c in raw]
+    x = materialize(df.select(*[c.alias(f"__x{i}") for i, c in enumerate(finite)]))
+    # a constant column is shifted by its value, so that its squares are 0 and not rounding
+    shift = [F.when(F.min(f"__x{i}") == F.max(f"__x{i}"), F.min(f"__x{i}")).otherwise(F.avg(f"__x{i}")) for i in range(k)]
+    m = x.agg(F.count(F.lit(1)), *[F.coalesce(s, F.lit(0.0)) for s in shift]).first()
+    out = "col_a string, col_b string, corr double"
+    if not m[0]:
+        return df.sparkSession.createDataFrame([(a, b, None) for i, a in enumerate(cols) for b in cols[i:]], out)
+    v = [F.col(f"__x{i}") - F.lit(m[i + 1]) for i in range(k)]
+    parts = x.select(*[F.when(F.col(f"__x{i}").isNotNull(), 1.0).otherwise(0.0).alias(f"__m{i}") for i in range(k)],
+                     *[F.coalesce(v[i], F.lit(0.0)).alias(f"__v{i}") for i in range(k)],
+                     *[F.coalesce(v[i] * v[i], F.lit(0.0)).alias(f"__s{i}") for i in range(k)])
+    vec = VectorAssembler(inputCols=parts.columns, outputCol="__r").transform(parts).select("__r")
+    g = RowMatrix(MLUtils.convertVectorColumnsFromML(vec, "__r"), 0, 3 * k).computeGramianMatrix().toArray()
+    n, sums, squares, products = g[:k, :k], g[k:2 * k, :k], g[2 * k:, :k], g[k:2 * k, k:2 * k]
+    # [i, j]: of column i over the rows that also have column j
+    spread = n * squares - sums * sums
+    with np.errstate(divide="ignore", invalid="ignore"):
+        corr = (n * products - sums * sums.T) / np.sqrt(spread * spread.T)
+    known = (n >= 2) & (spread > flat * n * squares) & (spread.T > flat * n * squares.T)
+    return df.sparkSession.createDataFrame(
+        [(a, b, float(np.clip(corr[i, j], -1.0, 1.0)) if known[i, j] else None)
+         for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i], out)
 
 
 def extents(df: DataFrame, time: str, by: Sequence[str]) -> DataFrame:

@@ -93,8 +93,9 @@ def by_init_month(pred: DataFrame, time: str, by: Sequence[str] = ("target", "mo
     counts = confusion_counts(pred.withColumn("month", F.month(time).cast("int")), by + ["month"], labels)
     m = metrics_from_counts(counts, by + ["month"], labels, decimals=decimals)
     # at most 12 rows a group become one map, from which all 12 months are read: no join, no second pass
-    per = m.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(
-        "month", F.struct("f1_macro", F.col("n").cast("bigint").alias("n"))))).alias("__m"))
+    entry = F.struct("month", F.struct("f1_macro", F.col("n").cast("bigint").alias("n")))
+    # pairs without time are in no month
+    per = m.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.when(F.col("month").isNotNull(), entry))).alias("__m"))
     j = per.select(*by, "__m", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month")).select(
         *by, "month", F.try_element_at("__m", F.col("month")).alias("__c"))
     n_raw = F.coalesce(F.col("__c.n"), F.lit(0).cast("bigint"))
@@ -104,6 +105,34 @@ def by_init_month(pred: DataFrame, time: str, by: Sequence[str] = ("target", "mo
                     n_raw.alias("n_raw"))
 
 
+def all_strata(pred: DataFrame, time: str, flag: str, by: Sequence[str] = ("target", "model"), labels: Sequence[str] = LABELS,
+               min_samples: int = 3, decimals: int = 4) -> DataFrame:
+    """E2 + E4 + E5 in one pass: the scores of each group over all pairs (part ``all``), by barrier flag (``barrier``, column ``stratum``)
+    and by calendar month of the init period (``month``).
+
+    The predictions are counted once, by group, flag and month (at most 36 rows of counters a group); GROUPING SETS add
+    these counters up.  Pairs without a flag are in no stratum, pairs without time in no month.  ``delta_f1`` as in :func:`by_barrier`;
+    a month with fewer than ``min_samples`` pairs has no F1, and ``n`` is its real count."""
+    by, k = list(by), len(labels)
+    rows = pred.select(*by, "y_true", "y_pred", F.month(time).cast("int").alias("month"),
+                       F.when(F.col(flag), "crosses_spring").when(~F.col(flag), "no_spring_barrier").alias("stratum"))
+    counts = confusion_counts(rows, [*by, "stratum", "month"], labels)
+    cells = ["n", "n_correct", *[f"c_{i}_{j}" for i in range(k) for j in range(k)]]
+    sums = counts.groupingSets([[*by], [*by, "stratum"], [*by, "month"]], *by, "stratum", "month").agg(
+        *[F.sum(c).alias(c) for c in cells], F.grouping("stratum").alias("__s"), F.grouping("month").alias("__m"))
+    part = F.when(F.col("__s") + F.col("__m") == 2, "all").when(F.col("__m") == 1, "barrier").otherwise("month")
+    sums = sums.withColumn("part", part).filter(
+        (F.col("part") == "all") | ((F.col("part") == "barrier") & F.col("stratum").isNotNull())
+        | ((F.col("part") == "month") & F.col("month").isNotNull()))
+    keys = [*by, "part", "stratum", "month"]
+    m = metrics_from_counts(sums, keys, labels, decimals=decimals)
+    f1 = F.when((F.col("part") != "month") | (F.col("n") >= min_samples), F.col("f1_macro"))
+    w = Window.partitionBy(*by, "part")
+    no = F.max(F.when(F.col("stratum") == "no_spring_barrier", F.col("f1_macro"))).over(w)
+    yes = F.max(F.when(F.col("stratum") == "crosses_spring", F.col("f1_macro"))).over(w)
+    return m.select(*[f1.alias(c) if c == "f1_macro" else F.col(c) for c in m.columns], round_half_even(no - yes, decimals).alias("delta_f1"))
+
+
 def normalized_confusion(pred: DataFrame, by: Sequence[str] = ("target", "model"),
                          y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Share of each (truth, prediction) cell in its truth row (row sum clipped at 1)."""

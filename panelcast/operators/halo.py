@@ -43,3 +43,29 @@ def with_halo(df: DataFrame, series: Series, time: str, fn: Callable[[DataFrame,
         *df.columns, F.col("__c.b").alias(bucket_col), F.col("__c.h").alias("__home"))
     out = fn(x, [*keys, bucket_col])
     return out.filter(F.col("__home")).drop("__home", bucket_col)
+
+
+#: A list of long series is broadcast up to this many rows (they are counted first), joined by shuffle above.
+BROADCAST_SERIES = 100_000
+
+
+def route_by_length(df: DataFrame, series: Series, time: str, plain: Callable[[DataFrame], DataFrame],
+                    bucketed: Callable[[DataFrame], DataFrame], max_periods: int, unit: str = "month") -> DataFrame:
+    """``plain`` over the series that span at most ``max_periods`` periods, ``bucketed`` over the longer ones, as one table.
+
+    Both functions give the same rows for any series, so the result does not depend on ``max_periods``; it decides only how
+    many periods one task may hold.  ``df`` (the aggregated panel, not the raw facts) is written once and read by the table of
+    lengths, which has one row per series, and by both paths.  Series with a NULL key are routed like any other."""
+    from panelcast.session import materialize
+
+    keys = keys_of(series)
+    p = materialize(df)
+    span = periods_between(F.min(time), F.max(time), unit) + 1
+    long = materialize(p.groupBy(*keys).agg(span.alias("__span")).filter(F.col("__span") > max_periods)
+                       .select(*[F.col(k).alias(f"__long_{i}") for i, k in enumerate(keys)]))
+    n = long.count()
+    if n == 0:
+        return plain(p)
+    long = F.broadcast(long) if n <= BROADCAST_SERIES else long
+    same = [F.col(k).eqNullSafe(F.col(f"__long_{i}")) for i, k in enumerate(keys)]
+    return plain(p.join(long, same, "left_anti")).unionByName(bucketed(p.join(long, same, "left_semi")))

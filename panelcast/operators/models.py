@@ -12,7 +12,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -25,7 +25,9 @@ from panelcast.operators.panel import Series, keys_of
 LOGISTIC = {"C": 1.0, "max_iter": 1000}
 FOREST = {"n_estimators": 300, "max_depth": 6, "min_samples_leaf": 10}
 BOOSTED = {"n_estimators": 500, "learning_rate": 0.05, "max_depth": 5, "min_child_samples": 20}
-#: Boosting ends at the first round that lowers the validation error by less than this share of it.
+#: Rounds without a better validation loss that end boosting, where a model is fitted with ``{"patience": PATIENCE}`` (fixed value).
+PATIENCE = 50
+#: Without patience, boosting ends at the first round that lowers the validation error by less than this share of it.
 VALIDATION_TOL = 0.001
 
 
@@ -77,6 +79,69 @@ def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind:
     return Pipeline(stages=stages).fit(data)
 
 
+def best_round(curve: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(number of rounds to keep, whether the search is over) for a validation loss by round: the first lowest
+    round seen before ``patience`` rounds in a row brought nothing lower."""
+    best = 0
+    for i, loss in enumerate(curve):
+        if loss < curve[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model, n: int):
+    """A boosted model that holds only the first ``n`` trees of ``model``, with all its settings."""
+    java = model._java_obj
+    if n >= java.getNumTrees():
+        return model
+    gateway = SparkSession.getActiveSession().sparkContext._gateway
+    trees, weights = java.trees(), java.treeWeights()
+    some = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    some_weights = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        some[i], some_weights[i] = trees[i], weights[i]
+    kind = gateway.jvm.org.apache.spark.ml
+    if isinstance(model, GBTClassificationModel):
+        cut = kind.classification.GBTClassificationModel(java.uid(), some, some_weights, java.numFeatures(), 2)
+    else:
+        cut = kind.regression.GBTRegressionModel(java.uid(), some, some_weights, java.numFeatures())
+    return type(model)(cut.copy(java.extractParamMap()))
+
+
+def validation_curve(model, rows: DataFrame) -> list[float]:
+    """Loss of the first 1, 2, ... trees on ``rows`` (assembled), as the model's own loss counts it: squared error, or
+    twice the log loss."""
+    if isinstance(model, GBTClassificationModel):
+        return list(model.evaluateEachIteration(rows))
+    return list(model.evaluateEachIteration(rows, "squared"))
+
+
+def fit_patiently(gbt, rows: DataFrame, val_col: str, patience: int):
+    """M6 / M7: the boosted model cut to the best round of its validation curve, where boosting ends after
+    ``patience`` rounds without a lower loss.  -> (model, curve).
+
+    Spark's own early stopping ends at the first weak round, so the trees are grown without it, on the rows that are not
+    ``val_col``: twice the patience first, then twice as many each time until the curve has ended or ``maxIter`` is reached.  A
+    round depends on the rounds before it only, so a longer fit begins with the trees of the shorter one, and all fits
+    together grow at most four times the rounds that the curve needs."""
+    fit_rows, val_rows = rows.filter(~F.col(val_col)).cache(), rows.filter(F.col(val_col)).cache()
+    most = gbt.getMaxIter()
+    n = min(most, 2 * patience)
+    try:
+        while True:
+            model = gbt.copy({gbt.maxIter: n}).fit(fit_rows)
+            curve = validation_curve(model, val_rows)
+            best, ended = best_round(curve, patience)
+            if ended or n >= most:
+                return first_trees(model, best), curve
+            n = min(most, 2 * n)
+    finally:
+        fit_rows.unpersist()
+        val_rows.unpersist()
+
+
 class OneVsRestBoosted:
     """M6 / M9: Spark's GBT is binary; one boosted model per class, probabilities renormalised,
     class = argmax.  ``val_col`` (boolean) enables early stopping on a validation set."""
@@ -84,6 +149,7 @@ class OneVsRestBoosted:
     def __init__(self, features, label, params, seed=42, val_col=None):
         self.features, self.label, self.params, self.seed, self.val_col = list(features), label, params, seed, val_col
         self.models: dict[str, PipelineModel] = {}
+        self.curves: dict[str, list[float]] = {}
         self.classes: list[str] = []
 
     def fit(self, data: DataFrame) -> "OneVsRestBoosted":
@@ -95,12 +161,9 @@ class OneVsRestBoosted:
                                 maxIter=int(self.params["n_estimators"]), stepSize=float(self.params["learning_rate"]),
                                 maxDepth=int(self.params["max_depth"]),
                                 minInstancesPerNode=int(self.params["min_child_samples"]), seed=self.seed)
-            if self.val_col:
-                gbt.setValidationIndicatorCol(self.val_col)
-                gbt._set(validationTol=float(self.params.get("validation_tol", VALIDATION_TOL)))
             gbt.setProbabilityCol(f"__p_{len(self.models)}").setRawPredictionCol(f"__r_{len(self.models)}") \
                .setPredictionCol(f"__h_{len(self.models)}")
-            self.models[c] = Pipeline(stages=[_assembler(self.features), gbt]).fit(d)
+            self.models[c], self.curves[c] = _boost(gbt, d, self.features, self.params, self.val_col)
         return self
 
     def trees(self) -> dict[str, int]:
@@ -135,16 +198,29 @@ def class_probabilities(model, df: DataFrame, classes: Sequence[str] | None = No
 
 def fit_regressor(train: DataFrame, features: Sequence[str], label: str, params: dict | None = None,
                   val_col: str | None = None, seed: int = 42) -> PipelineModel:
-    """M7: boosted regression trees, early stopping on the validation rows (not the test set)."""
+    """M7: boosted regression trees, early stopping on the validation rows (not the test set): after ``params["patience"]`` rounds
+    without a lower validation error, cut to the best round, or else by the tolerance."""
     p = dict(BOOSTED)
     p.update(params or {})
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="y_pred", maxIter=int(p["n_estimators"]),
                        stepSize=float(p["learning_rate"]), maxDepth=int(p["max_depth"]),
                        minInstancesPerNode=int(p["min_child_samples"]), seed=seed)
+    return _boost(gbt, train, features, p, val_col)[0]
+
+
+def _boost(gbt, rows: DataFrame, features: Sequence[str], params: dict, val_col: str | None) -> tuple[PipelineModel, list[float]]:
+    """(fitted pipeline, validation curve): stopped by patience if ``params`` names one, else by Spark's tolerance;
+    without validation rows all rounds are grown.  The curve is empty unless patience stopped it."""
+    assembler = _assembler(features)
+    if val_col and params.get("patience"):
+        label, weight = gbt.getLabelCol(), gbt.getWeightCol() if gbt.isDefined(gbt.weightCol) else None
+        flat = assembler.transform(rows).select("features", label, val_col, *([weight] if weight else []))
+        model, curve = fit_patiently(gbt, flat, val_col, int(params["patience"]))
+        return PipelineModel(stages=[assembler, model]), curve
     if val_col:
         gbt.setValidationIndicatorCol(val_col)
-        gbt._set(validationTol=float(p.get("validation_tol", VALIDATION_TOL)))
-    return Pipeline(stages=[_assembler(features), gbt]).fit(train)
+        gbt._set(validationTol=float(params.get("validation_tol", VALIDATION_TOL)))
+    return Pipeline(stages=[assembler, gbt]).fit(rows), []
 
 
 BOOSTED_KIND = "one-vs-rest boosted trees"

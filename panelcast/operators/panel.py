@@ -337,6 +337,12 @@ def _ordinal_sql(time: str, unit: str) -> str:
             "hour": f"CAST(timestampdiff(HOUR, {_ORIGIN[unit]}, {t}) AS BIGINT)"}[unit]
 
 
+def _join_summary(df: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of its summary table; a NULL key is a series like any other."""
+    right = summary.select(*[F.col(c).alias(f"__on{i}") for i, c in enumerate(on)], *[c for c in summary.columns if c not in on])
+    return df.join(right, [F.col(c).eqNullSafe(F.col(f"__on{i}")) for i, c in enumerate(on)], "left")
+
+
 def regular_grid_bucketed(df: DataFrame, series: Series, time: str, bucket: int, unit: str = "month",
                           flag: str | None = "is_inserted") -> DataFrame:
     """C1 for hot / very long series: the time axis is cut into buckets of ``bucket`` periods and
@@ -353,7 +359,7 @@ def regular_grid_bucketed(df: DataFrame, series: Series, time: str, bucket: int,
     gap = {"month": f"CAST(months_between({nxt}, {t}) AS INT)", "day": f"datediff({nxt}, {t})",
            "hour": f"CAST(timestampdiff(HOUR, {t}, {nxt}) AS INT)"}[unit]
     gap = f"CASE WHEN {nxt} = {t} THEN raise_error('grid: a series has a period twice') ELSE {gap} END"
-    j = b.join(summary, [*keys, "__b"], "left")
+    j = _join_summary(b, summary, [*keys, "__b"])
     cols = [q(c) for c in keys + [time] + vals]
     step = j.selectExpr(*cols, f"greatest(coalesce({gap} - 1, 0), 0) AS __gap")
     step = step.selectExpr(*cols, "explode(sequence(0, __gap)) AS __k")
@@ -372,7 +378,7 @@ def standardize_by_join(df: DataFrame, cols: Iterable[str], series: Series) -> D
     cols = list(cols)
     stats = df.groupBy(*keys).agg(*[F.avg(c).alias(f"__mu{i}") for i, c in enumerate(cols)],
                                   *[F.stddev_samp(c).alias(f"__sd{i}") for i, c in enumerate(cols)])
-    j = df.join(stats, keys, "left")
+    j = _join_summary(df, stats, keys)
     idx = {c: i for i, c in enumerate(cols)}
     return j.selectExpr(*[
         f"CASE WHEN __sd{idx[c]} > 0 THEN ({q(c)} - __mu{idx[c]}) / __sd{idx[c]} END AS {q(c)}" if c in idx else q(c)
@@ -396,6 +402,6 @@ def ffill_bucketed(df: DataFrame, cols: Iterable[str], series: Series, time: str
     carry = over(keys, "__b", (None, -1))
     summ = summ.selectExpr(*[q(k) for k in keys], "__b",
                            *[f"last(__last{i}, true) {carry} AS __carry{i}" for i in range(len(cols))])
-    j = within.join(summ, [*keys, "__b"], "left")
+    j = _join_summary(within, summ, [*keys, "__b"])
     idx = {c: i for i, c in enumerate(cols)}
     return j.selectExpr(*[f"coalesce(__in{idx[c]}, __carry{idx[c]}) AS {q(c)}" if c in idx else q(c) for c in df.columns])

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,30 @@ def input_order_check(df: DataFrame, partition: Sequence[str], order_by: str, ti
     return flagged.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("__bad").alias("n_out_of_order"))
 
 
+def file_order_check(spark: SparkSession, path: str | Sequence[str], series: Series, time: str, block_rows: int = 100_000) -> DataFrame:
+    """Q1 on Parquet files as they lie: per file (name), its rows and those whose time is earlier than that of the previous row of
+    their series.  Input order is the order of the file names, then of the rows in a file; no column has to tell it.
+
+    Rows are compared inside blocks of ``block_rows`` neighbouring rows of a file, and one summary per series and block hands its
+    last time on to the next block of the series, also across files: no window holds a whole series.  A row without time, or
+    behind one, is not out of order."""
+    keys = keys_of(series)
+    rows = spark.read.parquet(*([path] if isinstance(path, str) else path)).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(time).alias("__t"),
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    rows = rows.withColumn("__block", F.floor(F.col("__row") / F.lit(block_rows)))
+    ks = [f"__k{i}" for i in range(len(keys))]
+    block = [*ks, "__file", "__block"]
+    late = F.col("__t") < F.lag("__t").over(Window.partitionBy(*block).orderBy("__row"))
+    sums = rows.withColumn("__late", late).groupBy(*block).agg(
+        F.count(F.lit(1)).alias("__n"), F.count_if("__late").alias("__bad"),
+        F.min_by("__t", "__row").alias("__first"), F.max_by("__t", "__row").alias("__last"))
+    before = F.lag("__last").over(Window.partitionBy(*ks).orderBy("__file", "__block"))
+    sums = sums.withColumn("__edge", F.coalesce(F.col("__first") < before, F.lit(False)).cast("bigint"))
+    name = F.element_at(F.split("__file", "/"), -1)
+    return sums.groupBy(name.alias("file")).agg(F.sum("__n").alias("n_rows"), F.sum(F.col("__bad") + F.col("__edge")).alias("n_out_of_order"))
+
+
 _LAG = re.compile(r"_lag(-?\d+)$")
 
 

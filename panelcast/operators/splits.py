@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.panel import Series, _as_date, whole
@@ -78,6 +78,59 @@ def fold_bounds(folds: DataFrame, time: str) -> DataFrame:
                                                 F.max(time).alias("end"))
 
 
+def walk_forward_extents(df: DataFrame, time: str, initial_years: int = 15, step_months: int = 12,
+                         horizon_months: int = 12, start=None, end=None) -> DataFrame:
+    """L4: rows and first and last period of each fold and role, equal to ``fold_bounds(walk_forward(df))``, without a copy of
+    any row: ``df`` is counted by month once, and folds are prefix sums over that histogram.
+
+    A month enters the train part of one fold and stays in all later ones; it is in the val part of a range of folds, which a
+    difference array marks (+n at the first, -n behind the last).  Everything after the first aggregate has one row per
+    month or fold, so the windows over all of it are small."""
+    init = initial_years * 12
+    # F.trunc gives the first day of the month; rows without time belong to no fold
+    months = df.filter(F.col(time).isNotNull()).groupBy(F.trunc(time, "month").alias("__p")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi"))
+    all_months = Window.partitionBy()
+    first = F.min("lo").over(all_months) if start is None else _as_date(start)
+    last = F.max("hi").over(all_months) if end is None else _as_date(end)
+    months = months.select("*", first.alias("__first"), last.alias("__last"),
+                           (F.row_number().over(all_months.orderBy("__p")) == 1).alias("__mark"))
+    m = F.months_between("__p", "__first").cast("int")
+    span = F.months_between("__last", "__first").cast("int") + 1
+    months = months.select("*", m.alias("__m"), (F.floor((span - init - horizon_months) / F.lit(float(step_months))).cast("int") + 1).alias("__folds"))
+    step = F.lit(float(step_months))
+    enters = F.floor((F.col("__m") - init) / step).cast("int") + 1                        # first fold whose train part has the month
+    k_min = F.greatest(F.lit(0), F.ceil((F.col("__m") - init - horizon_months + 1) / step).cast("int"))
+    k_max = enters - 1                                                                    # last fold whose val part has it
+    none, zero = F.lit(None), F.lit(0).cast("bigint")
+    kind = months.schema["lo"].dataType
+
+    def event(k, n_train=zero, t_lo=none, t_hi=none, n_val=zero, v_lo=none, v_hi=none):
+        return F.struct(k.cast("int").alias("fold_id"), n_train.alias("n_train"), t_lo.cast(kind).alias("t_lo"), t_hi.cast(kind).alias("t_hi"),
+                        n_val.alias("n_val"), v_lo.cast(kind).alias("v_lo"), v_hi.cast(kind).alias("v_hi"))
+
+    trained = F.array(event(F.greatest(F.lit(0), enters), F.col("n"), F.col("lo"), F.col("hi")))
+    empty = F.slice(trained, 1, 0)
+    scored = F.when(k_min <= k_max, F.array(event(k_min, n_val=F.col("n"), v_hi=F.col("hi")), event(k_max, v_lo=F.col("lo")),
+                                            event(k_max + 1, n_val=-F.col("n")))).otherwise(empty)
+    # every fold gets a row, also one that no month begins or ends
+    marks = F.when(F.col("__mark") & (F.col("__folds") > 0),
+                   F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("__folds") - 1)), lambda k: event(k))).otherwise(empty)
+    inside = F.when(F.col("__m") >= 0, F.concat(trained, scored)).otherwise(empty)
+    folds = months.select("__folds", F.explode(F.concat(inside, marks)).alias("e")).groupBy("e.fold_id").agg(
+        F.max("__folds").alias("__folds"), F.sum("e.n_train").alias("n_train"), F.min("e.t_lo").alias("t_lo"), F.max("e.t_hi").alias("t_hi"),
+        F.sum("e.n_val").alias("n_val"), F.min("e.v_lo").alias("v_lo"), F.max("e.v_hi").alias("v_hi"))
+    so_far = Window.partitionBy().orderBy("fold_id").rowsBetween(Window.unboundedPreceding, 0)
+    from_here = Window.partitionBy().orderBy("fold_id").rowsBetween(0, Window.unboundedFollowing)
+    run = folds.select("fold_id", "__folds", *[f.over(w).alias(c) for c, f, w in (
+        ("n_train", F.sum("n_train"), so_far), ("t_lo", F.min("t_lo"), so_far), ("t_hi", F.max("t_hi"), so_far),
+        ("n_val", F.sum("n_val"), so_far), ("v_lo", F.min("v_lo"), from_here), ("v_hi", F.max("v_hi"), so_far))])
+    roles = F.explode(F.array(
+        F.struct(F.lit("train").alias("role"), F.col("n_train").alias("n"), F.col("t_lo").alias("start"), F.col("t_hi").alias("end")),
+        F.struct(F.lit("val").alias("role"), F.col("n_val").alias("n"), F.col("v_lo").alias("start"), F.col("v_hi").alias("end"))))
+    return run.filter(F.col("fold_id") < F.col("__folds")).select("fold_id", roles.alias("r")).select("fold_id", "r.*").filter("n > 0")
+
+
 def train(df: DataFrame, col: str = "split") -> DataFrame:
     """Accessor filters on the split column (the three frames of a split, lazily)."""
     return df.filter(F.col(col) == "train")

@@ -26,7 +26,10 @@ SPLIT_A = {"train_end": "1998-12", "val_start": "1999-01", "val_end": "1999-12",
 
 def prepared_a(spark: SparkSession, sf_dir: str, max_gap: int = 3) -> DataFrame:
     """PANEL_A → C1 grid → W7 fill (limit ``max_gap``) → standardised revenue ``anom`` + ``orders``."""
-    p = tables.panel_a(spark, sf_dir)
+    return prepare(tables.panel_a(spark, sf_dir), max_gap)
+
+
+def prepare(p: DataFrame, max_gap: int = 3) -> DataFrame:
     g = panel.regular_grid(p, SERIES_A, TIME, "month")
     f = panel.ffill(g, ["revenue", "n_orders"], SERIES_A, TIME, limit=max_gap)
     f = f.withColumn("orders", F.col("n_orders").cast("double"))
@@ -42,6 +45,18 @@ def build_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.build_features(labelled_a(spark, sf_dir), list(BASE_A), SERIES_A, TIME, horizons=HORIZONS)
 
 
+def build_dataset_routed(spark: SparkSession, sf_dir: str, max_periods: int = 100_000, bucket: int = 10_000) -> DataFrame:
+    """Entry 1 for panels of mixed lengths: series of up to ``max_periods`` by :func:`build_dataset`'s plan, longer ones in time
+    buckets, from one read of the facts.  Same rows and values as :func:`build_dataset`."""
+    from panelcast.operators.halo import route_by_length
+
+    def plain(p):
+        lab = labels.label(prepare(p), "anom", SERIES_A, TIME, HORIZONS)
+        return features.build_features(lab, list(BASE_A), SERIES_A, TIME, horizons=HORIZONS).select(*build_dataset_columns())
+
+    return route_by_length(tables.panel_a(spark, sf_dir), SERIES_A, TIME, plain, lambda p: dataset_in_buckets(p, bucket), max_periods)
+
+
 def predictions_a(spark: SparkSession, sf_dir: str, models: Sequence[str] = ("climatology", "persistence")) -> DataFrame:
     """Long predictions ``(nation, segment, period, target, y_true, y_pred, model, crosses, split)``
     of the naive baselines on the test split."""
@@ -112,9 +127,14 @@ def build_dataset_bucketed(spark: SparkSession, sf_dir: str, bucket: int = 24, m
     group + join -> targets and features in halo buckets (back: lag 6; ahead: lead 6 of a
     3-row mean).  Same rows and values as :func:`build_dataset`.
     """
+    return dataset_in_buckets(tables.panel_a(spark, sf_dir), bucket, max_gap)
+
+
+def dataset_in_buckets(p: DataFrame, bucket: int, max_gap: int = 3) -> DataFrame:
     from panelcast.operators.halo import with_halo
+    from panelcast.session import materialize
 
-    p = tables.panel_a(spark, sf_dir)
+    p = materialize(p)  # read by the grid, its summary of buckets and the moments: the facts are read once
     g = panel.regular_grid_bucketed(p, SERIES_A, TIME, bucket, "month")
     f = with_halo(g, SERIES_A, TIME, lambda d, k: panel.ffill(d, ["revenue", "n_orders"], k, TIME, limit=max_gap),
                   reach_back=max_gap, reach_ahead=0, bucket=bucket)

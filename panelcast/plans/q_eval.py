@@ -66,6 +66,21 @@ def e5_init_month(spark, sf):
     return evaluate.by_init_month(preds(spark, sf), T, BY)
 
 
+ALL_SRC = """(SELECT target, model, y_true, y_pred, 'all' AS part, CAST(NULL AS VARCHAR) AS stratum, CAST(NULL AS INTEGER) AS month FROM preds
+UNION ALL SELECT target, model, y_true, y_pred, 'barrier', CASE WHEN crosses THEN 'crosses_spring' ELSE 'no_spring_barrier' END, NULL
+  FROM preds WHERE crosses IS NOT NULL
+UNION ALL SELECT target, model, y_true, y_pred, 'month', NULL, CAST(month(period) AS INTEGER) FROM preds) p"""
+ALL_SQL = PRED_SQL + f"""SELECT * REPLACE (CASE WHEN part <> 'month' OR n >= 3 THEN f1_macro END AS f1_macro),
+  {E4_DELTA.replace("target, model)", "target, model, part)")} AS delta_f1
+FROM ({O.metrics_sql(ALL_SRC, ['target', 'model', 'part', 'stratum', 'month'])}) m"""
+
+
+@register("e5_all_strata", sql=ALL_SQL)
+def e5_all_strata(spark, sf):
+    """Overall, by barrier and by init month (E2, E4, E5) from one aggregate of the predictions."""
+    return evaluate.all_strata(preds(spark, sf), T, "crosses", BY)
+
+
 @register("e6_tidy_sorted", sql=PRED_SQL + O.metrics_sql("preds", BY) + " ORDER BY target, f1_macro DESC, model")
 def e6_tidy_sorted(spark, sf):
     return evaluate.order_metrics(evaluate.classification_metrics(preds(spark, sf), BY))
@@ -273,6 +288,18 @@ def m7_boosted_regressor(spark, sf):
         models.train_and_evaluate_values(df, K, T, FEATS_ML, PL.VALUE_TARGETS, "anom"), BY))
 
 
+@register("m7_patience")
+def m7_patience(spark, sf):
+    """The value regressors stopped after 10 rounds without a lower validation error, cut to their best round (quarter the rounds of
+    :data:`models.PATIENCE` at four times the learning rate, since every round is some jobs)."""
+    df = _split_features(spark, sf)
+    fitted = models.fit_regressors(df, FEATS_ML, PL.VALUE_TARGETS, params={"patience": 10, "learning_rate": 0.2})
+    scores = evaluate.skill_score(evaluate.regression_metrics(
+        models.train_and_evaluate_values(df, K, T, FEATS_ML, PL.VALUE_TARGETS, "anom", fitted=fitted), BY))
+    rounds = F.create_map(*[x for t, m in fitted.items() for x in (F.lit(t), F.lit(m.stages[-1].getNumTrees))])
+    return scores.select("*", F.when(F.col("model") == "boosted", rounds[F.col("target")]).alias("n_rounds"))
+
+
 @register("m9_class_probabilities")
 def m9_class_probabilities(spark, sf):
     df = _split_features(spark, sf)

@@ -486,6 +486,12 @@ def c4_features_bucketed(spark, sf):
     return PL.build_dataset_bucketed(spark, sf, bucket=12)
 
 
+@register("c4_features_routed", sql=_sql_a("features_a", "SELECT * FROM features_a"), r6=O.DOUBLES_A)
+def c4_features_routed(spark, sf):
+    """Same result as c4_features: series of over 78 months in buckets, the others by the plain plan, one read of the facts."""
+    return PL.build_dataset_routed(spark, sf, max_periods=78, bucket=12)
+
+
 @register("w8_ffill_unbounded_bucketed", sql=_sql_a("grid_a", """SELECT nation, segment, period,
   last_value(revenue IGNORE NULLS) OVER (PARTITION BY nation, segment ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS revenue
 FROM grid_a WHERE period >= DATE '2000-01-01'"""))

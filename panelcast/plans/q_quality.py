@@ -34,6 +34,14 @@ def q1_input_order(spark, sf):
     return quality.input_order_check(o, ["o_custkey"], "o_orderkey", "o_orderdate")
 
 
+@register("q1_file_order", sql="""SELECT count(*) AS n_rows, count_if(coalesce(bad, false)) AS n_out_of_order FROM (
+  SELECT o_orderdate < lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS bad FROM orders) x""")
+def q1_file_order(spark, sf):
+    """Orders of each customer as they lie in the files (which are written by order key), in blocks of 1,000 rows."""
+    per_file = quality.file_order_check(spark, f"{sf}/orders.parquet", ["o_custkey"], "o_orderdate", block_rows=1_000)
+    return per_file.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_out_of_order").alias("n_out_of_order"))
+
+
 @register("q2_key_check", sql=O.with_(O.PANEL_A) + """SELECT nation, segment, count(*) AS n_rows, count(DISTINCT period) AS n_periods,
   count(*) - count(DISTINCT period) AS n_duplicates,
   CAST(date_diff('month', min(period), max(period)) + 1 - count(DISTINCT period) AS BIGINT) AS n_missing_periods,
@@ -207,9 +215,7 @@ FROM prepared_a p JOIN folds f ON p.period < f.val_end GROUP BY 1, 2""", ["""b A
          CAST(lo + to_months(CAST(48 + 12 * k AS INTEGER)) AS DATE) AS val_end
   FROM b, range(0, CAST(floor((span - 36 - 12) / 12) + 1 AS BIGINT)) r(k))"""]))
 def l4_walk_forward_folds(spark, sf):
-    from panelcast.session import materialize
-    f = splits.walk_forward(materialize(PL.prepared_a(spark, sf)), T, initial_years=3, step_months=12, horizon_months=12)
-    return splits.fold_bounds(f, T)
+    return splits.walk_forward_extents(PL.prepared_a(spark, sf), T, initial_years=3, step_months=12, horizon_months=12)
 
 
 # ----------------------------------------------------------------------------- U

@@ -104,3 +104,21 @@ def test_regression_metrics(spark):
     r = evaluate.regression_metrics(df).collect()[0]
     assert r.n == 2 and r.mae == 0.75 and r.rmse == round((0.25 / 2 + 1 / 2) ** 0.5, 4)
     assert F is not None
+
+
+def test_all_strata_in_one_pass(spark):
+    """One aggregate and grouping sets equal the three separate results."""
+    import datetime as dt
+    import random
+    rng = random.Random(2)
+    labels = [*evaluate.LABELS, None]
+    rows = [("t1", m, dt.date(2001, rng.randint(1, 11), 1) if rng.random() < 0.95 else None, rng.choice([True, False, None]),
+             rng.choice(labels), rng.choice(labels)) for m in ("a", "b") for _ in range(120)]
+    p = spark.createDataFrame(rows, "target string, model string, period date, crosses boolean, y_true string, y_pred string")
+    got = evaluate.all_strata(p, "period", "crosses").collect()
+    pick = lambda r: (r.target, r.model, r.accuracy, r.f1_macro, r.f1_la_nina, r.n)
+    assert sorted(map(pick, (r for r in got if r.part == "all"))) == sorted(map(pick, evaluate.classification_metrics(p).collect()))
+    want = evaluate.by_barrier(p, "crosses").collect()
+    assert sorted((*pick(r), r.stratum, r.delta_f1) for r in got if r.part == "barrier") == sorted((*pick(r), r.stratum, r.delta_f1) for r in want)
+    months = {(r.model, r.month): (r.f1_macro, r.n_raw) for r in evaluate.by_init_month(p, "period").collect() if r.n_raw}
+    assert {(r.model, r.month): (r.f1_macro, r.n) for r in got if r.part == "month"} == months

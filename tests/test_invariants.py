@@ -142,3 +142,27 @@ def test_correlation_fast_path(spark):
     slow = {(r.col_a, r.col_b): r.corr for r in analysis.correlation_matrix(df, ["a", "b", "c"]).collect()}
     fast = {(r.col_a, r.col_b): r.corr for r in analysis.correlation_matrix(df, ["a", "b", "c"], complete_rows=True).collect()}
     assert slow.keys() == fast.keys() and all(abs(slow[k] - fast[k]) < 1e-9 for k in slow)
+
+
+def test_correlations_with_gaps_by_masks(spark):
+    """Masked Gram matrices against pandas' pairwise-complete correlations: gaps, a far-off mean, a constant, a column without values."""
+    from panelcast.operators import analysis
+    rng = np.random.default_rng(3)
+    n = 300
+    base = rng.normal(0, 1, n)
+    pdf = pd.DataFrame({"a": base, "b": 1e6 + base + rng.normal(0, 1, n), "c": -base * 1e-3 + rng.normal(0, 1e-3, n),
+                        "same": np.full(n, 0.1), "none": np.full(n, np.nan)})
+    for i, c in enumerate(["a", "b", "c"]):
+        pdf.loc[rng.random(n) < 0.2 + 0.2 * i, c] = np.nan
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, same double, none double")
+    got = {(r.col_a, r.col_b): r.corr for r in analysis.masked_correlations(df, list(pdf.columns)).collect()}
+    assert len(got) == 15
+    want = pdf.corr(min_periods=2)
+    for (a, b), v in got.items():
+        if {"same", "none"} & {a, b}:
+            assert v is None
+        else:
+            assert abs(v - want.loc[a, b]) < 1e-9, (a, b)
+    empty = analysis.masked_correlations(df.limit(0), ["a", "b"]).collect()
+    assert [r.corr for r in empty] == [None, None, None]

@@ -114,3 +114,52 @@ def test_dense_ids(spark):
     df = spark.range(1000).withColumn("x", F.col("id") % 7)
     out, n = models.dense_ids(df, ["id"], "k", bucket_rows=50)
     assert n == 1000 and sorted(r.k for r in out.collect()) == list(range(1000))
+
+
+def test_best_round_by_hand():
+    assert models.best_round([5, 4, 3, 3, 4, 2], 3) == (6, False)        # lower within three rounds
+    assert models.best_round([5, 4, 3, 3, 4, 4, 2], 3) == (3, True)      # three rounds brought nothing: 2 is never seen
+    assert models.best_round([1], 50) == (1, False)
+    assert models.best_round([2, 2, 2], 2) == (1, True)                  # a tie is not better
+
+
+def _valued(spark, n=400):
+    rng = np.random.default_rng(11)
+    x1, x2 = rng.normal(0, 1, n), rng.normal(0, 1, n)
+    y = np.sin(2 * x1) + rng.normal(0, 0.8, n)
+    rows = [(float(a), float(b), float(c), "high" if c > 0 else "low", bool(i % 4 == 0)) for i, (a, b, c) in enumerate(zip(x1, x2, y))]
+    return spark.createDataFrame(rows, "x1 double, x2 double, y double, side string, is_val boolean").coalesce(1)
+
+
+def test_patience_of_a_regressor_against_a_hand_run_curve(spark):
+    df = _valued(spark)
+    shape = {"learning_rate": 0.5, "max_depth": 3, "min_child_samples": 5}
+    full = models.fit_regressor(df.filter("NOT is_val"), ["x1", "x2"], "y", {**shape, "n_estimators": 16})
+    val = df.filter("is_val").collect()
+    # the curve by hand: predictions of every tree added up round by round
+    gbt = full.stages[-1]
+    rows = full.stages[0].transform(df.filter("is_val"))
+    per_tree = [np.array([r.prediction for r in t.transform(rows).select(F.col("y_pred").alias("prediction")).collect()])
+                for t in gbt.trees]
+    margins = np.cumsum([w * p for w, p in zip(gbt.treeWeights, per_tree)], axis=0)
+    curve = [float(np.mean((m - np.array([r.y for r in val])) ** 2)) for m in margins]
+    assert np.allclose(models.validation_curve(gbt, rows.withColumnRenamed("y", gbt.getLabelCol())), curve)
+    patience = 4
+    best, ended = models.best_round(curve, patience)
+    assert ended and best < 12                                           # the data are noisy: it overfits early
+    got = models.fit_regressor(df, ["x1", "x2"], "y", {**shape, "n_estimators": 16, "patience": patience}, val_col="is_val")
+    assert got.stages[-1].getNumTrees == best
+    pred = np.array([r.y_pred for r in got.transform(df.filter("is_val")).collect()])
+    assert np.allclose(pred, margins[best - 1])
+
+
+def test_patience_of_classes_and_saved_model(spark, tmp_path):
+    df = _valued(spark)
+    shape = {"learning_rate": 0.5, "max_depth": 2, "min_child_samples": 5, "n_estimators": 12, "patience": 3}
+    m = models.fit_classifier(df, ["x1", "x2"], "side", "boosted", shape, val_col="is_val")
+    for c, n in m.trees().items():
+        assert n == models.best_round(m.curves[c], 3)[0]
+    models.save_model(m, str(tmp_path / "m"))
+    again = models.load_model(str(tmp_path / "m"))
+    assert again.trees() == m.trees()
+    assert [tuple(r.probs) for r in again.transform(df).collect()] == [tuple(r.probs) for r in m.transform(df).collect()]

@@ -119,3 +119,23 @@ def test_gate_finds_leaks_by_value(spark):
     assert not rep["no_target_copies"].passed and rep["no_target_copies"].detail == "label_copy"
     clean = {r["check"]: r.passed for r in quality.leakage_report(ds, ["nation", "segment"], "period", ["anom_lag1"], ["enso_t1"], lag_bases=["anom"]).collect()}
     assert clean["no_future_lags"] and clean["no_target_copies"]
+
+
+def test_file_order_across_blocks_and_files(spark, tmp_path):
+    """Disorder inside a block, at the edge of a block and at the edge of a file; other series and rows without time do not count."""
+    d = lambda n: dt.date(2001, 1, 1) + dt.timedelta(days=n)
+    one = [("a", d(0)), ("b", d(9)), ("a", d(2)), ("a", d(1)),      # late inside the block
+           ("a", d(0)), ("b", d(10)), ("b", None), ("b", d(3)),     # a is late at the edge; b follows a row without time
+           ("a", d(5)), ("b", d(4)), (None, d(7)), ("b", d(11))]
+    two = [("b", d(6)), ("a", d(5)), (None, d(6)), ("a", d(8))]     # b and the series without a name are late at the edge of the file
+    for name, rows in (("x1", one), ("x2", two)):
+        spark.createDataFrame(rows, "series string, period date").coalesce(1).write.parquet(str(tmp_path / name))
+    import glob
+    import shutil
+    (tmp_path / "all").mkdir()
+    for name in ("x1", "x2"):
+        shutil.copy(glob.glob(str(tmp_path / name / "*.parquet"))[0], tmp_path / "all" / f"{name}.parquet")
+    for block_rows in (1, 4, 5, 100):
+        got = {r.file: (r.n_rows, r.n_out_of_order) for r in
+               quality.file_order_check(spark, str(tmp_path / "all"), ["series"], "period", block_rows).collect()}
+        assert got == {"x1.parquet": (12, 2), "x2.parquet": (4, 2)}, block_rows

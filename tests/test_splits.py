@@ -60,3 +60,18 @@ def test_folds_grow_and_validate_on_the_next_months(panel):
 
 def test_export_has_two_parts(panel):
     assert labels(splits.export_split(panel, "period", text(77))) == {(s, k): "train" if k < 77 else "test" for s, k in ROWS}
+
+
+def test_fold_extents_without_copies(spark):
+    """Prefix sums over the months equal counting the copied rows: gaps between months, steps over and under the horizon."""
+    import datetime as dt
+    import random
+    rng = random.Random(8)
+    rows = [("s", dt.date(1971 + m // 12, m % 12 + 1, 1)) for m in range(0, 150) if rng.random() < 0.6 for _ in range(rng.randint(1, 3))]
+    df = spark.createDataFrame(rows + [("s", None)], "series string, period date")
+    for years, step, horizon in ((3, 12, 12), (2, 7, 3), (1, 5, 14), (4, 1, 1), (30, 12, 12)):
+        slow = splits.fold_bounds(splits.walk_forward(df, "period", years, step, horizon), "period")
+        fast = splits.walk_forward_extents(df, "period", years, step, horizon)
+        key = lambda r: (r.fold_id, r.role, r.n, r.start, r.end)
+        assert sorted(map(key, fast.collect())) == sorted(map(key, slow.collect())), (years, step, horizon)
+    assert splits.walk_forward_extents(df.limit(0), "period").count() == 0
