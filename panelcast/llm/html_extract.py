@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -32,8 +33,9 @@ BOILER_HINTS = set("ad ads advert adverts advertisement advertising banner bread
 MENU_HEADINGS = set("follow menu navigation recommended related share tags topics".split())
 CONTENT_HINTS = set("article body content entry main post story text".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
-_ATTR = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_SPECIAL = re.compile(r"""[>"']""")
+_ATTR = re.compile(r"""(?<![A-Za-z-])([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "svg", "template", "select", "button")}
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*[\"']?true", re.I)
 
@@ -80,12 +82,58 @@ def _zone(tag: str, attrs: str, above: int) -> int:
     return CLAIMED if above in (NAMED, CLAIMED) and tag != "main" else 1
 
 
+def tag_reader(page: str):
+    """A function that gives (start, end, closing, name, attributes) of the first tag, comment or declaration from a place on, or None; name is
+    empty for the latter two.  The places asked for must not go back.
+
+    A tag ends at the first > outside quotes; a < that begins none is text.  No stretch is read more than a few times, however broken the
+    markup: what a tag without an end has met is remembered, and a later one that meets it again ends there too."""
+    last = {c: page.rfind(c) for c in ">\"'"}
+    dead: set[int] = set()                # quotes opened by tags without an end
+    seen_from, seen = 0, -1               # no special character from seen_from up to seen
+
+    def end_of(pos: int) -> int:
+        nonlocal seen_from, seen
+        met = []
+        while pos <= last[">"]:
+            if not seen_from <= pos <= seen:
+                seen_from, seen = pos, _SPECIAL.search(page, pos).start()
+            if page[seen] == ">":
+                return seen + 1
+            if seen in dead or seen >= last[page[seen]]:
+                break
+            met.append(seen)
+            pos = page.index(page[seen], seen + 1) + 1
+        dead.update(met)
+        return 0
+
+    def next_tag(at: int):
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), False, "", ""
+            if last[">"] < at:                # only an open comment needs no >
+                at += 1
+                continue
+            closing = page.startswith("/", at + 1)
+            name = _NAME.match(page, at + 1 + closing)
+            if name and (end := end_of(name.end())):
+                return at, end, closing, name[0].lower(), page[name.end():end - 1]
+            if page[at + 1:at + 2] in ("!", "?"):
+                return at, page.index(">", at) + 1, False, "", ""
+            at += 1
+        return None
+
+    return next_tag
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of text of a page in order, references decoded and white space made one space."""
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int]] = []
+    depth: Counter = Counter()            # open elements by name
     in_link, at = False, 0
 
     def close():
@@ -102,18 +150,19 @@ def blocks(page: str) -> list[Block]:
             if in_link:
                 linked.append(text + " ")
 
-    while m := _TAG.search(page, at):
-        say(page[at:m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
+    next_tag = tag_reader(page)
+    while found := next_tag(at):
+        start, end, closing, tag, attrs = found
+        say(page[at:start])
+        at = end
         if not tag:
             continue
         if tag == "a":
-            in_link = not m[1]
+            in_link = not closing
             continue
-        if tag in _RAW and not m[1]:
-            end = _RAW[tag].search(page, at)
-            at = end.end() if end else len(page)
+        if tag in _RAW and not closing:
+            raw_end = _RAW[tag].search(page, at)
+            at = raw_end.end() if raw_end else len(page)
             if tag in ("button", "select", "svg"):
                 parts.append(" ")
             continue
@@ -124,17 +173,19 @@ def blocks(page: str) -> list[Block]:
         close()
         in_link = False
         if tag in VOID or tag in ("p", "li", "dt", "dd", "tr", "td", "th", "html", "body"):
-            if tag == "body" and not m[1]:
+            if tag == "body" and not closing:
                 stack.clear()
+                depth.clear()
             continue
         above = stack[-1][1] if stack else 0
-        if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+        if closing:
+            while depth[tag]:
+                depth[stack[-1][0]] -= 1
+                if stack.pop()[0] == tag:
                     break
-        elif not m[3].endswith("/"):
-            stack.append((tag, FINAL if tag in UNSEEN else _zone(tag, m[3], above)))
+        elif not attrs.endswith("/"):
+            stack.append((tag, FINAL if tag in UNSEEN else _zone(tag, attrs, above)))
+            depth[tag] += 1
     if at < len(page):
         rest = page[at:]
         say(rest if not re.match(r"<[A-Za-z/!]", rest) else "")
@@ -196,18 +247,28 @@ LABELLED = [
     (-1, 30, 0.0, 2, 0.0, 3, 0.0, 0), (-1, 14, 0.0, 45, 0.0, 0, 0.0, 0), (-1, 80, 0.0, 60, 0.0, 70, 0.0, 0),
     (-1, 5, 0.5, 40, 0.0, 0, 0.0, 0), (-1, 22, 0.1, 22, 0.1, 25, 0.0, 0), (-1, 12, 0.0, 50, 0.0, 1, 1.0, 0),
     (-1, 45, 0.0, 4, 0.0, 4, 0.0, 0), (-1, 3, 0.0, 30, 0.0, 50, 0.0, 0), (-1, 18, 0.9, 1, 1.0, 1, 1.0, 0),
-    # no known container: long text and its neighbours stay, short text among links or alone goes
+    # no known container: hand-made rows; those below are of kinds
     (0, 50, 0.0, 40, 0.0, 60, 0.0, 1), (0, 70, 0.1, 3, 1.0, 30, 0.0, 1), (0, 25, 0.0, 50, 0.0, 4, 0.0, 1),
     (0, 30, 0.2, 6, 0.0, 20, 0.0, 1), (0, 7, 0.0, 30, 0.0, 45, 0.0, 1), (0, 6, 0.0, 2, 1.0, 40, 0.0, 1),
-    (0, 18, 0.0, 20, 0.0, 3, 1.0, 1), (0, 12, 0.1, 35, 0.0, 28, 0.0, 1), (0, 20, 0.0, 0, 0.0, 0, 0.0, 1),
     (0, 2, 1.0, 1, 1.0, 2, 1.0, 0), (0, 3, 1.0, 2, 1.0, 30, 0.0, 0), (0, 12, 0.9, 4, 1.0, 5, 1.0, 0),
-    (0, 4, 0.0, 3, 1.0, 2, 1.0, 0), (0, 30, 0.9, 10, 0.8, 8, 1.0, 0), (0, 5, 0.0, 2, 0.0, 3, 0.0, 0),
-    (0, 8, 0.6, 30, 0.0, 4, 0.8, 0), (0, 3, 0.0, 25, 0.0, 2, 1.0, 0), (0, 6, 0.0, 1, 1.0, 6, 0.5, 0),
-    (0, 9, 0.0, 3, 1.0, 4, 0.9, 0), (0, 2, 0.0, 0, 0.0, 1, 1.0, 0), (0, 40, 0.7, 3, 1.0, 3, 1.0, 0),
+    (0, 30, 0.9, 10, 0.8, 8, 1.0, 0), (0, 8, 0.6, 30, 0.0, 4, 0.8, 0), (0, 40, 0.7, 3, 1.0, 3, 1.0, 0),
 ]
 
-
-def train(rows=LABELLED, depth: int = 6):
+#: Neighbours (words and density before and after): of text, of links, of the edge of a page.
+_TEXT, _LINE, _LINKS, _EDGE = (45, 0.0), (4, 0.0), (2, 1.0), (0, 0.0)
+_NEAR = [(b, a) for b in (_TEXT, _LINE, _LINKS, _EDGE) for a in (_TEXT, _LINE, _LINKS, _EDGE)]
+# inside of known containers the kind of container decides, whatever the neighbours are
+LABELLED += [(zone, w, d, *b, *a, int(zone > 0)) for zone in (1, -1) for w in (1, 6, 12, 28, 120)
+             for d in (0.0, 0.3, 0.7, 1.0) for b, a in _NEAR]
+# outside of known containers: text of a line or more stays whatever stands beside it, also first, last, alone or with some links
+LABELLED += [(0, w, d, *b, *a, 1) for w in (12, 28, 120) for d in (0.0, 0.3) for b, a in _NEAR]
+# most words linked: menus and lists of links
+LABELLED += [(0, w, d, *b, *a, 0) for w in (1, 12, 28) for d in (0.7, 1.0) for b, a in _NEAR]
+# short text: headings, lines and captions stay; the label before a list of links, and the line behind one at the end, go
+LABELLED += [(0, w, 0.0, *b, *a, int(a != _LINKS and (b, a) != (_LINKS, _EDGE))) for w in (1, 6) for b, a in _NEAR]
+
+
+def train(rows=LABELLED, depth: int = 9):
     """A decision tree on the labelled rows: (feature, threshold, low branch, high branch) or a label."""
     labels = [r[-1] for r in rows]
     ones = sum(labels)
@@ -246,8 +307,8 @@ def main_text(page: str | None, tree) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html; others are ignored).
 
-    Null and empty pages, and pages without any main text, give the empty text.  Broken markup is read as far as it goes.  Repeated rows
-    come out alike."""
+    Null and empty pages, and pages without any main text, give the empty text; an empty table gives an empty one.  Broken markup is read
+    as far as it goes, and the time grows with the length of a page whatever stands in it.  Repeated rows come out alike."""
     ship(pages.sparkSession)
     tree = train()
 
