@@ -6,10 +6,13 @@ chunk of its own.  Chunks of two lines or more, and long lines, that occur more
 are removed except where they occur first (smallest doc_id, then smallest place).  Digests only
 propose repeats; the bytes decide.
 
-The cuts are sparse, so a repeated passage of few lines may lie across them.  ``dedup_passages`` (the pipeline
-stage) takes every two neighbouring lines besides the chunks, so that a run of two lines or more goes
-wherever the cuts fall; ``dedup`` (the query) keeps to the chunks, as its SQL says.  The stage leaves copies of one earlier
-document whole: near-dedup, the next stage, takes them, and scraps of them would no longer resemble their original.
+No cuts that depend on content can set a passage of two lines apart from any neighbours, so the chunks are
+extended: outside the chunks that go, every two neighbouring lines are held against all others the same
+way.  Thus what goes does not depend on the cuts: every run of two lines or more with a word each, and
+every long line, that stands in an earlier place, and nothing else.
+
+The stage of the pipeline leaves copies of one earlier document whole: near-dedup, the next stage, takes them, and scraps
+of them would no longer resemble their original.
 
 Everything is built-in expressions: the chunks travel as 16-byte digests until they are known to
 repeat, and the texts of repeated chunks are pre-aggregated before they are shuffled.
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import TOKEN, head, hex_number, join_same, let, materialize, passing, small
 
-WINDOW, DIVISOR, MIN_LINES, LONG_WORDS, COPY = 2, 4, 2, 50, 0.5
+DIVISOR, LONG_WORDS, COPY = 4, 50, 0.5
 
 
 def _long(line: Column, long_words: int) -> Column:
@@ -30,17 +33,20 @@ def _long(line: Column, long_words: int) -> Column:
 
 
 def chunks(text: Column, divisor: int = DIVISOR, long_words: int = LONG_WORDS) -> Column:
-    """Array of (no, first, n_lines, long, body) for the chunks of one text; null and empty texts have none."""
+    """Array of (first, last, body) for the chunks of one text that hold two lines with a word or are a long line, from their
+    first to their last line with a word; null and empty texts have none."""
     lines = F.split(F.when(text != "", text), "\n", -1)
 
     def of(ls, big, h):
         ends = F.filter(F.sequence(F.lit(0), F.size(h) - 1),
                         lambda i: (i == F.size(h) - 1) | F.get(big, i) | F.get(big, i + 1)
                         | ((F.coalesce(F.get(h, i - 1), F.lit(0)) * 31 + F.get(h, i)) % divisor == 0))
-        return let(ends, lambda e: F.transform(e, lambda last, j: let(
-            F.coalesce(F.get(e, j - 1), F.lit(-1)) + 1, lambda first: F.struct(
-                j.alias("no"), first.alias("first"), (last - first + 1).alias("n_lines"), F.get(big, last).alias("long"),
-                F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body")))))
+        at = let(ends, lambda e: F.transform(e, lambda last, j: F.filter(
+            F.sequence(F.coalesce(F.get(e, j - 1), F.lit(-1)) + 1, last), lambda i: F.get(ls, i).rlike(TOKEN))))
+        fit = F.filter(at, lambda a: (F.size(a) >= 2) | F.coalesce(F.get(big, F.get(a, F.lit(0))), F.lit(False)))
+        return F.transform(fit, lambda a: let(F.get(a, F.lit(0)), lambda first: let(F.get(a, F.size(a) - 1), lambda last: F.struct(
+            first.alias("first"), last.alias("last"),
+            F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body")))))
 
     return let(lines, lambda ls: let(F.transform(ls, lambda x: _long(x, long_words)), lambda big: let(
         F.transform(ls, lambda x: hex_number(x)), lambda h: of(ls, big, h))))
@@ -56,47 +62,30 @@ def neighbours(text: Column) -> Column:
             F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body"))))))
 
 
-def _not_first(rows: DataFrame) -> DataFrame:
-    """The ``rows`` (_id, _digest, no, body, h: its digest, any others) whose body stands in an earlier place."""
+def _rows(docs: DataFrame, items: Column) -> DataFrame:
+    """A row for each of the ``items`` (first, last, body) of every text, with the digest of its body."""
+    rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"), F.explode(items).alias("c"))
+    return rows.select("_id", "_digest", F.col("c.first").alias("no"), "c.last", "c.body", F.unhex(F.md5("c.body")).alias("h"))
+
+
+def _not_first(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The ``rows`` (_id, _digest, no, last, body, h: its digest) whose body stands in an earlier place, but for those
+    inside the passages ``known`` (also rows that stand in an earlier place)."""
     place = F.struct("_id", "_digest", "no")
     repeated = materialize(rows.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
                            .where("lo != hi").select("h"))
     # if the digests that repeat are few, no other body is shuffled
-    again = materialize(rows.join(small(repeated), "h"))
+    again = rows.join(small(repeated), "h")
+    if known is not None:
+        # what a known passage holds stands in its first place too, so the first places stay the same
+        held = small(materialize(known.where("last > no").select(
+            F.col("_id").alias("of"), F.col("_digest").alias("of_digest"), F.explode(F.sequence("no", F.col("last") - 1)).alias("at"), F.col("last").alias("to"))))
+        again = again.join(held, again["_id"].eqNullSafe(held["of"]) & (again["_digest"] == held["of_digest"])
+                           & (again["no"] == held["at"]) & (again["last"] <= held["to"]), "left_anti")
+    again = materialize(again)
     # the first place of every body; equal digests with other bytes stay apart
     first = materialize(again.groupBy("h", "body").agg(F.min(place).alias("first")))
-    return again.join(first, ["h", "body"]).where(place != F.col("first"))
-
-
-def dedup(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-          long_words: int = LONG_WORDS) -> DataFrame:
-    """``docs`` (doc_id, text, any other columns) with repeated chunks taken out of ``text``, and
-    columns ``n_lines`` and ``n_removed`` (lines) added (they replace columns of those names).
-
-    One row per input row.  Null text stays null, empty text stays empty (0 lines).  Rows with equal
-    doc_id and text count as one document: they come out alike, and their chunks do not repeat each
-    other.  Chunks without a word are never removed.  Null doc_ids order before all others.
-    """
-    rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"),
-                       F.explode(chunks(F.col("text"), divisor, long_words)).alias("c"))
-    rows = (rows.where(((F.col("c.n_lines") >= min_lines) | F.col("c.long")) & F.col("c.body").rlike(TOKEN))
-            .select("_id", "_digest", "c.no", "c.body", F.unhex(F.md5("c.body")).alias("h")))
-    gone = _not_first(rows).groupBy("_id", "_digest").agg(F.collect_set("no").alias("_gone"))
-    d = docs.select(*[F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
-                    F.md5("text").alias("_text_digest"))
-    out = join_same(d, gone, {"doc_id": "_id", "_text_digest": "_digest"}, "left")
-    parts = let(chunks(F.col("text"), divisor, long_words), lambda cs: F.struct(
-        F.array_join(F.transform(F.filter(cs, lambda c: ~F.array_contains("_gone", c["no"])),
-                                 lambda c: c["body"]), "\n").alias("text"),
-        F.aggregate(F.filter(cs, lambda c: F.array_contains("_gone", c["no"])), F.lit(0).cast("bigint"),
-                    lambda a, c: a + c["n_lines"]).alias("n")))
-    out = out.withColumn("_new", F.when(F.col("_gone").isNotNull(), parts))
-    n_lines = F.when(F.col("text") != "", F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)
-    return out.select(
-        *[F.coalesce("_new.text", "text").alias("text") if c == "text" else F.col(c) for c in d.columns
-          if c != "_text_digest"],
-        F.coalesce(n_lines, F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce("_new.n", F.lit(0)).cast("bigint").alias("n_removed"))
+    return materialize(again.join(first, ["h", "body"]).where(place != F.col("first")))
 
 
 def _length(text: Column) -> Column:
@@ -119,22 +108,21 @@ def copies(docs: DataFrame, passages: DataFrame, share: float) -> DataFrame:
     return both.where(F.col("common") >= share * (F.col("own") + F.col("other") - F.col("common"))).select("_id", "_digest").distinct()
 
 
-def dedup_passages(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-                   long_words: int = LONG_WORDS, copy: float | None = None) -> DataFrame:
-    """Like ``dedup``, but every run of two lines or more with a word each goes if it stands in an earlier place, also
-    where it crosses or fills only part of chunks; what ``dedup`` removes goes as well.  Each line that goes
-    stays in an earlier place, by bytes.  Documents that are copies of one earlier document to the share ``copy`` (of the characters of both,
-    by common lines) stay whole if it is given.  Null and empty texts stay as they are, rows of equal id and text come out alike, an
-    empty table gives no rows, texts of any length are read whole, and the first place of several is that of the smallest id."""
-    text = F.col("text")
-    fits = F.filter(chunks(text, divisor, long_words), lambda c: (
-        (c["n_lines"] >= min_lines) | c["long"]) & c["body"].rlike(TOKEN))
-    items = F.concat(F.transform(fits, lambda c: F.struct(
-        c["first"].alias("first"), (c["first"] + c["n_lines"] - 1).alias("last"), c["body"].alias("body"))), neighbours(text))
-    rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"), F.explode(items).alias("c"))
-    rows = rows.select("_id", "_digest", F.col("c.first").alias("no"), "c.last", "c.body", F.unhex(F.md5("c.body")).alias("h"))
+def dedup(docs: DataFrame, divisor: int = DIVISOR, long_words: int = LONG_WORDS, copy: float | None = None) -> DataFrame:
+    """``docs`` (doc_id, text, any other columns) without the lines of ``text`` that stand in an earlier place as a line of
+    ``long_words`` words or in a run of two lines or more with a word each (the lines without a word between them go along), by bytes,
+    and with columns ``n_lines`` and ``n_removed`` (lines), which replace columns of those names in any case of letters.
+
+    One row per input row; other columns keep any name.  Null text stays null, empty text stays empty (0 lines), an empty
+    table gives no rows, and texts of any length are read whole.  Rows with equal doc_id and text count as one document: they
+    come out alike, and their lines do not repeat each other.  The first place of several is that of the smallest doc_id, null before all
+    others, then the smallest line.  A single line under ``long_words`` words that repeats alone stays, and so do lines without a word.
+
+    Documents that are copies of one earlier document to the share ``copy`` (of the characters of both, by common lines)
+    stay whole if it is given."""
     with passing() as keep:
-        passages = materialize(_not_first(rows))
+        known = _not_first(_rows(docs, chunks(F.col("text"), divisor, long_words)))
+        passages = known.unionByName(_not_first(_rows(docs, neighbours(F.col("text"))), known))
         gone = passages.select("_id", "_digest", F.explode(F.sequence("no", "last")).alias("no")).groupBy("_id", "_digest").agg(
             F.collect_set("no").alias("gone"))
         if copy is not None:
@@ -158,8 +146,8 @@ def dedup_passages(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without their repeated chunks and passages; copies of one earlier document stay whole for the next
     stage.  Documents of which nothing is left leave, as all they held stands in an earlier document; texts that were empty before stay.
-    Edge rows as in ``dedup_passages``; columns of any name are kept."""
-    out = dedup_passages(docs.select("*", F.struct(*docs.columns).alias("_own_columns")), copy=COPY)
+    Edge rows as in ``dedup``; columns of any name are kept."""
+    out = dedup(docs.select("*", F.struct(*docs.columns).alias("_own_columns")), copy=COPY)
     row = out.where((F.col("n_removed") == 0) | F.col("text").rlike(TOKEN))
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("_own_columns.n_chars"))}
     return row.select(*[new.get(c.lower(), F.col("_own_columns")[c]).alias(c) for c in docs.columns])
@@ -170,34 +158,28 @@ def query(spark, sf_dir: str) -> DataFrame:
     return dedup(docs.select("doc_id", "text")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+# By what goes, not by the cuts.
 SQL = f"""
-WITH lines AS (
-  SELECT doc_id, i AS no, ls[i] AS line,
-         ('0x' || substr(md5(ls[i]), 1, 8))::BIGINT AS h,
-         len(regexp_extract_all(ls[i], '{TOKEN}')) >= {LONG_WORDS} AS big
-  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i
-        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''))
-), marked AS (
-  SELECT *, CASE WHEN lag(no) OVER w IS NULL THEN 0
-                 WHEN big OR lag(big) OVER w
-                      OR (coalesce(lag(h, 2) OVER w, 0) * 31 + lag(h) OVER w) % {DIVISOR} = 0 THEN 1
-                 ELSE 0 END AS opens
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY no)
-), numbered AS (
-  SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY no) AS chunk FROM marked
-), bodies AS (
-  SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY no) AS body
-  FROM numbered GROUP BY doc_id, chunk
-), ranked AS (
-  SELECT *, (n >= {MIN_LINES} OR len(regexp_extract_all(body, '{TOKEN}')) >= {LONG_WORDS})
-            AND regexp_matches(body, '{TOKEN}') AS fits
-  FROM bodies
+WITH texts AS (
+  SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''
+), lines AS (
+  SELECT doc_id, unnest(range(1, len(ls) + 1)) AS no, unnest(ls) AS line FROM texts
+), worded AS (
+  SELECT doc_id, no, line, lead(no) OVER (PARTITION BY doc_id ORDER BY no) AS next
+  FROM lines WHERE regexp_matches(line, '{TOKEN}')
+), passages AS (
+  SELECT doc_id, no AS first, next AS last, array_to_string(ls[no:next], chr(10)) AS body
+  FROM worded JOIN texts USING (doc_id) WHERE next IS NOT NULL
+  UNION ALL
+  SELECT doc_id, no, no, line FROM worded WHERE len(regexp_extract_all(line, '{TOKEN}')) >= {LONG_WORDS}
 ), judged AS (
-  SELECT *, fits AND row_number() OVER (PARTITION BY fits, body ORDER BY doc_id, chunk) > 1 AS gone FROM ranked
+  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1 AS gone FROM passages
+), lost AS (
+  SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS no FROM judged WHERE gone
 ), rebuilt AS (
-  SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text,
-         CAST(sum(n) AS BIGINT) AS n_lines, CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_removed
-  FROM judged GROUP BY doc_id
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (lost.no IS NULL), '') AS text,
+         count(*) AS n_lines, count(lost.no) AS n_removed
+  FROM lines LEFT JOIN lost USING (doc_id, no) GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(r.text, d.text) AS text, coalesce(r.n_lines, 0) AS n_lines,
        coalesce(r.n_removed, 0) AS n_removed

@@ -56,12 +56,37 @@ def test_line_dedup_passages_of_few_lines(spark):
         want[100 + i] = len(passage)
         want[i] = 0
     rows += [(300, "a 1\na 2\n\na 3"), (301, "b\na 2\n\na 3\nc"), (302, "b\nc"), (303, "a 1\na 2\n\na 3"), (304, None), (305, "")]
-    out = {r["doc_id"]: r for r in line_dedup.dedup_passages(docs(spark, rows)).collect()}
+    out = {r["doc_id"]: r for r in line_dedup.dedup(docs(spark, rows)).collect()}
     assert {i: out[i]["n_removed"] for i in want} == want
     assert [(out[i]["text"], out[i]["n_lines"]) for i in range(300, 306)] == [
         ("a 1\na 2\n\na 3", 4), ("b\nc", 5), ("b\nc", 2), ("", 4), (None, 0), ("", 0)]
-    few = docs(spark, rows)
-    assert all(out[r["doc_id"]]["n_removed"] >= r["n_removed"] for r in line_dedup.dedup(few).collect())
+
+
+def test_line_dedup_does_not_depend_on_the_cuts(spark, sf_dir):
+    """Whatever cuts the chunks: the same lines go as by the stated rule, worked out by hand."""
+    rng = np.random.default_rng(8)
+    few = [[" ".join(rng.choice(list("abc"), rng.integers(0, 3))) for _ in range(rng.integers(0, 9))] for _ in range(120)]
+    few += [[" ".join(f"w{j}" for j in range(k, k + 50)) if k < 4 else str(k) for k in rng.integers(0, 8, 5)] for _ in range(20)]
+    few = [(i, "\n".join(ls)) for i, ls in enumerate(few)]
+    seen, want = set(), {}
+    for i, text in few:
+        ls = text.split("\n") if text else []
+        at = [k for k, line in enumerate(ls) if line.split()]
+        runs = [*zip(at, at[1:]), *((k, k) for k in at if len(ls[k].split()) >= 50)]
+        lost = set()
+        for first, last in sorted(runs):
+            body = "\n".join(ls[first:last + 1])
+            lost |= set(range(first, last + 1)) if body in seen else set()
+            seen.add(body)
+        want[i] = ("\n".join(line for k, line in enumerate(ls) if k not in lost), len(ls), len(lost))
+    for divisor in (1, 4, 1000):
+        out = line_dedup.dedup(docs(spark, few), divisor=divisor).collect()
+        assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in out} == want
+    # names of any case beside the operator's own
+    named = docs(spark, few).selectExpr("*", "1 AS N_LINES", "2 AS _gone", "3 AS gone", "4 AS _text_digest", "5 AS `row`")
+    out = line_dedup.dedup(named)
+    assert out.columns == ["doc_id", "text", "n_hit", "score", "_gone", "gone", "_text_digest", "row", "n_lines", "n_removed"]
+    assert {r["doc_id"]: r["n_removed"] for r in out.collect()} == {i: w[2] for i, w in want.items()}
 
 
 def test_decontamination(spark):
