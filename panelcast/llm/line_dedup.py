@@ -3,7 +3,7 @@
 Lines are hashed; a rolling hash over the last two line hashes chooses the chunk boundaries, so that
 an inserted line moves only the boundaries next to it.  A line of ``long_words`` words or more is a
 chunk of its own.  Chunks of two lines or more, and long lines, that occur more than once anywhere
-are removed except where they occur first (smallest doc_id, then smallest place).  Digests only
+are removed except where they occur first (smallest doc_id, then smallest place).  Hashes only
 propose repeats; the bytes decide.
 
 No cuts that depend on content can set a passage of two lines apart from any neighbours, so the chunks are
@@ -14,7 +14,7 @@ every long line, that stands in an earlier place, and nothing else.
 The stage of the pipeline leaves copies of one earlier document whole: near-dedup, the next stage, takes them, and scraps
 of them would no longer resemble their original.
 
-Everything is built-in expressions: the chunks travel as 16-byte digests until they are known to
+Everything is built-in expressions: the chunks travel as 8-byte hashes until they are known to
 repeat, and the texts of repeated chunks are pre-aggregated before they are shuffled.
 """
 
@@ -23,69 +23,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import TOKEN, head, hex_number, join_same, let, materialize, passing, small
+from panelcast.llm.common import TOKEN, head, join_same, let, materialize, passing, small
 
 DIVISOR, LONG_WORDS, COPY = 4, 50, 0.5
 
 
 def _long(line: Column, long_words: int) -> Column:
-    return (F.length(line) >= 2 * long_words - 1) & (F.regexp_count(line, F.lit(TOKEN)) >= long_words)
+    """Whether a line holds so many words; read no further than that many."""
+    gap = TOKEN.replace("[^", "[")
+    return (F.length(line) >= 2 * long_words - 1) & line.rlike(
+        f"^{gap[:-1]}*+(?:{TOKEN}+{gap}+){{{long_words - 1}}}{TOKEN[:-1]}")
 
 
-def chunks(text: Column, divisor: int = DIVISOR, long_words: int = LONG_WORDS) -> Column:
-    """Array of (first, last, body) for the chunks of one text that hold two lines with a word or are a long line, from their
-    first to their last line with a word; null and empty texts have none."""
+def pieces(text: Column, divisor: int = DIVISOR, long_words: int = LONG_WORDS) -> Column:
+    """Array of (chunk, first, last, body) of one text; null and empty texts have none.  First the chunks that hold two lines
+    with a word or are a long line, from their first to their last line with a word; then (chunk false) every line
+    with a word and the next such line, with the lines between them."""
     lines = F.split(F.when(text != "", text), "\n", -1)
 
-    def of(ls, big, h):
+    def piece(ls, chunk, first, last):
+        return F.struct(F.lit(chunk).alias("chunk"), first.alias("first"), last.alias("last"),
+                        F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body"))
+
+    def chunks(ls, big, h, worded):
         ends = F.filter(F.sequence(F.lit(0), F.size(h) - 1),
                         lambda i: (i == F.size(h) - 1) | F.get(big, i) | F.get(big, i + 1)
-                        | ((F.coalesce(F.get(h, i - 1), F.lit(0)) * 31 + F.get(h, i)) % divisor == 0))
+                        | ((F.coalesce(F.get(h, i - 1), F.lit(0).cast("bigint")) * 31 + F.get(h, i)) % divisor == 0))
         at = let(ends, lambda e: F.transform(e, lambda last, j: F.filter(
-            F.sequence(F.coalesce(F.get(e, j - 1), F.lit(-1)) + 1, last), lambda i: F.get(ls, i).rlike(TOKEN))))
+            F.sequence(F.coalesce(F.get(e, j - 1), F.lit(-1)) + 1, last), lambda i: F.get(worded, i))))
         fit = F.filter(at, lambda a: (F.size(a) >= 2) | F.coalesce(F.get(big, F.get(a, F.lit(0))), F.lit(False)))
-        return F.transform(fit, lambda a: let(F.get(a, F.lit(0)), lambda first: let(F.get(a, F.size(a) - 1), lambda last: F.struct(
-            first.alias("first"), last.alias("last"),
-            F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body")))))
-
-    return let(lines, lambda ls: let(F.transform(ls, lambda x: _long(x, long_words)), lambda big: let(
-        F.transform(ls, lambda x: hex_number(x)), lambda h: of(ls, big, h))))
+        return F.transform(fit, lambda a: piece(ls, True, F.get(a, F.lit(0)), F.get(a, F.size(a) - 1)))
 
+    def neighbours(ls, worded):
+        at = F.filter(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: F.get(worded, i))
+        return let(at, lambda a: F.transform(head(a, 1), lambda first, k: piece(ls, False, first, F.get(a, k + 1))))
 
-def neighbours(text: Column) -> Column:
-    """Array of (first, last, body) for every line with a word and the next such line, with the lines between them."""
-    lines = F.split(F.when(text != "", text), "\n", -1)
-    return let(lines, lambda ls: let(
-        F.filter(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: F.get(ls, i).rlike(TOKEN)),
-        lambda at: F.transform(head(at, 1), lambda first, k: let(F.get(at, k + 1), lambda last: F.struct(
-            first.alias("first"), last.alias("last"),
-            F.array_join(F.slice(ls, first + 1, last - first + 1), "\n").alias("body"))))))
-
-
-def _rows(docs: DataFrame, items: Column) -> DataFrame:
-    """A row for each of the ``items`` (first, last, body) of every text, with the digest of its body."""
-    rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"), F.explode(items).alias("c"))
-    return rows.select("_id", "_digest", F.col("c.first").alias("no"), "c.last", "c.body", F.unhex(F.md5("c.body")).alias("h"))
+    return let(lines, lambda ls: let(F.transform(ls, lambda x: _long(x, long_words)), lambda big: let(
+        F.transform(ls, lambda x: F.pmod(F.xxhash64(x), F.lit(1 << 32))), lambda h: let(
+            F.transform(ls, lambda x: x.rlike(TOKEN)), lambda worded: F.concat(chunks(ls, big, h, worded), neighbours(ls, worded))))))
 
 
-def _not_first(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """The ``rows`` (_id, _digest, no, last, body, h: its digest) whose body stands in an earlier place, but for those
-    inside the passages ``known`` (also rows that stand in an earlier place)."""
+def _not_first(rows: DataFrame) -> DataFrame:
+    """The ``rows`` whose body stands in an earlier place."""
     place = F.struct("_id", "_digest", "no")
-    repeated = materialize(rows.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-                           .where("lo != hi").select("h"))
-    # if the digests that repeat are few, no other body is shuffled
-    again = rows.join(small(repeated), "h")
-    if known is not None:
-        # what a known passage holds stands in its first place too, so the first places stay the same
-        held = small(materialize(known.where("last > no").select(
-            F.col("_id").alias("of"), F.col("_digest").alias("of_digest"), F.explode(F.sequence("no", F.col("last") - 1)).alias("at"), F.col("last").alias("to"))))
-        again = again.join(held, again["_id"].eqNullSafe(held["of"]) & (again["_digest"] == held["of_digest"])
-                           & (again["no"] == held["at"]) & (again["last"] <= held["to"]), "left_anti")
-    again = materialize(again)
-    # the first place of every body; equal digests with other bytes stay apart
-    first = materialize(again.groupBy("h", "body").agg(F.min(place).alias("first")))
-    return materialize(again.join(first, ["h", "body"]).where(place != F.col("first")))
+    # the first place of every body; equal hashes of other bytes stay apart
+    first = materialize(rows.groupBy("h", "body").agg(F.min(place).alias("first")))
+    return materialize(rows.join(first, ["h", "body"]).where(place != F.col("first")))
+
+
+def repeats(docs: DataFrame, divisor: int, long_words: int) -> DataFrame:
+    """(_id, _digest, no, last, body, first, ...) of the chunks that stand in an earlier place, ``first``, and of the
+    neighbouring lines that do, but for those inside such chunks."""
+    rows = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_digest"),
+                       F.explode(pieces(F.col("text"), divisor, long_words)).alias("c"))
+    rows = rows.select("_id", "_digest", "c.chunk", F.col("c.first").alias("no"), "c.last", "c.body",
+                       F.xxhash64("c.chunk", "c.body").alias("h"))
+    # hashes only propose: a body alone is left out, and if the hashes that repeat are few, no other body is shuffled
+    repeated = materialize(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    again = materialize(rows.join(small(repeated), "h"))
+    known = _not_first(again.where("chunk"))
+    # what a chunk holds that goes stands in the first place of the chunk too, so the first places stay the same
+    held = small(materialize(known.where("last > no").select(
+        F.col("_id").alias("of"), F.col("_digest").alias("of_digest"), F.explode(F.sequence("no", F.col("last") - 1)).alias("at"),
+        F.col("last").alias("to"))))
+    rest = again.where("NOT chunk").join(held, F.col("_id").eqNullSafe(F.col("of")) & (F.col("_digest") == F.col("of_digest"))
+                                         & (F.col("no") == F.col("at")) & (F.col("last") <= F.col("to")), "left_anti")
+    return known.unionByName(_not_first(rest))
 
 
 def _length(text: Column) -> Column:
@@ -121,8 +124,7 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR, long_words: int = LONG_WORDS,
     Documents that are copies of one earlier document to the share ``copy`` (of the characters of both, by common lines)
     stay whole if it is given."""
     with passing() as keep:
-        known = _not_first(_rows(docs, chunks(F.col("text"), divisor, long_words)))
-        passages = known.unionByName(_not_first(_rows(docs, neighbours(F.col("text"))), known))
+        passages = repeats(docs, divisor, long_words)
         gone = passages.select("_id", "_digest", F.explode(F.sequence("no", "last")).alias("no")).groupBy("_id", "_digest").agg(
             F.collect_set("no").alias("gone"))
         if copy is not None:
