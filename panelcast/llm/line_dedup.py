@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import TOKEN, head, join_same, let, materialize, passing, small
 
 DIVISOR, LONG_WORDS, COPY = 4, 50, 0.5
+#: Hashes of 8 bytes are broadcast up to this number (counted), joined by shuffle above.
+HASHES = 1_000_000
 
 
 def _long(line: Column, long_words: int) -> Column:
@@ -78,9 +80,19 @@ def repeats(docs: DataFrame, divisor: int, long_words: int) -> DataFrame:
                        F.explode(pieces(F.col("text"), divisor, long_words)).alias("c"))
     rows = rows.select("_id", "_digest", "c.chunk", F.col("c.first").alias("no"), "c.last", "c.body",
                        F.xxhash64("c.chunk", "c.body").alias("h"))
-    # hashes only propose: a body alone is left out, and if the hashes that repeat are few, no other body is shuffled
+    # hashes only propose; a body alone is left out and never shuffled
     repeated = materialize(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
-    again = materialize(rows.join(small(repeated), "h"))
+    if repeated.limit(HASHES + 1).count() <= HASHES:
+        again = rows.join(F.broadcast(repeated), "h")
+    else:  # the places travel without their texts; the texts are cut where places of theirs were proposed
+        wanted = materialize(rows.drop("body").join(repeated, "h").groupBy("_id", "_digest").agg(
+            F.collect_set(F.struct("chunk", "no", "last", "h")).alias("wanted")))
+        texts = docs.select("doc_id", F.md5("text").alias("digest"), "text").dropDuplicates(["doc_id", "digest"])
+        again = (join_same(wanted, texts, {"_id": "doc_id", "_digest": "digest"})
+                 .select("_id", "_digest", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
+                 .select("w.h", "_id", "_digest", "w.chunk", "w.no", "w.last",
+                         F.array_join(F.slice("lines", F.col("w.no") + 1, F.col("w.last") - F.col("w.no") + 1), "\n").alias("body")))
+    again = materialize(again)
     known = _not_first(again.where("chunk"))
     # what a chunk holds that goes stands in the first place of the chunk too, so the first places stay the same
     held = small(materialize(known.where("last > no").select(

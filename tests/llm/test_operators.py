@@ -62,7 +62,7 @@ def test_line_dedup_passages_of_few_lines(spark):
         ("a 1\na 2\n\na 3", 4), ("b\nc", 5), ("b\nc", 2), ("", 4), (None, 0), ("", 0)]
 
 
-def test_line_dedup_does_not_depend_on_the_cuts(spark, sf_dir):
+def test_line_dedup_does_not_depend_on_the_cuts(spark, monkeypatch):
     """Whatever cuts the chunks: the same lines go as by the stated rule, worked out by hand."""
     rng = np.random.default_rng(8)
     few = [[" ".join(rng.choice(list("abc"), rng.integers(0, 3))) for _ in range(rng.integers(0, 9))] for _ in range(120)]
@@ -82,6 +82,11 @@ def test_line_dedup_does_not_depend_on_the_cuts(spark, sf_dir):
     for divisor in (1, 4, 1000):
         out = line_dedup.dedup(docs(spark, few), divisor=divisor).collect()
         assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in out} == want
+    monkeypatch.setattr(line_dedup, "HASHES", 0)  # as beyond the broadcast
+    twice = docs(spark, [*few, *few[:50], (None, None), (None, "")])
+    out = line_dedup.dedup(twice).collect()
+    assert len(out) == len(few) + 52
+    assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in out if r["doc_id"] is not None} == want
     # names of any case beside the operator's own
     named = docs(spark, few).selectExpr("*", "1 AS N_LINES", "2 AS _gone", "3 AS gone", "4 AS _text_digest", "5 AS `row`")
     out = line_dedup.dedup(named)
