@@ -1,6 +1,6 @@
-"""Text-source queries over data derived from the tables: Spark writes a panel as one text file
-per series (``partitionBy`` folder = series) in the shared checkpoint folder, in the layouts of
-the index files, and the readers parse it back.  Exercises S1-S7 and S10 on whole tables."""
+"""Text-source queries over data derived from the tables: Spark writes a panel as text in the shared
+checkpoint folder, in the layouts of the index files (all series in the same files, named by the first token of
+a line, or one folder per series), and the readers parse it back.  Exercises S1-S7 and S10 on whole tables."""
 
 from __future__ import annotations
 
@@ -21,11 +21,16 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/text-{name}-{uuid.uuid4().hex}"
 
 
-def _write_lines(lines: DataFrame, path: str, ordered: bool = True) -> None:
-    """lines: (series, ln, line) -> one text file per series, lines in ``ln`` order.  Where their order says
-    nothing (``ordered=False``), every task writes the lines it has: no series is moved into one task."""
+def _write_table(lines: DataFrame, path: str, ordered: bool = False) -> None:
+    """lines: (series, ln, line) -> text files that hold all series, each line after the name of its series.  Where their order
+    says something, they are sorted by ranges of (series, ln): a long series is spread over several tasks and files."""
     if ordered:
-        lines = lines.repartition("series").sortWithinPartitions("series", "ln")
+        lines = lines.orderBy("series", "ln")
+    lines.select(F.concat_ws(" ", "series", "line").alias("value")).write.text(path)
+
+
+def _write_lines(lines: DataFrame, path: str) -> None:
+    """lines: (series, ln, line) -> a folder per series; every task writes the lines it has."""
     lines.select("series", "line").write.partitionBy("series").text(path)
 
 
@@ -45,8 +50,8 @@ def _fixed_lines(pb: DataFrame) -> DataFrame:
   CAST(n_lines AS DOUBLE) AS n_lines FROM panel_b""")
 def s1_fixed_text(spark, sf):
     path = _scratch(spark, "fixed")
-    _write_lines(_fixed_lines(tables.panel_b(spark, sf)), path)
-    return text.read_fixed(spark, path, columns=("qty", "n_lines"), series_from="folder")
+    _write_table(_fixed_lines(tables.panel_b(spark, sf)), path)
+    return text.read_fixed(spark, path, columns=("qty", "n_lines"), series_from="column")
 
 
 def _wide_lines(pb: DataFrame) -> DataFrame:
@@ -78,8 +83,8 @@ def _wide_lines(pb: DataFrame) -> DataFrame:
 FROM years y LEFT JOIN panel_b p ON p.supplier = y.supplier AND p.period = make_date(y.y, y.m, 1)""")
 def s3_wide_text(spark, sf):
     path = _scratch(spark, "wide")
-    _write_lines(_wide_lines(tables.panel_b(spark, sf)), path)
-    return text.read_wide_months(spark, path, value_name="zwnd", series_from="folder")
+    _write_table(_wide_lines(tables.panel_b(spark, sf)), path, ordered=True)
+    return text.read_wide_months(spark, path, value_name="zwnd", series_from="column")
 
 
 def _daily_lines(ev: DataFrame) -> DataFrame:
@@ -101,5 +106,5 @@ def _daily_lines(ev: DataFrame) -> DataFrame:
 FROM events GROUP BY 1, 2""", r6=["rmm1", "rmm2", "mjo_amplitude", "mjo_sin", "mjo_cos"])
 def s7_daily_text(spark, sf):
     path = _scratch(spark, "daily")
-    _write_lines(_daily_lines(tables.read_table(spark, sf, "events")), path, ordered=False)
+    _write_lines(_daily_lines(tables.read_table(spark, sf, "events")), path)
     return text.read_daily(spark, path, amplitude_threshold=1.0, series_from="folder")

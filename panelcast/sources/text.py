@@ -1,9 +1,10 @@
 """Text index files as distributed scans.
 
 A directory of station files is read with ``spark.read.text``; the file path (from the
-``_metadata`` column) names the series.  Fixed-column and daily files are split line by
-line.  The wide year x month layout needs line order inside a file (to stop at the second
-table), so it is read one file per row (``wholetext``) and exploded with line numbers.
+``_metadata`` column), its folder or the first token of every line (``series_from``) names the
+series.  All layouts are split line by line, so a file may be large and hold many series.  Where the
+wide year x month layout needs line order (to stop at the second table), the order is that of
+file, block start and place in the block, and the cut comes from a summary by block: no line moves.
 """
 
 from __future__ import annotations
@@ -31,6 +32,18 @@ def _series_name(path: Column, series_from: str = "file") -> Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
 
 
+def _lines(spark: SparkSession, path: str, series_from: str = "file") -> DataFrame:
+    """``(series, ln, line)`` of every line; ``ln`` orders the lines of a series: file, block start, place in the block.
+    With ``series_from="column"`` the first token of a line names its series and does not belong to the line."""
+    value = F.col("value")
+    series, line = ((F.regexp_extract(value, r"^\s*(\S+)", 1), F.regexp_replace(value, r"^\s*\S+\s?", ""))
+                    if series_from == "column" else (_series_name(F.col("_metadata.file_path"), series_from), value))
+    # ids rise within a task, and a task reads each of its blocks from first to last line
+    ln = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                  F.monotonically_increasing_id().alias("at"))
+    return spark.read.text(path).select(series.alias("series"), ln.alias("ln"), line.alias("line"))
+
+
 def _tokens(line: Column) -> Column:
     return F.split(F.trim(line), r"\s+")
 
@@ -57,9 +70,8 @@ def replace_sentinels(df: DataFrame, cols: Iterable[str], sentinels: Sequence[fl
 def read_fixed(spark: SparkSession, path: str, columns: Sequence[str] = FIXED_COLUMNS,
                sentinels: Sequence[float] = (), year_range=(1900, 2099), series_from: str = "file") -> DataFrame:
     """Lines ``YR MON c1 … ck`` -> ``(series, period, c1…ck)``; other lines dropped."""
-    raw = spark.read.text(path).select(F.col("value"),
-                                       _series_name(F.col("_metadata.file_path"), series_from).alias("series"))
-    lines = raw.filter(year_line(F.col("value"), year_range)).select("series", _tokens(F.col("value")).alias("t"))
+    raw = _lines(spark, path, series_from)
+    lines = raw.filter(year_line(F.col("line"), year_range)).select("series", _tokens(F.col("line")).alias("t"))
     out = lines.select(
         "series",
         make_month(F.get(F.col("t"), 0).try_cast("int"), F.get(F.col("t"), 1).try_cast("int")).alias("period"),
@@ -68,23 +80,21 @@ def read_fixed(spark: SparkSession, path: str, columns: Sequence[str] = FIXED_CO
     return replace_sentinels(out, columns, sentinels) if sentinels else out
 
 
-def _numbered_lines(spark: SparkSession, path: str, series_from: str = "file") -> DataFrame:
-    files = spark.read.text(path, wholetext=True).select(
-        _series_name(F.col("_metadata.file_path"), series_from).alias("series"), "value")
-    return files.select("series", F.posexplode(F.split("value", r"\r?\n")).alias("ln", "line"))
-
-
 def first_table(lines: DataFrame, year_range=(1900, 2099)) -> DataFrame:
-    """S3: per file, keep data lines before the first non-blank, non-digit line that follows data."""
-    w = Window.partitionBy("series")
-    is_data = year_line(F.col("line"), year_range)
+    """S3: per series, keep data lines before the first non-blank, non-digit line that follows data.
+
+    ``lines`` (series, ln, line), ``ln`` as of ``_lines``.  One row for every block with data and for every non-digit
+    line gives the cut of each series; the data lines meet only that table."""
     trimmed = F.trim(F.col("line"))
-    is_break = (trimmed != "") & ~trimmed.rlike(r"^[0-9]")
-    first_data = F.min(F.when(is_data, F.col("ln"))).over(w)
-    marked = lines.select("*", is_data.alias("__d"), is_break.alias("__b"), first_data.alias("__fd"))
-    cut = F.min(F.when(F.col("__b") & (F.col("ln") > F.col("__fd")), F.col("ln"))).over(w)
-    return (marked.select("*", cut.alias("__cut"))
-            .filter(F.col("__d") & (F.col("__cut").isNull() | (F.col("ln") < F.col("__cut"))))
+    marked = lines.select("*", year_line(F.col("line"), year_range).alias("__data"),
+                          ((trimmed != "") & ~trimmed.rlike(r"^[0-9]")).alias("__break"))
+    marks = (marked.filter("__data OR __break").select("series", "__data", "ln", "ln.file", "ln.block", F.when(F.col("__break"), F.col("ln.at")).alias("at"))
+             .groupBy("series", "__data", "file", "block", "at").agg(F.min("ln").alias("ln")))
+    firsts = marks.groupBy("series").agg(F.min(F.when(F.col("__data"), F.col("ln"))).alias("__first"))
+    cut = (marks.filter("NOT __data").join(firsts, "series").filter(F.col("ln") > F.col("__first"))
+           .groupBy("series").agg(F.min("ln").alias("__cut")))
+    return (marked.filter("__data").join(cut, "series", "left")
+            .filter(F.col("__cut").isNull() | (F.col("ln") < F.col("__cut")))
             .select("series", "ln", "line"))
 
 
@@ -108,7 +118,9 @@ def read_wide_months(spark: SparkSession, path: str, value_name: str = "soi",
     digit; ``strict=True`` keeps the reference's behaviour instead (the whole token missing,
     later months shifted).
     """
-    lines = _numbered_lines(spark, path, series_from)
+    lines = _lines(spark, path, series_from)
+    if not strict:  # a year may run into its January too; 1951-1980 is no year
+        lines = lines.withColumn("line", F.regexp_replace("line", r"^(\s*[0-9]{4})(?=-[0-9]+\.)", "$1 "))
     lines = first_table(lines, year_range) if first_table_only else lines.filter(year_line(F.col("line"), year_range))
     text = F.col("line") if strict else F.regexp_replace("line", r"(?<=[0-9])-", " -")
     toks = lines.select("series", _tokens(text).alias("t"))
@@ -122,9 +134,8 @@ def read_daily(spark: SparkSession, path: str, amplitude_threshold: float = 1.0,
                series_from: str = "file") -> DataFrame:
     """S7 (+ F7, A1): ``year month day rmm1 rmm2 phase amplitude source`` lines starting with a
     digit; 999 sentinels -> NULL; phase as sin/cos gated by amplitude; monthly means."""
-    raw = spark.read.text(path).select(F.col("value"),
-                                       _series_name(F.col("_metadata.file_path"), series_from).alias("series"))
-    lines = raw.filter(F.trim("value").rlike(r"^[0-9]")).select("series", _tokens(F.col("value")).alias("t"))
+    raw = _lines(spark, path, series_from)
+    lines = raw.filter(F.trim("line").rlike(r"^[0-9]")).select("series", _tokens(F.col("line")).alias("t"))
     names = ["rmm1", "rmm2", "phase", "amplitude"]
     d = lines.select("series", F.get(F.col("t"), 0).try_cast("int").alias("y"), F.get(F.col("t"), 1).try_cast("int").alias("m"),
                      F.get(F.col("t"), 2).try_cast("int").alias("d"),

@@ -131,3 +131,55 @@ def test_grid_refuses_a_period_that_occurs_twice(spark):
                                "series string, period date, x double")
     with pytest.raises(Exception, match="period twice"):
         panel.regular_grid(df, ["series"], "period").collect()
+
+
+def _many_series(tmp_path, n=40):
+    """One file of ``n`` series, each with two tables and a header between them, and some without a second table."""
+    lines, want = [], {}
+    for k in range(n):
+        name = f"st{k:02d}"
+        rows = [[1950 + y, *[round(k + y / 10 + m / 100, 2) for m in range(12)]] for y in range(1 + k % 5)]
+        lines += [f"{name} some title", f"{name} YEAR JAN", f"{name}"]
+        for r in rows:
+            lines.append(name + " " + " ".join(map(str, r)))
+            want |= {(name, dt.date(r[0], m + 1, 1)): r[m + 1] for m in range(12)}
+        if k % 3:
+            lines += [f"{name} 9999 1.0", "", f"{name} ANOMALY", f"{name} 1950" + " 7.7" * 12, f"{name} 1999" + " 7.7" * 12]
+    (tmp_path / "all.txt").write_text("\n".join(lines) + "\n")
+    return str(tmp_path / "all.txt"), want
+
+
+@pytest.mark.parametrize("block", ["64", "700", "128m"])
+def test_wide_many_series_in_one_file_over_blocks(spark, tmp_path, block):
+    path, want = _many_series(tmp_path)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = text.read_wide_months(spark, path, series_from="column").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(want) and {(r.series, r.period): r.soi for r in got} == want
+
+
+def test_one_file_moves_no_line(spark, tmp_path):
+    """Only marks are aggregated by shuffle; the lines keep their tasks unless the table of cuts is large."""
+    lines = text._lines(spark, _many_series(tmp_path)[0], "column")
+    plan = text.first_table(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "wholetext" not in plan.lower()
+
+
+def test_fixed_many_series_in_one_file(spark, tmp_path):
+    (tmp_path / "f.txt").write_text("a YR MON X\nb 1990 1 1.5\na 1990 1 2.5\n\na 9999 1 3.0\nb 1990 2 bad\n")
+    got = text.read_fixed(spark, str(tmp_path / "f.txt"), columns=("x",), series_from="column").collect()
+    assert {(r.series, r.period): r.x for r in got} == {
+        ("b", dt.date(1990, 1, 1)): 1.5, ("a", dt.date(1990, 1, 1)): 2.5, ("b", dt.date(1990, 2, 1)): None}
+
+
+def test_wide_year_run_into_january(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("1951-1980 mean\n1951-999.9 0.1" + " 0.2" * 10 + "\n1952-0.5" + " 0.3" * 11 + "\n")
+    got = {r.period: r.soi for r in text.read_wide_months(spark, str(tmp_path)).collect()}
+    assert len(got) == 24 and got[dt.date(1951, 1, 1)] is None and got[dt.date(1951, 2, 1)] == 0.1
+    assert got[dt.date(1952, 1, 1)] == -0.5 and got[dt.date(1952, 12, 1)] == 0.3
+    assert text.read_wide_months(spark, str(tmp_path), strict=True).count() == 0
