@@ -86,14 +86,16 @@ def _covered(spans: Column) -> Column:
 
 def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text, any others) with n_words, n_hit, n_items, items_sha256 and contaminated added
-    (they replace columns of those names).
+    (they replace columns of those names in any case of letters; other columns keep any name).
 
     One row per input row.  Null and wordless texts have no words and no hits; items without words
     match nothing; an item without an id counts under the empty id.  Rows with equal doc_id and text
     come out alike.  An empty benchmark or table is fine."""
     new = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    keep = [c for c in docs.columns if c not in new]
-    base = docs.select(*keep, F.md5("text").alias("_text_digest"), F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
+    keep = [c for c in docs.columns if c.lower() not in new]
+    # own names for all columns, so that none clashes
+    base = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(keep)], F.col("doc_id").alias("_doc"),
+                       F.md5("text").alias("_text_digest"), F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
     found = hits(docs, items, span, gram)
     if found is None:
         n, ids = F.lit(0).cast("bigint"), F.array().cast("array<string>")
@@ -102,17 +104,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
         per = found.groupBy("_id", "_digest").agg(
             _covered(F.collect_set(F.struct("start", "span"))).alias("_n_hit"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"))
-        out = join_same(base, per, {"doc_id": "_id", "_text_digest": "_digest"}, "left")
+        out = join_same(base, per, {"_doc": "_id", "_text_digest": "_digest"}, "left")
     ids = F.coalesce("_items", F.array().cast("array<string>"))
-    return out.select(*keep, "n_words", F.coalesce("_n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+    return out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)], "n_words", F.coalesce("_n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
                       F.size(ids).cast("bigint").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
                       (F.coalesce("_n_hit", F.lit(0)) > 0).alias("contaminated"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that share no window with the benchmark."""
-    out = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return out.where(~F.col("contaminated")).select(*docs.columns)
+    """Pipeline stage: documents that share no window with the benchmark, with columns of any name as they were.  Null, empty and
+    wordless texts stay, copies stay or leave alike, texts of any length are read whole, an empty table gives no rows."""
+    out = decontaminate(docs.select("doc_id", "text", F.struct(*docs.columns).alias("own")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.where(~F.col("contaminated")).select("own.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

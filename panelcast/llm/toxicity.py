@@ -126,14 +126,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
-    """``docs`` (doc_id, text, any others) with ``score`` and ``predicted`` added (they replace columns of those names).
+    """``docs`` (doc_id, text, any others) with ``score`` and ``predicted`` added (they replace columns of those
+    names in any case of letters).
 
     One row per input row.  Null and empty texts get the score of a text without terms; repeated rows
     come out alike."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(machine)
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
+    keep = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
 
     @F.pandas_udf("double")
     def apply(t):
@@ -148,9 +149,10 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the machine, trained on all labelled ``documents``, does not reject."""
+    """Pipeline stage: documents that the machine, trained on all labelled ``documents``, does not reject, with columns of any name
+    as they were.  Null and empty texts are scored as texts without terms, texts of any length are read whole, an empty table gives no rows."""
     machine = train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, machine).where("predicted = 0").select(*docs.columns)
+    return score(docs.select("doc_id", "text", F.struct(*docs.columns).alias("own")), machine).where("predicted = 0").select("own.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -104,6 +104,23 @@ def test_decontamination(spark):
     assert decontam.decontaminate(docs(spark, rows).limit(0), items).count() == 0
 
 
+def test_clashing_names(spark, sf_dir):
+    """Columns named like the operators' own, in any case, crash nothing; the stages hand them on."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    named = table.selectExpr("*", "1 AS _text_digest", "2 AS _n_hit", "3 AS _items", "4 AS N_HIT", "5 AS Score", "6 AS _id", "7 AS _c0",
+                             "8 AS own", "9 AS _doc", "10 AS `a.b`")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    plain = {r["doc_id"]: r["n_hit"] for r in decontam.decontaminate(table, items).collect()}
+    out = decontam.decontaminate(named, items)
+    assert [c for c in out.columns if c.lower() == "n_hit"] == ["n_hit"] and "a.b" in out.columns
+    assert {r["doc_id"]: r["n_hit"] for r in out.collect()} == plain and any(plain.values())
+    left = decontam.stage(spark, named.drop("a.b"), sf_dir)
+    assert left.columns == named.drop("a.b").columns
+    assert {(r["doc_id"], r["N_HIT"], r["own"]) for r in left.collect()} == {(i, 4, 8) for i, n in plain.items() if n == 0}
+    left = toxicity.stage(spark, named.drop("a.b"), sf_dir)
+    assert left.columns == named.drop("a.b").columns and {r["Score"] for r in left.collect()} == {5}
+
+
 def test_mixing(spark):
     rows = [(i, "w " * (1 + i % 7), "abc"[i % 3]) for i in range(300)] + [(None, None, None), (7, "", "a"), (8, "x y", None), (8, "x y", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash"))
