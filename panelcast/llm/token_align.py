@@ -1,12 +1,13 @@
 """Alignment of two tokenizers over the same text.
 
-Tokenizer A reads space + text, tokenizer B the text (it adds the space), so the tokens of both spell the same bytes.  The ends of
-A's tokens are the keys of a dictionary end -> index, B's likewise; the keys that stand in both, sorted, are the cuts, which slice both id
-lists into groups.  Inside a slice the tokens whose byte ranges overlap are linked.
+Tokenizer A reads space + text, tokenizer B the text (it adds the space), so the tokens of both spell the same bytes.  The ends of the
+tokens of many parts stand in one ascending array for either side; a search of A's ends (and starts) in B's tells which tokens end
+together, which cuts both into groups, and from which B token to which an A token is linked.
 
 Neither tokenizer joins anything across the place before a single space that stands between other characters, so a text is a chain of chunks
 that begin there; a chunk is cut again after letters whose next character no piece of B has behind a letter, and after single line ends.
-Each task aligns a part once and keeps parts and chunks in tables of bounded size; a document is the sum of its chunks.
+Each task aligns a part once, thousands of new parts at a time, and keeps parts and chunks in tables of bounded size; a document is
+the sum of its chunks.
 The documents of every id pair are counted by task first, then by Spark; the counts come back by a join on the pair.
 """
 
@@ -15,9 +16,8 @@ from __future__ import annotations
 import gc
 import os
 import re
-from collections import Counter
 from hashlib import sha256
-from itertools import accumulate
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ from panelcast.llm.token_counts import tokenizer_path
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
 CACHE_CHUNKS, PAIR_BATCH, PAIR_ROWS = 300_000, 2_000_000, 1_000_000
+#: Parts that are aligned at a time.
+PARTS = 16_384
 #: White space by any of the libraries.
 _SPACE = r"\s\x1c-\x1f\x85"
 _CUT = re.compile(rf"(?<=[^ ]) (?=[^{_SPACE}])")
@@ -67,6 +69,12 @@ class Tokenizers:
         self.b_size = self.b.get_piece_size()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i in range(self.b_size) for p in [self.b.id_to_piece(i)]]
+        a_size = max(self.a_bytes) + 1
+        self.a_long = np.array([len(self.a_bytes.get(i, b"")) for i in range(a_size)], np.int64)
+        self.b_long = np.array([len(x) for x in self.b_bytes], np.int64)
+        # an id as it is shown inside a group and at the end of its side, for A, then for B
+        self.names = [np.array([f"{i}{c}" for c in ends for i in range(n)], object) for ends, n in ((",|", a_size), (",;", self.b_size))]
+        self.name_long = [np.array([len(x) for x in names], np.int64) for names in self.names]
 
         pieces = [self.b.id_to_piece(i) for i in range(self.b_size)]
         held = {y for p in pieces for x, y in zip(p, p[1:], strict=False) if x.isascii() and x.isalpha()}
@@ -96,36 +104,76 @@ class Tokenizers:
 
     def parts(self, chunk: str) -> list[str]:
         """A chunk (without its first space) cut where neither tokenizer joins anything; the first part gets the space back."""
+        if chunk.isalpha():
+            return [" " + chunk]
         first, *rest = self._part.split(chunk)
         return [" " + first, *rest]
 
     def encode(self, parts: list[str]):
-        """(A's ids, B's ids) of every part."""
+        """(A's ids, B's ids) of all parts, each with the number of ids of every part."""
         a = self.a_ids(parts)
         lead = [("", 0) if p[0] == " " else self._lead[p[0].isalpha()] for p in parts]
         b = self.b.encode([x + p if x else p[1:] for p, (x, _) in zip(parts, lead, strict=True)], num_threads=1)
-        return [(x, y[n:]) for x, y, (_, n) in zip(a, b, lead, strict=True)]
-
-
-def align(a_ids: list[int], b_ids: list[int], a_ends: list[int], b_ends: list[int]):
-    """(groups, links): slices (a_lo, a_hi, b_lo, b_hi) between common ends, and the linked (a, b) places."""
-    a_at, b_at = dict(zip(a_ends, range(len(a_ends)), strict=True)), dict(zip(b_ends, range(len(b_ends)), strict=True))
-    groups, links, i, j = [], [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        p, q = a_at[end] + 1, b_at[end] + 1
-        groups.append((i, p, j, q))
-        if p - i == 1 or q - j == 1:
-            links += [(x, y) for x in range(i, p) for y in range(j, q)]
-        else:
-            x, y = i, j
-            while x < p and y < q:  # both cover the same bytes: the one that ends first goes on
-                links.append((x, y))
-                if a_ends[x] < b_ends[y]:
-                    x += 1
-                else:
-                    y += 1
-        i, j = p, q
-    return groups, links
+        return [_flat(a), _flat([y[n:] if n else y for y, (_, n) in zip(b, lead, strict=True)])]
+
+
+def _flat(lists: list[list[int]]):
+    """All numbers of the lists in order, and the lists' lengths."""
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())), n
+
+
+def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the first n[0] values, the next n[1], and so on; 0 of none."""
+    upto, end = np.concatenate([[0], np.cumsum(values)]), np.cumsum(n)
+    return upto[end] - upto[end - n]
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (n[0] numbers), then the same for the next."""
+    return np.arange(n.sum()) + np.repeat(start - np.cumsum(n) + n, n)
+
+
+def spelt(ids: np.ndarray, n: np.ndarray, tokens, long: np.ndarray, whole: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Which of the strings ``whole`` the tokens of their n[i] ids spell; ``long`` are the lengths of ``tokens``."""
+    right = _sums(long[ids], n) == sizes
+    told = b"".join(map(tokens.__getitem__, ids[np.repeat(right, n)].tolist()))
+    same = b"".join(compress(whole, right.tolist()))
+    if told != same:
+        other = np.flatnonzero(np.frombuffer(told, np.uint8) != np.frombuffer(same, np.uint8))
+        right[np.flatnonzero(right)[np.searchsorted(np.cumsum(sizes[right]), other, "right")]] = False
+    return right
+
+
+def align(of: Tokenizers, parts: list[str]):
+    """(shown, figures, pairs): of every part its groups with a ; behind each, and n_a, n_b, n_groups, n_links and 1, or "" and zeros where
+    the tokens of a side do not spell it; then the linked id pairs of all parts in order, as a * size of B + b."""
+    whole = [p.encode() for p in parts]
+    sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+    (a, n_a), (b, n_b) = of.encode(parts)
+    alike = spelt(a, n_a, of.a_bytes, of.a_long, whole, sizes) & spelt(b, n_b, of.b_bytes, of.b_long, whole, sizes)
+    a, b, n_a, n_b = a[np.repeat(alike, n_a)], b[np.repeat(alike, n_b)], n_a[alike], n_b[alike]
+    # both sides spell the same bytes, part after part: ends are places in all of them
+    a_end, b_end = np.cumsum(of.a_long[a]), np.cumsum(of.b_long[b])
+    first, last = np.searchsorted(b_end, a_end - of.a_long[a], "right"), np.searchsorted(b_end, a_end)
+    n = last - first + 1
+    pairs = np.repeat(a, n) * of.b_size + b[_ranges(first, n)]
+    a_cut, b_cut = b_end[last] == a_end, np.zeros(len(b), bool)
+    b_cut[last[a_cut]] = True
+    figures = np.zeros((len(parts), 5), np.int64)
+    figures[alike] = np.stack([n_a, n_b, _sums(a_cut, n_a), _sums(n, n_a), np.ones(len(n_a), np.int64)], 1)
+    # a group's A tokens stand behind the B tokens of the groups before, its B tokens behind the A tokens of its own too
+    a_upto, b_upto = (np.concatenate([[0], np.flatnonzero(cut) + 1]) for cut in (a_cut, b_cut))
+    a_at = np.arange(len(a)) + b_upto[np.cumsum(a_cut) - a_cut]
+    b_at = np.arange(len(b)) + a_upto[np.cumsum(b_cut) - b_cut + 1]
+    names, long = np.empty(len(a) + len(b), object), np.empty(len(a) + len(b), np.int64)
+    for k, (at, ids, cut) in enumerate(((a_at, a, a_cut), (b_at, b, b_cut))):
+        code = ids + cut * (len(of.names[k]) // 2)
+        names[at], long[at] = of.names[k][code], of.name_long[k][code]
+    text, ends = "".join(names.tolist()), np.zeros(len(parts), np.int64)
+    ends[alike] = _sums(long, n_a + n_b)
+    ends = np.cumsum(ends).tolist()
+    return [text[lo:hi] for lo, hi in zip([0, *ends], ends, strict=False)], figures, pairs
 
 
 def chunks_of(text: str) -> list[str]:
@@ -141,57 +189,51 @@ class Table:
         self.clear()
 
     def clear(self):
-        self.part: dict[str, tuple] = {}
+        # what is shown, figures and pairs as align() gives them: of the parts, then of the chunks
+        self.part: dict[str, int] = {}
+        self.part_shown: list[str] = []
+        self.part_figures, self.part_pairs = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
         self.number: dict[str, int] = {}
         self.shown: list[str] = []
-        self.figures, self.pairs = np.zeros((0, 6), np.int64), np.zeros(0, np.int64)
-
-    def _align(self, parts: list[str]):
-        """Put (shown, n_a, n_b, n_groups, n_links, alike, pairs) of every part into the table."""
-        a_bytes, b_bytes, size = self.of.a_bytes, self.of.b_bytes, self.of.b_size
-        for lo in range(0, len(parts), 4096):
-            some = parts[lo:lo + 4096]
-            for part, (a, b) in zip(some, self.of.encode(some), strict=True):
-                whole, ta, tb = part.encode(), [a_bytes[x] for x in a], [b_bytes[x] for x in b]
-                if b"".join(ta) == whole and b"".join(tb) == whole:
-                    groups, links = align(a, b, list(accumulate(map(len, ta))), list(accumulate(map(len, tb))))
-                    sa, sb = list(map(str, a)), list(map(str, b))
-                    shown = ";".join([f"{','.join(sa[i:p])}|{','.join(sb[j:q])}" for i, p, j, q in groups])
-                    self.part[part] = (shown, len(a), len(b), len(groups), len(links), True, tuple([a[x] * size + b[y] for x, y in links]))
-                else:
-                    self.part[part] = ("", 0, 0, 0, 0, False, ())
-
-    def add(self, chunks: list[str]):
-        """Align the chunks that are not in the table yet.  The many small tuples make no cycles: looking for them would take half the time."""
+        self.figures, self.pairs = np.zeros((0, 5), np.int64), np.zeros(0, np.int64)
+
+    def add(self, chunks):
+        """Align the chunks that are not in the table yet.  The many small lists make no cycles: looking for them would take half the time."""
         gc.disable()
         try:
-            self._add(chunks)
+            self._add(list(set(chunks).difference(self.number)))
         finally:
             gc.enable()
 
     def _add(self, chunks: list[str]):
-        cut = [(c, self.of.parts(c)) for c in dict.fromkeys(chunks) if c not in self.number]
-        self._align([p for p in dict.fromkeys(p for _, parts in cut for p in parts) if p not in self.part])
-        figures, pairs = [], []
-        for chunk, parts in cut:
-            self.number[chunk] = len(self.shown)
-            rows = [self.part[p] for p in parts]
-            self.shown.append(";".join([r[0] for r in rows]) if len(rows) > 1 else rows[0][0])
-            before = len(pairs)
-            for r in rows:
-                pairs += r[6]
-            figures.append((sum([r[1] for r in rows]), sum([r[2] for r in rows]), sum([r[3] for r in rows]), sum([r[4] for r in rows]),
-                            all([r[5] for r in rows]), len(pairs) - before))
-        if cut:
-            self.figures = np.concatenate([self.figures, np.array(figures, np.int64)])
-            self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
+        if not chunks:
+            return
+        cut = list(map(self.of.parts, chunks))
+        parts = list(set(chain.from_iterable(cut)).difference(self.part))
+        found = [align(self.of, parts[lo:lo + PARTS]) for lo in range(0, len(parts), PARTS)]
+        self.part.update(zip(parts, range(len(self.part), len(self.part) + len(parts)), strict=True))
+        self.part_shown += chain.from_iterable(f[0] for f in found)
+        self.part_figures = np.concatenate([self.part_figures, *(f[1] for f in found)])
+        self.part_pairs = np.concatenate([self.part_pairs, *(f[2] for f in found)])
+
+        own, n = _flat([[self.part[p] for p in c] for c in cut])
+        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)), strict=True))
+        shown, at = list(map(self.part_shown.__getitem__, own.tolist())), 0
+        for k in n.tolist():
+            self.shown.append(shown[at] if k == 1 else "".join(shown[at:at + k]))
+            at += k
+        of_parts, sizes = self.part_figures[own], self.part_figures[:, 3]
+        figures = np.add.reduceat(of_parts, np.cumsum(n) - n)
+        figures[:, 4] = figures[:, 4] == n
+        self.figures = np.concatenate([self.figures, figures])
+        self.pairs = np.concatenate([self.pairs, self.part_pairs[_ranges((np.cumsum(sizes) - sizes)[own], of_parts[:, 3])]])
 
 
 def _summed(keys: np.ndarray, values: np.ndarray):
     """Distinct keys, sorted, with the sums of their values."""
     if not len(keys):
         return keys, values
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, values = keys[order], values[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(values, first)
@@ -227,8 +269,8 @@ def aligned(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Data
                     held += len(text or "")
                     hi += 1
                 lo = hi
-                t.add([c for chunks in part for c in set(chunks)])
-                figures, sizes, flat = t.figures, t.figures[:, 5], t.pairs
+                t.add(set().union(*part))
+                figures, sizes, flat = t.figures, t.figures[:, 3], t.pairs
                 start = np.cumsum(sizes) - sizes
                 for chunks in part:
                     numbers = list(map(t.number.__getitem__, chunks))
@@ -237,9 +279,8 @@ def aligned(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Data
                         row = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
                     else:
                         n = sizes[own]
-                        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[own], n)
-                        shown = sha256(";".join(map(t.shown.__getitem__, numbers)).encode()).hexdigest()
-                        row = (*(figures[own, :4] * often[:, None]).sum(0).tolist(), shown, *_summed(flat[at], np.repeat(often, n)))
+                        shown = sha256("".join(map(t.shown.__getitem__, numbers))[:-1].encode()).hexdigest()
+                        row = (*(often @ figures[own, :4]).tolist(), shown, *_summed(flat[_ranges(start[own], n)], np.repeat(often, n)))
                     for column, value in zip(out.values(), row, strict=True):
                         column.append(value)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in out["pairs"]])]).astype(np.int32)

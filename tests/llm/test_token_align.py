@@ -1,10 +1,13 @@
 """Alignment of two tokenizers against a direct count over whole texts."""
 
+import cProfile
+import pstats
 import random
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +75,32 @@ def test_chunks_are_the_text(both):
             assert " ".join(parts) == text
 
 
+def test_new_words_are_aligned_many_at_a_time(both):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(5_000)]
+    words += [w + rng.choice([".", ", x", "\n" + w, "1", "é"]) for w in words]
+    table, seen = token_align.Table(both), cProfile.Profile()
+    seen.runcall(table.add, words)
+    assert pstats.Stats(seen).total_calls < 10 * len(words)
+    # what the calls of one and of many parts find
+    odd = ["ﬁne", "½", "Å", "x", "a　b", "\x00", "①", "é", "<unk>", "x" * 40, "▁", "y▁"]
+    parts = [" " + w for w in [*odd, *words[:50], *odd]]
+    shown, figures, pairs = token_align.align(both, parts)
+    alone = [token_align.align(both, [p]) for p in parts]
+    assert shown == [x for s, _, _ in alone for x in s]
+    assert figures.tolist() == [x for _, f, _ in alone for x in f.tolist()]
+    assert pairs.tolist() == [x for _, _, p in alone for x in p.tolist()]
+    for part, told, figure in zip(parts, shown, figures.tolist(), strict=True):
+        want = brute([part[1:]], both)[0]
+        assert (*figure[:4], sha256(told[:-1].encode()).hexdigest() if told else "") == (*want[:4], want[6])
+    assert figures[:, 4].sum() == len(parts) - 4
+    # tokens of the right length with other bytes
+    tokens, whole = [b"a", b"bc", b"cd"], [b"abc", b"acd", b"a", b"abc", b"cda", b"aa"]
+    ids, n = np.array([0, 1, 0, 1, 0, 0, 2, 2, 0]), np.array([2, 2, 1, 2, 2, 0])
+    right = token_align.spelt(ids, n, tokens, np.array([1, 2, 2]), whole, np.array([len(w) for w in whole]))
+    assert right.tolist() == [True, False, True, False, True, False]
+
+
 def test_repeated_rows_ids_and_empty_tables(spark, both):
     rows = [(1, "one two two"), (1, "one two two"), (None, "two three"), (None, "two three"), (2, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
